@@ -6,7 +6,9 @@ small as the calendar itself.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Holidays on the same day every year, as (month, day, name).
@@ -133,3 +135,15 @@ def window_starts(days: DataFrame, holiday_table: DataFrame, mode: str = COMPAT)
     return is_first_business_day(days, holiday_table, mode).withColumn(
         "window_start", month_of(reported)
     )
+
+
+def window_start_on(
+    spark: SparkSession,
+    as_of: datetime.date,
+    holiday_table: DataFrame | None = None,
+    mode: str = COMPAT,
+) -> datetime.date:
+    """Start of the window of one day's report, as a value to filter with."""
+    day = spark.range(1).select(F.lit(as_of).alias("as_of"))
+    table = holidays_around(day) if holiday_table is None else holiday_table
+    return window_starts(day, table, mode).first()["window_start"]

@@ -14,8 +14,8 @@ row id (``with_row_ids``), which tells identical copies apart.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, replace
 from functools import reduce
 from itertools import chain
 
@@ -30,55 +30,77 @@ MOST_HOT_KEYS = 1_000
 # A key is dealt out over no more cells than a cluster has task slots.
 MOST_CELLS = 65_536
 
+# Rows of a barely hot key that a count should see to be sure of it.
+ROWS_SEEN = 1_000
+
 # A hot key and the number of cells its rows are dealt out over.
 Cells = Mapping[object, int]
 
 
 @dataclass(frozen=True)
 class Side:
-    """Rows about to be joined on ``key``.
+    """Rows about to be joined, and the columns of their join keys by name.
 
-    ``weight`` is how often each row will have been repeated by then; by default
-    it stands for itself alone.
+    ``repeats`` is how often each row will have been repeated by then. With it,
+    only the rows that are repeated count; without it, all of them, once each.
     """
 
     df: DataFrame
-    key: str
-    weight: Column | None = None
+    keys: Mapping[str, str]
+    repeats: Column | None = None
+
+    def counted(self, fraction: float) -> DataFrame:
+        """``(name, key, weight)`` per key; of rows that count once a sample is enough."""
+        if self.repeats is not None:
+            rows = self.df.withColumn("_weight", self.repeats).where(F.col("_weight") > 1)
+        else:
+            sample = self.df.sample(fraction) if fraction < 1 else self.df
+            rows = sample.withColumn("_weight", F.lit(1 / fraction))
+        keys = [
+            F.struct(F.lit(name).alias("name"), F.col(key).cast("string").alias("key"))
+            for name, key in self.keys.items()
+        ]
+        return rows.select(F.array(*keys).alias("keys"), F.col("_weight").alias("weight")).select(
+            F.inline("keys"), "weight"
+        )
 
-    def value(self, text: str) -> object:
-        return int(text) if isinstance(self.df.schema[self.key].dataType, T.IntegralType) else text
+    def value(self, name: str, text: str) -> object:
+        is_number = isinstance(self.df.schema[self.keys[name]].dataType, T.IntegralType)
+        return int(text) if is_number else text
 
 
-def find_hot_keys(sides: Mapping[str, Side], rows_per_task: int) -> dict[str, Cells]:
-    """Count the rows of every key of every named side and return the hot ones.
+def find_hot_keys(sides: Iterable[Side], rows_per_task: int) -> dict[str, Cells]:
+    """Find the keys that more than ``rows_per_task`` rows carry, on every side.
 
-    One job for all sides: it reads the key columns only, counts before the
-    shuffle, and hands the driver no more than ``MOST_HOT_KEYS`` rows.
+    One job for all sides, which reads the key columns only and hands the driver
+    no more than ``MOST_HOT_KEYS`` rows. It counts on a sample that still holds
+    ``ROWS_SEEN`` rows of any hot key: the joins are complete and correct whatever
+    is found here, the counts only decide how the work is dealt out.
     """
-    keys = [
-        side.df.where(F.col(side.key).isNotNull()).select(
-            F.lit(name).alias("side"),
-            F.col(side.key).cast("string").alias("key"),
-            (F.lit(1.0) if side.weight is None else side.weight).alias("weight"),
-        )
-        for name, side in sides.items()
-    ]
+    fraction = min(1.0, ROWS_SEEN / rows_per_task)
+    side_of = {name: side for side in sides for name in side.keys}
+    distinct_sides = {id(side): side for side in side_of.values()}.values()
     largest = (
-        reduce(DataFrame.unionByName, keys)
-        .groupBy("side", "key")
+        reduce(DataFrame.unionByName, [side.counted(fraction) for side in distinct_sides])
+        .where(F.col("key").isNotNull())
+        .groupBy("name", "key")
         .agg(F.sum("weight").alias("rows"))
         .where(F.col("rows") > rows_per_task)
-        .orderBy(F.desc("rows"), "side", "key")
+        .orderBy(F.desc("rows"), "name", "key")
         .limit(MOST_HOT_KEYS)
     )
-    hot: dict[str, dict] = {name: {} for name in sides}
+    hot: dict[str, dict] = {name: {} for name in side_of}
     for row in largest.collect():
         cells = min(math.ceil(row["rows"] / rows_per_task), MOST_CELLS)
-        hot[row["side"]][sides[row["side"]].value(row["key"])] = cells
+        hot[row["name"]][side_of[row["name"]].value(row["name"], row["key"])] = cells
     return hot
 
 
+def merged(one: Cells, other: Cells) -> Cells:
+    """The hot keys of both, each with the larger number of cells."""
+    return {key: max(one.get(key, 1), other.get(key, 1)) for key in {**one, **other}}
+
+
 def fan_out(key: Column, hot: Cells, rows_per_task: int) -> Column:
     """About how many rows a join with the hot side makes of one row with this key."""
     if not hot:

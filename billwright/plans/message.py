@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from billwright.functions import text as X
 from billwright.plans import report as P
-from billwright.plans.view import invoice_view
 from billwright.rules import Rules
 from billwright.schemas import REPORT_COLUMNS, VIEW_HEADINGS
 from billwright.sources.tables import InvoiceTables
@@ -81,7 +80,7 @@ def report_message(
     literal_cleanup: bool = False,
 ) -> DataFrame:
     """The messages of one report: ``(to, subject, part, parts, html_body)``."""
-    rows = P.report_rows(invoice_view(tables, rules), rules, since)
+    rows = P.report_rows(tables, rules, since)
     html = html_rows(P.formatted_report(P.sorted_report(rows)), literal_cleanup)
     parts = message_parts(html, P.report_total(tables, rules, since), rows_per_part)
     return outbox(parts, addresses, X.subject(F.lit(as_of)))

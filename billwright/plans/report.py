@@ -13,36 +13,38 @@ from billwright.operators import calendar, lookups
 from billwright.operators.position import with_position
 from billwright.operators.skew import Spread, with_row_ids
 from billwright.plans import view as V
+from billwright.plans.inputs import Inputs
 from billwright.rules import Rules
 from billwright.schemas import REPORT_COLUMNS, TOTAL_VALUE
 from billwright.sources.tables import InvoiceTables
 
 
-def _is_reported(saida: Column, cfop: Column, rules: Rules) -> Column:
-    return L.is_outgoing(saida) & L.is_project_sale(cfop, rules.cfops)
+def in_report(
+    rules: Rules, since: datetime.date | None = None, until: datetime.date | None = None
+) -> Column:
+    """Condition on the header: an outgoing project sale issued in the window.
 
-
-def _in_window(day: Column, since: object, until: object) -> Column:
-    """``since`` alone by default; ``until`` bounds a report on past dates."""
-    inside = F.lit(True) if since is None else day >= F.lit(since)
-    return inside if until is None else inside & (day <= F.lit(until))
+    A report has a lower bound only; ``until`` is for reports on past dates.
+    """
+    reported = L.is_outgoing(F.col("saida")) & L.is_project_sale(F.col("cfop"), rules.cfops)
+    day = F.to_date("dt_emissao")
+    if since is not None:
+        reported &= day >= F.lit(since)
+    if until is not None:
+        reported &= day <= F.lit(until)
+    return reported
 
 
 def report_rows(
-    view: DataFrame,
+    tables: InvoiceTables,
     rules: Rules | None = None,
     since: datetime.date | None = None,
     until: datetime.date | None = None,
 ) -> DataFrame:
-    """Outgoing project sales of the window, in the report's columns.
-
-    All conditions are on header columns and end up in the header scan.
-    """
+    """The rows of the view that are in the report, in its eight columns."""
     rules = rules or Rules()
-    return view.where(
-        _is_reported(F.col("saida"), F.col("cfop"), rules)
-        & _in_window(F.col("data_emissao"), since, until)
-    ).select(*REPORT_COLUMNS)
+    view = V.invoice_view(tables, rules, in_report(rules, since, until), narrow=since is not None)
+    return view.select(*REPORT_COLUMNS)
 
 
 def report_order() -> list[Column]:
@@ -66,41 +68,39 @@ def formatted_report(positioned: DataFrame) -> DataFrame:
     })
 
 
-def _goods_per_invoice(tables: InvoiceTables, rules: Rules, hot: dict) -> DataFrame:
+def _goods_per_invoice(inputs: Inputs, hot: dict) -> DataFrame:
     """Per invoice: value of the goods rows of the view, and how many have no value.
 
     A goods line appears in the view once per quote row and service order of its
     guid, so it is counted that often instead of being repeated.
     """
-    value = L.goods_value(F.col("vl_total"), F.col("vl_ipi"))
-    per_guid = (
-        V.goods_lines(tables, rules)
-        .where(F.col("numero_nf").isNotNull())
-        .groupBy(F.col("numero_nf").alias("goods_nf"), "guid_orcamento")
-        .agg(F.sum(value).alias("value"), F.count_if(value.isNull()).alias("valueless"))
+    lines = inputs.goods().select(
+        F.col("numero_nf").alias("goods_nf"), "guid_orcamento",
+        L.goods_value(F.col("vl_total"), F.col("vl_ipi")).alias("value"),
     )
+    lines = with_row_ids(lines, "goods_row", hot["goods.guid"])
     joined = (
-        Spread.over(per_guid, "guid_orcamento", hot["goods.guid"], nullable=True)
-        .left_join(_quote_rows(tables, rules, hot), "guid_linha")
-        .left_join(_order_rows(tables, rules), "order_guid")
+        Spread.over(lines, "guid_orcamento", hot["goods.guid"], nullable=True)
+        .left_join(_quote_rows(inputs, hot), "guid_linha")
+        .left_join(_order_rows(inputs), "order_guid")
         .result()
     )
     times = F.coalesce("quote_rows", F.lit(1)) * F.coalesce("order_rows", F.lit(1))
     return joined.groupBy("goods_nf").agg(
         F.sum((F.col("value") * times).cast(TOTAL_VALUE)).alias("goods_value"),
-        F.sum(F.col("valueless") * times).alias("valueless_rows"),
+        F.sum(F.when(F.col("value").isNull(), times).otherwise(0)).alias("valueless_rows"),
     )
 
 
-def _quote_rows(tables: InvoiceTables, rules: Rules, hot: dict) -> DataFrame:
+def _quote_rows(inputs: Inputs, hot: dict) -> DataFrame:
     """Per guid with more than one: the rows its quote lines and won quotes make."""
     won = (
-        V.won_quotes(tables, rules)
+        inputs.won_quotes()
         .groupBy(F.col("codigo").alias("won_quote"))
         .agg(F.count("*").alias("won_rows"))
         .where(F.col("won_rows") > 1)
     )
-    lines = V.quote_lines(tables, rules).groupBy("guid_linha", "cod_orcamento").agg(
+    lines = inputs.quote_lines().groupBy("guid_linha", "cod_orcamento").agg(
         F.count("*").alias("line_rows")
     )
     return (
@@ -113,19 +113,19 @@ def _quote_rows(tables: InvoiceTables, rules: Rules, hot: dict) -> DataFrame:
     )
 
 
-def _order_rows(tables: InvoiceTables, rules: Rules) -> DataFrame:
+def _order_rows(inputs: Inputs) -> DataFrame:
     """Per guid with more than one: its service orders."""
     return (
-        lookups.kept_orders(tables, rules)
+        inputs.orders()
         .groupBy(F.col("guid_orcamento").alias("order_guid"))
         .agg(F.count("*").alias("order_rows"))
         .where(F.col("order_rows") > 1)
     )
 
 
-def _services_per_invoice(tables: InvoiceTables, rules: Rules) -> DataFrame:
+def _services_per_invoice(inputs: Inputs) -> DataFrame:
     return (
-        V.service_lines(tables, rules)
+        inputs.services()
         .groupBy(F.col("numero_nf").alias("service_nf"))
         .agg(F.count("*").alias("service_rows"), F.sum("vl_total").alias("service_value"))
     )
@@ -144,22 +144,20 @@ def daily_totals(
     service line; a row without goods value takes the service value instead.
     """
     rules = rules or Rules()
-    hot = V.hot_keys(tables, rules, ("headers.nf", "goods.guid", "quote_lines.quote"))
-    day = F.to_date("dt_emissao")
-    headers = V.invoice_headers(tables, rules).where(
-        _is_reported(F.col("saida"), F.col("cfop"), rules)
-        & _in_window(day, since, until)
-        & L.may_be_authorised(F.col("cancelada"), F.col("nfse"), F.col("nfe_desc_status"))
+    inputs = Inputs(tables, rules, in_report(rules, since, until), narrow=since is not None)
+    hot = inputs.hot_keys("headers.nf", "goods.guid", "quote_lines.quote")
+    headers = inputs.headers().where(
+        L.may_be_authorised(F.col("cancelada"), F.col("nfse"), F.col("nfe_desc_status"))
     )
     headers = with_row_ids(
-        headers.select(F.col("numero").alias("nf"), day.alias("data_emissao")),
+        headers.select(F.col("numero").alias("nf"), F.to_date("dt_emissao").alias("data_emissao")),
         "header_row", hot["headers.nf"],
     )
     invoices = (
         Spread.over(headers, "nf", hot["headers.nf"])
         .left_join(lookups.returned_invoices(tables, rules), "nfref_numero_nf")
-        .left_join(_goods_per_invoice(tables, rules, hot), "goods_nf")
-        .left_join(_services_per_invoice(tables, rules), "service_nf")
+        .left_join(_goods_per_invoice(inputs, hot), "goods_nf")
+        .left_join(_services_per_invoice(inputs), "service_nf")
         .result()
         .where(F.col("nfref_numero_nf").isNull())
     )
@@ -246,8 +244,7 @@ def monthly_detail(
     tables: InvoiceTables, since: datetime.date, rules: Rules | None = None
 ) -> DataFrame:
     """The finished report: position and the eight columns, as text where people read them."""
-    rows = report_rows(V.invoice_view(tables, rules), rules, since)
-    return formatted_report(sorted_report(rows))
+    return formatted_report(sorted_report(report_rows(tables, rules, since)))
 
 
 def monthly_total(

@@ -2,101 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billwright.functions import lines as L
 from billwright.operators import lookups
-from billwright.operators.skew import (
-    Cells,
-    Side,
-    Spread,
-    fan_out,
-    find_hot_keys,
-    with_row_ids,
-)
+from billwright.operators.skew import Spread, with_row_ids
+from billwright.plans.inputs import Inputs
 from billwright.rules import Rules
 from billwright.schemas import VIEW_HEADINGS
 from billwright.sources.tables import InvoiceTables
 
 
-def invoice_headers(tables: InvoiceTables, rules: Rules) -> DataFrame:
-    """Invoices of the company to customers, with terms of payment."""
-    return tables.of_company("tnota_fiscal", rules.company).where(
-        L.has_text(F.col("condicao_pagamento")) & (F.col("cli_for") == 0)
-    )
-
-
-def goods_lines(tables: InvoiceTables, rules: Rules) -> DataFrame:
-    return tables.of_company("tnota_fiscal_item", rules.company)
-
-
-def service_lines(tables: InvoiceTables, rules: Rules) -> DataFrame:
-    return tables.of_company("tnota_fiscal_servico", rules.company)
-
-
-def quote_lines(tables: InvoiceTables, rules: Rules) -> DataFrame:
-    return tables.of_company("torcamento_itens", rules.company)
-
-
-def won_quotes(tables: InvoiceTables, rules: Rules) -> DataFrame:
-    return tables.of_company("torcamento", rules.company).where(
-        L.is_won(F.col("estagio_orc"), F.col("status"))
-    )
-
-
-# Join keys that are checked for hot values: the rows they belong to and their column.
-_JOIN_KEYS = {
-    "headers.nf": (invoice_headers, "numero"),
-    "goods.nf": (goods_lines, "numero_nf"),
-    "goods.guid": (goods_lines, "guid_orcamento"),
-    "goods.product": (goods_lines, "codigo"),
-    "services.nf": (service_lines, "numero_nf"),
-    "quote_lines.guid": (quote_lines, "guid_linha"),
-    "quote_lines.quote": (quote_lines, "cod_orcamento"),
-    "quotes.quote": (won_quotes, "codigo"),
-    "orders.guid": (lookups.kept_orders, "guid_orcamento"),
-}
-
-
-def hot_keys(
-    tables: InvoiceTables, rules: Rules, names: Iterable[str] = tuple(_JOIN_KEYS)
-) -> dict[str, Cells]:
-    """The hot values of the named join keys, counted on the very rows that are joined."""
-    sides = {}
-    for name in names:
-        rows, key = _JOIN_KEYS[name]
-        sides[name] = Side(rows(tables, rules), key)
-    return find_hot_keys(sides, rules.rows_per_task)
-
-
-def view_hot_keys(tables: InvoiceTables, rules: Rules) -> dict[str, Cells]:
-    """All hot values, with the goods lines counted as often as earlier joins repeat them.
-
-    One invoice with very many service lines makes the guids and products of its
-    few goods lines hot as well; the same goes for a guid with very many quote
-    lines or service orders.
-    """
-    hot = hot_keys(tables, rules)
-    per_invoice = [hot["headers.nf"], hot["services.nf"]]
-    per_guid = [hot["quote_lines.guid"], hot["orders.guid"]]
-    if not any(per_invoice + per_guid):
-        return hot
-    goods = goods_lines(tables, rules)
-    by_invoice, by_guid = F.lit(1.0), F.lit(1.0)
-    for cells in per_invoice:
-        by_invoice *= fan_out(F.col("numero_nf"), cells, rules.rows_per_task)
-    for cells in per_guid:
-        by_guid *= fan_out(F.col("guid_orcamento"), cells, rules.rows_per_task)
-    repeated = {
-        "goods.guid": Side(goods, "guid_orcamento", by_invoice),
-        "goods.product": Side(goods, "codigo", by_invoice * by_guid),
-    }
-    return hot | find_hot_keys(repeated, rules.rows_per_task)
-
-
 class ViewSteps:
     """The joins of the view, one method per step, each building on the one before.
 
@@ -106,20 +23,19 @@ class ViewSteps:
     the quote line's guid, which share a second one.
     """
 
-    def __init__(self, tables: InvoiceTables, rules: Rules | None = None):
-        self.tables = tables
-        self.rules = rules or Rules()
-        self.hot = view_hot_keys(tables, self.rules)
+    def __init__(self, inputs: Inputs):
+        self.inputs = inputs
+        self.hot = inputs.hot_keys_of_view()
 
     def headers(self) -> DataFrame:
-        df = invoice_headers(self.tables, self.rules).select(
+        df = self.inputs.headers().select(
             F.col("numero").alias("nf"), "dt_emissao", "nfse", "cancelada", "nfe_desc_status",
             "cfop", "natureza_op", "entrada", "saida", "razao_social",
         )
         return with_row_ids(df, "header_row", self.hot["headers.nf"])
 
     def goods(self) -> DataFrame:
-        df = goods_lines(self.tables, self.rules).select(
+        df = self.inputs.goods().select(
             F.col("numero_nf").alias("goods_nf"), "codigo", "produto",
             F.col("qtde").alias("goods_qty"), F.col("unidade").alias("goods_unit"),
             F.col("vl_total").alias("goods_total"), F.col("vl_ipi").alias("goods_tax"),
@@ -131,28 +47,33 @@ class ViewSteps:
         )
 
     def services(self) -> DataFrame:
-        df = service_lines(self.tables, self.rules).select(
+        df = self.inputs.services().select(
             F.col("numero_nf").alias("service_nf"), F.col("qtde").alias("service_qty"),
             F.col("unidade").alias("service_unit"), F.col("vl_total").alias("service_total"),
         )
         return with_row_ids(df, "service_row", self.hot["services.nf"])
 
+    def quote_lines(self) -> DataFrame:
+        df = self.inputs.quote_lines().select("guid_linha", "cod_orcamento")
+        hot = self.hot
+        return with_row_ids(
+            df, "quote_line_row", hot["quote_lines.guid"], hot["quote_lines.quote"]
+        )
+
     def quotes(self) -> DataFrame:
         """Quote lines with the won quotes they belong to; a line without one stays."""
-        lines = quote_lines(self.tables, self.rules).select("guid_linha", "cod_orcamento")
-        lines = with_row_ids(
-            lines, "quote_line_row", self.hot["quote_lines.guid"], self.hot["quote_lines.quote"]
-        )
-        quotes = won_quotes(self.tables, self.rules).select(F.col("codigo").alias("won_quote"))
+        quotes = self.inputs.won_quotes().select(F.col("codigo").alias("won_quote"))
         quotes = with_row_ids(quotes, "quote_row", self.hot["quotes.quote"])
         return (
-            Spread.over(lines, "cod_orcamento", self.hot["quote_lines.quote"], nullable=True)
+            Spread.over(
+                self.quote_lines(), "cod_orcamento", self.hot["quote_lines.quote"], nullable=True
+            )
             .left_join(quotes, "won_quote", self.hot["quotes.quote"])
             .result()
         )
 
     def orders(self) -> DataFrame:
-        df = lookups.kept_orders(self.tables, self.rules).select(
+        df = self.inputs.orders().select(
             F.col("guid_orcamento").alias("order_guid"), "n_os"
         )
         return with_row_ids(df, "order_row", self.hot["orders.guid"])
@@ -161,8 +82,8 @@ class ViewSteps:
         """Headers with their return note and billing order."""
         return (
             Spread.over(self.headers(), "nf", self.hot["headers.nf"])
-            .left_join(lookups.return_notes(self.tables, self.rules), "returned_nf")
-            .left_join(lookups.billing_orders(self.tables, self.rules), "billed_nf")
+            .left_join(lookups.return_notes(self.inputs.tables, self.inputs.rules), "returned_nf")
+            .left_join(lookups.billing_orders(self.inputs.tables, self.inputs.rules), "billed_nf")
         )
 
     def with_goods(self) -> Spread:
@@ -172,12 +93,14 @@ class ViewSteps:
         """Goods and service lines of one invoice multiply, as both hang on its number."""
         return self.with_goods().left_join(self.services(), "service_nf", self.hot["services.nf"])
 
+    def over_guids(self, lines: DataFrame) -> Spread:
+        """Goods lines, alone or joined to their invoices, ready for joins on the guid."""
+        return Spread.over(lines, "guid_orcamento", self.hot["goods.guid"], nullable=True)
+
     def with_quotes(self) -> Spread:
         """Quote lines add no column, but a line appears once per match."""
-        lines = self.with_services().result()
-        return Spread.over(
-            lines, "guid_orcamento", self.hot["goods.guid"], nullable=True
-        ).left_join(self.quotes(), "guid_linha", self.hot["quote_lines.guid"])
+        lines = self.over_guids(self.with_services().result())
+        return lines.left_join(self.quotes(), "guid_linha", self.hot["quote_lines.guid"])
 
     def with_orders(self) -> Spread:
         return self.with_quotes().left_join(self.orders(), "order_guid", self.hot["orders.guid"])
@@ -189,15 +112,24 @@ class ViewSteps:
         )
         return (
             Spread.over(lines, "missing_order_product", self.hot["goods.product"], nullable=True)
-            .left_join(lookups.orders_by_product(self.tables, self.rules), "product_code")
+            .left_join(lookups.orders_by_product(self.inputs.tables, self.inputs.rules), "product_code")
             .result()
         )
 
 
-def invoice_view(tables: InvoiceTables, rules: Rules | None = None) -> DataFrame:
-    """All 17 columns of the view, under the plain names of ``VIEW_HEADINGS``."""
+def invoice_view(
+    tables: InvoiceTables,
+    rules: Rules | None = None,
+    header_filter: Column | None = None,
+    narrow: bool = False,
+) -> DataFrame:
+    """All 17 columns of the view, under the plain names of ``VIEW_HEADINGS``.
+
+    For ``header_filter`` and ``narrow`` see ``Inputs``.
+    """
     c = F.col
-    return ViewSteps(tables, rules).with_product_orders().select(
+    inputs = Inputs(tables, rules or Rules(), header_filter, narrow)
+    return ViewSteps(inputs).with_product_orders().select(
         L.document_type(c("nfse")).alias("tipo"),
         "nf",
         F.to_date("dt_emissao").alias("data_emissao"),
