@@ -291,7 +291,7 @@ def a1_month_total(tables: InvoiceTables) -> DataFrame:
 
 def _monthly_totals(tables: InvoiceTables) -> DataFrame:
     month = C.month_of(F.col("data_emissao")).alias("mes")
-    return P.daily_totals(tables).groupBy(month).agg(
+    return P.daily_totals(P.report_inputs(tables)).groupBy(month).agg(
         F.sum("total").cast(P.TOTAL_VALUE).alias("total")
     )
 
@@ -321,7 +321,7 @@ def a3_top1_per_key(tables: InvoiceTables) -> DataFrame:
 
 @_on_tables
 def o1_sorted_report(tables: InvoiceTables) -> DataFrame:
-    return P.sorted_report(P.report_rows(tables))
+    return P.sorted_report(P.report_rows(P.report_inputs(tables)))
 
 
 @_on_tables
@@ -390,7 +390,7 @@ def c7_subject(tables: InvoiceTables) -> DataFrame:
 
 def _backfill(tables: InvoiceTables) -> DataFrame:
     days = _days(tables)
-    return P.backfill_totals(P.daily_totals(tables), days, C.holidays_around(days))
+    return P.backfill_totals(P.daily_totals(P.report_inputs(tables)), days, C.holidays_around(days))
 
 
 def _daily_bodies(tables: InvoiceTables) -> DataFrame:
@@ -459,7 +459,7 @@ def b5_backfill_totals(tables: InvoiceTables) -> DataFrame:
 
 @_on_tables
 def s4_html_rows(tables: InvoiceTables) -> DataFrame:
-    return M.html_rows(P.formatted_report(P.sorted_report(P.report_rows(tables))))
+    return M.html_rows(P.formatted_report(P.sorted_report(P.report_rows(P.report_inputs(tables)))))
 
 
 @_on_tables
@@ -467,19 +467,20 @@ def s5_outbox(tables: InvoiceTables) -> DataFrame:
     return M.outbox(_daily_bodies(tables), RECIPIENTS, X.subject(F.col("as_of")))
 
 
+def _month(spark: SparkSession, folder: str) -> Inputs:
+    return P.report_inputs(star_tables(spark, folder), since=C.window_start_on(spark, AS_OF))
+
+
 def r1_monthly_detail(spark: SparkSession, folder: str) -> DataFrame:
-    return P.monthly_detail(star_tables(spark, folder), C.window_start_on(spark, AS_OF))
+    return P.monthly_detail(_month(spark, folder))
 
 
 def r2_monthly_total(spark: SparkSession, folder: str) -> DataFrame:
-    return P.monthly_total(star_tables(spark, folder), C.window_start_on(spark, AS_OF))
+    return P.monthly_total(_month(spark, folder))
 
 
 def r3_message(spark: SparkSession, folder: str) -> DataFrame:
-    since = C.window_start_on(spark, AS_OF)
-    return M.report_message(
-        star_tables(spark, folder), AS_OF, since, RECIPIENTS, rows_per_part=ROWS_PER_PART
-    )
+    return M.report_message(_month(spark, folder), AS_OF, RECIPIENTS, ROWS_PER_PART)
 
 
 QUERIES |= {

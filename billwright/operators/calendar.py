@@ -50,11 +50,13 @@ def month_of(day: Column) -> Column:
 
 
 def day_spine(dates: DataFrame, column: str, name: str = "as_of") -> DataFrame:
-    """Every calendar day from the first to the last date of ``column``."""
-    span = dates.agg(F.min(column).alias("first"), F.max(column).alias("last"))
-    return span.where(F.col("first").isNotNull()).select(
-        F.explode(F.sequence("first", "last")).alias(name)
-    )
+    """Every calendar day from the first to the last date of ``column``.
+
+    The two dates are read at once, as the days are then used in several places.
+    """
+    span = dates.agg(F.min(column).alias("first"), F.max(column).alias("last")).first()
+    days = F.sequence(F.lit(span["first"]).cast("date"), F.lit(span["last"]).cast("date"))
+    return dates.sparkSession.range(1).select(F.explode(days).alias(name))
 
 
 def easter_sundays(years: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A group of equal rows is unfolded in two steps of at most this many each.
+# A group of more equal rows than this is unfolded by several tasks.
 _CHUNK = 1 << 16
 
 # monotonically_increasing_id keeps the partition above the row number.
@@ -27,42 +27,46 @@ def use_shared_checkpoints(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def _unfolded(folded: DataFrame) -> DataFrame:
+    """One row per copy, numbered; the copies of a large group are made by many tasks."""
+    few = folded.where(F.col("_copies") <= _CHUNK).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))
+    )
+    chunks = folded.where(F.col("_copies") > _CHUNK).withColumn(
+        "_from", F.explode(F.sequence(F.lit(1).cast("long"), "_copies", F.lit(_CHUNK).cast("long")))
+    )
+    upto = F.least(F.col("_copies"), F.col("_from") + _CHUNK - 1)
+    many = chunks.repartition("_from").withColumn("_copy", F.explode(F.sequence("_from", upto)))
+    return few.unionByName(many.drop("_from")).drop("_copies")
+
+
 def with_position(df: DataFrame, order: list[Column], name: str = "idx") -> DataFrame:
     """Add the position of each row in the given order, which must name every column.
 
-    Equal rows are folded into one with a count before anything is sorted. The
-    folded rows are sorted over range partitions and written to the checkpoint
-    folder, so that the partitions stay what they are while they are counted. A
-    row's position is the count of the partitions before its own, plus the count
-    before it in its own partition.
+    Equal rows are counted first and then told apart by a copy number, so that
+    the sort can cut anywhere. The sorted range partitions are written to the
+    checkpoint folder, which fixes them while they are counted; a row's position
+    is the rows in the partitions before its own plus its place in its own.
     """
     columns = df.columns
     use_shared_checkpoints(df.sparkSession)
     folded = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
     fixed = (
-        folded.orderBy(*order)
+        _unfolded(folded)
+        .orderBy(*order, "_copy")
+        .select(*columns)
         .checkpoint()
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", _ROW_BITS))
     )
-    # One row per partition, so this window is as small as the number of partitions.
+    # One row per partition: small enough for one window and for a broadcast.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         fixed.groupBy("_part")
-        .agg(F.sum("_copies").alias("_rows"))
+        .agg(F.count("*").alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
-    within = (
-        Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = (
-        fixed.withColumn("_before", F.coalesce(F.sum("_copies").over(within), F.lit(0)))
-        .join(starts, "_part")
-        .withColumn("_first", F.col("_start") + F.col("_before"))
-        .withColumn("_last", F.col("_first") + F.col("_copies") - 1)
-    )
-    chunks = placed.withColumn(
-        "_from", F.explode(F.sequence("_first", "_last", F.lit(_CHUNK).cast("long")))
+    place = F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1)
+    return fixed.join(F.broadcast(starts), "_part").select(
+        (F.col("_start") + place).alias(name), *columns
     )
-    upto = F.least(F.col("_last"), F.col("_from") + _CHUNK - 1)
-    return chunks.select(F.explode(F.sequence("_from", upto)).alias(name), *columns)

@@ -152,8 +152,10 @@ class Spread:
     @classmethod
     def over(cls, df: DataFrame, key: str, hot: Cells, nullable: bool = False) -> Spread:
         """Deal out the rows of the hot keys and, if there may be any, of the null key."""
-        columns, column = df.columns, F.col(key)
         spread = cls(df, key)
+        if not (nullable or hot):
+            return spread
+        columns, column = df.columns, F.col(key)
         if nullable:
             name = f"_{key}_null_cell"
             row_or_key = F.when(column.isNull(), F.xxhash64(*columns)).otherwise(F.xxhash64(key))
@@ -171,28 +173,30 @@ class Spread:
         in the result, so that its null tells rows without a match.
         """
         left, on = self.df, F.col(self.key) == F.col(right_key)
-        cells = self.cells
+        cells, added = self.cells, []
         if hot:
             name = f"_{right_key}_cell"
             dealt = _dealt(F.col(right_key), hot, right.columns)
             left = left.withColumn(name, _repeated(F.col(self.key), hot))
             right = right.withColumn(f"{name}_right", dealt)
             on &= F.col(name) == F.col(f"{name}_right")
+            added.append(f"{name}_right")
             cells = (*cells, (name, hot))
         for name, split in self.cells:
             right = right.withColumn(f"{name}_right", _repeated(F.col(right_key), split))
             on &= F.col(name) == F.col(f"{name}_right")
+            added.append(f"{name}_right")
         if self.null_cell:
             right = right.withColumn(f"{self.null_cell}_right", F.xxhash64(right_key))
             on &= F.col(self.null_cell) == F.col(f"{self.null_cell}_right")
+            added.append(f"{self.null_cell}_right")
         joined = left.join(right, on, "left")
         if hot:
             # A hot key of the right side has a match in some cell; the cells
             # that happen to hold none must not add an unmatched row.
             repeated = F.coalesce(F.col(self.key).isin(*hot), F.lit(False))
             joined = joined.where(F.col(right_key).isNotNull() | ~repeated)
-        joined = joined.drop(*[name for name in joined.columns if name.endswith("_cell_right")])
-        return Spread(joined, self.key, self.null_cell, cells)
+        return Spread(joined.drop(*added), self.key, self.null_cell, cells)
 
     def result(self) -> DataFrame:
         """The joined rows without the cell columns."""

@@ -76,6 +76,8 @@ class Inputs:
 
     def hot_keys(self, *names: str) -> dict[str, Cells]:
         """The hot values of the named join keys, counted on the very rows that are joined."""
+        if "hot_keys_of_view" in self.__dict__:
+            return self.hot_keys_of_view
         sides = []
         for rows, keys in _JOIN_KEYS.items():
             asked = {name: key for name, key in keys.items() if name in names}
@@ -83,6 +85,7 @@ class Inputs:
                 sides.append(Side(getattr(self, rows)(), asked))
         return find_hot_keys(sides, self.rules.rows_per_task)
 
+    @cached_property
     def hot_keys_of_view(self) -> dict[str, Cells]:
         """All hot values, with rows counted as often as earlier joins repeat them.
 

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from billwright.functions import text as X
 from billwright.plans import report as P
-from billwright.rules import Rules
+from billwright.plans.inputs import Inputs
 from billwright.schemas import REPORT_COLUMNS, VIEW_HEADINGS
-from billwright.sources.tables import InvoiceTables
 
 # Rows of one message part. A report of up to this many rows is one message; a
 # longer one goes out in numbered parts, as no mail holds an unlimited table.
@@ -71,16 +70,13 @@ def outbox(bodies: DataFrame, addresses: str, subject: Column) -> DataFrame:
 
 
 def report_message(
-    tables: InvoiceTables,
+    inputs: Inputs,
     as_of: datetime.date,
-    since: datetime.date,
     addresses: str,
-    rules: Rules | None = None,
     rows_per_part: int = ROWS_PER_PART,
     literal_cleanup: bool = False,
 ) -> DataFrame:
     """The messages of one report: ``(to, subject, part, parts, html_body)``."""
-    rows = P.report_rows(tables, rules, since)
-    html = html_rows(P.formatted_report(P.sorted_report(rows)), literal_cleanup)
-    parts = message_parts(html, P.report_total(tables, rules, since), rows_per_part)
+    html = html_rows(P.monthly_detail(inputs), literal_cleanup)
+    parts = message_parts(html, P.report_total(inputs), rows_per_part)
     return outbox(parts, addresses, X.subject(F.lit(as_of)))

@@ -35,16 +35,20 @@ def in_report(
     return reported
 
 
-def report_rows(
+def report_inputs(
     tables: InvoiceTables,
     rules: Rules | None = None,
     since: datetime.date | None = None,
     until: datetime.date | None = None,
-) -> DataFrame:
-    """The rows of the view that are in the report, in its eight columns."""
+) -> Inputs:
+    """What a report reads: the whole history, or a window that starts on a date."""
     rules = rules or Rules()
-    view = V.invoice_view(tables, rules, in_report(rules, since, until), narrow=since is not None)
-    return view.select(*REPORT_COLUMNS)
+    return Inputs(tables, rules, in_report(rules, since, until), narrow=since is not None)
+
+
+def report_rows(inputs: Inputs) -> DataFrame:
+    """The rows of the view that are in the report, in its eight columns."""
+    return V.view_of(inputs).select(*REPORT_COLUMNS)
 
 
 def report_order() -> list[Column]:
@@ -131,20 +135,13 @@ def _services_per_invoice(inputs: Inputs) -> DataFrame:
     )
 
 
-def daily_totals(
-    tables: InvoiceTables,
-    rules: Rules | None = None,
-    since: datetime.date | None = None,
-    until: datetime.date | None = None,
-) -> DataFrame:
+def daily_totals(inputs: Inputs) -> DataFrame:
     """``(data_emissao, total)``: authorised value of the reported invoices by issue date.
 
     The same sum as over the view's rows, but without making them: goods and
     service lines are added up per invoice first. A goods row counts once per
     service line; a row without goods value takes the service value instead.
     """
-    rules = rules or Rules()
-    inputs = Inputs(tables, rules, in_report(rules, since, until), narrow=since is not None)
     hot = inputs.hot_keys("headers.nf", "goods.guid", "quote_lines.quote")
     headers = inputs.headers().where(
         L.may_be_authorised(F.col("cancelada"), F.col("nfse"), F.col("nfe_desc_status"))
@@ -155,7 +152,7 @@ def daily_totals(
     )
     invoices = (
         Spread.over(headers, "nf", hot["headers.nf"])
-        .left_join(lookups.returned_invoices(tables, rules), "nfref_numero_nf")
+        .left_join(lookups.returned_invoices(inputs.tables, inputs.rules), "nfref_numero_nf")
         .left_join(_goods_per_invoice(inputs, hot), "goods_nf")
         .left_join(_services_per_invoice(inputs), "service_nf")
         .result()
@@ -176,14 +173,9 @@ def _total(amount: Column) -> Column:
     return F.coalesce(amount, F.lit(0)).cast(TOTAL_VALUE)
 
 
-def report_total(
-    tables: InvoiceTables,
-    rules: Rules | None = None,
-    since: datetime.date | None = None,
-    until: datetime.date | None = None,
-) -> DataFrame:
+def report_total(inputs: Inputs) -> DataFrame:
     """One row ``(total)``: the authorised value of the window."""
-    return daily_totals(tables, rules, since, until).agg(_total(F.sum("total")).alias("total"))
+    return daily_totals(inputs).agg(_total(F.sum("total")).alias("total"))
 
 
 def total_of_rows(rows: DataFrame) -> DataFrame:
@@ -204,51 +196,48 @@ def backfill_totals(
     day's total runs up to that day; on the first business day the whole month
     before is added. Running sums are taken per month, over its days only.
     """
-    month = calendar.month_of
-    monthly = daily.groupBy(month(F.col("data_emissao")).alias("month")).agg(
-        F.sum("total").alias("month_total")
-    )
-    before = monthly.select(
-        F.add_months("month", 1).alias("window_month"), F.col("month_total").alias("last_month")
-    )
-    sums = (
-        daily.select(F.col("data_emissao").alias("day"), "total", F.lit(False).alias("asked"))
-        .unionByName(
-            days.select(
-                F.col("as_of").alias("day"), F.lit(None).cast(TOTAL_VALUE).alias("total"),
-                F.lit(True).alias("asked"),
-            )
-        )
-    )
-    up_to_day = Window.partitionBy(month(F.col("day"))).orderBy("day").rangeBetween(
+    month = calendar.month_of(F.col("data_emissao"))
+    nothing = F.lit(None).cast(TOTAL_VALUE)
+    # Each daily total counts on its day, and for the whole of the next month's first report.
+    counts = F.array(
+        F.struct(
+            month.alias("month"), F.col("data_emissao").alias("day"),
+            F.col("total").alias("amount"), nothing.alias("last_month"),
+        ),
+        F.struct(
+            F.add_months(month, 1).alias("month"), F.lit(None).cast("date").alias("day"),
+            nothing.alias("amount"), F.col("total").alias("last_month"),
+        ),
+    )
+    asked = days.select(
+        calendar.month_of(F.col("as_of")).alias("month"), F.col("as_of").alias("day"),
+        nothing.alias("amount"), nothing.alias("last_month"), F.lit(True).alias("asked"),
+    )
+    rows = daily.select(F.inline(counts)).withColumn("asked", F.lit(False)).unionByName(asked)
+    whole_month = Window.partitionBy("month")
+    up_to_day = whole_month.orderBy("day").rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    running = sums.select(
-        F.col("day").alias("as_of"), "asked", F.sum("total").over(up_to_day).alias("to_date")
+    running = rows.select(
+        F.col("day").alias("as_of"), "asked",
+        F.sum("amount").over(up_to_day).alias("to_date"),
+        F.sum("last_month").over(whole_month).alias("last_month"),
     ).where("asked")
-    windows = calendar.window_starts(days, holiday_table, mode)
+    total = F.coalesce("to_date", F.lit(0)) + F.when(
+        F.col("is_first"), F.coalesce("last_month", F.lit(0))
+    ).otherwise(0)
     return (
-        windows.join(running.select("as_of", "to_date"), "as_of")
-        .withColumn("window_month", F.when(F.col("is_first"), month(F.col("as_of"))))
-        .join(before, "window_month", "left")
-        .select(
-            "as_of", "window_start",
-            _total(
-                F.coalesce("to_date", F.lit(0)) + F.coalesce("last_month", F.lit(0))
-            ).alias("total"),
-        )
+        calendar.window_starts(days, holiday_table, mode)
+        .join(running, "as_of")
+        .select("as_of", "window_start", _total(total).alias("total"))
     )
 
 
-def monthly_detail(
-    tables: InvoiceTables, since: datetime.date, rules: Rules | None = None
-) -> DataFrame:
+def monthly_detail(inputs: Inputs) -> DataFrame:
     """The finished report: position and the eight columns, as text where people read them."""
-    return formatted_report(sorted_report(report_rows(tables, rules, since)))
+    return formatted_report(sorted_report(report_rows(inputs)))
 
 
-def monthly_total(
-    tables: InvoiceTables, since: datetime.date, rules: Rules | None = None
-) -> DataFrame:
+def monthly_total(inputs: Inputs) -> DataFrame:
     """One row ``(total, total_text)``."""
-    return report_total(tables, rules, since).withColumn("total_text", X.total_text(F.col("total")))
+    return report_total(inputs).withColumn("total_text", X.total_text(F.col("total")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billwright.functions import lines as L
@@ -25,7 +25,7 @@ class ViewSteps:
 
     def __init__(self, inputs: Inputs):
         self.inputs = inputs
-        self.hot = inputs.hot_keys_of_view()
+        self.hot = inputs.hot_keys_of_view
 
     def headers(self) -> DataFrame:
         df = self.inputs.headers().select(
@@ -117,18 +117,14 @@ class ViewSteps:
         )
 
 
-def invoice_view(
-    tables: InvoiceTables,
-    rules: Rules | None = None,
-    header_filter: Column | None = None,
-    narrow: bool = False,
-) -> DataFrame:
-    """All 17 columns of the view, under the plain names of ``VIEW_HEADINGS``.
+def invoice_view(tables: InvoiceTables, rules: Rules | None = None) -> DataFrame:
+    """All 17 columns of the view, under the plain names of ``VIEW_HEADINGS``."""
+    return view_of(Inputs(tables, rules or Rules()))
 
-    For ``header_filter`` and ``narrow`` see ``Inputs``.
-    """
+
+def view_of(inputs: Inputs) -> DataFrame:
+    """The view over inputs that may be cut to some invoices."""
     c = F.col
-    inputs = Inputs(tables, rules or Rules(), header_filter, narrow)
     return ViewSteps(inputs).with_product_orders().select(
         L.document_type(c("nfse")).alias("tipo"),
         "nf",

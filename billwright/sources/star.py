@@ -85,11 +85,10 @@ def star_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def star_tables(spark: SparkSession, folder: str) -> InvoiceTables:
     """The base tables over the star schema in ``folder``."""
-    star = {name: star_table(spark, folder, name) for name in STAR_COLUMNS}
 
     def read(name: str) -> DataFrame:
         statement = STATEMENTS[name]
-        used = {table: df for table, df in star.items() if f"{{{table}}}" in statement}
-        return spark.sql(statement, **used)
+        used = [table for table in STAR_COLUMNS if f"{{{table}}}" in statement]
+        return spark.sql(statement, **{table: star_table(spark, folder, table) for table in used})
 
-    return InvoiceTables.load(read)
+    return InvoiceTables(read)

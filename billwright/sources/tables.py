@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,24 +22,22 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
 class InvoiceTables:
-    """The eight base tables as lazy DataFrames, by table name."""
+    """The eight base tables by name, each read when first asked for."""
 
-    frames: Mapping[str, DataFrame]
-
-    @classmethod
-    def load(cls, read: Callable[[str], DataFrame]) -> InvoiceTables:
-        """Build from a function that reads one table by name."""
-        return cls({name: conform(read(name), schema) for name, schema in BASE_TABLES.items()})
+    def __init__(self, read: Callable[[str], DataFrame]):
+        self._read = read
+        self._frames: dict[str, DataFrame] = {}
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, folder: str) -> InvoiceTables:
-        """Read ``folder/<table>``, one Parquet dataset per table."""
-        return cls.load(lambda name: spark.read.parquet(f"{folder}/{name}"))
+        """``folder/<table>``, one Parquet dataset per table."""
+        return cls(lambda name: spark.read.parquet(f"{folder}/{name}"))
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.frames[name]
+        if name not in self._frames:
+            self._frames[name] = conform(self._read(name), BASE_TABLES[name])
+        return self._frames[name]
 
     def of_company(self, name: str, company: int) -> DataFrame:
         """The rows of one company, filtered at the scan."""
@@ -53,5 +50,5 @@ class InvoiceTables:
 
     def register(self, spark: SparkSession) -> None:
         """Offer the base tables as temporary views of the session."""
-        for name, frame in self.frames.items():
-            frame.createOrReplaceTempView(name)
+        for name in BASE_TABLES:
+            self[name].createOrReplaceTempView(name)

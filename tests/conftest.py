@@ -102,9 +102,7 @@ ROWS = {
 
 @pytest.fixture(scope="session")
 def tables(spark):
-    return InvoiceTables(
-        {name: spark.createDataFrame(ROWS[name], schema) for name, schema in BASE_TABLES.items()}
-    )
+    return InvoiceTables(lambda name: spark.createDataFrame(ROWS[name], BASE_TABLES[name]))
 
 
 def bag(df):

@@ -4,9 +4,11 @@ import datetime
 
 import pytest
 
+from billwright import InvoiceTables
 from billwright.checks.queries import QUERIES
 from billwright.plans import report as P
 from billwright.plans.view import invoice_view
+from billwright.schemas import BASE_TABLES
 from billwright.sources.star import star_tables
 from conftest import DATA
 
@@ -26,11 +28,9 @@ def test_no_nested_loops_or_python(spark, name):
 @pytest.fixture(scope="module")
 def stored(spark, tables, tmp_path_factory):
     """The fixture as Parquet files, so that plans have real scans."""
-    from billwright import InvoiceTables
-
     folder = tmp_path_factory.mktemp("tables")
-    for name, df in tables.frames.items():
-        df.write.parquet(str(folder / name))
+    for name in BASE_TABLES:
+        tables[name].write.parquet(str(folder / name))
     return InvoiceTables.from_parquet(spark, str(folder))
 
 
@@ -39,7 +39,7 @@ def scans(text, column):
 
 
 def test_report_conditions_reach_the_header_scan(stored):
-    text = P.report_rows(stored, since=datetime.date(2026, 5, 1))._jdf.queryExecution().executedPlan().toString()
+    text = plan(P.report_rows(P.report_inputs(stored, since=datetime.date(2026, 5, 1))))
     header = scans(text, "dt_emissao")
     assert header
     for line in header:
@@ -49,13 +49,13 @@ def test_report_conditions_reach_the_header_scan(stored):
 
 
 def test_scans_read_only_used_columns(stored):
-    line = scans(plan(P.daily_totals(stored)), "guid_orcamento")
+    line = scans(plan(P.daily_totals(P.report_inputs(stored))), "guid_orcamento")
     goods = [text for text in line if "vl_ipi" in text]
     assert goods and all("produto" not in text and "unidade" not in text for text in goods)
 
 
 def test_month_lines_are_cut_before_the_shuffle(stored):
-    text = plan(P.report_rows(stored, since=datetime.date(2026, 5, 1)))
+    text = plan(P.report_rows(P.report_inputs(stored, since=datetime.date(2026, 5, 1))))
     assert text.count("LeftSemi") >= 2 and "BroadcastHashJoin" in text
 
 

@@ -32,15 +32,15 @@ def star(spark):
     ],
 )
 def test_fixture_report(tables, since, rows, total, text):
-    report = P.report_rows(tables, since=since)
+    report = P.report_rows(P.report_inputs(tables, since=since))
     assert report.count() == rows
     assert P.total_of_rows(report).first()["total"] == Decimal(total)
-    row = P.monthly_total(tables, since).first()
+    row = P.monthly_total(P.report_inputs(tables, since=since)).first()
     assert (row["total"], row["total_text"]) == (Decimal(total), text)
 
 
 def test_monthly_detail(tables):
-    rows = sorted(P.monthly_detail(tables, D(2026, 5, 1)).collect(), key=lambda row: row["idx"])
+    rows = sorted(P.monthly_detail(P.report_inputs(tables, since=D(2026, 5, 1))).collect(), key=lambda row: row["idx"])
     assert [row["idx"] for row in rows] == list(range(17))
     assert rows[0]["data_emissao"] == "11/05/2026" and rows[-1]["data_emissao"] == "04/05/2026"
     assert rows[0]["valor"] == "R$\u00a02.000,00"
@@ -48,15 +48,18 @@ def test_monthly_detail(tables):
 
 
 def test_upper_bound(tables):
-    total = P.report_total(tables, since=D(2026, 5, 1), until=D(2026, 5, 6)).first()["total"]
+    total = P.report_total(
+        P.report_inputs(tables, since=D(2026, 5, 1), until=D(2026, 5, 6))
+    ).first()["total"]
     assert total == Decimal(400 + 770)
 
 
 def test_known_star_report(star):
-    rows = P.report_rows(star, since=D(2001, 7, 1))
+    july = P.report_inputs(star, since=D(2001, 7, 1))
+    rows = P.report_rows(july)
     assert rows.count() == 69
     assert rows.select("nf").distinct().count() == 16
-    assert P.report_total(star, since=D(2001, 7, 1)).first()["total"] == Decimal("1853024.7352")
+    assert P.report_total(july).first()["total"] == Decimal("1853024.7352")
 
 
 def test_windowed_report_equals_filtered_view(star, monkeypatch):
@@ -67,14 +70,14 @@ def test_windowed_report_equals_filtered_view(star, monkeypatch):
         .where(F.col("data_emissao") >= F.lit(since))
         .select(*P.REPORT_COLUMNS)
     )
-    assert bag(P.report_rows(star, since=since)) == expected
+    assert bag(P.report_rows(P.report_inputs(star, since=since))) == expected
     monkeypatch.setattr(I, "MOST_BROADCAST_INVOICES", 3)
-    assert bag(P.report_rows(star, since=since)) == expected
+    assert bag(P.report_rows(P.report_inputs(star, since=since))) == expected
 
 
 def test_totals_equal_the_sum_over_rows(star):
-    rows = P.report_rows(star)
-    assert P.report_total(star).first()["total"] == P.total_of_rows(rows).first()["total"]
+    rows = P.report_rows(P.report_inputs(star))
+    assert P.report_total(P.report_inputs(star)).first()["total"] == P.total_of_rows(rows).first()["total"]
     assert P.total_of_rows(rows).first()["total"] <= rows.agg(F.sum("valor")).first()[0]
 
 
@@ -89,19 +92,21 @@ def test_statuses_partition_the_rows(star):
 def test_backfill_equals_each_days_report(spark, star, mode):
     days = C.day_spine(star["tnota_fiscal"].select(F.to_date("dt_emissao").alias("d")), "d")
     holidays = C.holidays_around(days)
-    backfill = P.backfill_totals(P.daily_totals(star), days, holidays, mode).cache()
+    backfill = P.backfill_totals(P.daily_totals(P.report_inputs(star)), days, holidays, mode).cache()
     assert backfill.count() == days.count() == 2405
-    daily = {row["data_emissao"]: row["total"] for row in P.daily_totals(star).collect()}
+    daily = {row["data_emissao"]: row["total"] for row in P.daily_totals(P.report_inputs(star)).collect()}
     for row in backfill.collect():
         inside = [v for day, v in daily.items() if row["window_start"] <= day <= row["as_of"]]
         assert row["total"] == sum(inside, Decimal(0)), row
     some = D(1998, 5, 2)
     start = C.window_start_on(spark, some, holidays, mode)
     assert start == (D(1998, 4, 1) if mode == C.COMPAT else D(1998, 5, 1))
-    total = P.report_total(star, since=start, until=some).first()["total"]
+    total = P.report_total(P.report_inputs(star, since=start, until=some)).first()["total"]
     assert backfill.where(F.col("as_of") == F.lit(some)).first()["total"] == total
 
 
 def test_rules_are_parameters(tables):
-    only = P.report_rows(tables, Rules(cfops=("5910",)), since=D(2026, 5, 1))
+    only = P.report_rows(
+        P.report_inputs(tables, Rules(cfops=("5910",)), since=D(2026, 5, 1))
+    )
     assert [row["nf"] for row in only.collect()] == [18]

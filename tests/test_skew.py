@@ -11,9 +11,13 @@ from billwright.operators.skew import Side, Spread, find_hot_keys
 from billwright.plans import report as P
 from billwright.plans.inputs import Inputs
 from billwright.plans.view import invoice_view
+from billwright.schemas import BASE_TABLES
 from billwright.sources.star import star_tables
 from conftest import DATA, bag
 
+# Rules under which no key is ever split.
+WHOLE = Rules(rows_per_task=10**9)
+
 HOT_NF, HOT_GUID, HOT_PRODUCT, HOT_QUOTE = 3, "G5", 5, 3
 
 
@@ -29,7 +33,7 @@ def skewed(spark):
             {key: F.when(third, F.lit(value)).otherwise(F.col(key)) for key, value in hot.items()}
         )
 
-    frames = dict(star.frames)
+    frames = {name: star[name] for name in BASE_TABLES}
     frames["tnota_fiscal_item"] = moved(
         "tnota_fiscal_item", numero_nf=HOT_NF, guid_orcamento=HOT_GUID, codigo=HOT_PRODUCT
     )
@@ -40,7 +44,8 @@ def skewed(spark):
     frames["tos"] = star["tos"].union(
         spark.range(2).select(F.lit(1), F.concat(F.lit("OY"), "id"), F.lit(HOT_GUID), F.lit(None))
     )
-    return InvoiceTables({name: df.cache() for name, df in frames.items()})
+    cached = {name: df.cache() for name, df in frames.items()}
+    return InvoiceTables(cached.__getitem__)
 
 
 def counted(df):
@@ -49,21 +54,21 @@ def counted(df):
 
 @pytest.mark.parametrize("rows_per_task", [7, 60])
 def test_view_is_the_same_however_keys_are_split(skewed, rows_per_task):
-    plain = invoice_view(skewed, Rules(rows_per_task=10**9))
+    plain = invoice_view(skewed, WHOLE)
     assert plain.count() > 100_000
     assert counted(invoice_view(skewed, Rules(rows_per_task=rows_per_task))) == counted(plain)
 
 
 @pytest.mark.parametrize("rows_per_task", [7, 60])
 def test_totals_are_the_same_however_keys_are_split(skewed, rows_per_task):
-    plain = bag(P.daily_totals(skewed, Rules(rows_per_task=10**9)))
-    assert bag(P.daily_totals(skewed, Rules(rows_per_task=rows_per_task))) == plain
-    rows = P.report_rows(skewed, Rules(rows_per_task=10**9))
-    assert P.total_of_rows(rows).first() == P.report_total(skewed).first()
+    plain = bag(P.daily_totals(P.report_inputs(skewed, WHOLE)))
+    assert bag(P.daily_totals(P.report_inputs(skewed, Rules(rows_per_task=rows_per_task)))) == plain
+    rows = P.report_rows(P.report_inputs(skewed, WHOLE))
+    assert P.total_of_rows(rows).first() == P.report_total(P.report_inputs(skewed)).first()
 
 
 def test_hot_keys_are_found(skewed):
-    hot = Inputs(skewed, Rules(rows_per_task=100)).hot_keys_of_view()
+    hot = Inputs(skewed, Rules(rows_per_task=100)).hot_keys_of_view
     assert set(hot["goods.nf"]) == {HOT_NF}
     assert HOT_GUID in hot["goods.guid"] and HOT_PRODUCT in hot["goods.product"]
     assert hot["goods.nf"][HOT_NF] == pytest.approx(17, abs=3)
@@ -74,8 +79,9 @@ def test_repeated_rows_count(skewed):
     """A few goods lines become many by the service lines of their invoice."""
     one = skewed["tnota_fiscal_item"].where(F.col("numero_nf") == HOT_NF).limit(1)
     services = skewed["tnota_fiscal_servico"]
-    frames = {**skewed.frames, "tnota_fiscal_item": one.withColumn("cod_empresa", F.lit(1))}
-    hot = Inputs(InvoiceTables(frames), Rules(rows_per_task=20)).hot_keys_of_view()
+    one = one.withColumn("cod_empresa", F.lit(1))
+    few = InvoiceTables(lambda name: one if name == "tnota_fiscal_item" else skewed[name])
+    hot = Inputs(few, Rules(rows_per_task=20)).hot_keys_of_view
     assert services.where(f"numero_nf = {HOT_NF}").count() > 40
     assert hot["goods.nf"] == {} and HOT_NF in hot["services.nf"]
     assert len(hot["goods.guid"]) + len(hot["goods.product"]) >= 1

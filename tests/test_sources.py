@@ -27,16 +27,20 @@ def test_flags_and_codes_of_other_types(spark, tables):
         {"nfse": F.col("nfse") == 1, "cancelada": F.col("cancelada") == 1,
          "cfop": F.col("cfop").cast("int")}
     ).withColumn("extra", F.lit(0))
-    frames = {**tables.frames, "tnota_fiscal": other}
-    loaded = InvoiceTables.load(lambda name: frames[name])
+    loaded = InvoiceTables(lambda name: other)
     assert loaded["tnota_fiscal"].schema.names == header.schema.names
     assert sorted(map(str, loaded["tnota_fiscal"].collect())) == sorted(map(str, header.collect()))
 
 
 def test_missing_column_fails(spark, tables):
-    frames = {**tables.frames, "tos": tables["tos"].drop("n_os")}
+    loaded = InvoiceTables(lambda name: tables[name].drop("n_os"))
     with pytest.raises(Exception, match="n_os"):
-        InvoiceTables.load(lambda name: frames[name])
+        loaded["tos"]
+
+
+def test_unknown_table_fails(tables):
+    with pytest.raises(KeyError):
+        tables["other"]
 
 
 def test_table_options():

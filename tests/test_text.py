@@ -81,7 +81,8 @@ ADDRESSES = "a@x; b@y"
 
 
 def message(tables, **options):
-    df = M.report_message(tables, D(2026, 5, 11), D(2026, 5, 1), ADDRESSES, **options)
+    inputs = P.report_inputs(tables, since=D(2026, 5, 1))
+    df = M.report_message(inputs, D(2026, 5, 11), ADDRESSES, **options)
     return sorted(df.collect(), key=lambda row: (row["to"], row["part"]))
 
 
@@ -105,7 +106,7 @@ def test_message_in_parts_holds_every_row_once(tables):
 
 
 def test_message_without_rows(tables):
-    df = M.report_message(tables, D(2026, 7, 2), D(2026, 7, 1), "a@x")
+    df = M.report_message(P.report_inputs(tables, since=D(2026, 7, 1)), D(2026, 7, 2), "a@x")
     row = df.first()
     assert df.count() == 1 and "<b>R$0.00</b>" in row["html_body"] and "<td" not in row["html_body"]
 
@@ -115,12 +116,13 @@ def test_literal_cleanup(tables):
 
 
 def test_sinks(spark, tables, tmp_path):
-    formatted = P.monthly_detail(tables, D(2026, 5, 1))
+    inputs = P.report_inputs(tables, since=D(2026, 5, 1))
+    formatted = P.monthly_detail(inputs)
     sinks.write_html_rows(M.html_rows(formatted), str(tmp_path / "rows"))
     files = sorted((tmp_path / "rows").glob("part-*"))
     lines = [line for file in files for line in file.read_text().splitlines()]
     assert [line.split("</th>")[0] for line in lines] == [f"<tr><th>{i}" for i in range(17)]
-    sinks.write_outbox(M.report_message(tables, D(2026, 5, 11), D(2026, 5, 1), ADDRESSES), str(tmp_path / "out"))
+    sinks.write_outbox(M.report_message(inputs, D(2026, 5, 11), ADDRESSES), str(tmp_path / "out"))
     assert {r["to"] for r in spark.read.json(str(tmp_path / "out")).collect()} == {"a@x", "b@y"}
 
 
