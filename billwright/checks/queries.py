@@ -18,7 +18,6 @@ from billwright.plans import message as M
 from billwright.plans import report as P
 from billwright.plans.inputs import Inputs
 from billwright.plans.view import ViewSteps, invoice_view
-from billwright.rules import Rules
 from billwright.schemas import BASE_TABLES, REPORT_COLUMNS
 from billwright.sources.star import star_tables
 from billwright.sources.tables import InvoiceTables
@@ -79,7 +78,7 @@ def _with_notes(tables: InvoiceTables) -> DataFrame:
     inputs = Inputs(tables)
     return (
         Spread.over(inputs.headers(), "numero", inputs.hot_keys("headers.nf")["headers.nf"])
-        .left_join(lookups.return_notes(tables, inputs.rules), "returned_nf")
+        .left_join(lookups.return_notes(inputs.references()), "returned_nf")
         .result()
     )
 
@@ -126,7 +125,7 @@ def p8_service_order(tables: InvoiceTables) -> DataFrame:
 
 @_on_tables
 def p9_return_label(tables: InvoiceTables) -> DataFrame:
-    return lookups.return_notes(tables, Rules()).select(
+    return lookups.return_notes(Inputs(tables).references()).select(
         "returned_nf", L.return_label(F.col("return_number")).alias("label")
     )
 
@@ -175,7 +174,7 @@ def f3_conjunction(tables: InvoiceTables) -> DataFrame:
 
 @_on_tables
 def f4_not_like(tables: InvoiceTables) -> DataFrame:
-    return lookups.kept_orders(tables, Rules()).select("n_os", "guid_orcamento")
+    return Inputs(tables).kept_orders().select("n_os", "guid_orcamento")
 
 
 @_on_tables
@@ -270,7 +269,7 @@ def j8_os_by_product(tables: InvoiceTables) -> DataFrame:
     hot = inputs.hot_keys("goods.product")["goods.product"]
     return (
         Spread.over(inputs.goods().select("numero_nf", "codigo"), "codigo", hot, nullable=True)
-        .left_join(lookups.orders_by_product(tables, inputs.rules), "product_code")
+        .left_join(lookups.product_orders(inputs.orders_by_product()), "product_code")
         .result()
         .select("numero_nf", "codigo", "product_order")
     )
@@ -298,12 +297,12 @@ def _monthly_totals(tables: InvoiceTables) -> DataFrame:
 
 @_on_tables
 def a2_distinct_returned(tables: InvoiceTables) -> DataFrame:
-    return lookups.returned_invoices(tables, Rules())
+    return lookups.returned_invoices(Inputs(tables).references())
 
 
 @_on_tables
 def a3_top1_per_key(tables: InvoiceTables) -> DataFrame:
-    rules = Rules()
+    inputs = Inputs(tables)
 
     def named(df: DataFrame, name: str) -> DataFrame:
         key, value = df.columns
@@ -313,9 +312,9 @@ def a3_top1_per_key(tables: InvoiceTables) -> DataFrame:
         )
 
     return (
-        named(lookups.return_notes(tables, rules), "return_note")
-        .unionByName(named(lookups.orders_by_product(tables, rules), "product_order"))
-        .unionByName(named(lookups.billing_orders(tables, rules), "billing_order"))
+        named(lookups.return_notes(inputs.references()), "return_note")
+        .unionByName(named(lookups.product_orders(inputs.orders_by_product()), "product_order"))
+        .unionByName(named(lookups.billing_orders(inputs.billing_orders()), "billing_order"))
     )
 
 

@@ -49,6 +49,11 @@ def month_of(day: Column) -> Column:
     return F.trunc(day, "MM")
 
 
+def _one_row(spark: SparkSession) -> DataFrame:
+    """A row to start from, in one partition: what grows from it is a calendar at most."""
+    return spark.range(0, 1, 1, numPartitions=1)
+
+
 def day_spine(dates: DataFrame, column: str, name: str = "as_of") -> DataFrame:
     """Every calendar day from the first to the last date of ``column``.
 
@@ -56,7 +61,7 @@ def day_spine(dates: DataFrame, column: str, name: str = "as_of") -> DataFrame:
     """
     span = dates.agg(F.min(column).alias("first"), F.max(column).alias("last")).first()
     days = F.sequence(F.lit(span["first"]).cast("date"), F.lit(span["last"]).cast("date"))
-    return dates.sparkSession.range(1).select(F.explode(days).alias(name))
+    return _one_row(dates.sparkSession).select(F.explode(days).alias(name))
 
 
 def easter_sundays(years: DataFrame) -> DataFrame:
@@ -146,6 +151,6 @@ def window_start_on(
     mode: str = COMPAT,
 ) -> datetime.date:
     """Start of the window of one day's report, as a value to filter with."""
-    day = spark.range(1).select(F.lit(as_of).alias("as_of"))
+    day = _one_row(spark).select(F.lit(as_of).alias("as_of"))
     table = holidays_around(day) if holiday_table is None else holiday_table
     return window_starts(day, table, mode).first()["window_start"]

@@ -9,45 +9,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billwright.functions.lines import is_kept_order
-from billwright.rules import Rules
-from billwright.sources.tables import InvoiceTables
 
-
-def first_per_key(df: DataFrame, key: str, value: str, key_name: str, value_name: str) -> DataFrame:
+def first_per_key(rows: DataFrame, key: str, value: str, key_name: str, value_name: str) -> DataFrame:
     """One row per key that is not null, with the smallest value (null if it has none)."""
     return (
-        df.where(F.col(key).isNotNull())
+        rows.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias(key_name))
         .agg(F.min(value).alias(value_name))
     )
 
 
-def return_notes(tables: InvoiceTables, rules: Rules) -> DataFrame:
+def return_notes(references: DataFrame) -> DataFrame:
     """Returned invoice -> number of the return note, possibly null."""
-    references = tables.of_company("tnota_fiscal_nfref", rules.company)
     return first_per_key(references, "nfref_numero_nf", "numero_nf", "returned_nf", "return_number")
 
 
-def returned_invoices(tables: InvoiceTables, rules: Rules) -> DataFrame:
-    references = tables.of_company("tnota_fiscal_nfref", rules.company)
+def returned_invoices(references: DataFrame) -> DataFrame:
     return references.select("nfref_numero_nf").distinct()
 
 
-def kept_orders(tables: InvoiceTables, rules: Rules) -> DataFrame:
-    """Service orders of the company without the excluded prefix."""
-    orders = tables.of_company("tos", rules.company)
-    return orders.where(is_kept_order(F.col("n_os"), rules.case_sensitive))
+def billing_orders(orders: DataFrame) -> DataFrame:
+    """Invoice -> active billing order it came from."""
+    return first_per_key(orders, "numero_nf", "codigo", "billed_nf", "of")
 
 
-def orders_by_product(tables: InvoiceTables, rules: Rules) -> DataFrame:
+def product_orders(orders: DataFrame) -> DataFrame:
     """Product code -> service order, for lines that have no order of their own."""
-    return first_per_key(
-        kept_orders(tables, rules), "cod_pecas", "n_os", "product_code", "product_order"
-    )
-
-
-def billing_orders(tables: InvoiceTables, rules: Rules) -> DataFrame:
-    """Invoice -> active billing order it came from."""
-    orders = tables.of_company("tordem_fat", rules.company).where(F.col("status") == 1)
-    return first_per_key(orders, "numero_nf", "codigo", "billed_nf", "of")
+    return first_per_key(orders, "cod_pecas", "n_os", "product_code", "product_order")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from billwright.operators.storage import use_shared_folder
+
 # A group of more equal rows than this is unfolded by several tasks.
 _CHUNK = 1 << 16
 
@@ -14,19 +14,6 @@ _CHUNK = 1 << 16
 _ROW_BITS = 33
 
 
-def use_shared_checkpoints(spark: SparkSession) -> None:
-    """Make sure checkpoints have a folder: the session's, or in local mode one of our own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
-    context.setCheckpointDir(folder)
-
-
 def _unfolded(folded: DataFrame) -> DataFrame:
     """One row per copy, numbered; the copies of a large group are made by many tasks."""
     few = folded.where(F.col("_copies") <= _CHUNK).withColumn(
@@ -49,7 +36,7 @@ def with_position(df: DataFrame, order: list[Column], name: str = "idx") -> Data
     is the rows in the partitions before its own plus its place in its own.
     """
     columns = df.columns
-    use_shared_checkpoints(df.sparkSession)
+    use_shared_folder(df.sparkSession)
     folded = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
     fixed = (
         _unfolded(folded)

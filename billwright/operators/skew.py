@@ -166,13 +166,27 @@ class Spread:
             spread = cls(dealt, key, spread.null_cell, ((name, hot),))
         return spread
 
-    def left_join(self, right: DataFrame, right_key: str, hot: Cells | None = None) -> Spread:
+    def left_join(
+        self,
+        right: DataFrame,
+        right_key: str,
+        hot: Cells | None = None,
+        per_key: Column | None = None,
+    ) -> Spread:
         """Left outer join; ``hot`` are the hot keys of ``right`` exactly as given here.
 
         The other column names of the two sides must differ. ``right_key`` stays
-        in the result, so that its null tells rows without a match.
+        in the result, so that its null tells rows without a match. With the
+        aggregate ``per_key`` the right side is grouped by its key first, in the
+        partitioning that the join needs.
         """
         left, on = self.df, F.col(self.key) == F.col(right_key)
+        null_cell = f"{self.null_cell}_right"
+        if self.null_cell:
+            right = right.withColumn(null_cell, F.xxhash64(right_key))
+        if per_key is not None:
+            keys = [right_key, null_cell] if self.null_cell else [right_key]
+            right = right.where(F.col(right_key).isNotNull()).groupBy(*keys).agg(per_key)
         cells, added = self.cells, []
         if hot:
             name = f"_{right_key}_cell"
@@ -187,9 +201,8 @@ class Spread:
             on &= F.col(name) == F.col(f"{name}_right")
             added.append(f"{name}_right")
         if self.null_cell:
-            right = right.withColumn(f"{self.null_cell}_right", F.xxhash64(right_key))
-            on &= F.col(self.null_cell) == F.col(f"{self.null_cell}_right")
-            added.append(f"{self.null_cell}_right")
+            on &= F.col(self.null_cell) == F.col(null_cell)
+            added.append(null_cell)
         joined = left.join(right, on, "left")
         if hot:
             # A hot key of the right side has a match in some cell; the cells

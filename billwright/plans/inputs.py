@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billwright.functions import lines as L
-from billwright.operators import lookups
 from billwright.operators.skew import Cells, Side, fan_out, find_hot_keys, merged
+from billwright.operators.storage import stored
 from billwright.rules import Rules
 from billwright.sources.tables import InvoiceTables
 
-# Invoice numbers are broadcast up to this many: some 8 MB of them.
-MOST_BROADCAST_INVOICES = 1_000_000
+# Rows whose keys are broadcast, at most: some 16 MB of numbers, 100 MB of guids.
+MOST_BROADCAST_KEYS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -24,9 +24,11 @@ class Inputs:
 
     ``header_filter`` is a condition on the columns of the invoice header.
     ``narrow`` says that it leaves few invoices, for instance those of a month.
-    They are then counted, and if their numbers are few enough to broadcast, goods
-    and service lines of other invoices are dropped while they are read, before
-    any shuffle. If not, the lines meet the headers in the ordinary join.
+    They are then counted, and if their numbers are few enough to broadcast, rows
+    of other invoices are dropped while the tables are read, before any shuffle.
+    The goods lines that remain are stored, and their guids and products cut the
+    quote lines and service orders in the same way. Where the keys are too many
+    to broadcast, the rows meet in the ordinary joins; the result is the same.
     """
 
     tables: InvoiceTables
@@ -34,56 +36,83 @@ class Inputs:
     header_filter: Column | None = None
     narrow: bool = False
 
+    def _of_company(self, name: str) -> DataFrame:
+        return self.tables.of_company(name, self.rules.company)
+
     def headers(self) -> DataFrame:
         """Invoices of the company to customers, with terms of payment."""
-        df = self.tables.of_company("tnota_fiscal", self.rules.company).where(
+        df = self._of_company("tnota_fiscal").where(
             L.has_text(F.col("condicao_pagamento")) & (F.col("cli_for") == 0)
         )
         return df if self.header_filter is None else df.where(self.header_filter)
 
     @cached_property
-    def _few_invoices(self) -> DataFrame | None:
-        if not self.narrow:
-            return None
-        numbers = self.headers().select(F.col("numero").alias("wanted_nf"))
-        few = numbers.limit(MOST_BROADCAST_INVOICES + 1).count() <= MOST_BROADCAST_INVOICES
-        return F.broadcast(numbers) if few else None
-
-    def _of_invoices(self, lines: DataFrame) -> DataFrame:
-        if self._few_invoices is None:
-            return lines
-        wanted = F.col("numero_nf") == F.col("wanted_nf")
-        return lines.join(self._few_invoices, wanted, "left_semi")
+    def _header_rows(self) -> int | None:
+        """Number of headers, counted in a narrow report only."""
+        return self.headers().count() if self.narrow else None
+
+    @cached_property
+    def _numbers(self) -> DataFrame | None:
+        return _if_few(self.headers(), "numero", self._header_rows)
+
+    @cached_property
+    def _goods(self) -> DataFrame:
+        lines = self._of_company("tnota_fiscal_item")
+        return lines if self._numbers is None else stored(_cut(lines, "numero_nf", self._numbers))
+
+    @cached_property
+    def _goods_rows(self) -> int | None:
+        return None if self._numbers is None else self._goods.count()
 
     def goods(self) -> DataFrame:
-        return self._of_invoices(self.tables.of_company("tnota_fiscal_item", self.rules.company))
+        return self._goods
+
+    def _of_goods(self, key: str) -> DataFrame | None:
+        return _if_few(self._goods, key, self._goods_rows)
 
     def services(self) -> DataFrame:
-        return self._of_invoices(
-            self.tables.of_company("tnota_fiscal_servico", self.rules.company)
-        )
+        return _cut(self._of_company("tnota_fiscal_servico"), "numero_nf", self._numbers)
+
+    def references(self) -> DataFrame:
+        """Which invoice a return note refers to."""
+        return _cut(self._of_company("tnota_fiscal_nfref"), "nfref_numero_nf", self._numbers)
+
+    def billing_orders(self) -> DataFrame:
+        active = self._of_company("tordem_fat").where(F.col("status") == 1)
+        return _cut(active, "numero_nf", self._numbers)
 
     def quote_lines(self) -> DataFrame:
-        return self.tables.of_company("torcamento_itens", self.rules.company)
+        return _cut(self._of_company("torcamento_itens"), "guid_linha", self._of_goods("guid_orcamento"))
 
     def won_quotes(self) -> DataFrame:
-        return self.tables.of_company("torcamento", self.rules.company).where(
-            L.is_won(F.col("estagio_orc"), F.col("status"))
-        )
+        return self._of_company("torcamento").where(L.is_won(F.col("estagio_orc"), F.col("status")))
+
+    def kept_orders(self) -> DataFrame:
+        """Service orders of the company without the excluded prefix."""
+        kept = L.is_kept_order(F.col("n_os"), self.rules.case_sensitive)
+        return self._of_company("tos").where(kept)
+
+    def orders_by_guid(self) -> DataFrame:
+        return _cut(self.kept_orders(), "guid_orcamento", self._of_goods("guid_orcamento"))
 
-    def orders(self) -> DataFrame:
-        return lookups.kept_orders(self.tables, self.rules)
+    def orders_by_product(self) -> DataFrame:
+        return _cut(self.kept_orders(), "cod_pecas", self._of_goods("codigo"))
 
     def hot_keys(self, *names: str) -> dict[str, Cells]:
         """The hot values of the named join keys, counted on the very rows that are joined."""
         if "hot_keys_of_view" in self.__dict__:
             return self.hot_keys_of_view
+        known = {"headers": self._header_rows, "goods": self._goods_rows}
+        hot: dict[str, Cells] = {}
         sides = []
         for rows, keys in _JOIN_KEYS.items():
             asked = {name: key for name, key in keys.items() if name in names}
-            if asked:
+            count = known.get(rows)
+            if count is not None and count <= self.rules.rows_per_task:
+                hot |= {name: {} for name in asked}
+            elif asked:
                 sides.append(Side(getattr(self, rows)(), asked))
-        return find_hot_keys(sides, self.rules.rows_per_task)
+        return hot | (find_hot_keys(sides, self.rules.rows_per_task) if sides else {})
 
     @cached_property
     def hot_keys_of_view(self) -> dict[str, Cells]:
@@ -123,6 +152,20 @@ class Inputs:
         return hot
 
 
+def _if_few(rows: DataFrame, key: str, count: int | None) -> DataFrame | None:
+    """The keys of counted rows for a broadcast; nothing if too many or not counted."""
+    if count is None or count > MOST_BROADCAST_KEYS:
+        return None
+    return F.broadcast(rows.select(F.col(key).alias("wanted")))
+
+
+def _cut(rows: DataFrame, key: str, wanted: DataFrame | None) -> DataFrame:
+    """The rows whose key is wanted; all of them if that is not known."""
+    if wanted is None:
+        return rows
+    return rows.join(wanted, F.col(key) == F.col("wanted"), "left_semi")
+
+
 # Join keys that are checked for hot values, by the rows they belong to.
 _JOIN_KEYS: dict[str, dict[str, str]] = {
     "headers": {"headers.nf": "numero"},
@@ -132,5 +175,5 @@ _JOIN_KEYS: dict[str, dict[str, str]] = {
     "services": {"services.nf": "numero_nf"},
     "quote_lines": {"quote_lines.guid": "guid_linha", "quote_lines.quote": "cod_orcamento"},
     "won_quotes": {"quotes.quote": "codigo"},
-    "orders": {"orders.guid": "guid_orcamento"},
+    "orders_by_guid": {"orders.guid": "guid_orcamento"},
 }

@@ -120,7 +120,7 @@ def _quote_rows(inputs: Inputs, hot: dict) -> DataFrame:
 def _order_rows(inputs: Inputs) -> DataFrame:
     """Per guid with more than one: its service orders."""
     return (
-        inputs.orders()
+        inputs.orders_by_guid()
         .groupBy(F.col("guid_orcamento").alias("order_guid"))
         .agg(F.count("*").alias("order_rows"))
         .where(F.col("order_rows") > 1)
@@ -152,7 +152,7 @@ def daily_totals(inputs: Inputs) -> DataFrame:
     )
     invoices = (
         Spread.over(headers, "nf", hot["headers.nf"])
-        .left_join(lookups.returned_invoices(inputs.tables, inputs.rules), "nfref_numero_nf")
+        .left_join(lookups.returned_invoices(inputs.references()), "nfref_numero_nf")
         .left_join(_goods_per_invoice(inputs, hot), "goods_nf")
         .left_join(_services_per_invoice(inputs), "service_nf")
         .result()

@@ -73,7 +73,7 @@ class ViewSteps:
         )
 
     def orders(self) -> DataFrame:
-        df = self.inputs.orders().select(
+        df = self.inputs.orders_by_guid().select(
             F.col("guid_orcamento").alias("order_guid"), "n_os"
         )
         return with_row_ids(df, "order_row", self.hot["orders.guid"])
@@ -82,8 +82,8 @@ class ViewSteps:
         """Headers with their return note and billing order."""
         return (
             Spread.over(self.headers(), "nf", self.hot["headers.nf"])
-            .left_join(lookups.return_notes(self.inputs.tables, self.inputs.rules), "returned_nf")
-            .left_join(lookups.billing_orders(self.inputs.tables, self.inputs.rules), "billed_nf")
+            .left_join(lookups.return_notes(self.inputs.references()), "returned_nf")
+            .left_join(lookups.billing_orders(self.inputs.billing_orders()), "billed_nf")
         )
 
     def with_goods(self) -> Spread:
@@ -110,9 +110,12 @@ class ViewSteps:
         lines = self.with_orders().result().withColumn(
             "missing_order_product", F.when(F.col("n_os").isNull(), F.col("codigo"))
         )
+        orders = self.inputs.orders_by_product().select(F.col("cod_pecas").alias("product_code"), "n_os")
         return (
             Spread.over(lines, "missing_order_product", self.hot["goods.product"], nullable=True)
-            .left_join(lookups.orders_by_product(self.inputs.tables, self.inputs.rules), "product_code")
+            .left_join(
+                orders, "product_code", per_key=F.min("n_os").alias("product_order")
+            )
             .result()
         )
 

@@ -71,7 +71,7 @@ def test_windowed_report_equals_filtered_view(star, monkeypatch):
         .select(*P.REPORT_COLUMNS)
     )
     assert bag(P.report_rows(P.report_inputs(star, since=since))) == expected
-    monkeypatch.setattr(I, "MOST_BROADCAST_INVOICES", 3)
+    monkeypatch.setattr(I, "MOST_BROADCAST_KEYS", 3)
     assert bag(P.report_rows(P.report_inputs(star, since=since))) == expected
 
 
