@@ -14,9 +14,3 @@ def write_html_rows(html: DataFrame, folder: str) -> None:
 def write_outbox(messages: DataFrame, folder: str) -> None:
     """One JSON record per message, for whatever sends them."""
     messages.write.mode("overwrite").json(folder)
-
-
-def write_view(view: DataFrame, folder: str) -> None:
-    """The view as Parquet by month of issue, so that a report reads its months only."""
-    by_month = view.withColumn("month", F.trunc("data_emissao", "MM"))
-    by_month.write.mode("overwrite").partitionBy("month").parquet(folder)

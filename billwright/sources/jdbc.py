@@ -41,7 +41,8 @@ class JdbcDatabase:
         """Reader options for a table name or a ``select`` statement.
 
         A statement is passed as a derived table, because Spark's ``query``
-        option cannot be combined with range reads.
+        option cannot be combined with range reads; it is one ``select`` without
+        ``order by`` or a leading ``with``.
         """
         is_query = source.lstrip().lower().startswith("select")
         options = {

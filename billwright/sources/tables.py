@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billwright.schemas import BASE_TABLES
+from billwright.sources.jdbc import JdbcDatabase, Split
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -34,6 +35,24 @@ class InvoiceTables:
         """``folder/<table>``, one Parquet dataset per table."""
         return cls(lambda name: spark.read.parquet(f"{folder}/{name}"))
 
+    @classmethod
+    def from_database(
+        cls, spark: SparkSession, database: JdbcDatabase, splits: Mapping[str, Split] | None = None
+    ) -> InvoiceTables:
+        """Tables of a database; ``splits`` says by table how to read it in parallel."""
+        splits = splits or {}
+        return cls(lambda name: database.read(spark, name, splits.get(name)))
+
+    def land(self, spark: SparkSession, folder: str) -> InvoiceTables:
+        """Copy all tables to Parquet and go on with the copies.
+
+        Worth it for a database: each job, and each repeated task, then reads the
+        same rows again, and leaves the database alone.
+        """
+        for name in BASE_TABLES:
+            self[name].write.parquet(f"{folder}/{name}")
+        return InvoiceTables.from_parquet(spark, folder)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             self._frames[name] = conform(self._read(name), BASE_TABLES[name])

@@ -7,20 +7,33 @@ from billwright import InvoiceTables
 from billwright.plans.view import invoice_view
 from billwright.schemas import BASE_TABLES
 from billwright.sources.jdbc import JdbcDatabase, Split
+from conftest import bag
 
 DB = JdbcDatabase("host:1433", "invoices", "reader", "secret")
 
 
-def test_parquet_round_trip(spark, tables, tmp_path):
-    for name in BASE_TABLES:
-        tables[name].write.parquet(str(tmp_path / name))
-    back = InvoiceTables.from_parquet(spark, str(tmp_path))
-    assert {name: back[name].schema.names for name in BASE_TABLES} == {
-        name: schema.names for name, schema in BASE_TABLES.items()
-    }
+def test_landed_tables(spark, tables, tmp_path):
+    back = tables.land(spark, str(tmp_path))
+    for name, schema in BASE_TABLES.items():
+        assert back[name].dtypes == [(f.name, f.dataType.simpleString()) for f in schema]
+    assert bag(back["tos"]) == bag(tables["tos"])
     assert invoice_view(back).count() == 20
 
 
+def test_database_tables_are_read_as_asked(spark, tables, monkeypatch):
+    asked = []
+
+    def read(self, session, source, split=None):
+        asked.append((source, split))
+        return tables[source]
+
+    monkeypatch.setattr(JdbcDatabase, "read", read)
+    split = Split("numero", 1, 1000, 16)
+    loaded = InvoiceTables.from_database(spark, DB, {"tnota_fiscal": split})
+    assert loaded["tnota_fiscal"].count() == 20 and loaded["tos"].count() == 7
+    assert asked == [("tnota_fiscal", split), ("tos", None)]
+
+
 def test_flags_and_codes_of_other_types(spark, tables):
     header = tables["tnota_fiscal"]
     other = header.withColumns(

@@ -124,12 +124,3 @@ def test_sinks(spark, tables, tmp_path):
     assert [line.split("</th>")[0] for line in lines] == [f"<tr><th>{i}" for i in range(17)]
     sinks.write_outbox(M.report_message(inputs, D(2026, 5, 11), ADDRESSES), str(tmp_path / "out"))
     assert {r["to"] for r in spark.read.json(str(tmp_path / "out")).collect()} == {"a@x", "b@y"}
-
-
-def test_view_sink(spark, tables, tmp_path):
-    from billwright.plans.view import invoice_view
-
-    sinks.write_view(invoice_view(tables), str(tmp_path / "view"))
-    back = spark.read.parquet(str(tmp_path / "view"))
-    assert back.count() == 20
-    assert back.where("month = '2026-04-01'").count() == 1
