@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from billwright.functions import lines as L
@@ -24,11 +24,13 @@ class Inputs:
 
     ``header_filter`` is a condition on the columns of the invoice header.
     ``narrow`` says that it leaves few invoices, for instance those of a month.
-    They are then counted, and if their numbers are few enough to broadcast, rows
-    of other invoices are dropped while the tables are read, before any shuffle.
-    The goods lines that remain are stored, and their guids and products cut the
-    quote lines and service orders in the same way. Where the keys are too many
-    to broadcast, the rows meet in the ordinary joins; the result is the same.
+    They are then counted. Rows outside the range of their numbers are skipped by
+    the scans; with numbers given out over time, that is most of the history. If
+    the numbers are few enough to broadcast, the rows of all other invoices are
+    dropped while the tables are read, before any shuffle. The goods lines that
+    remain are stored, and their guids and products cut the quote lines and
+    service orders in the same way. Where the keys are too many to broadcast, the
+    rows meet in the ordinary joins; the result is the same.
     """
 
     tables: InvoiceTables
@@ -47,18 +49,33 @@ class Inputs:
         return df if self.header_filter is None else df.where(self.header_filter)
 
     @cached_property
+    def _span(self) -> Row | None:
+        """In a narrow report: number of headers, lowest and highest invoice number."""
+        if not self.narrow:
+            return None
+        number = F.col("numero")
+        return self.headers().agg(
+            F.count("*").alias("rows"), F.min(number).alias("low"), F.max(number).alias("high")
+        ).first()
+
+    @property
     def _header_rows(self) -> int | None:
-        """Number of headers, counted in a narrow report only."""
-        return self.headers().count() if self.narrow else None
+        return self._span and self._span["rows"]
 
     @cached_property
     def _numbers(self) -> DataFrame | None:
         return _if_few(self.headers(), "numero", self._header_rows)
 
+    def _of_invoices(self, rows: DataFrame, key: str) -> DataFrame:
+        """Rows whose invoice number may be wanted, as far as that is known."""
+        if self._header_rows:
+            rows = rows.where(F.col(key).between(self._span["low"], self._span["high"]))
+        return _cut(rows, key, self._numbers)
+
     @cached_property
     def _goods(self) -> DataFrame:
-        lines = self._of_company("tnota_fiscal_item")
-        return lines if self._numbers is None else stored(_cut(lines, "numero_nf", self._numbers))
+        lines = self._of_invoices(self._of_company("tnota_fiscal_item"), "numero_nf")
+        return lines if self._numbers is None else stored(lines)
 
     @cached_property
     def _goods_rows(self) -> int | None:
@@ -71,15 +88,15 @@ class Inputs:
         return _if_few(self._goods, key, self._goods_rows)
 
     def services(self) -> DataFrame:
-        return _cut(self._of_company("tnota_fiscal_servico"), "numero_nf", self._numbers)
+        return self._of_invoices(self._of_company("tnota_fiscal_servico"), "numero_nf")
 
     def references(self) -> DataFrame:
         """Which invoice a return note refers to."""
-        return _cut(self._of_company("tnota_fiscal_nfref"), "nfref_numero_nf", self._numbers)
+        return self._of_invoices(self._of_company("tnota_fiscal_nfref"), "nfref_numero_nf")
 
     def billing_orders(self) -> DataFrame:
         active = self._of_company("tordem_fat").where(F.col("status") == 1)
-        return _cut(active, "numero_nf", self._numbers)
+        return self._of_invoices(active, "numero_nf")
 
     def quote_lines(self) -> DataFrame:
         return _cut(self._of_company("torcamento_itens"), "guid_linha", self._of_goods("guid_orcamento"))

@@ -38,14 +38,41 @@ def scans(text, column):
     return [line for line in text.splitlines() if "FileScan" in line and column in line]
 
 
-def test_report_conditions_reach_the_header_scan(stored):
+@pytest.fixture
+def whole_filters(spark):
+    """Plans that spell out all filters of a scan."""
+    name = "spark.sql.maxMetadataStringLength"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2000")
+    yield
+    spark.conf.set(name, before)
+
+
+def pushed(line):
+    return line[line.index("PushedFilters"):line.index("ReadSchema")]
+
+
+def test_report_conditions_reach_the_header_scan(stored, whole_filters):
     text = plan(P.report_rows(P.report_inputs(stored, since=datetime.date(2026, 5, 1))))
     header = scans(text, "dt_emissao")
     assert header
     for line in header:
-        pushed = line[line.index("PushedFilters"):]
-        assert "GreaterThanOrEqual(dt_emissao" in pushed or "..." in pushed
-        assert "cod_empresa" in pushed
+        for condition in (
+            "GreaterThanOrEqual(dt_emissao", "EqualTo(cod_empresa,1)", "EqualTo(saida,X)",
+            "EqualTo(cli_for,0)", "In(cfop",
+        ):
+            assert condition in pushed(line)
+
+
+def test_month_report_skips_lines_outside_its_numbers(stored, whole_filters):
+    inputs = P.report_inputs(stored, since=datetime.date(2026, 5, 7))
+    for rows, key in (
+        (inputs.services(), "numero_nf"), (inputs.references(), "nfref_numero_nf"),
+        (inputs.billing_orders(), "numero_nf"),
+    ):
+        line = scans(plan(rows), key)[0]
+        assert f"GreaterThanOrEqual({key},12)" in pushed(line)
+        assert f"LessThanOrEqual({key},20)" in pushed(line)
 
 
 def test_scans_read_only_used_columns(stored):
