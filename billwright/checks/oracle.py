@@ -8,6 +8,7 @@ different formula.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from billwright.checks.queries import AS_OF, RECIPIENTS, ROWS_PER_PART, SINCE, SOURCE_QUERY
 from billwright.functions import text as X
@@ -157,11 +158,10 @@ _PARTS: dict[str, str] = {
     " where cod_empresa=1 and status=1 group by 1",
     "invoice_view": _VIEW,
     "report": _REPORT,
-    "day_totals": "select data_emissao as day, sum(case when status='Autorizada' then valor end)"
-    " as total from report group by 1",
+    "day_totals": "select data_emissao as day, sum(coalesce(valor, 0)) as total from report"
+    " where status='Autorizada' group by 1",
     "month_totals": "select cast(date_trunc('month', day) as date) as mes,"
-    " cast(sum(total) as decimal(38,4)) as total from day_totals where total is not null"
-    " group by 1",
+    " cast(sum(total) as decimal(38,4)) as total from day_totals group by 1",
     "days": "select cast(unnest(generate_series(min(dt_emissao), max(dt_emissao),"
     " interval 1 day)) as date) as as_of from tnota_fiscal",
     "months": "select distinct cast(date_trunc('month', as_of) as date) as month from days",
@@ -178,11 +178,11 @@ def _uses(sql: str, part: str) -> bool:
     return re.search(rf"\b{part}\b", sql) is not None
 
 
-def _query(sql: str) -> str:
-    """Put the parts a query needs, directly or not, in front of it."""
+def _query(sql: str, given: Iterable[str] = ()) -> str:
+    """Put the parts a query needs, directly or not, in front of it, but those given."""
     needed, text = [], sql
     for part, body in reversed(_PARTS.items()):
-        if _uses(text, part):
+        if part not in given and _uses(text, part):
             needed.append(f"{part} as ({body})")
             text += body
     return f"with {', '.join(reversed(needed))}\n{sql}" if needed else sql
@@ -342,3 +342,8 @@ _SQL: dict[str, str] = {
 }
 
 ORACLE_SQL: dict[str, str] = {name: _query(sql) for name, sql in _SQL.items()}
+
+
+def over_base_tables(name: str) -> str:
+    """A query for an engine that has the eight base tables themselves."""
+    return _query(_SQL[name], given=_BASE)

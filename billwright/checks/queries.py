@@ -285,12 +285,12 @@ def j9_billing_order(tables: InvoiceTables) -> DataFrame:
 
 @_on_tables
 def a1_month_total(tables: InvoiceTables) -> DataFrame:
-    return _monthly_totals(tables)
+    return monthly_totals(P.report_inputs(tables))
 
 
-def _monthly_totals(tables: InvoiceTables) -> DataFrame:
+def monthly_totals(inputs: Inputs) -> DataFrame:
     month = C.month_of(F.col("data_emissao")).alias("mes")
-    return P.daily_totals(P.report_inputs(tables)).groupBy(month).agg(
+    return P.daily_totals(inputs).groupBy(month).agg(
         F.sum("total").cast(P.TOTAL_VALUE).alias("total")
     )
 
@@ -347,7 +347,8 @@ def c2_date_text(tables: InvoiceTables) -> DataFrame:
 
 @_on_tables
 def c3_total_text(tables: InvoiceTables) -> DataFrame:
-    return _monthly_totals(tables).select("mes", X.total_text(F.col("total")).alias("total_texto"))
+    totals = monthly_totals(P.report_inputs(tables))
+    return totals.select("mes", X.total_text(F.col("total")).alias("total_texto"))
 
 
 @_on_tables
