@@ -13,7 +13,7 @@ from billwright.functions import text as X
 from billwright.operators import calendar as C
 from billwright.operators import lookups
 from billwright.operators.position import with_position
-from billwright.operators.skew import Spread
+from billwright.operators.skew import Spread, with_row_id
 from billwright.plans import message as M
 from billwright.plans import report as P
 from billwright.plans.inputs import Inputs
@@ -76,8 +76,9 @@ def p2_issue_date(tables: InvoiceTables) -> DataFrame:
 def _with_notes(tables: InvoiceTables) -> DataFrame:
     """Headers with their return note."""
     inputs = Inputs(tables)
+    hot = inputs.hot_keys("headers.nf")["headers.nf"]
     return (
-        Spread.over(inputs.headers(), "numero", inputs.hot_keys("headers.nf")["headers.nf"])
+        Spread.over(with_row_id(inputs.headers(), "row"), "numero", hot, ["row"])
         .left_join(lookups.return_notes(inputs.references()), "returned_nf")
         .result()
     )
@@ -228,8 +229,10 @@ def j2_services(tables: InvoiceTables) -> DataFrame:
 def j3_quote_lines(tables: InvoiceTables) -> DataFrame:
     steps = ViewSteps(Inputs(tables))
     return (
-        steps.over_guids(steps.goods())
-        .left_join(steps.quote_lines(), "guid_linha", steps.hot["quote_lines.guid"])
+        steps.goods_over_guids()
+        .left_join(
+            steps.quote_lines(), "guid_linha", steps.hot["quote_lines.guid"], ["quote_line_row"]
+        )
         .result()
         .select("goods_nf", "codigo", "guid_orcamento", "cod_orcamento")
     )
@@ -244,8 +247,7 @@ def j4_quotes(tables: InvoiceTables) -> DataFrame:
 def j5_service_orders(tables: InvoiceTables) -> DataFrame:
     steps = ViewSteps(Inputs(tables))
     return (
-        steps.over_guids(steps.goods())
-        .left_join(steps.orders(), "order_guid", steps.hot["orders.guid"])
+        steps.join_orders(steps.goods_over_guids())
         .result()
         .select("goods_nf", "codigo", "guid_orcamento", "n_os")
     )
@@ -267,8 +269,9 @@ def j7_return_note(tables: InvoiceTables) -> DataFrame:
 def j8_os_by_product(tables: InvoiceTables) -> DataFrame:
     inputs = Inputs(tables)
     hot = inputs.hot_keys("goods.product")["goods.product"]
+    goods = with_row_id(inputs.goods().select("numero_nf", "codigo"), "row")
     return (
-        Spread.over(inputs.goods().select("numero_nf", "codigo"), "codigo", hot, nullable=True)
+        Spread.over(goods, "codigo", hot, ["row"], nullable=True)
         .left_join(lookups.product_orders(inputs.orders_by_product()), "product_code")
         .result()
         .select("numero_nf", "codigo", "product_order")

@@ -8,7 +8,7 @@ them all to one task.
 
 Cells are computed from a row's content alone, so a task that runs again after a
 lost executor deals its rows out as before. Where a key is hot, its table gets a
-row id (``with_row_ids``), which tells identical copies apart.
+row id (``with_row_id``), which tells identical copies apart.
 """
 
 from __future__ import annotations
@@ -108,13 +108,13 @@ def fan_out(key: Column, hot: Cells, rows_per_task: int) -> Column:
     return F.when(key.isin(*hot), _cell_count(key, hot) * float(rows_per_task)).otherwise(1.0)
 
 
-def with_row_ids(df: DataFrame, name: str, *hot: Cells) -> DataFrame:
-    """Number the rows of a scan if any of its keys is hot.
+def with_row_id(df: DataFrame, name: str) -> DataFrame:
+    """Number the rows of a scan.
 
     To be applied to a table as read (filtered or not): there the number depends
     on the files alone.
     """
-    return df.withColumn(name, F.monotonically_increasing_id()) if any(hot) else df
+    return df.withColumn(name, F.monotonically_increasing_id())
 
 
 def _cell_count(key: Column, cells: Cells) -> Column:
@@ -123,9 +123,9 @@ def _cell_count(key: Column, cells: Cells) -> Column:
     return F.when(key.isin(*cells), count).otherwise(F.lit(1))
 
 
-def _dealt(key: Column, cells: Cells, columns: list[str]) -> Column:
+def _dealt(key: Column, cells: Cells, by: list[str]) -> Column:
     """The one cell a row goes to."""
-    dealt = F.pmod(F.xxhash64(*columns), _cell_count(key, cells)).cast("int")
+    dealt = F.pmod(F.xxhash64(*by), _cell_count(key, cells)).cast("int")
     return F.when(key.isin(*cells), dealt).otherwise(F.lit(0))
 
 
@@ -150,31 +150,36 @@ class Spread:
     cells: tuple[tuple[str, Cells], ...] = ()
 
     @classmethod
-    def over(cls, df: DataFrame, key: str, hot: Cells, nullable: bool = False) -> Spread:
-        """Deal out the rows of the hot keys and, if there may be any, of the null key."""
-        spread = cls(df, key)
-        if not (nullable or hot):
-            return spread
-        columns, column = df.columns, F.col(key)
+    def over(
+        cls, df: DataFrame, key: str, hot: Cells, by: list[str], nullable: bool = False
+    ) -> Spread:
+        """Deal out the rows of the hot keys and, if there may be any, of the null key.
+
+        ``by`` are the columns that decide where a row goes; for a hot key they
+        must tell its copies apart.
+        """
+        column, null_cell, cells = F.col(key), None, ()
         if nullable:
-            name = f"_{key}_null_cell"
-            row_or_key = F.when(column.isNull(), F.xxhash64(*columns)).otherwise(F.xxhash64(key))
-            spread = cls(spread.df.withColumn(name, row_or_key), key, name)
+            null_cell = f"_{key}_null_cell"
+            row_or_key = F.when(column.isNull(), F.xxhash64(*by)).otherwise(F.xxhash64(key))
+            df = df.withColumn(null_cell, row_or_key)
         if hot:
             name = f"_{key}_cell"
-            dealt = spread.df.withColumn(name, _dealt(column, hot, columns))
-            spread = cls(dealt, key, spread.null_cell, ((name, hot),))
-        return spread
+            df = df.withColumn(name, _dealt(column, hot, by))
+            cells = ((name, hot),)
+        return cls(df, key, null_cell, cells)
 
     def left_join(
         self,
         right: DataFrame,
         right_key: str,
         hot: Cells | None = None,
+        by: list[str] | None = None,
         per_key: Column | None = None,
     ) -> Spread:
         """Left outer join; ``hot`` are the hot keys of ``right`` exactly as given here.
 
+        ``by`` are the columns that tell the rows of a hot key of ``right`` apart.
         The other column names of the two sides must differ. ``right_key`` stays
         in the result, so that its null tells rows without a match. With the
         aggregate ``per_key`` the right side is grouped by its key first, in the
@@ -190,7 +195,7 @@ class Spread:
         cells, added = self.cells, []
         if hot:
             name = f"_{right_key}_cell"
-            dealt = _dealt(F.col(right_key), hot, right.columns)
+            dealt = _dealt(F.col(right_key), hot, by)
             left = left.withColumn(name, _repeated(F.col(self.key), hot))
             right = right.withColumn(f"{name}_right", dealt)
             on &= F.col(name) == F.col(f"{name}_right")

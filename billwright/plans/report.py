@@ -11,7 +11,7 @@ from billwright.functions import lines as L
 from billwright.functions import text as X
 from billwright.operators import calendar, lookups
 from billwright.operators.position import with_position
-from billwright.operators.skew import Spread, with_row_ids
+from billwright.operators.skew import Spread, with_row_id
 from billwright.plans import view as V
 from billwright.plans.inputs import Inputs
 from billwright.rules import Rules
@@ -82,9 +82,11 @@ def _goods_per_invoice(inputs: Inputs, hot: dict) -> DataFrame:
         F.col("numero_nf").alias("goods_nf"), "guid_orcamento",
         L.goods_value(F.col("vl_total"), F.col("vl_ipi")).alias("value"),
     )
-    lines = with_row_ids(lines, "goods_row", hot["goods.guid"])
+    by = ["goods_nf", "value"]
+    if hot["goods.guid"]:
+        lines, by = with_row_id(lines, "goods_row"), ["goods_row"]
     joined = (
-        Spread.over(lines, "guid_orcamento", hot["goods.guid"], nullable=True)
+        Spread.over(lines, "guid_orcamento", hot["goods.guid"], by, nullable=True)
         .left_join(_quote_rows(inputs, hot), "guid_linha")
         .left_join(_order_rows(inputs), "order_guid")
         .result()
@@ -108,7 +110,7 @@ def _quote_rows(inputs: Inputs, hot: dict) -> DataFrame:
         F.count("*").alias("line_rows")
     )
     return (
-        Spread.over(lines, "cod_orcamento", hot["quote_lines.quote"], nullable=True)
+        Spread.over(lines, "cod_orcamento", hot["quote_lines.quote"], ["guid_linha"], nullable=True)
         .left_join(won, "won_quote")
         .result()
         .groupBy("guid_linha")
@@ -146,12 +148,13 @@ def daily_totals(inputs: Inputs) -> DataFrame:
     headers = inputs.headers().where(
         L.may_be_authorised(F.col("cancelada"), F.col("nfse"), F.col("nfe_desc_status"))
     )
-    headers = with_row_ids(
-        headers.select(F.col("numero").alias("nf"), F.to_date("dt_emissao").alias("data_emissao")),
-        "header_row", hot["headers.nf"],
+    headers = headers.select(
+        F.col("numero").alias("nf"), F.to_date("dt_emissao").alias("data_emissao")
     )
+    if hot["headers.nf"]:
+        headers = with_row_id(headers, "header_row")
     invoices = (
-        Spread.over(headers, "nf", hot["headers.nf"])
+        Spread.over(headers, "nf", hot["headers.nf"], ["header_row"])
         .left_join(lookups.returned_invoices(inputs.references()), "nfref_numero_nf")
         .left_join(_goods_per_invoice(inputs, hot), "goods_nf")
         .left_join(_services_per_invoice(inputs), "service_nf")

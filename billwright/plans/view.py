@@ -7,13 +7,24 @@ from pyspark.sql import functions as F
 
 from billwright.functions import lines as L
 from billwright.operators import lookups
-from billwright.operators.skew import Spread, with_row_ids
+from billwright.operators.skew import Spread, with_row_id
 from billwright.plans.inputs import Inputs
 from billwright.rules import Rules
 from billwright.schemas import VIEW_HEADINGS
 from billwright.sources.tables import InvoiceTables
 
 
+# Row ids, each with the join keys for whose sake the table gets it if they are hot.
+_ROW_IDS = {
+    "header_row": ("headers.nf",),
+    "goods_row": ("goods.nf", "goods.guid", "goods.product"),
+    "service_row": ("services.nf",),
+    "quote_line_row": ("quote_lines.guid", "quote_lines.quote"),
+    "quote_row": ("quotes.quote",),
+    "order_row": ("orders.guid",),
+}
+
+
 class ViewSteps:
     """The joins of the view, one method per step, each building on the one before.
 
@@ -27,12 +38,23 @@ class ViewSteps:
         self.inputs = inputs
         self.hot = inputs.hot_keys_of_view
 
+    def _ids(self, *names: str) -> list[str]:
+        """Those of the row ids that are needed."""
+        return [name for name in names if any(self.hot[key] for key in _ROW_IDS[name])]
+
+    def _with_id(self, df: DataFrame, name: str) -> DataFrame:
+        return with_row_id(df, name) if self._ids(name) else df
+
+    def _line(self, *ids: str) -> list[str]:
+        """Columns that tell joined lines apart."""
+        return ["nf", "codigo", "goods_total", "service_total", *self._ids(*ids)]
+
     def headers(self) -> DataFrame:
         df = self.inputs.headers().select(
             F.col("numero").alias("nf"), "dt_emissao", "nfse", "cancelada", "nfe_desc_status",
             "cfop", "natureza_op", "entrada", "saida", "razao_social",
         )
-        return with_row_ids(df, "header_row", self.hot["headers.nf"])
+        return self._with_id(df, "header_row")
 
     def goods(self) -> DataFrame:
         df = self.inputs.goods().select(
@@ -41,34 +63,30 @@ class ViewSteps:
             F.col("vl_total").alias("goods_total"), F.col("vl_ipi").alias("goods_tax"),
             "guid_orcamento",
         )
-        hot = self.hot
-        return with_row_ids(
-            df, "goods_row", hot["goods.nf"], hot["goods.guid"], hot["goods.product"]
-        )
+        return self._with_id(df, "goods_row")
 
     def services(self) -> DataFrame:
         df = self.inputs.services().select(
             F.col("numero_nf").alias("service_nf"), F.col("qtde").alias("service_qty"),
             F.col("unidade").alias("service_unit"), F.col("vl_total").alias("service_total"),
         )
-        return with_row_ids(df, "service_row", self.hot["services.nf"])
+        return self._with_id(df, "service_row")
 
     def quote_lines(self) -> DataFrame:
         df = self.inputs.quote_lines().select("guid_linha", "cod_orcamento")
-        hot = self.hot
-        return with_row_ids(
-            df, "quote_line_row", hot["quote_lines.guid"], hot["quote_lines.quote"]
-        )
+        return self._with_id(df, "quote_line_row")
 
     def quotes(self) -> DataFrame:
         """Quote lines with the won quotes they belong to; a line without one stays."""
         quotes = self.inputs.won_quotes().select(F.col("codigo").alias("won_quote"))
-        quotes = with_row_ids(quotes, "quote_row", self.hot["quotes.quote"])
+        by = ["guid_linha", *self._ids("quote_line_row")]
+        hot = self.hot["quote_lines.quote"]
         return (
-            Spread.over(
-                self.quote_lines(), "cod_orcamento", self.hot["quote_lines.quote"], nullable=True
+            Spread.over(self.quote_lines(), "cod_orcamento", hot, by, nullable=True)
+            .left_join(
+                self._with_id(quotes, "quote_row"), "won_quote",
+                self.hot["quotes.quote"], self._ids("quote_row"),
             )
-            .left_join(quotes, "won_quote", self.hot["quotes.quote"])
             .result()
         )
 
@@ -76,46 +94,64 @@ class ViewSteps:
         df = self.inputs.orders_by_guid().select(
             F.col("guid_orcamento").alias("order_guid"), "n_os"
         )
-        return with_row_ids(df, "order_row", self.hot["orders.guid"])
+        return self._with_id(df, "order_row")
 
     def with_lookups(self) -> Spread:
         """Headers with their return note and billing order."""
+        by = ["nf", *self._ids("header_row")]
         return (
-            Spread.over(self.headers(), "nf", self.hot["headers.nf"])
+            Spread.over(self.headers(), "nf", self.hot["headers.nf"], by)
             .left_join(lookups.return_notes(self.inputs.references()), "returned_nf")
             .left_join(lookups.billing_orders(self.inputs.billing_orders()), "billed_nf")
         )
 
     def with_goods(self) -> Spread:
-        return self.with_lookups().left_join(self.goods(), "goods_nf", self.hot["goods.nf"])
+        return self.with_lookups().left_join(
+            self.goods(), "goods_nf", self.hot["goods.nf"], self._ids("goods_row")
+        )
 
     def with_services(self) -> Spread:
         """Goods and service lines of one invoice multiply, as both hang on its number."""
-        return self.with_goods().left_join(self.services(), "service_nf", self.hot["services.nf"])
+        return self.with_goods().left_join(
+            self.services(), "service_nf", self.hot["services.nf"], self._ids("service_row")
+        )
 
-    def over_guids(self, lines: DataFrame) -> Spread:
+    def join_quotes(self, lines: Spread) -> Spread:
+        """Quote lines add no column, but a line appears once per match."""
+        return lines.left_join(
+            self.quotes(), "guid_linha", self.hot["quote_lines.guid"],
+            self._ids("quote_line_row", "quote_row"),
+        )
+
+    def join_orders(self, lines: Spread) -> Spread:
+        return lines.left_join(
+            self.orders(), "order_guid", self.hot["orders.guid"], self._ids("order_row")
+        )
+
+    def over_guids(self, lines: DataFrame, by: list[str]) -> Spread:
         """Goods lines, alone or joined to their invoices, ready for joins on the guid."""
-        return Spread.over(lines, "guid_orcamento", self.hot["goods.guid"], nullable=True)
+        return Spread.over(lines, "guid_orcamento", self.hot["goods.guid"], by, nullable=True)
 
-    def with_quotes(self) -> Spread:
-        """Quote lines add no column, but a line appears once per match."""
-        lines = self.over_guids(self.with_services().result())
-        return lines.left_join(self.quotes(), "guid_linha", self.hot["quote_lines.guid"])
+    def goods_over_guids(self) -> Spread:
+        return self.over_guids(self.goods(), ["goods_nf", "codigo", *self._ids("goods_row")])
 
     def with_orders(self) -> Spread:
-        return self.with_quotes().left_join(self.orders(), "order_guid", self.hot["orders.guid"])
+        by = self._line("header_row", "goods_row", "service_row")
+        lines = self.over_guids(self.with_services().result(), by)
+        return self.join_orders(self.join_quotes(lines))
 
     def with_product_orders(self) -> DataFrame:
         """Lines without a service order of their own look one up by product code."""
         lines = self.with_orders().result().withColumn(
             "missing_order_product", F.when(F.col("n_os").isNull(), F.col("codigo"))
         )
-        orders = self.inputs.orders_by_product().select(F.col("cod_pecas").alias("product_code"), "n_os")
+        orders = self.inputs.orders_by_product().select(
+            F.col("cod_pecas").alias("product_code"), "n_os"
+        )
+        hot, by = self.hot["goods.product"], self._line(*_ROW_IDS)
         return (
-            Spread.over(lines, "missing_order_product", self.hot["goods.product"], nullable=True)
-            .left_join(
-                orders, "product_code", per_key=F.min("n_os").alias("product_order")
-            )
+            Spread.over(lines, "missing_order_product", hot, by, nullable=True)
+            .left_join(orders, "product_code", per_key=F.min("n_os").alias("product_order"))
             .result()
         )
 

@@ -81,6 +81,12 @@ def test_scans_read_only_used_columns(stored):
     assert goods and all("produto" not in text and "unidade" not in text for text in goods)
 
 
+def test_view_reads_no_columns_that_are_not_asked_for(stored):
+    text = plan(invoice_view(stored).select("nf", "valor"))
+    assert not scans(text, "natureza_op") and not scans(text, "razao_social")
+    assert not scans(text, "unidade") and not scans(text, "qtde")
+
+
 def test_month_lines_are_cut_before_the_shuffle(stored):
     text = plan(P.report_rows(P.report_inputs(stored, since=datetime.date(2026, 5, 1))))
     assert text.count("LeftSemi") >= 2 and "BroadcastHashJoin" in text

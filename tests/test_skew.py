@@ -123,9 +123,9 @@ def test_rows_with_a_hot_key_are_spread(spark, shuffled_joins):
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("key"), "id"
     )
     right = spark.range(100_000).select(F.col("id").alias("other"))
-    plain = Spread.over(left, "key", {}).left_join(right, "other").result()
+    plain = Spread.over(left, "key", {}, []).left_join(right, "other").result()
     hot = find_hot_keys([Side(left, {"left": "key"})], 500)["left"]
-    spread = Spread.over(left, "key", hot).left_join(right, "other").result()
+    spread = Spread.over(left, "key", hot, ["id"]).left_join(right, "other").result()
     assert largest_share(plain) > 0.33
     assert largest_share(spread) < 0.08
     assert spread.count() == plain.count() == 100_000
@@ -136,7 +136,7 @@ def test_rows_with_a_null_key_are_spread(spark, shuffled_joins):
         F.when(F.col("id") % 3 > 0, F.col("id")).alias("key"), "id"
     )
     right = spark.range(100_000).select(F.col("id").alias("other"))
-    joined = Spread.over(left, "key", {}, nullable=True).left_join(right, "other").result()
+    joined = Spread.over(left, "key", {}, ["id"], nullable=True).left_join(right, "other").result()
     assert largest_share(joined) < 0.08
     assert joined.count() == 100_000
     assert joined.where(F.col("other").isNull()).count() == 33_334
@@ -146,7 +146,9 @@ def test_hot_right_side_keeps_unmatched_rows(spark):
     left = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "key long")
     right = spark.createDataFrame([(1, n) for n in range(50)] + [(2, 99)], "other long, n long")
     hot = {1: 13}
-    joined = Spread.over(left, "key", {1: 4}, nullable=True).left_join(right, "other", hot)
+    joined = Spread.over(left, "key", {1: 4}, ["key"], nullable=True).left_join(
+        right, "other", hot, ["n"]
+    )
     rows = joined.result()
     assert rows.columns == ["key", "other", "n"]
     counts = {row["key"]: row["count"] for row in rows.groupBy("key").count().collect()}
@@ -158,7 +160,7 @@ def test_hot_right_side_keeps_unmatched_rows(spark):
 def test_joins_on_one_key_shuffle_the_left_side_once(spark, shuffled_joins):
     left = spark.range(1000).select(F.col("id").alias("key"))
     rights = [spark.range(1000).select(F.col("id").alias(name)) for name in ("a", "b")]
-    spread = Spread.over(left, "key", {1: 3}, nullable=True)
+    spread = Spread.over(left, "key", {1: 3}, ["key"], nullable=True)
     joined = spread.left_join(rights[0], "a").left_join(rights[1], "b").result()
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 3
