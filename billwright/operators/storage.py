@@ -27,8 +27,10 @@ def use_shared_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet, for a result that several jobs go on with.
 
-    Read back, it has file statistics, so that Spark knows its size when it plans.
+    Rebalanced first, as what is left of many scan tasks would make many small
+    files. Read back, it has file statistics, so that Spark knows its size when it
+    plans.
     """
     path = f"{use_shared_folder(df.sparkSession)}/stored-{uuid.uuid4()}"
-    df.write.parquet(path)
+    df.hint("rebalance").write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
