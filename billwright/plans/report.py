@@ -12,6 +12,7 @@ from billwright.functions import text as X
 from billwright.operators import calendar, lookups
 from billwright.operators.position import with_position
 from billwright.operators.skew import Spread, with_row_id
+from billwright.operators.storage import stored
 from billwright.plans import view as V
 from billwright.plans.inputs import Inputs
 from billwright.rules import Rules
@@ -87,17 +88,30 @@ def _goods_per_invoice(inputs: Inputs, hot: dict) -> DataFrame:
         lines, by = with_row_id(lines, "goods_row"), ["goods_row"]
     joined = (
         Spread.over(lines, "guid_orcamento", hot["goods.guid"], by, nullable=True)
-        .left_join(_quote_rows(inputs, hot), "guid_linha")
-        .left_join(_order_rows(inputs), "order_guid")
+        .left_join(_repeats_per_guid(inputs, hot), "guid")
         .result()
     )
-    times = F.coalesce("quote_rows", F.lit(1)) * F.coalesce("order_rows", F.lit(1))
+    times = F.coalesce("times", F.lit(1))
     return joined.groupBy("goods_nf").agg(
         F.sum((F.col("value") * times).cast(TOTAL_VALUE)).alias("goods_value"),
         F.sum(F.when(F.col("value").isNull(), times).otherwise(0)).alias("valueless_rows"),
     )
 
 
+def _repeats_per_guid(inputs: Inputs, hot: dict) -> DataFrame:
+    """``(guid, times)`` for the guids that repeat a goods line in the view.
+
+    For the whole history they are stored, so that Spark sees their size when it
+    plans the join: where they are few, the goods lines need no shuffle by guid.
+    """
+    quotes, orders = _quote_rows(inputs, hot), _order_rows(inputs)
+    times = F.coalesce("quote_rows", F.lit(1)) * F.coalesce("order_rows", F.lit(1))
+    repeats = quotes.join(orders, F.col("guid_linha") == F.col("order_guid"), "full").select(
+        F.coalesce("guid_linha", "order_guid").alias("guid"), times.alias("times")
+    )
+    return repeats if inputs.narrow else stored(repeats)
+
+
 def _quote_rows(inputs: Inputs, hot: dict) -> DataFrame:
     """Per guid with more than one: the rows its quote lines and won quotes make."""
     won = (
@@ -106,8 +120,11 @@ def _quote_rows(inputs: Inputs, hot: dict) -> DataFrame:
         .agg(F.count("*").alias("won_rows"))
         .where(F.col("won_rows") > 1)
     )
-    lines = inputs.quote_lines().groupBy("guid_linha", "cod_orcamento").agg(
-        F.count("*").alias("line_rows")
+    lines = (
+        inputs.quote_lines()
+        .where(F.col("guid_linha").isNotNull())
+        .groupBy("guid_linha", "cod_orcamento")
+        .agg(F.count("*").alias("line_rows"))
     )
     return (
         Spread.over(lines, "cod_orcamento", hot["quote_lines.quote"], ["guid_linha"], nullable=True)
@@ -123,6 +140,7 @@ def _order_rows(inputs: Inputs) -> DataFrame:
     """Per guid with more than one: its service orders."""
     return (
         inputs.orders_by_guid()
+        .where(F.col("guid_orcamento").isNotNull())
         .groupBy(F.col("guid_orcamento").alias("order_guid"))
         .agg(F.count("*").alias("order_rows"))
         .where(F.col("order_rows") > 1)

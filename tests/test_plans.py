@@ -104,3 +104,9 @@ def test_view_shuffles_headers_once_for_all_joins_on_the_number(spark):
         line for line in text.splitlines() if "Exchange hashpartitioning(nf#" in line
     ]
     assert len(on_number) == 1
+
+
+def test_totals_shuffle_no_goods_by_guid_when_few_are_repeated(stored):
+    text = plan(P.daily_totals(P.report_inputs(stored)))
+    assert "Exchange hashpartitioning(guid_orcamento" not in text
+    assert "Exchange hashpartitioning(goods_nf" in text
