@@ -79,7 +79,7 @@ def _with_notes(tables: InvoiceTables) -> DataFrame:
     hot = inputs.hot_keys("headers.nf")["headers.nf"]
     return (
         Spread.over(with_row_id(inputs.headers(), "row"), "numero", hot, ["row"])
-        .left_join(lookups.return_notes(inputs.references()), "returned_nf")
+        .left_join(lookups.return_notes(inputs.returns()), "returned_nf")
         .result()
     )
 
@@ -126,7 +126,7 @@ def p8_service_order(tables: InvoiceTables) -> DataFrame:
 
 @_on_tables
 def p9_return_label(tables: InvoiceTables) -> DataFrame:
-    return lookups.return_notes(Inputs(tables).references()).select(
+    return lookups.return_notes(Inputs(tables).returns()).select(
         "returned_nf", L.return_label(F.col("return_number")).alias("label")
     )
 
@@ -300,7 +300,7 @@ def monthly_totals(inputs: Inputs) -> DataFrame:
 
 @_on_tables
 def a2_distinct_returned(tables: InvoiceTables) -> DataFrame:
-    return lookups.returned_invoices(Inputs(tables).references())
+    return lookups.returned_invoices(Inputs(tables).returns())
 
 
 @_on_tables
@@ -315,7 +315,7 @@ def a3_top1_per_key(tables: InvoiceTables) -> DataFrame:
         )
 
     return (
-        named(lookups.return_notes(inputs.references()), "return_note")
+        named(lookups.return_notes(inputs.returns()), "return_note")
         .unionByName(named(lookups.product_orders(inputs.orders_by_product()), "product_order"))
         .unionByName(named(lookups.billing_orders(inputs.billing_orders()), "billing_order"))
     )

@@ -90,7 +90,7 @@ class Inputs:
     def services(self) -> DataFrame:
         return self._of_invoices(self._of_company("tnota_fiscal_servico"), "numero_nf")
 
-    def references(self) -> DataFrame:
+    def returns(self) -> DataFrame:
         """Which invoice a return note refers to."""
         return self._of_invoices(self._of_company("tnota_fiscal_nfref"), "nfref_numero_nf")
 

@@ -173,7 +173,7 @@ def daily_totals(inputs: Inputs) -> DataFrame:
         headers = with_row_id(headers, "header_row")
     invoices = (
         Spread.over(headers, "nf", hot["headers.nf"], ["header_row"])
-        .left_join(lookups.returned_invoices(inputs.references()), "nfref_numero_nf")
+        .left_join(lookups.returned_invoices(inputs.returns()), "nfref_numero_nf")
         .left_join(_goods_per_invoice(inputs, hot), "goods_nf")
         .left_join(_services_per_invoice(inputs), "service_nf")
         .result()

@@ -101,7 +101,7 @@ class ViewSteps:
         by = ["nf", *self._ids("header_row")]
         return (
             Spread.over(self.headers(), "nf", self.hot["headers.nf"], by)
-            .left_join(lookups.return_notes(self.inputs.references()), "returned_nf")
+            .left_join(lookups.return_notes(self.inputs.returns()), "returned_nf")
             .left_join(lookups.billing_orders(self.inputs.billing_orders()), "billed_nf")
         )
 

@@ -67,7 +67,7 @@ def test_report_conditions_reach_the_header_scan(stored, whole_filters):
 def test_month_report_skips_lines_outside_its_numbers(stored, whole_filters):
     inputs = P.report_inputs(stored, since=datetime.date(2026, 5, 7))
     for rows, key in (
-        (inputs.services(), "numero_nf"), (inputs.references(), "nfref_numero_nf"),
+        (inputs.services(), "numero_nf"), (inputs.returns(), "nfref_numero_nf"),
         (inputs.billing_orders(), "numero_nf"),
     ):
         line = scans(plan(rows), key)[0]
