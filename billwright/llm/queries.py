@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billwright.llm import bpe
+from billwright.llm import bpe, mixing, warc
 from billwright.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -24,9 +24,42 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of all pages hold, read back."""
+    manifest = warc.write_archives(warc.plan_records(table(spark, sf_dir, "pages")))
+    return warc.read_archives(manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op8_source_mix": op8_source_mix,
+    "op10_warc": op10_warc,
 }
 
 #: The same results as DuckDB SQL, where SQL can express them.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html FROM pages
+        ), d AS (
+            SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+                   sha256(html) AS payload_digest
+            FROM p
+        ), f AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit'
+                    ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+        FROM f
+    """,
+}
