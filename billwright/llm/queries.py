@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billwright.llm import bpe, mixing, warc
+from billwright.llm import bpe, minhash, mixing, warc
 from billwright.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -24,6 +24,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates of all documents: three-word shingles, similarity 0.85."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -40,6 +45,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op6_minhash": op6_minhash,
     "op8_source_mix": op8_source_mix,
     "op10_warc": op10_warc,
 }
