@@ -6,12 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billwright.llm import bpe, minhash, mixing, warc
+from billwright.llm import bpe, minhash, mixing, pii, warc
 from billwright.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, and the terms that give it away."""
+    found = pii.sanitise(table(spark, sf_dir, "documents"), with_text=False)
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes that they stand for, as digests."""
     path = public_tokenizers.path(RANKS)
@@ -44,6 +55,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op3_byte_bpe": op3_byte_bpe,
     "op6_minhash": op6_minhash,
     "op8_source_mix": op8_source_mix,
