@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billwright.llm import bpe, minhash, mixing, pii, warc
-from billwright.llm.common import table
+from billwright.llm import bpe, minhash, mixing, pii, toxicity, warc
+from billwright.llm.common import crc_remainder, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -23,6 +23,18 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How toxic every document is, and where."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit_from(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", (crc_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(
+            ":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes that they stand for, as digests."""
     path = public_tokenizers.path(RANKS)
@@ -56,6 +68,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op6_minhash": op6_minhash,
     "op8_source_mix": op8_source_mix,
