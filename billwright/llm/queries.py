@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billwright.llm import bpe, minhash, mixing, pii, toxicity, warc
+from billwright.llm import bpe, embeddings, minhash, mixing, pii, topk, toxicity, warc
 from billwright.llm.common import crc_remainder, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -47,6 +47,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors to every fiftieth, by integer inner product."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates of all documents: three-word shingles, similarity 0.85."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
@@ -58,6 +64,11 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates of all vectors: cosine 0.9."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the archives of all pages hold, read back."""
     manifest = warc.write_archives(warc.plan_records(table(spark, sf_dir, "pages")))
@@ -70,13 +81,31 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_topk": op4_topk,
     "op6_minhash": op6_minhash,
     "op8_source_mix": op8_source_mix,
+    "op9_embeddings": op9_embeddings,
     "op10_warc": op10_warc,
 }
 
 #: The same results as DuckDB SQL, where SQL can express them.
 ORACLE_SQL: dict[str, str] = {
+    "op4_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+    """,
     "op10_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html FROM pages
