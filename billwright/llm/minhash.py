@@ -136,41 +136,65 @@ def _may_match(a: str, b: str, percent: int) -> Column:
     return 100 * most >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - most)
 
 
-def _similar(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of (a, b) the pairs that are similar enough."""
+COMPARED = (
+    "a long, b long, doc_a long, doc_b long, whole boolean, passed boolean, "
+    "held array<long>, beside int"
+)
+
+
+def _compared(pairs: DataFrame, sketches: DataFrame, percent: int, all_rows: bool) -> DataFrame:
+    """Compares the sketches of (a, b); the pairs that may be similar, or ``all_rows``.
+
+    ``whole`` says that both sketches are whole sets, so that ``passed`` is final. Then
+    ``held`` has a bit for each value of b that a holds, and ``beside`` is the number of
+    other values of a.
+    """
     side = lambda x: sketches.select(
         F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}"),
         F.col("doc_id").alias(f"doc_{x}"),
     )
-    joined = pairs.join(side("b"), "b").join(side("a"), "a")
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", "doc_a", "doc_b", "n_a", "n_b", "fine_a", "fine_b"
+    )
     slack = 5 * math.sqrt(percent / 100 * (1 - percent / 100) / FINE)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = {name: batch.column(n) for n, name in enumerate(batch.schema.names)}
-            sizes = [column[x].to_numpy(zero_copy_only=False) for x in ("n_a", "n_b")]
-            keep, whole = [], []
-            for n, (a, b) in enumerate(zip(column["fine_a"], column["fine_b"])):
+            n_a, n_b = (batch.column(n).to_numpy() for n in (4, 5))
+            keep, whole, good, held, beside = [], [], [], [], []
+            for n, (a, b) in enumerate(zip(batch.column(6), batch.column(7))):
                 a, b = a.values.to_numpy(), b.values.to_numpy()
                 both = np.intersect1d(a, b, assume_unique=True)
-                if complete := sizes[0][n] <= FINE and sizes[1][n] <= FINE:
+                if complete := n_a[n] <= FINE and n_b[n] <= FINE:
                     passed = 100 * len(both) >= percent * (len(a) + len(b) - len(both))
                 else:
                     union = np.union1d(a, b)[:FINE]
                     found = np.searchsorted(both, union[-1], side="right")
                     passed = found / len(union) >= percent / 100 - slack
-                if passed:
+                if passed or all_rows:
                     keep.append(n)
                     whole.append(complete)
+                    good.append(passed)
+                    bits = np.zeros(FINE, bool)
+                    bits[np.searchsorted(b, both)] = True
+                    held.append(np.packbits(bits).view(np.int64).tolist() if complete and all_rows else None)
+                    beside.append(len(a) - len(both))
             if keep:
                 kept = batch.take(pa.array(keep))
                 yield pa.RecordBatch.from_arrays(
-                    [*(kept.column(kept.schema.get_field_index(x)) for x in ("a", "b", "doc_a", "doc_b")), pa.array(whole)],
-                    names=["a", "b", "doc_a", "doc_b", "whole"],
+                    [
+                        *kept.columns[:4], pa.array(whole, pa.bool_()), pa.array(good, pa.bool_()),
+                        pa.array(held, pa.list_(pa.int64())), pa.array(beside, pa.int32()),
+                    ],
+                    names=[field.split()[0] for field in COMPARED.split(", ")],
                 )
 
-    passed = written(joined.mapInArrow(compare, "a long, b long, doc_a long, doc_b long, whole boolean"))
-    open_ = passed.where(~F.col("whole")).select("a", "b", "doc_a", "doc_b")
+    return written(joined.mapInArrow(compare, COMPARED))
+
+
+def _confirmed(compared: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b) for the pairs that are similar enough; full sets decide where sketches don't."""
+    open_ = compared.where("passed and not whole").select("a", "b", "doc_a", "doc_b")
     ids = open_.select(F.explode(F.array("doc_a", "doc_b")).alias("_doc")).distinct()
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
     sets = full_sets(texts, width).dropDuplicates(["node"])
@@ -180,7 +204,21 @@ def _similar(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int,
         open_.join(side("b"), "b").join(side("a"), "a")
         .where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both))
     )
-    return written(passed.where("whole").select("a", "b").unionByName(exact.select("a", "b")))
+    return written(compared.where("passed and whole").select("a", "b").unionByName(exact.select("a", "b")))
+
+
+def _room(a: str, b: str, percent: int) -> Column:
+    """Whether what both hold of their list's centre leaves room for the similarity.
+
+    What they share is part of the centre, or beside it and in both; values that no
+    other class has are in one alone.
+    """
+    held = F.lit(0)
+    for n in range(FINE // 64):
+        held = held + F.bit_count(F.col(f"{a}.held")[n].bitwiseAND(F.col(f"{b}.held")[n]))
+    most = held + F.least(F.col(f"{a}.beside") - F.col(f"{a}.alone"), F.col(f"{b}.beside") - F.col(f"{b}.alone"))
+    enough = 100 * most >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - most)
+    return F.col(f"{a}.held").isNull() | F.col(f"{b}.held").isNull() | enough
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -232,21 +270,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     centre = listed.groupBy("value").agg(
         F.min(F.struct("alone", "node", "n")).alias("c"), F.count(F.lit(1)).alias("members")
-    ).where("members > 1").select(F.col("value").alias("_value"), "c")
-    stars = (
-        listed.withColumn("m", F.struct("alone", "node", "n"))
-        .join(centre, F.col("value") == F.col("_value"))
-        .where((F.col("m.node") != F.col("c.node")) & _may_match("m", "c", percent))
-        .select(F.greatest("m.node", "c.node").alias("a"), F.least("m.node", "c.node").alias("b"))
-        .distinct()
+    ).where("members > 1").select(F.col("value").alias("_value"), F.col("c.node").alias("centre"))
+    centred = written(
+        listed.join(centre, F.col("value") == F.col("_value")).select("value", "node", "n", "alone", "centre")
     )
-    stars = written(stars)
-    links = _similar(stars, sketches, docs, width, percent)
+    stars = centred.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    compared = _compared(stars, sketches, percent, all_rows=True)
+    links = _confirmed(compared.where("a != b"), docs, width, percent)
 
-    merged = connected(links).withColumnRenamed("node", "_node")
+    merged = connected(links).select(F.col("node").alias("_in"), "component")
+    shape = compared.select(F.col("a").alias("_node"), F.col("b").alias("_centre"), "held", "beside")
     members = written(
-        listed.join(merged, F.col("node") == F.col("_node"), "left")
-        .select("value", F.struct("alone", "node", "n", F.coalesce("component", "node").alias("part")).alias("m"))
+        centred.join(shape, (F.col("node") == F.col("_node")) & (F.col("centre") == F.col("_centre")))
+        .join(merged, F.col("node") == F.col("_in"), "left")
+        .select("value", F.struct(
+            "alone", "node", "n", "held", "beside", F.coalesce("component", "node").alias("part")
+        ).alias("m"))
     )
     parts = members.groupBy("value", F.col("m.part").alias("part")).agg(F.count(F.lit(1)).alias("size"))
     split = (
@@ -264,12 +303,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             (F.col("m.part") != F.col("o.part"))
             & ((F.col("m.part") == F.col("largest")) | (F.col("m.node") < F.col("o.node")))
             & _may_match("m", "o", percent)
+            & _room("m", "o", percent)
         )
         .select(F.greatest("m.node", "o.node").alias("a"), F.least("m.node", "o.node").alias("b"))
         .distinct()
-        .join(stars, ["a", "b"], "left_anti")
     )
-    links = links.unionByName(_similar(written(rest), sketches, docs, width, percent))
+    again = _compared(written(rest), sketches, percent, all_rows=False)
+    links = links.unionByName(_confirmed(again, docs, width, percent))
 
     parts = connected(links)
     first = (
