@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billwright.llm import bpe, embeddings, minhash, mixing, pii, topk, toxicity, warc
+from billwright.llm import bpe, embeddings, licences, minhash, mixing, pii, topk, toxicity, warc
 from billwright.llm.common import crc_remainder, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -53,6 +53,11 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical digest of every document, and the licence that it is."""
+    return licences.scan(table(spark, sf_dir, "documents"), licences.known_digests(spark))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates of all documents: three-word shingles, similarity 0.85."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
@@ -82,6 +87,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_topk": op4_topk,
+    "op5_licences": op5_licences,
     "op6_minhash": op6_minhash,
     "op8_source_mix": op8_source_mix,
     "op9_embeddings": op9_embeddings,
@@ -90,6 +96,7 @@ QUERIES = {
 
 #: The same results as DuckDB SQL, where SQL can express them.
 ORACLE_SQL: dict[str, str] = {
+    "op5_licences": licences.oracle_sql(),
     "op4_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
