@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billwright.llm import bpe, embeddings, licences, minhash, mixing, pii, topk, toxicity, warc
+from billwright.llm import bpe, embeddings, licences, maxent, minhash, mixing, pii, topk, toxicity, warc
 from billwright.llm.common import crc_remainder, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -63,6 +63,12 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learned from six in seven of them."""
+    docs = table(spark, sf_dir, "documents")
+    return maxent.score(docs, crc_remainder(docs["doc_id"], 7) == 2)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -89,6 +95,7 @@ QUERIES = {
     "op4_topk": op4_topk,
     "op5_licences": op5_licences,
     "op6_minhash": op6_minhash,
+    "op7_lm_score": op7_lm_score,
     "op8_source_mix": op8_source_mix,
     "op9_embeddings": op9_embeddings,
     "op10_warc": op10_warc,
