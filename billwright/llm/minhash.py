@@ -64,28 +64,32 @@ def _list_array(lists: list[np.ndarray]) -> pa.ListArray:
 
 
 def sketched(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, coarse, fine) per row; set_key is null for no words."""
+    """(doc_id, text_key, n_shingles, set_key, coarse, fine) per row; set_key is null for no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, keys_of_text, texts = batch.columns
             for start in range(0, batch.num_rows, 1000):
                 sets = [shingle_hashes(t, width) for t in texts.slice(start, 1000).to_pylist()]
                 keys = [xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(start, 1000),
+                        keys_of_text.slice(start, 1000),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(keys, pa.int64()),
                         _list_array([s[:COARSE] for s in sets]),
                         _list_array([s[:FINE] for s in sets]),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "coarse", "fine"],
+                    names=["doc_id", "text_key", "n_shingles", "set_key", "coarse", "fine"],
                 )
 
-    source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    source = docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_key"), docs["text"]
+    )
     return source.mapInArrow(
-        run, "doc_id long, n_shingles long, set_key long, coarse array<long>, fine array<long>"
+        run,
+        "doc_id long, text_key long, n_shingles long, set_key long, coarse array<long>, fine array<long>",
     )
 
 
@@ -238,7 +242,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+    """(doc_id, text_key, n_shingles, component_id, kept) for every row of ``docs``.
 
     Rows are linked whose sets of ``width``-word shingles have a Jaccard similarity of at
     least ``percent`` in a hundred; component_id is the smallest doc_id that links reach,
@@ -246,7 +250,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     are linked with nothing. Repeated rows, and ones with equal ids, are rows of their
     own. A row without id is in its component but cannot name it: where no row of a
     component has an id, component_id is null. It is kept only if nothing links it to a
-    row with an id. An empty table gives an empty result.
+    row with an id. An empty table gives an empty result. ``text_key`` is the xxhash64 of
+    the text, which tells rows with equal ids apart.
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     rows = written(sketched(docs, width))
@@ -320,11 +325,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     result = classes.select("node", "doc_id").join(named, F.col("node") == F.col("_node"), "left").select(
         F.col("node").alias("_node"), F.coalesce("first", "doc_id").alias("component_id")
     )
-    by_class = rows.select("doc_id", "n_shingles", "set_key").join(
+    by_class = rows.select("doc_id", "text_key", "n_shingles", "set_key").join(
         result, F.col("set_key") == F.col("_node"), "left"
     )
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return by_class.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
+        "doc_id", "text_key", "n_shingles", component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from billwright.llm.common import written
 
@@ -124,8 +125,16 @@ FOUND = (
 )
 
 
-def find(docs: DataFrame, rule: Disclosure, with_text: bool) -> DataFrame:
+def _parse(docs: DataFrame, schema: str) -> StructType:
+    return docs.sparkSession.createDataFrame([], schema).schema
+
+
+def find(docs: DataFrame, rule: Disclosure, with_text: bool, keep: Sequence[str] = ()) -> DataFrame:
     """Base spans of every row and the terms near them; text where there are any, or always."""
+    source = docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"),
+        *[docs[name].alias(f"_kept_{name}") for name in keep],
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,12 +151,12 @@ def find(docs: DataFrame, rule: Disclosure, with_text: bool) -> DataFrame:
                     pa.array(keys, pa.int64()), batch.column(0), pa.array(texts, pa.string()),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))),
                     pa.array(near, pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string())]))),
+                    *batch.columns[2:],
                 ],
-                names=["row_key", "doc_id", "text", "spans", "near"],
+                names=["row_key", "doc_id", "text", "spans", "near", *batch.schema.names[2:]],
             )
 
-    source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    return source.mapInArrow(run, FOUND)
+    return source.mapInArrow(run, StructType([*_parse(docs, FOUND).fields, *source.schema.fields[2:]]))
 
 
 def document_counts(docs: DataFrame, stem: int) -> DataFrame:
@@ -235,8 +244,10 @@ def _cleaned(text: str, spans: list[tuple[int, str, int]], told: dict[str, str |
     return [{"start": s, "kind": names[k], "end": e} for s, k, e, _ in both], "".join(parts)
 
 
-def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), with_text: bool = True) -> DataFrame:
-    """(doc_id, base array<span>, spans array<span>, text) for every row of ``docs``.
+def sanitise(
+    docs: DataFrame, rule: Disclosure = Disclosure(), with_text: bool = True, keep: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, base array<span>, spans array<span>, text) and ``keep`` for every row of ``docs``.
 
     ``base`` are the spans of the patterns, ``spans`` these and the disclosing terms, both
     by start and then kind; offsets are code points, end exclusive. ``text`` has every
@@ -248,7 +259,8 @@ def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), with_text: bool =
     like others; repeated rows count as often as they occur in the documents with a term,
     and once where a term and an entity are counted together. Counts cover all rows.
     """
-    found = written(find(docs, rule, with_text))
+    found = written(find(docs, rule, with_text, keep))
+    kept = [f"_kept_{name}" for name in keep]
     told = disclosing(docs, found, rule)
     with_spans = found.where(F.size("spans") > 0)
     per_row = (
@@ -259,26 +271,33 @@ def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), with_text: bool =
         )
         .groupBy(F.col("row_key").alias("_key")).agg(F.collect_list(F.struct("term", "stem")).alias("told"))
     )
-    schema = f"doc_id long, base array<{SPAN}>, spans array<{SPAN}>, text string"
+    schema = StructType([
+        *_parse(docs, f"doc_id long, base array<{SPAN}>, spans array<{SPAN}>, text string").fields,
+        *[found.schema[name] for name in kept],
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), *[pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))] * 2, pa.string()]
         for batch in batches:
             rows = []
-            for row in batch.to_pylist():
+            for row in batch.select(["doc_id", "text", "spans", "told"]).to_pylist():
                 base = [(s["start"], s["kind"], s["end"]) for s in row["spans"]]
                 terms = {t["term"]: t["stem"] for t in row["told"] or ()}
                 spans, text = _cleaned(row["text"], base, terms)
                 rows.append((row["doc_id"], row["spans"], spans, text))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=["doc_id", "base", "spans", "text"]
-            )
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(list(c), t) for c, t in zip(zip(*rows), types)), *batch.columns[4:]],
+                    names=schema.names,
+                )
 
     touched = with_spans.join(per_row, F.col("row_key") == F.col("_key"), "left").select(
-        "doc_id", "text", "spans", "told"
+        "doc_id", "text", "spans", "told", *kept
     ).mapInArrow(run, schema)
-    clear = found.where(F.size("spans") == 0).select("doc_id", F.col("spans").alias("base"), "spans", "text")
-    return touched.unionByName(clear)
+    clear = found.where(F.size("spans") == 0).select("doc_id", F.col("spans").alias("base"), "spans", "text", *kept)
+    return touched.unionByName(clear).select(
+        "doc_id", "base", "spans", "text", *[F.col(f"_kept_{name}").alias(name) for name in keep]
+    )
 
 
 def spans_text(spans: Column) -> Column:

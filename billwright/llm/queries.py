@@ -60,7 +60,8 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates of all documents: three-word shingles, similarity 0.85."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

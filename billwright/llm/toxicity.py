@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from billwright.llm.common import crc_remainder
 
@@ -250,8 +251,8 @@ def fit_from(docs: DataFrame, labels: DataFrame, divisor: int | None = 3, held_o
     return fit([by_id[i]["text"] or "" for i in order], [by_id[i]["toxic"] for i in order], rate)
 
 
-def score(docs: DataFrame, field: Field) -> DataFrame:
-    """(doc_id, score, spans) for every row of ``docs``.
+def score(docs: DataFrame, field: Field, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, score, spans) for every row of ``docs``, and its columns in ``keep``.
 
     ``spans`` are the offsets (code points, end exclusive) of runs of words that are
     more likely toxic than not. Null text is empty, and what has no words scores as a text
@@ -283,13 +284,25 @@ def score(docs: DataFrame, field: Field) -> DataFrame:
                     _spans(text, chance[end - n : end] >= 0.5)
                     for text, end, n in zip(texts, ends, lengths)
                 ]
+                part = batch.slice(start, 2000)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, 2000), pa.array(value), pa.array(spans, pa.list_(_SPAN))],
-                    names=["doc_id", "score", "spans"],
+                    [part.column(0), pa.array(value), pa.array(spans, pa.list_(_SPAN)), *part.columns[2:]],
+                    names=schema.names,
                 )
 
-    source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    return source.mapInArrow(run, "doc_id long, score double, spans array<struct<start:int,end:int>>")
+    kept = [name for name in keep if name != "doc_id"]
+    source = docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("_text"),
+        *[docs[name] for name in kept],
+    )
+    schema = StructType([
+        source.schema["doc_id"], StructField("score", DoubleType()),
+        StructField("spans", ArrayType(StructType([
+            StructField("start", IntegerType()), StructField("end", IntegerType())
+        ]))),
+        *source.schema.fields[2:],
+    ])
+    return source.mapInArrow(run, schema)
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])

@@ -1,29 +1,77 @@
-"""From raw documents to ids of tokens, in stages that each read what the last one kept."""
+"""From raw documents to ids of tokens, in stages that each read what the last one kept.
+
+A stage takes (spark, docs, sf_dir). All but the last return the columns of documents:
+doc_id, text, lang, source, n_chars. Other columns of the input are left out.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from billwright.llm import bpe
-from billwright.llm.common import written
+from billwright.llm import bpe, minhash, mixing, pii, toxicity
+from billwright.llm.common import table, written
 from billwright.llm.queries import RANKS
 
 
+def _documents(docs: DataFrame) -> DataFrame:
+    """The columns of documents, n_chars made anew from the text."""
+    text = F.coalesce(docs["text"], F.lit(""))
+    return docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), docs["lang"], docs["source"],
+        F.length(text).cast("long").alias("n_chars"),
+    )
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold of rejection."""
+    docs = _documents(docs)
+    field = toxicity.fit_from(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, field, keep=docs.columns).where(F.col("score") < toxicity.REJECT).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies; texts without words link with nothing."""
+    docs = _documents(docs)
+    kept = minhash.near_duplicates(docs).where("kept").select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
+    ).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    return docs.join(kept, same).dropDuplicates(["_id", "_key"]).select(*docs.columns)
+
+
+def clean_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without personal data and the terms that give it away."""
+    return _documents(pii.sanitise(_documents(docs), keep=("lang", "source")))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document, as often as it takes it."""
+    mixed = mixing.mix(_documents(docs), keep=("text", "lang", "source"))
+    return _documents(mixing.taken_texts(mixed))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids) of every document that is left."""
+    """(doc_id, ids) of everything that the mix takes."""
     return bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
-STAGES = [("byte-level BPE", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash near-dedup", drop_near_copies),
+    ("pii", clean_private),
+    ("source mix", mix_sources),
+    ("byte-level bpe", encode),
+]
 
-#: The classifier and the model-free parts of the other stages go beyond SQL.
+#: The field, the merges and the texts of the mix go beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage returns is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
