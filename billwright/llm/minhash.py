@@ -10,9 +10,11 @@ of retained values, so one of them must be among the rarest few of either: only
 enter the lists (values in most documents, such as those of a common passage, come last).
 
 In a list, every class is first compared with the list's most central one, which gives
-as many pairs as the list has members. What that links is merged; only lists that still
-hold several components get the pairs between different components. Estimates on the
-sketch of the union leave the pairs whose full sets are then compared.
+as many pairs as the list has members. What that links is merged. Around a centre that
+still has several components, the pairs between different components follow, unless what
+both hold of the centre leaves no room for the similarity: bitmaps tell that without a
+look at the sets. Estimates on the sketch of the union leave the pairs whose full sets
+are then compared.
 """
 
 from __future__ import annotations
@@ -111,22 +113,28 @@ def _indexed(size: Column, kept: int, percent: int) -> Column:
 
 
 def _listed(classes: DataFrame, column: str, kept: int, percent: int) -> DataFrame:
-    """(value, node, n, alone) for the rarest retained values of each class.
+    """(value, node, n, alone, shared) for the rarest retained values of each class.
 
     Values that no other class retains make no list but count as its rarest; ``alone``
-    is their number.
+    is their number, and ``shared`` has a bit for each place of the other ones.
     """
-    values = classes.select("node", "n", F.explode(column).alias("value"))
-    shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1")
+    values = classes.select("node", "n", F.posexplode(column).alias("at", "value"))
+    seen = values.groupBy("value").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1")
     own = Window.partitionBy("node")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at") % 64)
+    words = [
+        F.coalesce(F.bit_or(F.when(F.floor(F.col("at") / 64) == n, bit)).over(own), F.lit(0).cast("long"))
+        for n in range(kept // 64)
+    ]
     ranked = (
-        values.join(shared.withColumnRenamed("value", "_value"), F.col("value") == F.col("_value"))
-        .select("node", "n", "value", "seen")
+        values.join(seen.withColumnRenamed("value", "_value"), F.col("value") == F.col("_value"))
+        .select("node", "n", "at", "value", "seen")
         .withColumn("alone", F.least("n", F.lit(kept)) - F.count(F.lit(1)).over(own))
+        .withColumn("shared", F.array(*words).cast("array<long>"))
         .withColumn("rank", F.row_number().over(own.orderBy("seen", "value")) + F.col("alone"))
     )
     return ranked.where(F.col("rank") <= _indexed(F.col("n"), kept, percent)).select(
-        "value", "node", "n", "alone"
+        "value", "node", "n", "alone", "shared"
     )
 
 
@@ -142,31 +150,61 @@ def _may_match(a: str, b: str, percent: int) -> Column:
 
 COMPARED = (
     "a long, b long, doc_a long, doc_b long, whole boolean, passed boolean, "
-    "held array<long>, beside int"
+    "held array<long>, beside int, size int, sampled boolean"
 )
+#: Of a sketch that isn't the whole set, the values below which others are surely known.
+_SURE = FINE * 3 // 4
 
 
-def _compared(pairs: DataFrame, sketches: DataFrame, percent: int, all_rows: bool) -> DataFrame:
-    """Compares the sketches of (a, b); the pairs that may be similar, or ``all_rows``.
+def _slack(percent: int, sample: int) -> float:
+    """How far below the similarity its estimate from a sample stays, but for some 3e-7."""
+    return 5 * math.sqrt(percent / 100 * (1 - percent / 100) / sample)
 
-    ``whole`` says that both sketches are whole sets, so that ``passed`` is final. Then
-    ``held`` has a bit for each value of b that a holds, and ``beside`` is the number of
-    other values of a.
+
+def _outline(a: np.ndarray, whole_a: bool, shared: list[int], b: np.ndarray, whole_b: bool):
+    """Which of b's values a holds, how many other shared ones, and its size.
+
+    Over the whole sets if both are known, else over the values up to one within b's
+    sketch, if a is known so far; else None.
+    """
+    if whole_b and not whole_a:
+        return None
+    other = np.unpackbits(np.array(shared, np.int64).view(np.uint8), bitorder="little")[: len(a)]
+    if not whole_b:
+        b = b[:_SURE]
+        if not whole_a and a[-1] < b[-1]:
+            return None
+        a = a[: np.searchsorted(a, b[-1], side="right")]
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    same = b[at] == a
+    bits = np.zeros(FINE, bool)
+    bits[at[same]] = True
+    beside = int(np.count_nonzero(other[: len(a)].astype(bool) & ~same))
+    return np.packbits(bits).view(np.int64).tolist(), beside, len(a)
+
+
+def _compared(pairs: DataFrame, sketches: DataFrame, percent: int, outlines: bool) -> DataFrame:
+    """Compares the sketches of (a, b), or (a, b, shared); the pairs that may be similar.
+
+    ``whole`` says that both sketches are whole sets, so that ``passed`` is final. With
+    ``outlines`` all pairs stay: ``held`` has a bit for each value of b that a holds,
+    ``beside`` is the number of a's other values that are in more than one class.
     """
     side = lambda x: sketches.select(
         F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}"),
         F.col("doc_id").alias(f"doc_{x}"),
     )
+    more = F.col("shared") if outlines else F.lit(None).cast("array<long>").alias("shared")
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select(
-        "a", "b", "doc_a", "doc_b", "n_a", "n_b", "fine_a", "fine_b"
+        "a", "b", "doc_a", "doc_b", "n_a", "n_b", "fine_a", "fine_b", more
     )
-    slack = 5 * math.sqrt(percent / 100 * (1 - percent / 100) / FINE)
+    slack = _slack(percent, FINE)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_a, n_b = (batch.column(n).to_numpy() for n in (4, 5))
-            keep, whole, good, held, beside = [], [], [], [], []
-            for n, (a, b) in enumerate(zip(batch.column(6), batch.column(7))):
+            keep, whole, good, shapes = [], [], [], []
+            for n, (a, b, shared) in enumerate(zip(*batch.columns[6:])):
                 a, b = a.values.to_numpy(), b.values.to_numpy()
                 both = np.intersect1d(a, b, assume_unique=True)
                 if complete := n_a[n] <= FINE and n_b[n] <= FINE:
@@ -175,20 +213,20 @@ def _compared(pairs: DataFrame, sketches: DataFrame, percent: int, all_rows: boo
                     union = np.union1d(a, b)[:FINE]
                     found = np.searchsorted(both, union[-1], side="right")
                     passed = found / len(union) >= percent / 100 - slack
-                if passed or all_rows:
+                if passed or outlines:
                     keep.append(n)
                     whole.append(complete)
                     good.append(passed)
-                    bits = np.zeros(FINE, bool)
-                    bits[np.searchsorted(b, both)] = True
-                    held.append(np.packbits(bits).view(np.int64).tolist() if complete and all_rows else None)
-                    beside.append(len(a) - len(both))
+                    shape = _outline(a, n_a[n] <= FINE, shared.as_py(), b, n_b[n] <= FINE) if outlines else None
+                    shapes.append(shape or (None, None, None))
             if keep:
                 kept = batch.take(pa.array(keep))
+                held, beside, size = zip(*shapes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *kept.columns[:4], pa.array(whole, pa.bool_()), pa.array(good, pa.bool_()),
                         pa.array(held, pa.list_(pa.int64())), pa.array(beside, pa.int32()),
+                        pa.array(size, pa.int32()), pa.array(n_b[keep] > FINE),
                     ],
                     names=[field.split()[0] for field in COMPARED.split(", ")],
                 )
@@ -212,16 +250,16 @@ def _confirmed(compared: DataFrame, docs: DataFrame, width: int, percent: int) -
 
 
 def _room(a: str, b: str, percent: int) -> Column:
-    """Whether what both hold of their list's centre leaves room for the similarity.
+    """Whether the outlines of two against their list's centre leave room for the similarity.
 
-    What they share is part of the centre, or beside it and in both; values that no
-    other class has are in one alone.
+    What they share is in the centre and held by both, or beside it and shared by both.
     """
     held = F.lit(0)
     for n in range(FINE // 64):
         held = held + F.bit_count(F.col(f"{a}.held")[n].bitwiseAND(F.col(f"{b}.held")[n]))
-    most = held + F.least(F.col(f"{a}.beside") - F.col(f"{a}.alone"), F.col(f"{b}.beside") - F.col(f"{b}.alone"))
-    enough = 100 * most >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - most)
+    most = held + F.least(F.col(f"{a}.beside"), F.col(f"{b}.beside"))
+    needed = F.when(F.col(f"{a}.sampled"), F.lit(percent - 100 * _slack(percent, _SURE))).otherwise(F.lit(float(percent)))
+    enough = 100 * most >= needed * (F.col(f"{a}.size") + F.col(f"{b}.size") - most)
     return F.col(f"{a}.held").isNull() | F.col(f"{b}.held").isNull() | enough
 
 
@@ -276,34 +314,35 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     centre = listed.groupBy("value").agg(
         F.min(F.struct("alone", "node", "n")).alias("c"), F.count(F.lit(1)).alias("members")
     ).where("members > 1").select(F.col("value").alias("_value"), F.col("c.node").alias("centre"))
-    centred = written(
-        listed.join(centre, F.col("value") == F.col("_value")).select("value", "node", "n", "alone", "centre")
+    stars = written(
+        listed.join(centre, F.col("value") == F.col("_value"))
+        .select(F.col("node").alias("a"), F.col("centre").alias("b"), "n", "alone", "shared").distinct()
     )
-    stars = centred.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    compared = _compared(stars, sketches, percent, all_rows=True)
+    compared = _compared(stars.select("a", "b", "shared"), sketches, percent, outlines=True)
     links = _confirmed(compared.where("a != b"), docs, width, percent)
 
+    # Whoever shares a list has its centre in common. Of the pairs around a centre, those in
+    # different parts have a member outside the part that is the largest there.
     merged = connected(links).select(F.col("node").alias("_in"), "component")
-    shape = compared.select(F.col("a").alias("_node"), F.col("b").alias("_centre"), "held", "beside")
     members = written(
-        centred.join(shape, (F.col("node") == F.col("_node")) & (F.col("centre") == F.col("_centre")))
-        .join(merged, F.col("node") == F.col("_in"), "left")
-        .select("value", F.struct(
-            "alone", "node", "n", "held", "beside", F.coalesce("component", "node").alias("part")
+        compared.join(stars.select("a", "b", "n", "alone"), ["a", "b"])
+        .join(merged, F.col("a") == F.col("_in"), "left")
+        .select(F.col("b").alias("centre"), F.struct(
+            F.col("a").alias("node"), "n", "alone", "held", "beside", "size", "sampled",
+            F.coalesce("component", "a").alias("part"),
         ).alias("m"))
     )
-    parts = members.groupBy("value", F.col("m.part").alias("part")).agg(F.count(F.lit(1)).alias("size"))
+    parts = members.groupBy("centre", F.col("m.part").alias("part")).agg(F.count(F.lit(1)).alias("size"))
     split = (
-        parts.groupBy("value").agg(F.max(F.struct("size", "part")).alias("largest"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1").select(F.col("value").alias("_value"), F.col("largest.part").alias("largest"))
+        parts.groupBy("centre").agg(F.max(F.struct("size", "part")).alias("largest"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1").select(F.col("centre").alias("_centre"), F.col("largest.part").alias("largest"))
     )
-    several = members.join(split, F.col("value") == F.col("_value")).select("value", "m", "largest")
-    # Every pair of different parts has a member outside the list's largest part.
+    several = members.join(split, F.col("centre") == F.col("_centre")).select("centre", "m", "largest")
     outside = several.where(F.col("m.part") != F.col("largest")).select(
-        F.col("value").alias("_value"), F.col("m").alias("o"), F.col("largest").alias("_largest")
+        F.col("centre").alias("_centre"), F.col("m").alias("o")
     )
     rest = (
-        several.join(outside, F.col("value") == F.col("_value"))
+        several.join(outside, F.col("centre") == F.col("_centre"))
         .where(
             (F.col("m.part") != F.col("o.part"))
             & ((F.col("m.part") == F.col("largest")) | (F.col("m.node") < F.col("o.node")))
@@ -313,7 +352,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .select(F.greatest("m.node", "o.node").alias("a"), F.least("m.node", "o.node").alias("b"))
         .distinct()
     )
-    again = _compared(written(rest), sketches, percent, all_rows=False)
+    again = _compared(written(rest), sketches, percent, outlines=False)
     links = links.unionByName(_confirmed(again, docs, width, percent))
 
     parts = connected(links)
