@@ -99,7 +99,7 @@ class _Forest:
         self.up[b] = a
 
 
-def _compared(stretch: pd.DataFrame, least: float) -> pd.DataFrame:
+def _compared(stretch: pd.DataFrame, least: float, window: int) -> pd.DataFrame:
     """(node, links, linked): links of this stretch's vectors within the window.
 
     ``linked`` joins the vectors that links connect, one link less than there are vectors.
@@ -115,13 +115,13 @@ def _compared(stretch: pd.DataFrame, least: float) -> pd.DataFrame:
     counts, forest = np.zeros(len(nodes), np.int64), _Forest(len(nodes))
     for low in range(0, begins, _TRIES):
         high = min(low + _TRIES, begins)
-        end = min(len(nodes), high + WINDOW)
+        end = min(len(nodes), high + window)
         a, b = np.nonzero(vectors[low:high] @ vectors[low:end].T >= least - 1e-9)
         a, b = a + low, b + low
-        near = (a < b) & (places[b, own] - places[a, own] <= WINDOW)
+        near = (a < b) & (places[b, own] - places[a, own] <= window)
         a, b = a[near], b[near]
         for earlier in range(own):
-            new = np.abs(places[a, earlier] - places[b, earlier]) > WINDOW
+            new = np.abs(places[a, earlier] - places[b, earlier]) > window
             a, b = a[new], b[new]
         exact = np.einsum("ij,ij->i", vectors[a], vectors[b]) >= least
         a, b = a[exact], b[exact]
@@ -136,7 +136,7 @@ def _compared(stretch: pd.DataFrame, least: float) -> pd.DataFrame:
 
 def near_duplicates(
     vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding",
-    seed: int = 1,
+    window: int = WINDOW, seed: int = 1,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``.
 
@@ -164,7 +164,7 @@ def near_duplicates(
         .select("node", "copies", "vector", "places")
     )
     own = placed.select("*", F.posexplode("places").alias("pass", "place"))
-    stretch = F.floor(F.col("place") / WINDOW)
+    stretch = F.floor(F.col("place") / window)
     halves = own.select(
         "pass", "node", "copies", "vector", "places",
         F.explode(F.array(
@@ -174,7 +174,7 @@ def near_duplicates(
     ).select("*", "h.stretch", "h.home").where("stretch >= 0").drop("h")
     found = written(
         halves.groupBy("pass", "stretch").applyInPandas(
-            lambda rows: _compared(rows, least) if rows["home"].any() else pd.DataFrame({"node": [], "links": [], "linked": []}),
+            lambda rows: _compared(rows, least, window) if rows["home"].any() else pd.DataFrame({"node": [], "links": [], "linked": []}),
             "node long, links long, linked long",
         )
     )

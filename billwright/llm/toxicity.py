@@ -169,7 +169,7 @@ def _marked(texts: list[list[str]], toxic: np.ndarray) -> set[int]:
 
 
 def fit(texts: list[str], toxic: list[int], rate: float, rounds: int = 40) -> Field:
-    """The field for labelled texts; every third of them sets the link to scores.
+    """The field for labelled texts; a third of them sets the link to scores.
 
     ``rate`` is the share of toxic documents where the texts come from, which may be
     another than that among the texts.
@@ -177,7 +177,7 @@ def fit(texts: list[str], toxic: list[int], rate: float, rounds: int = 40) -> Fi
     field = Field(np.zeros(WEIGHTS, np.float32), np.zeros((2, 2)), None)
     label = np.array(toxic, int)
     words = [_WORD.findall(text) for text in texts]
-    own = np.arange(len(words)) % 3 < 2
+    own = np.random.default_rng(0).permutation(len(words)) % 3 < 2
     if not (label[own].any() and label[~own].any() and (label[own] == 0).any() and (label[~own] == 0).any()):
         return field
     telling = _marked([w for w, o in zip(words, own) if o], label[own])

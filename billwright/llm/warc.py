@@ -187,7 +187,9 @@ def plan_records(pages: DataFrame) -> DataFrame:
     )
 
 
-def write_archives(planned: DataFrame, folder: str | None = None) -> DataFrame:
+def write_archives(
+    planned: DataFrame, folder: str | None = None, archive_bytes: int = ARCHIVE_BYTES
+) -> DataFrame:
     """Writes a record per row of ``plan_records`` and returns the manifest of the archives.
 
     Each attempt of a task writes files of its own. The manifest is written by Spark, so
@@ -212,7 +214,7 @@ def write_archives(planned: DataFrame, folder: str | None = None) -> DataFrame:
                 member = packer.compress(plain) + packer.flush()
                 out.write(member)
                 records, size = records + 1, size + len(member)
-                if size >= ARCHIVE_BYTES:
+                if size >= archive_bytes:
                     out.close()
                     done.append((f"{folder}/{name}", records, size))
                     out = None

@@ -1,0 +1,66 @@
+import random
+
+import public_tokenizers
+import pytest
+import regex
+import tiktoken
+
+from billwright.llm import bpe
+from llm_cases import DOCS, docs
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return bpe.Vocabulary.read(PATH)
+
+
+@pytest.fixture(scope="module")
+def library(vocabulary):
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary.ranks, special_tokens={}
+    )
+
+
+def test_replay_is_what_the_library_does(vocabulary, library):
+    random.seed(3)
+    texts = ["".join(random.choices("aabbcthe 1  éß日\n'sE", k=random.randint(0, 80))) for _ in range(3000)]
+    words = list({w for text in texts for w in regex.findall(public_tokenizers.PATTERN, text)})
+    words += ["a" * 3000, "ab" * 1500, " " * 500, "the" * 100, "x" * 64, "x" * 65]
+    found = vocabulary.replay([word.encode() for word in words])
+    assert found == [tuple(library._core_bpe.encode_single_piece(word.encode())) for word in words]
+    assert vocabulary.replay([]) == [] and vocabulary.replay([b""]) == [()]
+
+
+def test_a_rank_that_comes_up_goes_first():
+    ranks = {bytes([b]): b + 1000 for b in range(256)} | {b"ab": 5, b"aba": 2, b"abab": 7}
+    vocabulary = bpe.Vocabulary(ranks)
+    library = tiktoken.Encoding("tiny", pat_str=".+", mergeable_ranks=ranks, special_tokens={})
+    for word in (b"xabab", b"ababab", b"abaabab", b"ab" * 40):
+        assert vocabulary.replay([word])[0] == tuple(library._core_bpe.encode_single_piece(word))
+
+
+def test_whole_texts_and_back(spark, library):
+    encoded = bpe.encode(docs(spark), PATH, public_tokenizers.PATTERN)
+    assert encoded.columns == ["doc_id", "ids"]
+    rows = bpe.decode(encoded, PATH).collect()
+    found = sorted(((r["doc_id"] or 0, tuple(r["ids"]), bytes(r["decoded"])) for r in rows))
+    texts = [(i or 0, text or "") for i, text, _, _ in DOCS]
+    assert found == sorted((i, tuple(library.encode_ordinary(t)), t.encode()) for i, t in texts)
+
+
+def test_long_texts_go_in_pieces(spark, library, monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE_CHARS", 1000)
+    monkeypatch.setattr(bpe, "_WORDS_AT_ONCE", 300)
+    texts = ["some words, " * 400, "", "short", "x " * 3000]
+    split = regex.compile(public_tokenizers.PATTERN).finditer
+    slices = list(bpe._pieces(texts, split))
+    for n, text in enumerate(texts):
+        assert "".join(w for held in slices for m, ws in held if m == n for w in ws) == text
+
+
+def test_empty_table_and_null_ids(spark):
+    assert bpe.encode(docs(spark, []), PATH, public_tokenizers.PATTERN).collect() == []
+    nothing = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
+    assert bpe.decode(nothing, PATH).first()["decoded"] is None

@@ -1,0 +1,98 @@
+import numpy as np
+import pytest
+
+from billwright.llm import embeddings, topk
+from conftest import DATA
+
+SCHEMA = "vec_id long, embedding array<float>, label int, node string, vector string, score int"
+
+
+def _table(spark, rows):
+    return spark.createDataFrame([(i, v, 0, "x", None, 1) for i, v in rows], SCHEMA)
+
+
+ODD = [
+    (1, None), (2, [1.0, None, 0.0]), (3, [float("nan"), 1.0, 0.0]), (4, [float("inf"), 0.0, 1.0]), (5, []),
+    (6, [0.0, 0.0, 0.0]), (7, [1.0, 0.0, 0.0]), (8, [1.0, 0.0, 0.0]), (8, [1.0, 0.0, 0.0]), (9, [-0.0, 1.0, 0.0]),
+    (10, [0.0, 1.0, 0.0]), (None, [1.0, 0.0, 0.0]), (11, [2.0, 0.0, 0.0]),
+]
+
+
+def _usable(v):
+    return bool(v) and all(x is not None and np.isfinite(x) for x in v)
+
+
+def plain_top(rows, asked, k):
+    exact = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows if i is not None and _usable(v)]
+    found = set()
+    for q, a in {i: v for i, v in exact if asked(i)}.items():
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in exact if i != q)[:k]
+        found |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)}
+    return found
+
+
+@pytest.mark.parametrize("block", [3, 4096])
+def test_top_k_by_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", block)
+    rng = np.random.default_rng(2)
+    rows = [(n, np.float32(rng.normal(size=6)).tolist()) for n in range(60)]
+    rows += [(100 + n, rows[n % 3][1]) for n in range(40)]  # many ties
+    found = topk.top_k(_table(spark, rows), _table(spark, rows).where("vec_id % 7 = 0"), 5)
+    assert {tuple(r) for r in found.collect()} == plain_top(rows, lambda i: i % 7 == 0, 5)
+
+
+def test_top_k_of_odd_rows(spark):
+    table = _table(spark, ODD)
+    found = [tuple(r) for r in topk.top_k(table, table, 3).collect()]
+    assert set(found) == plain_top(ODD, lambda i: True, 3)
+    empty = table.where("false")
+    assert topk.top_k(empty, empty).collect() == [] and topk.top_k(table, empty).collect() == []
+    assert topk.top_k(table.where("vec_id = 7"), table.where("vec_id = 7")).collect() == []
+
+
+def plain_links(vectors, least=0.9):
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    return (unit @ unit.T >= least) & ~np.eye(len(unit), dtype=bool)
+
+
+def _component(links):
+    names = np.arange(len(links))
+    for _ in range(len(links)):
+        names = np.minimum(names, np.where(links, names[None, :], len(links)).min(1, initial=len(links)))
+    return names
+
+
+def test_links_in_planted_groups(spark):
+    """Windows smaller than the data: recall over links is at least 0.9, no false link."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(300, 32))
+    vectors = np.concatenate([c + rng.normal(scale=0.05, size=(n, 32)) for c, n in zip(centres, [1, 2, 5, 30] * 75)])
+    table = _table(spark, [(n, v.tolist()) for n, v in enumerate(vectors)])
+    rows = sorted(embeddings.near_duplicates(table, window=64).collect())
+    links = plain_links(np.float32(vectors).astype(float))
+    counts = np.array([r["n_links"] for r in rows])
+    assert (counts <= links.sum(1)).all() and counts.sum() >= 0.9 * links.sum()
+    expected = _component(links)
+    assert np.mean([r["component_id"] == e for r, e in zip(rows, expected)]) >= 0.99
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in rows)
+
+
+def test_recall_on_the_table(spark):
+    path = f"{DATA}/sf0.01/embeddings.parquet"
+    table = spark.read.parquet(path)
+    rows = sorted(embeddings.near_duplicates(table).collect())
+    data = table.orderBy("vec_id").toPandas()
+    links = plain_links(np.stack(data["embedding"]).astype(float))
+    assert [r["n_links"] for r in rows] == links.sum(1).tolist()
+
+
+def test_odd_vectors(spark):
+    rows = embeddings.near_duplicates(_table(spark, ODD)).collect()
+    assert len(rows) == len(ODD)
+    found = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in rows}
+    for alone in (1, 2, 3, 4, 5, 6):
+        assert found[alone] == (0, alone, True)
+    # 7, 8 twice and the row without id are equal; 11 points the same way.
+    assert found[7] == (4, 7, True) and found[8] == (4, 7, False) and found[None] == (4, 7, False)
+    assert found[11] == (4, 7, False) and found[9] == (1, 9, True) and found[10] == (1, 9, False)
+    assert embeddings.near_duplicates(_table(spark, [])).collect() == []
