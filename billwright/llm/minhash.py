@@ -11,10 +11,10 @@ enter the lists (values in most documents, such as those of a common passage, co
 
 In a list, every class is first compared with the list's most central one, which gives
 as many pairs as the list has members. What that links is merged. Around a centre that
-still has several components, the pairs between different components follow, unless what
-both hold of the centre leaves no room for the similarity: bitmaps tell that without a
-look at the sets. Estimates on the sketch of the union leave the pairs whose full sets
-are then compared.
+still has several components, those outside the largest meet all others, in cells of
+bounded size. There bitmaps of what each holds of the centre rule out most pairs without
+a look at the sets. Wherever two sets meet, the estimate on the sketch of their union
+filters, and the full sets decide.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +35,8 @@ from billwright.llm.components import connected
 #: Retained values of the two sketches, and the risk of overlooking a similar pair.
 COARSE, FINE = 32, 256
 RISK = 1e-7
+#: Classes on either side of a cell.
+BLOCK = 1024
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,6 +62,10 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
     return np.unique(hashes.view(np.int64))
 
 
+def _key(hashes: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - 2**63
+
+
 def _list_array(lists: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
     values = np.concatenate(lists) if lists else np.empty(0, np.int64)
@@ -66,14 +73,14 @@ def _list_array(lists: list[np.ndarray]) -> pa.ListArray:
 
 
 def sketched(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, text_key, n_shingles, set_key, coarse, fine) per row; set_key is null for no words."""
+    """(doc_id, text_key, n_shingles, set_key, coarse) per row; set_key is null for no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys_of_text, texts = batch.columns
             for start in range(0, batch.num_rows, 1000):
                 sets = [shingle_hashes(t, width) for t in texts.slice(start, 1000).to_pylist()]
-                keys = [xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 if len(s) else None for s in sets]
+                keys = [_key(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(start, 1000),
@@ -81,17 +88,15 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(keys, pa.int64()),
                         _list_array([s[:COARSE] for s in sets]),
-                        _list_array([s[:FINE] for s in sets]),
                     ],
-                    names=["doc_id", "text_key", "n_shingles", "set_key", "coarse", "fine"],
+                    names=["doc_id", "text_key", "n_shingles", "set_key", "coarse"],
                 )
 
     source = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_key"), docs["text"]
     )
     return source.mapInArrow(
-        run,
-        "doc_id long, text_key long, n_shingles long, set_key long, coarse array<long>, fine array<long>",
+        run, "doc_id long, text_key long, n_shingles long, set_key long, coarse array<long>"
     )
 
 
@@ -138,20 +143,26 @@ def _listed(classes: DataFrame, column: str, kept: int, percent: int) -> DataFra
     )
 
 
-def _may_match(a: str, b: str, percent: int) -> Column:
-    """Whether sizes, and values that are in no other class, leave room for the similarity.
+def full_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
+    """(node, n, set): the whole set of each class in ``chosen``, from the text of one document."""
 
-    Only where a sketch is the whole set do its lone values bound the overlap.
-    """
-    lone = lambda x: F.when(F.col(f"{x}.n") <= FINE, F.col(f"{x}.alone")).otherwise(0)
-    most = F.least(F.col(f"{a}.n") - lone(a), F.col(f"{b}.n") - lone(b))
-    return 100 * most >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - most)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                sets = [shingle_hashes(t, width) for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:2], part.column(3), _list_array(sets)], names=["node", "n", "copies", "set"]
+                )
+
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_key"))
+    rows = docs.join(chosen, same).select("node", "n", "text", "copies")
+    sets = written(rows.mapInArrow(run, "node long, n long, copies long, set array<long>"))
+    # Only a class of several rows can have been read from a repeated row.
+    once = sets.where("copies = 1").unionByName(sets.where("copies > 1").dropDuplicates(["node"]))
+    return once.select("node", "n", "set")
 
 
-COMPARED = (
-    "a long, b long, doc_a long, doc_b long, whole boolean, passed boolean, "
-    "held array<long>, beside int, size int, sampled boolean"
-)
 #: Of a sketch that isn't the whole set, the values below which others are surely known.
 _SURE = FINE * 3 // 4
 
@@ -183,103 +194,136 @@ def _outline(a: np.ndarray, whole_a: bool, shared: list[int], b: np.ndarray, who
     return np.packbits(bits).view(np.int64).tolist(), beside, len(a)
 
 
-def _compared(pairs: DataFrame, sketches: DataFrame, percent: int, outlines: bool) -> DataFrame:
-    """Compares the sketches of (a, b), or (a, b, shared); the pairs that may be similar.
+def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two full sets are similar enough; the sketch of the union is asked first."""
+    if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
+        return False
+    if max(len(a), len(b)) > FINE:
+        part_a, part_b = a[:FINE], b[:FINE]
+        union = np.union1d(part_a, part_b)[:FINE]
+        both = np.intersect1d(part_a, part_b, assume_unique=True)
+        found = np.searchsorted(both, union[-1], side="right")
+        if found / len(union) < percent / 100 - _slack(percent, FINE):
+            return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+COMPARED = (
+    "a long, b long, n long, alone long, alike boolean, "
+    "held array<long>, beside long, size long, sampled boolean"
+)
+
+
+def _compared(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Compares each class a with its centre b, and draws its outline against the centre.
 
-    ``whole`` says that both sketches are whole sets, so that ``passed`` is final. With
-    ``outlines`` all pairs stay: ``held`` has a bit for each value of b that a holds,
-    ``beside`` is the number of a's other values that are in more than one class.
+    ``held`` has a bit for each value of b's sketch that a holds, ``beside`` is the number
+    of a's other values that are in more than one class.
     """
-    side = lambda x: sketches.select(
-        F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}"),
-        F.col("doc_id").alias(f"doc_{x}"),
-    )
-    more = F.col("shared") if outlines else F.lit(None).cast("array<long>").alias("shared")
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select(
-        "a", "b", "doc_a", "doc_b", "n_a", "n_b", "fine_a", "fine_b", more
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
+    joined = stars.join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", "n", "alone", "shared", "set_a", "set_b"
     )
-    slack = _slack(percent, FINE)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_a, n_b = (batch.column(n).to_numpy() for n in (4, 5))
-            keep, whole, good, shapes = [], [], [], []
-            for n, (a, b, shared) in enumerate(zip(*batch.columns[6:])):
+            alike, shapes, sampled = [], [], []
+            for shared, a, b in zip(*batch.columns[4:]):
                 a, b = a.values.to_numpy(), b.values.to_numpy()
-                both = np.intersect1d(a, b, assume_unique=True)
-                if complete := n_a[n] <= FINE and n_b[n] <= FINE:
-                    passed = 100 * len(both) >= percent * (len(a) + len(b) - len(both))
-                else:
-                    union = np.union1d(a, b)[:FINE]
-                    found = np.searchsorted(both, union[-1], side="right")
-                    passed = found / len(union) >= percent / 100 - slack
-                if passed or outlines:
-                    keep.append(n)
-                    whole.append(complete)
-                    good.append(passed)
-                    shape = _outline(a, n_a[n] <= FINE, shared.as_py(), b, n_b[n] <= FINE) if outlines else None
-                    shapes.append(shape or (None, None, None))
-            if keep:
-                kept = batch.take(pa.array(keep))
-                held, beside, size = zip(*shapes)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *kept.columns[:4], pa.array(whole, pa.bool_()), pa.array(good, pa.bool_()),
-                        pa.array(held, pa.list_(pa.int64())), pa.array(beside, pa.int32()),
-                        pa.array(size, pa.int32()), pa.array(n_b[keep] > FINE),
-                    ],
-                    names=[field.split()[0] for field in COMPARED.split(", ")],
-                )
+                alike.append(_alike(a, b, percent))
+                shape = _outline(a[:FINE], len(a) <= FINE, shared.as_py(), b[:FINE], len(b) <= FINE)
+                shapes.append(shape or (None, None, None))
+                sampled.append(len(b) > FINE)
+            held, beside, size = zip(*shapes) if shapes else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[:4], pa.array(alike, pa.bool_()), pa.array(held, pa.list_(pa.int64())),
+                    pa.array(beside, pa.int64()), pa.array(size, pa.int64()), pa.array(sampled, pa.bool_()),
+                ],
+                names=[field.split()[0] for field in COMPARED.split(", ")],
+            )
 
     return written(joined.mapInArrow(compare, COMPARED))
 
 
-def _confirmed(compared: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b) for the pairs that are similar enough; full sets decide where sketches don't."""
-    open_ = compared.where("passed and not whole").select("a", "b", "doc_a", "doc_b")
-    ids = open_.select(F.explode(F.array("doc_a", "doc_b")).alias("_doc")).distinct()
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
-    sets = full_sets(texts, width).dropDuplicates(["node"])
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    exact = (
-        open_.join(side("b"), "b").join(side("a"), "a")
-        .where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both))
-    )
-    return written(compared.where("passed and whole").select("a", "b").unionByName(exact.select("a", "b")))
-
-
-def _room(a: str, b: str, percent: int) -> Column:
-    """Whether the outlines of two against their list's centre leave room for the similarity.
-
-    What they share is in the centre and held by both, or beside it and shared by both.
+def _rooms(one: pd.Series, rows: pd.DataFrame, held: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows may be similar to one, by sizes and by outlines against the same centre."""
+    lone = np.where(rows["n"] <= FINE, rows["alone"], 0)
+    most = np.minimum(rows["n"] - lone, one["n"] - (one["alone"] if one["n"] <= FINE else 0))
+    room = (100 * most >= percent * (rows["n"] + one["n"] - most)).to_numpy()
+    if one["held"] is not None:
+        # What two share is in the centre and held by both, or beside it and shared by both.
+        both = np.bitwise_count(held & np.array(one["held"])).sum(1)
+        most = both + np.minimum(rows["beside"].to_numpy(), one["beside"])
+        needed = percent - 100 * _slack(percent, _SURE) * bool(one["sampled"])
+        enough = 100 * most >= needed * (rows["size"].to_numpy() + one["size"] - most)
+        room &= enough | rows["held"].isna().to_numpy()
+    return room
+
+
+def _links_in_cell(cell: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """(a, b): links between outsiders and members of other parts, one for each pair of parts."""
+    rows = cell[~cell["out"]].reset_index(drop=True)
+    outsiders, links, linked = cell[cell["out"]], [], set()
+    if len(rows) and len(outsiders):
+        nothing = [0] * (FINE // 64)
+        held = np.array([nothing if h is None else list(h) for h in rows["held"]], np.int64)
+        parts, nodes, sets = (rows[name].to_numpy() for name in ("part", "node", "set"))
+        for _, one in outsiders.iterrows():
+            for n in np.flatnonzero((parts != one["part"]) & _rooms(one, rows, held, percent)):
+                pair = (min(parts[n], one["part"]), max(parts[n], one["part"]))
+                if pair not in linked and _alike(np.asarray(one["set"]), np.asarray(sets[n]), percent):
+                    linked.add(pair)
+                    links.append((one["node"], nodes[n]))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def _links_around(compared: DataFrame, links: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b): links between the components that share a centre, as far as it takes to merge them.
+
+    Classes outside the largest component around a centre meet all classes there. Both
+    sides are dealt into blocks, and a cell holds one block of each.
     """
-    held = F.lit(0)
-    for n in range(FINE // 64):
-        held = held + F.bit_count(F.col(f"{a}.held")[n].bitwiseAND(F.col(f"{b}.held")[n]))
-    most = held + F.least(F.col(f"{a}.beside"), F.col(f"{b}.beside"))
-    needed = F.when(F.col(f"{a}.sampled"), F.lit(percent - 100 * _slack(percent, _SURE))).otherwise(F.lit(float(percent)))
-    enough = 100 * most >= needed * (F.col(f"{a}.size") + F.col(f"{b}.size") - most)
-    return F.col(f"{a}.held").isNull() | F.col(f"{b}.held").isNull() | enough
-
-
-def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(node, set): the whole set of shingles of each row that has one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                sets = [shingle_hashes(t, width) for t in batch.column(0).slice(start, 200).to_pylist()]
-                sets = [s for s in sets if len(s)]
-                keys = [xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), _list_array(sets)], names=["node", "set"]
-                )
-
-    return docs.select("text").mapInArrow(run, "node long, set array<long>")
+    merged = connected(links).select(F.col("node").alias("_in"), "component")
+    members = written(
+        compared.join(merged, F.col("a") == F.col("_in"), "left").select(
+            F.col("a").alias("node"), F.col("b").alias("centre"), "n", "alone", "held", "beside",
+            "size", "sampled", F.coalesce("component", "a").alias("part"),
+        )
+    )
+    parts = members.groupBy("centre", "part").agg(F.count(F.lit(1)).alias("c"))
+    split = (
+        parts.groupBy("centre").agg(
+            F.max(F.struct("c", "part")).alias("largest"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("parts")
+        )
+        .where("parts > 1")
+        .select(
+            F.col("centre").alias("_centre"), F.col("largest.part").alias("_largest"),
+            F.ceil(F.col("all") / block).alias("_blocks"),
+            F.ceil((F.col("all") - F.col("largest.c")) / block).alias("_out_blocks"),
+        )
+    )
+    several = members.join(split, F.col("centre") == F.col("_centre"))
+    numbers = lambda upto: F.sequence(F.lit(0).cast("long"), upto - 1)
+    in_block = F.pmod(F.xxhash64("node"), F.col("_blocks"))
+    out_block = F.pmod(F.xxhash64("node"), F.col("_out_blocks"))
+    as_member = F.transform(numbers(F.col("_out_blocks")), lambda k: F.struct(in_block.alias("i"), k.alias("j"), F.lit(False).alias("out")))
+    as_outsider = F.transform(numbers(F.col("_blocks")), lambda k: F.struct(k.alias("i"), out_block.alias("j"), F.lit(True).alias("out")))
+    places = F.when(F.col("part") == F.col("_largest"), as_member).otherwise(F.concat(as_member, as_outsider))
+    cells = (
+        several.join(sets.select(F.col("node").alias("_node"), "set"), F.col("node") == F.col("_node"))
+        .select(
+            "centre", "node", "n", "alone", "held", "beside", "size", "sampled", "part", "set",
+            F.inline(places),
+        )
+    )
+    return written(
+        cells.groupBy("centre", "i", "j").applyInPandas(lambda cell: _links_in_cell(cell, percent), "a long, b long")
+    )
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id, kept) for every row of ``docs``.
 
     Rows are linked whose sets of ``width``-word shingles have a Jaccard similarity of at
@@ -293,9 +337,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     rows = written(sketched(docs, width))
+    one = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
     classes = written(
-        rows.where("set_key is not null").groupBy(F.col("set_key").alias("node"))
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("coarse").alias("coarse"))
+        rows.where("set_key is not null").groupBy(F.col("set_key").alias("node")).agg(
+            F.min("doc_id").alias("doc_id"), F.min(one).alias("one"), F.count(F.lit(1)).alias("copies"),
+            F.first("n_shingles").alias("n"), F.first("coarse").alias("coarse"),
+        )
     )
     coarse = written(_listed(classes, "coarse", COARSE, percent).select("value", "node"))
     near = coarse.groupBy("value").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -303,61 +350,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         coarse.join(near.select(F.col("value").alias("_value")), F.col("value") == F.col("_value"))
         .select(F.col("node").alias("_node")).distinct()
     )
-    chosen = classes.join(some, F.col("node") == F.col("_node"), "left_semi").select("node", "doc_id", "n")
-    sketches = written(
-        rows.select("set_key", F.col("doc_id").alias("_doc"), "fine")
-        .join(chosen, (F.col("set_key") == F.col("node")) & F.col("_doc").eqNullSafe(F.col("doc_id")))
-        .select("node", "doc_id", "n", "fine").dropDuplicates(["node"])
+    chosen = classes.join(some, F.col("node") == F.col("_node"), "left_semi").select(
+        "node", "n", "copies", F.col("one.doc_id").alias("_doc"), F.col("one.text_key").alias("_key")
     )
-    listed = written(_listed(sketches, "fine", FINE, percent))
-
+    sets = written(full_sets(docs, chosen, width))
+    fine = sets.select("node", "n", F.slice("set", 1, FINE).alias("fine"))
+    listed = written(_listed(fine, "fine", FINE, percent))
     centre = listed.groupBy("value").agg(
-        F.min(F.struct("alone", "node", "n")).alias("c"), F.count(F.lit(1)).alias("members")
+        F.min(F.struct("alone", "node")).alias("c"), F.count(F.lit(1)).alias("members")
     ).where("members > 1").select(F.col("value").alias("_value"), F.col("c.node").alias("centre"))
+    # Whoever shares a list has its centre in common, so centres stand for lists from here.
     stars = written(
         listed.join(centre, F.col("value") == F.col("_value"))
         .select(F.col("node").alias("a"), F.col("centre").alias("b"), "n", "alone", "shared").distinct()
     )
-    compared = _compared(stars.select("a", "b", "shared"), sketches, percent, outlines=True)
-    links = _confirmed(compared.where("a != b"), docs, width, percent)
-
-    # Whoever shares a list has its centre in common. Of the pairs around a centre, those in
-    # different parts have a member outside the part that is the largest there.
-    merged = connected(links).select(F.col("node").alias("_in"), "component")
-    members = written(
-        compared.join(stars.select("a", "b", "n", "alone"), ["a", "b"])
-        .join(merged, F.col("a") == F.col("_in"), "left")
-        .select(F.col("b").alias("centre"), F.struct(
-            F.col("a").alias("node"), "n", "alone", "held", "beside", "size", "sampled",
-            F.coalesce("component", "a").alias("part"),
-        ).alias("m"))
-    )
-    parts = members.groupBy("centre", F.col("m.part").alias("part")).agg(F.count(F.lit(1)).alias("size"))
-    split = (
-        parts.groupBy("centre").agg(F.max(F.struct("size", "part")).alias("largest"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1").select(F.col("centre").alias("_centre"), F.col("largest.part").alias("largest"))
-    )
-    several = members.join(split, F.col("centre") == F.col("_centre")).select("centre", "m", "largest")
-    outside = several.where(F.col("m.part") != F.col("largest")).select(
-        F.col("centre").alias("_centre"), F.col("m").alias("o")
-    )
-    rest = (
-        several.join(outside, F.col("centre") == F.col("_centre"))
-        .where(
-            (F.col("m.part") != F.col("o.part"))
-            & ((F.col("m.part") == F.col("largest")) | (F.col("m.node") < F.col("o.node")))
-            & _may_match("m", "o", percent)
-            & _room("m", "o", percent)
-        )
-        .select(F.greatest("m.node", "o.node").alias("a"), F.least("m.node", "o.node").alias("b"))
-        .distinct()
-    )
-    again = _compared(written(rest), sketches, percent, outlines=False)
-    links = links.unionByName(_confirmed(again, docs, width, percent))
+    compared = _compared(stars, sets, percent)
+    links = compared.where("alike and a != b").select("a", "b")
+    links = links.unionByName(_links_around(compared, links, sets, percent, block))
 
     parts = connected(links)
     first = (
-        parts.join(sketches.select("node", "doc_id"), "node")
+        parts.join(classes.select("node", "doc_id"), "node")
         .groupBy("component").agg(F.min("doc_id").alias("first"))
     )
     named = parts.join(first, "component").select(F.col("node").alias("_node"), "first")
