@@ -1,15 +1,16 @@
 """Scores of texts under a hashed maximum-entropy model with class-factored softmax.
 
 P(word | history) = P(class | history) * P(word | class). A word's class follows from
-its last letters. The class is a softmax over hashed features of the history: the word
+its ending. The class is a softmax over hashed features of the history: the word
 before, the word before that (a skip), and both together. Its weights are trained by
 gradient steps in every task, whose results are averaged by use over all tasks and sent
 out again. The word within its class is a softmax with one weight for each word, which
 has a closed form: add-one counts, with one place for all unknown words.
 
 Texts are read once and packed: a row holds about a million tokens as numbers into the
-row's own list of words, so that a row is all that a task needs to train. Counts of the
-corpus meet the rows' word lists in a join, never the tokens.
+row's own list of words, so that a row is all that a task needs to train. Words are told
+apart by a hash of 64 bits. Counts of the corpus are taken over the rows' word lists and
+go back to the rows; tokens are never shuffled one by one.
 """
 
 from __future__ import annotations
@@ -21,53 +22,77 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billwright.llm.common import written
 
 #: Classes (the end of a text is one), buckets of features, and synchronised rounds.
-CLASSES = 24
+CLASSES = 16
 BUCKETS = 1 << 15
 ROUNDS = 2
 TOKENS_PER_ROW = 1_000_000
 _STEP = 16_384
 _RATE = 0.7
-END = "\n"  # no word holds white space
+END = b"\n"  # no word holds white space
 _FEATURES = 3
 _START = np.uint64(0x51ED270B)
 
 PACKED = (
-    "row string, doc_ids array<long>, held array<boolean>, sizes array<int>, "
-    "ids array<int>, words array<string>, train array<int>"
+    "row long, doc_ids array<long>, held array<boolean>, sizes array<int>, ids binary, "
+    "hashes array<long>, classes array<tinyint>, train array<int>"
 )
 
 
+def word_hash(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word)
+
+
+def word_class(word: bytes) -> int:
+    """0 for the end of a text, else from the word's last two bytes."""
+    return 0 if word == END else 1 + xxhash.xxh32_intdigest(word[-2:]) % (CLASSES - 1)
+
+
+def _folded(ids: np.ndarray) -> bytes:
+    """Numbers byte by byte, as most of their upper bytes are 0."""
+    return zstandard.compress(ids.astype(np.int32).view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unfolded(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.int32).ravel()
+
+
 def pack(docs: DataFrame, held_out: Column) -> DataFrame:
     """Rows of about a million tokens, written once.
 
     ``sizes`` are the tokens of each document, its end included; ``ids`` number the
-    row's own ``words``, and ``train`` counts each word in documents that aren't held.
-    A document is never divided.
+    row's own words, which are there as ``hashes`` and ``classes``, and ``train`` counts
+    each word in documents that aren't held. A document is never divided.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc_ids, held, sizes, ids, known = [], [], [], [], {b"\n": 0}
+        doc_ids, held, sizes, ids, known, total = [], [], [], [], {END: 0}, 0
 
         def row() -> pa.RecordBatch:
             flat = np.concatenate(ids)
             learned = np.repeat(~np.array(held), sizes)
             train = np.bincount(flat[learned], minlength=len(known)).astype(np.int32)
+            hashes = np.array([word_hash(w) for w in known], np.uint64).view(np.int64)
             values = (
-                str(uuid.uuid4()), doc_ids, held, sizes, flat, [w.decode() for w in known], train,
+                uuid.uuid4().int >> 65, doc_ids, held, sizes, _folded(flat), hashes,
+                np.array(list(map(word_class, known)), np.int8), train,
+            )
+            types = (
+                pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(),
+                pa.list_(pa.int64()), pa.list_(pa.int8()), pa.list_(pa.int32()),
             )
-            types = (pa.string(), *map(pa.list_, (pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.int32())))
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], t) for v, t in zip(values, types)],
                 names=[field.split()[0] for field in PACKED.split(", ")],
             )
 
-        total = 0
         for batch in batches:
             for doc_id, text, out in zip(*(column.to_pylist() for column in batch.columns)):
                 words = (text or "").encode().lower().split()
@@ -80,7 +105,7 @@ def pack(docs: DataFrame, held_out: Column) -> DataFrame:
                 total += len(own)
                 if total >= TOKENS_PER_ROW:
                     yield row()
-                    doc_ids, held, sizes, ids, known, total = [], [], [], [], {b"\n": 0}, 0
+                    doc_ids, held, sizes, ids, known, total = [], [], [], [], {END: 0}, 0
         if doc_ids:
             yield row()
 
@@ -90,15 +115,6 @@ def pack(docs: DataFrame, held_out: Column) -> DataFrame:
     return written(source.mapInArrow(run, PACKED))
 
 
-def word_hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode())
-
-
-def word_class(word: str) -> int:
-    """0 for the end of a text, else from the word's last two letters."""
-    return 0 if word == END else 1 + xxhash.xxh32_intdigest(word[-2:].encode()) % (CLASSES - 1)
-
-
 def _mixed(values: np.ndarray, salt: int) -> np.ndarray:
     values = (values ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
     return ((values ^ (values >> np.uint64(31))) % np.uint64(BUCKETS)).astype(np.int32)
@@ -152,10 +168,10 @@ def _trained(packed: DataFrame, weights: np.ndarray) -> np.ndarray:
         own, used = shared.value.copy(), np.zeros(BUCKETS + 1, np.float32)
         for batch in batches:
             for n in range(batch.num_rows):
-                held, sizes, ids = (batch.column(c)[n].values.to_numpy(zero_copy_only=False) for c in range(3))
-                words = batch.column(3)[n].values.to_pylist()
-                buckets = features(ids, sizes, np.array([word_hash(w) for w in words], np.uint64))
-                classes = np.array([word_class(w) for w in words])[ids]
+                held, sizes, hashes = (batch.column(c)[n].values.to_numpy(zero_copy_only=False) for c in range(3))
+                ids = _unfolded(batch.column(3)[n].as_py())
+                buckets = features(ids, sizes, hashes.view(np.uint64))
+                classes = batch.column(4)[n].values.to_numpy()[ids]
                 learned = np.repeat(~held.astype(bool), sizes)
                 _descend(own, used, buckets[:, learned], classes[learned])
         at = np.flatnonzero(used)
@@ -167,7 +183,7 @@ def _trained(packed: DataFrame, weights: np.ndarray) -> np.ndarray:
             )
 
     names = ["used", *(f"w{c}" for c in range(CLASSES))]
-    steps = packed.select("held", "sizes", "ids", "words").mapInArrow(
+    steps = packed.select("held", "sizes", "hashes", "ids", "classes").mapInArrow(
         run, "bucket int, " + ", ".join(f"{name} float" for name in names)
     )
     # As many rows as the model has buckets, whatever the corpus.
@@ -190,29 +206,32 @@ class Totals:
 
 
 def counted(packed: DataFrame) -> DataFrame:
-    """(word, count): every token of the documents that aren't held out."""
-    each = packed.select(F.explode(F.arrays_zip("words", "train")).alias("w")).select("w.words", "w.train")
-    return written(
-        each.where("train > 0").groupBy(F.col("words").alias("word")).agg(F.sum("train").alias("count"))
+    """(row, at, count, first, class): how often the documents to learn from have each word of a row.
+
+    ``first`` is set for one of the rows that share a word. One shuffle of the rows' word
+    lists; the most frequent word is in it once for each packed row.
+    """
+    words = F.posexplode(F.arrays_zip("hashes", "train", "classes"))
+    each = packed.select("row", words.alias("at", "w")).select(
+        "row", "at", F.col("w.hashes").alias("hash"), F.col("w.train").alias("train"),
+        F.col("w.classes").alias("class"),
     )
+    same = Window.partitionBy("hash")
+    count = F.sum("train").over(same)
+    place = F.struct("row", "at")
+    return written(each.select(
+        "row", "at", count.alias("count"),
+        ((F.min(place).over(same) == place) & (count > 0)).alias("first"), "class",
+    ))
 
 
 def totals(counts: DataFrame) -> Totals:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-        for batch in batches:
-            classes = np.array([word_class(w) for w in batch.column(0).to_pylist()], int)
-            np.add.at(tokens, classes, batch.column(1).to_numpy())
-            kinds += np.bincount(classes, minlength=CLASSES)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(CLASSES)), pa.array(tokens), pa.array(kinds)], names=["c", "tokens", "kinds"]
-        )
-
-    found = counts.select("word", "count").mapInArrow(run, "c long, tokens long, kinds long")
-    rows = found.groupBy("c").agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).collect()
+    rows = counts.where("first").groupBy("class").agg(
+        F.sum("count").alias("tokens"), F.count(F.lit(1)).alias("kinds")
+    ).collect()
     tokens, kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for row in rows:
-        tokens[row["c"]], kinds[row["c"]] = row["tokens"], row["kinds"]
+        tokens[row["class"]], kinds[row["class"]] = row["tokens"], row["kinds"]
     return Totals(int(tokens.sum()), int(kinds.sum()), tokens, kinds)
 
 
@@ -225,17 +244,15 @@ def _rated(packed: DataFrame, weights: np.ndarray, known: Totals) -> DataFrame:
         weights, known = shared.value
         for batch in batches:
             for n in range(batch.num_rows):
-                doc_ids, held, sizes, ids = (batch.column(c)[n].values for c in range(4))
-                sizes, ids = sizes.to_numpy(), ids.to_numpy()
-                words = batch.column(4)[n].values.to_pylist()
-                counts = np.zeros(len(words), np.int64)
-                if batch.column(5)[n].is_valid:
-                    at = batch.column(5)[n].values
-                    counts[at.field(0).to_numpy()] = at.field(1).to_numpy()
-                classes = np.array([word_class(w) for w in words])
+                doc_ids, held, sizes, hashes, found = (batch.column(c)[n].values for c in range(5))
+                sizes, hashes = sizes.to_numpy(), hashes.to_numpy().view(np.uint64)
+                ids = _unfolded(batch.column(5)[n].as_py())
+                classes = batch.column(6)[n].values.to_numpy()
+                counts = np.empty(len(classes), np.int64)
+                counts[found.field(0).to_numpy()] = found.field(1).to_numpy()
                 base = np.log10((counts + 1) / (known.tokens + known.kinds + 1))
                 within = np.log10((counts + 1) / (known.class_tokens + known.class_kinds + 1)[classes])
-                buckets = features(ids, sizes, np.array([word_hash(w) for w in words], np.uint64))
+                buckets = features(ids, sizes, hashes)
                 score = np.empty(len(ids))
                 for low in range(0, len(ids), _STEP):
                     of = classes[ids[low : low + _STEP]]
@@ -253,7 +270,7 @@ def _rated(packed: DataFrame, weights: np.ndarray, known: Totals) -> DataFrame:
                     names=[field.split()[0] for field in schema.split(", ")],
                 )
 
-    return packed.select("doc_ids", "held", "sizes", "ids", "words", "counts").mapInArrow(run, schema)
+    return packed.select("doc_ids", "held", "sizes", "hashes", "counts", "ids", "classes").mapInArrow(run, schema)
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -273,9 +290,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     weights = np.zeros((BUCKETS + 1, CLASSES), np.float32)
     for number in range(ROUNDS):
         weights = _trained(packed.where(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == number), weights)
-    lists = packed.select("row", F.posexplode("words").alias("at", "word"))
-    found = (
-        lists.join(counts, "word").groupBy(F.col("row").alias("_row"))
-        .agg(F.collect_list(F.struct("at", F.col("count").cast("long").alias("count"))).alias("counts"))
+    found = counts.groupBy(F.col("row").alias("_row")).agg(
+        F.collect_list(F.struct("at", "count")).alias("counts")
     )
-    return _rated(packed.join(found, F.col("row") == F.col("_row"), "left"), weights, totals(counts))
+    known = totals(counts)
+    return _rated(packed.drop("train").join(found, F.col("row") == F.col("_row")), weights, known)

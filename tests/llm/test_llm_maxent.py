@@ -86,5 +86,16 @@ def test_odd_rows(spark):
 
 
 def test_counts(spark):
-    whole = maxent.counted(maxent.pack(docs(spark), F.lit(False))).collect()
-    assert {r["word"]: r["count"] for r in whole}["the"] == 6
+    packed = maxent.pack(docs(spark), F.lit(False))
+    known = maxent.totals(maxent.counted(packed))
+    tokens = [t for _, text, *_ in DOCS for t in [*(text or "").encode().lower().split(), b"\n"]]
+    assert (known.tokens, known.kinds) == (len(tokens), len(set(tokens)))
+    classes = [maxent.word_class(t) for t in tokens]
+    assert known.class_tokens.tolist() == np.bincount(classes, minlength=maxent.CLASSES).tolist()
+    kinds = [maxent.word_class(t) for t in set(tokens)]
+    assert known.class_kinds.tolist() == np.bincount(kinds, minlength=maxent.CLASSES).tolist()
+
+
+def test_numbers_come_back():
+    ids = np.array([0, 1, 255, 256, 70_000, 2**31 - 1], np.int32)
+    assert (maxent._unfolded(maxent._folded(ids)) == ids).all()
