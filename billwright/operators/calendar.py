@@ -7,23 +7,41 @@ small as the calendar itself.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Holidays on the same day every year, as (month, day, name).
+# Holidays on the same day every year, as (month, day, name, first year).
 FIXED_HOLIDAYS = (
-    (1, 1, "Confraternização Universal"),
-    (4, 21, "Tiradentes"),
-    (5, 1, "Dia do Trabalhador"),
-    (9, 7, "Independência do Brasil"),
-    (10, 12, "Nossa Senhora Aparecida"),
-    (11, 2, "Finados"),
-    (11, 15, "Proclamação da República"),
-    (12, 25, "Natal"),
+    (1, 1, "Confraternização Universal", 1900),
+    (4, 21, "Tiradentes", 1900),
+    (5, 1, "Dia do Trabalhador", 1900),
+    (9, 7, "Independência do Brasil", 1900),
+    (10, 12, "Nossa Senhora Aparecida", 1980),
+    (11, 2, "Finados", 1900),
+    (11, 15, "Proclamação da República", 1900),
+    (11, 20, "Dia Nacional de Zumbi e da Consciência Negra", 2024),
+    (12, 25, "Natal", 1900),
 )
 GOOD_FRIDAY = "Sexta-feira Santa"
+
+# Holidays that go with Easter Sunday, as (days after it, name, first year).
+MOVABLE_HOLIDAYS = ((-2, GOOD_FRIDAY, 1900),)
+
+# Days on which many firms close although they are no holidays by law.
+OPTIONAL_DAYS = (
+    (-48, "Carnaval (segunda-feira)", 1900),
+    (-47, "Carnaval", 1900),
+    (-46, "Quarta-feira de Cinzas", 1900),
+    (60, "Corpus Christi", 1900),
+)
+
+# What states add, as MOVABLE_HOLIDAYS. Espírito Santo: by state law of 2019.
+STATE_HOLIDAYS = {"ES": ((8, "Nossa Senhora da Penha", 2020),)}
+
 REGION = "BR"
+STATE = "ES"
 
 # "compat" skips weekends once and then holidays once, so that a holiday on a
 # Friday yields the Saturday; "strict" wants a day that is neither.
@@ -72,30 +90,42 @@ def easter_sundays(years: DataFrame) -> DataFrame:
     return steps.select("year", "easter")
 
 
-def holidays(years: DataFrame) -> DataFrame:
-    """``years(year)`` -> ``(date, name, region)``: the nationwide holidays of these years.
+def holidays(years: DataFrame, state: str | None = STATE, optional: bool = False) -> DataFrame:
+    """``years(year)`` -> ``(date, name, region)``: the holidays of these years.
 
-    Any table of this form can take its place, for instance with those of a state.
+    The nationwide ones, those of ``state`` (none if it is null) and, if asked for, the
+    optional days. A holiday begins with the year that its law says. Any table of this
+    form can take its place.
     """
-    fixed = F.array(*[
-        F.struct(
-            F.make_date("year", F.lit(month), F.lit(day)).alias("date"), F.lit(name).alias("name")
-        )
-        for month, day, name in FIXED_HOLIDAYS
-    ])
-    fridays = easter_sundays(years).select(
-        F.date_sub("easter", 2).alias("date"), F.lit(GOOD_FRIDAY).alias("name")
+
+    def days(named: tuple, date: Callable[..., Column]) -> Column:
+        return F.array(*[
+            F.struct(
+                date(*when).alias("date"), F.lit(name).alias("name"), F.lit(region).alias("region"),
+                F.lit(first).alias("first"),
+            )
+            for region, (*when, name, first) in named
+        ])
+
+    movable = [(REGION, day) for day in MOVABLE_HOLIDAYS + (OPTIONAL_DAYS if optional else ())]
+    if state is not None:
+        movable += [(f"{REGION}-{state}", day) for day in STATE_HOLIDAYS[state]]
+    fixed = days(
+        tuple((REGION, day) for day in FIXED_HOLIDAYS),
+        lambda month, day: F.make_date("year", F.lit(month), F.lit(day)),
     )
-    return (
-        years.select(F.inline(fixed))
-        .unionByName(fridays)
-        .withColumn("region", F.lit(REGION))
+    after_easter = days(tuple(movable), lambda after: F.date_add("easter", after))
+    named = years.select("year", F.inline(fixed)).unionByName(
+        easter_sundays(years).select("year", F.inline(after_easter))
     )
+    return named.where(F.col("year") >= F.col("first")).select("date", "name", "region")
 
 
-def holidays_around(days: DataFrame, day: str = "as_of") -> DataFrame:
-    """The nationwide holidays of the years that ``days`` touches."""
-    return holidays(days.select(F.year(day).alias("year")).distinct())
+def holidays_around(
+    days: DataFrame, day: str = "as_of", state: str | None = STATE, optional: bool = False
+) -> DataFrame:
+    """The holidays of the years that ``days`` touches."""
+    return holidays(days.select(F.year(day).alias("year")).distinct(), state, optional)
 
 
 def first_business_days(months: DataFrame, holiday_table: DataFrame, mode: str = COMPAT) -> DataFrame:

@@ -5,47 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billwright.operators.storage import use_shared_folder
-
-# A group of more equal rows than this is unfolded by several tasks.
-_CHUNK = 1 << 16
+from billwright.operators.storage import stored
 
 # monotonically_increasing_id keeps the partition above the row number.
 _ROW_BITS = 33
 
 
-def _unfolded(folded: DataFrame) -> DataFrame:
-    """One row per copy, numbered; the copies of a large group are made by many tasks."""
-    few = folded.where(F.col("_copies") <= _CHUNK).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))
-    )
-    chunks = folded.where(F.col("_copies") > _CHUNK).withColumn(
-        "_from", F.explode(F.sequence(F.lit(1).cast("long"), "_copies", F.lit(_CHUNK).cast("long")))
-    )
-    upto = F.least(F.col("_copies"), F.col("_from") + _CHUNK - 1)
-    many = chunks.repartition("_from").withColumn("_copy", F.explode(F.sequence("_from", upto)))
-    return few.unionByName(many.drop("_from")).drop("_copies")
-
-
 def with_position(df: DataFrame, order: list[Column], name: str = "idx") -> DataFrame:
     """Add the position of each row in the given order, which must name every column.
 
-    Equal rows are counted first and then told apart by a copy number, so that
-    the sort can cut anywhere. The sorted range partitions are written to the
-    checkpoint folder, which fixes them while they are counted; a row's position
-    is the rows in the partitions before its own plus its place in its own.
+    The rows are stored, and their place in the files tells equal ones apart, so that
+    the sort can cut anywhere. The sorted range partitions are stored as well, which
+    fixes them while they are counted; a row's position is the rows in the partitions
+    before its own plus its place in its own. One shuffle, by range.
     """
     columns = df.columns
-    use_shared_folder(df.sparkSession)
-    folded = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    fixed = (
-        _unfolded(folded)
-        .orderBy(*order, "_copy")
-        .select(*columns)
-        .checkpoint()
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_at", _ROW_BITS))
-    )
+    rows = stored(df, rebalance=False).withColumn("_copy", F.monotonically_increasing_id())
+    fixed = stored(
+        rows.orderBy(*order, "_copy").select(*columns, F.monotonically_increasing_id().alias("_at")),
+        rebalance=False,
+    ).withColumn("_part", F.shiftright("_at", _ROW_BITS))
     # One row per partition: small enough for one window and for a broadcast.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

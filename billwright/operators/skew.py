@@ -1,10 +1,11 @@
 """Left joins that stay balanced when one key holds a large part of the rows.
 
-A key is *hot* when more rows carry it than one task should hold. Its rows are
-dealt out over numbered cells, and the rows of the other side are repeated in
-each of these cells, so every pair still meets exactly once. Rows whose key is
-null meet nobody; they are dealt out as well, because a plain join would send
-them all to one task.
+A key is *hot* when it has more rows than a task's even share of its table, and more
+than a task should bother to split. So no more keys are hot than there are tasks. Rows
+of a hot key are dealt out over numbered cells, and the rows of the other side are
+repeated in each of these cells, so every pair still meets exactly once. Rows whose key
+is null meet nobody; they are dealt out as well, because a plain join would send them
+all to one task.
 
 Cells are computed from a row's content alone, so a task that runs again after a
 lost executor deals its rows out as before. Where a key is hot, its table gets a
@@ -23,15 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# At most this many hot keys are looked for, the largest first. A key that is not
-# among them holds less than one in this many of the rows counted.
-MOST_HOT_KEYS = 1_000
-
-# A key is dealt out over no more cells than a cluster has task slots.
-MOST_CELLS = 65_536
-
 # Rows of a barely hot key that a count should see to be sure of it.
 ROWS_SEEN = 1_000
+SEED = 20_260_511
 
 # A hot key and the number of cells its rows are dealt out over.
 Cells = Mapping[object, int]
@@ -54,7 +49,7 @@ class Side:
         if self.repeats is not None:
             rows = self.df.withColumn("_weight", self.repeats).where(F.col("_weight") > 1)
         else:
-            sample = self.df.sample(fraction) if fraction < 1 else self.df
+            sample = self.df.sample(fraction, seed=SEED) if fraction < 1 else self.df
             rows = sample.withColumn("_weight", F.lit(1 / fraction))
         keys = [
             F.struct(F.lit(name).alias("name"), F.col(key).cast("string").alias("key"))
@@ -69,30 +64,35 @@ class Side:
         return int(text) if is_number else text
 
 
-def find_hot_keys(sides: Iterable[Side], rows_per_task: int) -> dict[str, Cells]:
-    """Find the keys that more than ``rows_per_task`` rows carry, on every side.
+def find_hot_keys(sides: Iterable[Side], rows_per_task: int, tasks: int | None = None) -> dict[str, Cells]:
+    """The keys, on every side, with more rows than ``rows_per_task`` and than an even share.
 
-    One job for all sides, which reads the key columns only and hands the driver
-    no more than ``MOST_HOT_KEYS`` rows. It counts on a sample that still holds
-    ``ROWS_SEEN`` rows of any hot key: the joins are complete and correct whatever
-    is found here, the counts only decide how the work is dealt out.
+    An even share is the side's rows over ``tasks``, by default the session's shuffle
+    partitions, so that less than ``tasks`` keys of a side can be found. One job for all
+    sides, which reads the key columns only. It counts on a sample, the same on each run,
+    that still holds ``ROWS_SEEN`` rows of any hot key. What is found decides how the
+    work is dealt out and nothing else.
     """
-    fraction = min(1.0, ROWS_SEEN / rows_per_task)
     side_of = {name: side for side in sides for name in side.keys}
     distinct_sides = {id(side): side for side in side_of.values()}.values()
-    largest = (
+    spark = next(iter(distinct_sides)).df.sparkSession
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fraction = min(1.0, ROWS_SEEN / rows_per_task)
+    counts = (
         reduce(DataFrame.unionByName, [side.counted(fraction) for side in distinct_sides])
         .where(F.col("key").isNotNull())
         .groupBy("name", "key")
         .agg(F.sum("weight").alias("rows"))
-        .where(F.col("rows") > rows_per_task)
-        .orderBy(F.desc("rows"), "name", "key")
-        .limit(MOST_HOT_KEYS)
     )
+    shares = counts.groupBy(F.col("name").alias("_name")).agg(
+        F.greatest(F.lit(float(rows_per_task)), F.sum("rows") / tasks).alias("share")
+    )
+    largest = counts.join(shares, (F.col("name") == F.col("_name")) & (F.col("rows") > F.col("share")))
     hot: dict[str, dict] = {name: {} for name in side_of}
     for row in largest.collect():
-        cells = min(math.ceil(row["rows"] / rows_per_task), MOST_CELLS)
-        hot[row["name"]][side_of[row["name"]].value(row["name"], row["key"])] = cells
+        hot[row["name"]][side_of[row["name"]].value(row["name"], row["key"])] = math.ceil(
+            row["rows"] / row["share"]
+        )
     return hot
 
 
@@ -102,10 +102,12 @@ def merged(one: Cells, other: Cells) -> Cells:
 
 
 def fan_out(key: Column, hot: Cells, rows_per_task: int) -> Column:
-    """About how many rows a join with the hot side makes of one row with this key."""
+    """At least how many rows a join with the hot side makes of one row with this key."""
     if not hot:
         return F.lit(1.0)
-    return F.when(key.isin(*hot), _cell_count(key, hot) * float(rows_per_task)).otherwise(1.0)
+    by_text = chain.from_iterable((F.lit(str(value)), F.lit(count)) for value, count in hot.items())
+    cells = F.element_at(F.create_map(*by_text), key.cast("string"))
+    return F.coalesce(cells * float(rows_per_task), F.lit(1.0))
 
 
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
@@ -117,21 +119,40 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def _cell_count(key: Column, cells: Cells) -> Column:
-    by_text = chain.from_iterable((F.lit(str(hot)), F.lit(count)) for hot, count in cells.items())
-    count = F.element_at(F.create_map(*by_text), key.cast("string"))
-    return F.when(key.isin(*cells), count).otherwise(F.lit(1))
+def _table(df: DataFrame, key: str, cells: Cells) -> DataFrame:
+    """``(_hot, _cells)``: the hot keys as a table of less rows than there are tasks."""
+    schema = T.StructType([
+        T.StructField("_hot", df.schema[key].dataType), T.StructField("_cells", T.IntegerType())
+    ])
+    return F.broadcast(df.sparkSession.createDataFrame(list(cells.items()), schema))
+
 
+def _with_cells(df: DataFrame, key: str, table: DataFrame) -> DataFrame:
+    """``df`` with the number of cells of its key; null for keys that aren't split."""
+    return df.join(table, F.col(key) == F.col("_hot"), "left").drop("_hot")
 
-def _dealt(key: Column, cells: Cells, by: list[str]) -> Column:
-    """The one cell a row goes to."""
-    dealt = F.pmod(F.xxhash64(*by), _cell_count(key, cells)).cast("int")
-    return F.when(key.isin(*cells), dealt).otherwise(F.lit(0))
 
+def _dealt(df: DataFrame, key: str, cells: Cells, by: list[str], name: str) -> DataFrame:
+    """Each row in the one cell it goes to."""
+    cell = F.pmod(F.xxhash64(*by), F.coalesce("_cells", F.lit(1))).cast("int")
+    return _with_cells(df, key, _table(df, key, cells)).withColumn(name, cell).drop("_cells")
 
-def _repeated(key: Column, cells: Cells) -> Column:
-    """All cells of a key, for the rows that must be present in each."""
-    return F.explode(F.sequence(F.lit(0), _cell_count(key, cells) - 1))
+
+def _repeated(df: DataFrame, name: str) -> DataFrame:
+    """Each row in all cells of its key."""
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.coalesce("_cells", F.lit(1)) - 1)))
+
+
+def _hash_of(df: DataFrame, key: str) -> Column:
+    """A hash that whole numbers of all widths share."""
+    kind = df.schema[key].dataType
+    return F.xxhash64(F.col(key).cast("long") if isinstance(kind, T.IntegralType) else F.col(key))
+
+
+def _check_kinds(left: DataFrame, key: str, right: DataFrame, right_key: str) -> None:
+    one, other = left.schema[key].dataType, right.schema[right_key].dataType
+    if one != other and not (isinstance(one, T.IntegralType) and isinstance(other, T.IntegralType)):
+        raise TypeError(f"{key} is {one.simpleString()}, {right_key} is {other.simpleString()}: cast one")
 
 
 @dataclass(frozen=True)
@@ -158,14 +179,14 @@ class Spread:
         ``by`` are the columns that decide where a row goes; for a hot key they
         must tell its copies apart.
         """
-        column, null_cell, cells = F.col(key), None, ()
+        null_cell, cells = None, ()
         if nullable:
             null_cell = f"_{key}_null_cell"
-            row_or_key = F.when(column.isNull(), F.xxhash64(*by)).otherwise(F.xxhash64(key))
+            row_or_key = F.when(F.col(key).isNull(), F.xxhash64(*by)).otherwise(_hash_of(df, key))
             df = df.withColumn(null_cell, row_or_key)
         if hot:
             name = f"_{key}_cell"
-            df = df.withColumn(name, _dealt(column, hot, by))
+            df = _dealt(df, key, hot, by, name)
             cells = ((name, hot),)
         return cls(df, key, null_cell, cells)
 
@@ -177,32 +198,40 @@ class Spread:
         by: list[str] | None = None,
         per_key: Column | None = None,
     ) -> Spread:
-        """Left outer join; ``hot`` are the hot keys of ``right`` exactly as given here.
+        """Left outer join; ``hot`` are keys of ``right`` to split.
 
         ``by`` are the columns that tell the rows of a hot key of ``right`` apart.
         The other column names of the two sides must differ. ``right_key`` stays
         in the result, so that its null tells rows without a match. With the
         aggregate ``per_key`` the right side is grouped by its key first, in the
-        partitioning that the join needs.
+        partitioning that the join needs. Whole numbers of different widths are
+        equal as numbers; other keys must be of one type.
+
+        A left row is repeated only for keys that ``right`` has when the join runs,
+        so one without a match stays a single row, whatever ``hot`` says.
         """
+        _check_kinds(self.df, self.key, right, right_key)
         left, on = self.df, F.col(self.key) == F.col(right_key)
         null_cell = f"{self.null_cell}_right"
         if self.null_cell:
-            right = right.withColumn(null_cell, F.xxhash64(right_key))
+            right = right.withColumn(null_cell, _hash_of(right, right_key))
         if per_key is not None:
             keys = [right_key, null_cell] if self.null_cell else [right_key]
             right = right.where(F.col(right_key).isNotNull()).groupBy(*keys).agg(per_key)
         cells, added = self.cells, []
         if hot:
             name = f"_{right_key}_cell"
-            dealt = _dealt(F.col(right_key), hot, by)
-            left = left.withColumn(name, _repeated(F.col(self.key), hot))
-            right = right.withColumn(f"{name}_right", dealt)
+            table = _table(right, right_key, hot)
+            there = right.select(F.col(right_key).alias("_there")).distinct()
+            there = F.broadcast(table.join(there, F.col("_hot") == F.col("_there"), "left_semi"))
+            left = _repeated(_with_cells(left, self.key, there), name).withColumnRenamed("_cells", f"{name}_split")
+            right = _dealt(right, right_key, hot, by, f"{name}_right")
             on &= F.col(name) == F.col(f"{name}_right")
-            added.append(f"{name}_right")
+            added += [f"{name}_right", f"{name}_split"]
             cells = (*cells, (name, hot))
         for name, split in self.cells:
-            right = right.withColumn(f"{name}_right", _repeated(F.col(right_key), split))
+            counted = _with_cells(right, right_key, _table(right, right_key, split))
+            right = _repeated(counted, f"{name}_right").drop("_cells")
             on &= F.col(name) == F.col(f"{name}_right")
             added.append(f"{name}_right")
         if self.null_cell:
@@ -210,10 +239,9 @@ class Spread:
             added.append(null_cell)
         joined = left.join(right, on, "left")
         if hot:
-            # A hot key of the right side has a match in some cell; the cells
-            # that happen to hold none must not add an unmatched row.
-            repeated = F.coalesce(F.col(self.key).isin(*hot), F.lit(False))
-            joined = joined.where(F.col(right_key).isNotNull() | ~repeated)
+            # A key that was split is there, so it has its matches in some of the cells.
+            whole = F.col(f"_{right_key}_cell_split").isNull()
+            joined = joined.where(F.col(right_key).isNotNull() | whole)
         return Spread(joined.drop(*added), self.key, self.null_cell, cells)
 
     def result(self) -> DataFrame:

@@ -24,13 +24,13 @@ def use_shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, rebalance: bool = True) -> DataFrame:
     """``df`` written once as Parquet, for a result that several jobs go on with.
 
-    Rebalanced first, as what is left of many scan tasks would make many small
-    files. Read back, it has file statistics, so that Spark knows its size when it
-    plans.
+    Rebalanced first, unless it is as large as what it was read from: what is left of
+    many scan tasks would make many small files. Read back, it has file statistics, so
+    that Spark knows its size when it plans.
     """
     path = f"{use_shared_folder(df.sparkSession)}/stored-{uuid.uuid4()}"
-    df.hint("rebalance").write.parquet(path)
+    (df.hint("rebalance") if rebalance else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

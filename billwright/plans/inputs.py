@@ -14,23 +14,20 @@ from billwright.operators.storage import stored
 from billwright.rules import Rules
 from billwright.sources.tables import InvoiceTables
 
-# Rows whose keys are broadcast, at most: some 16 MB of numbers, 100 MB of guids.
-MOST_BROADCAST_KEYS = 2_000_000
-
-
 @dataclass(frozen=True)
 class Inputs:
     """Filtered base tables, optionally cut to the invoices a report is about.
 
     ``header_filter`` is a condition on the columns of the invoice header.
     ``narrow`` says that it leaves few invoices, for instance those of a month.
-    They are then counted. Rows outside the range of their numbers are skipped by
-    the scans; with numbers given out over time, that is most of the history. If
-    the numbers are few enough to broadcast, the rows of all other invoices are
-    dropped while the tables are read, before any shuffle. The goods lines that
-    remain are stored, and their guids and products cut the quote lines and
-    service orders in the same way. Where the keys are too many to broadcast, the
-    rows meet in the ordinary joins; the result is the same.
+    Their headers are then stored once. Rows outside the range of their numbers are
+    skipped by the scans; with numbers given out over time, that is most of the
+    history. A semi join on the numbers drops the rows of all other invoices, while
+    the tables are read if the numbers are small enough to broadcast. The goods lines
+    that remain are stored, and their guids and products cut the quote lines and
+    service orders in the same way.
+
+    All reads must see the same rows: tables of a live database are landed first.
     """
 
     tables: InvoiceTables
@@ -39,14 +36,24 @@ class Inputs:
     narrow: bool = False
 
     def _of_company(self, name: str) -> DataFrame:
-        return self.tables.of_company(name, self.rules.company)
+        """Rows of the company, with guids as the database compares them."""
+        df = self.tables.of_company(name, self.rules.company)
+        guids = [column for column in ("guid_orcamento", "guid_linha") if column in df.columns]
+        return df.withColumns({
+            column: L.compared_text(F.col(column), self.rules.case_sensitive) for column in guids
+        })
 
-    def headers(self) -> DataFrame:
-        """Invoices of the company to customers, with terms of payment."""
+    @cached_property
+    def _headers(self) -> DataFrame:
         df = self._of_company("tnota_fiscal").where(
             L.has_text(F.col("condicao_pagamento")) & (F.col("cli_for") == 0)
         )
-        return df if self.header_filter is None else df.where(self.header_filter)
+        df = df if self.header_filter is None else df.where(self.header_filter)
+        return stored(df) if self.narrow else df
+
+    def headers(self) -> DataFrame:
+        """Invoices of the company to customers, with terms of payment."""
+        return self._headers
 
     @cached_property
     def _span(self) -> Row | None:
@@ -62,30 +69,27 @@ class Inputs:
     def _header_rows(self) -> int | None:
         return self._span and self._span["rows"]
 
-    @cached_property
-    def _numbers(self) -> DataFrame | None:
-        return _if_few(self.headers(), "numero", self._header_rows)
-
     def _of_invoices(self, rows: DataFrame, key: str) -> DataFrame:
         """Rows whose invoice number may be wanted, as far as that is known."""
-        if self._header_rows:
-            rows = rows.where(F.col(key).between(self._span["low"], self._span["high"]))
-        return _cut(rows, key, self._numbers)
+        if not self.narrow:
+            return rows
+        inside = F.col(key).between(self._span["low"], self._span["high"])
+        return _cut(rows.where(inside), key, self.headers(), "numero")
 
     @cached_property
     def _goods(self) -> DataFrame:
         lines = self._of_invoices(self._of_company("tnota_fiscal_item"), "numero_nf")
-        return lines if self._numbers is None else stored(lines)
+        return stored(lines) if self.narrow else lines
 
     @cached_property
     def _goods_rows(self) -> int | None:
-        return None if self._numbers is None else self._goods.count()
+        return self._goods.count() if self.narrow else None
 
     def goods(self) -> DataFrame:
         return self._goods
 
-    def _of_goods(self, key: str) -> DataFrame | None:
-        return _if_few(self._goods, key, self._goods_rows)
+    def _of_goods(self, rows: DataFrame, key: str, goods_key: str) -> DataFrame:
+        return _cut(rows, key, self._goods, goods_key) if self.narrow else rows
 
     def services(self) -> DataFrame:
         return self._of_invoices(self._of_company("tnota_fiscal_servico"), "numero_nf")
@@ -99,10 +103,12 @@ class Inputs:
         return self._of_invoices(active, "numero_nf")
 
     def quote_lines(self) -> DataFrame:
-        return _cut(self._of_company("torcamento_itens"), "guid_linha", self._of_goods("guid_orcamento"))
+        return self._of_goods(self._of_company("torcamento_itens"), "guid_linha", "guid_orcamento")
 
     def won_quotes(self) -> DataFrame:
-        return self._of_company("torcamento").where(L.is_won(F.col("estagio_orc"), F.col("status")))
+        return self._of_company("torcamento").where(
+            L.is_won(F.col("estagio_orc"), F.col("status"), self.rules.case_sensitive)
+        )
 
     def kept_orders(self) -> DataFrame:
         """Service orders of the company without the excluded prefix."""
@@ -110,10 +116,10 @@ class Inputs:
         return self._of_company("tos").where(kept)
 
     def orders_by_guid(self) -> DataFrame:
-        return _cut(self.kept_orders(), "guid_orcamento", self._of_goods("guid_orcamento"))
+        return self._of_goods(self.kept_orders(), "guid_orcamento", "guid_orcamento")
 
     def orders_by_product(self) -> DataFrame:
-        return _cut(self.kept_orders(), "cod_pecas", self._of_goods("codigo"))
+        return self._of_goods(self.kept_orders(), "cod_pecas", "codigo")
 
     def hot_keys(self, *names: str) -> dict[str, Cells]:
         """The hot values of the named join keys, counted on the very rows that are joined."""
@@ -129,7 +135,10 @@ class Inputs:
                 hot |= {name: {} for name in asked}
             elif asked:
                 sides.append(Side(getattr(self, rows)(), asked))
-        return hot | (find_hot_keys(sides, self.rules.rows_per_task) if sides else {})
+        return hot | (self._found(sides) if sides else {})
+
+    def _found(self, sides: list[Side]) -> dict[str, Cells]:
+        return find_hot_keys(sides, self.rules.rows_per_task, self.rules.join_tasks)
 
     @cached_property
     def hot_keys_of_view(self) -> dict[str, Cells]:
@@ -152,7 +161,7 @@ class Inputs:
 
         def add(rows: DataFrame, name: str, key: str, times: Column | None) -> None:
             if times is not None:
-                found = find_hot_keys([Side(rows, {name: key}, times)], self.rules.rows_per_task)
+                found = self._found([Side(rows, {name: key}, times)])
                 hot[name] = merged(hot[name], found[name])
 
         add(
@@ -169,18 +178,10 @@ class Inputs:
         return hot
 
 
-def _if_few(rows: DataFrame, key: str, count: int | None) -> DataFrame | None:
-    """The keys of counted rows for a broadcast; nothing if too many or not counted."""
-    if count is None or count > MOST_BROADCAST_KEYS:
-        return None
-    return F.broadcast(rows.select(F.col(key).alias("wanted")))
-
-
-def _cut(rows: DataFrame, key: str, wanted: DataFrame | None) -> DataFrame:
-    """The rows whose key is wanted; all of them if that is not known."""
-    if wanted is None:
-        return rows
-    return rows.join(wanted, F.col(key) == F.col("wanted"), "left_semi")
+def _cut(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """The rows whose key is among the wanted ones, whatever their number."""
+    keys = wanted.select(F.col(wanted_key).alias("wanted")).distinct()
+    return rows.join(keys, F.col(key) == F.col("wanted"), "left_semi")
 
 
 # Join keys that are checked for hot values, by the rows they belong to.

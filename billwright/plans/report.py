@@ -42,7 +42,11 @@ def report_inputs(
     since: datetime.date | None = None,
     until: datetime.date | None = None,
 ) -> Inputs:
-    """What a report reads: the whole history, or a window that starts on a date."""
+    """What a report reads: the whole history, or a window that starts on a date.
+
+    The tables have to be landed; a live database is refused.
+    """
+    tables.check_landed()
     rules = rules or Rules()
     return Inputs(tables, rules, in_report(rules, since, until), narrow=since is not None)
 
@@ -83,16 +87,19 @@ def _goods_per_invoice(inputs: Inputs, hot: dict) -> DataFrame:
         F.col("numero_nf").alias("goods_nf"), "guid_orcamento",
         L.goods_value(F.col("vl_total"), F.col("vl_ipi")).alias("value"),
     )
-    by = ["goods_nf", "value"]
     if hot["goods.guid"]:
-        lines, by = with_row_id(lines, "goods_row"), ["goods_row"]
+        lines = with_row_id(lines, "goods_row")
+    # Lines without a guid are repeated by nothing; they stay where they are.
+    single = lines.where(F.col("guid_orcamento").isNull()).withColumn("times", F.lit(1).cast("long"))
     joined = (
-        Spread.over(lines, "guid_orcamento", hot["goods.guid"], by, nullable=True)
+        Spread.over(lines.where(F.col("guid_orcamento").isNotNull()), "guid_orcamento", hot["goods.guid"], ["goods_row"])
         .left_join(_repeats_per_guid(inputs, hot), "guid")
         .result()
     )
     times = F.coalesce("times", F.lit(1))
-    return joined.groupBy("goods_nf").agg(
+    return joined.select("goods_nf", "value", "times").unionByName(
+        single.select("goods_nf", "value", "times")
+    ).groupBy("goods_nf").agg(
         F.sum((F.col("value") * times).cast(TOTAL_VALUE)).alias("goods_value"),
         F.sum(F.when(F.col("value").isNull(), times).otherwise(0)).alias("valueless_rows"),
     )

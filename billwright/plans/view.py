@@ -28,7 +28,7 @@ _ROW_IDS = {
 class ViewSteps:
     """The joins of the view, one method per step, each building on the one before.
 
-    All of them are lazy. Steps on the invoice number come first, so that a filter
+    Hot keys are counted when a step first needs them; beyond that, all is lazy. Steps on the invoice number come first, so that a filter
     on the headers cuts everything after it, and so that headers, goods, services
     and both per-invoice lookups meet in one partitioning; then the two joins on
     the quote line's guid, which share a second one.
@@ -36,7 +36,10 @@ class ViewSteps:
 
     def __init__(self, inputs: Inputs):
         self.inputs = inputs
-        self.hot = inputs.hot_keys_of_view
+
+    @property
+    def hot(self) -> dict:
+        return self.inputs.hot_keys_of_view
 
     def _ids(self, *names: str) -> list[str]:
         """Those of the row ids that are needed."""
@@ -50,11 +53,12 @@ class ViewSteps:
         return ["nf", "codigo", "goods_total", "service_total", *self._ids(*ids)]
 
     def headers(self) -> DataFrame:
+        hot = self.inputs.hot_keys("headers.nf")["headers.nf"]
         df = self.inputs.headers().select(
             F.col("numero").alias("nf"), "dt_emissao", "nfse", "cancelada", "nfe_desc_status",
             "cfop", "natureza_op", "entrada", "saida", "razao_social",
         )
-        return self._with_id(df, "header_row")
+        return with_row_id(df, "header_row") if hot else df
 
     def goods(self) -> DataFrame:
         df = self.inputs.goods().select(
@@ -98,16 +102,17 @@ class ViewSteps:
 
     def with_lookups(self) -> Spread:
         """Headers with their return note and billing order."""
-        by = ["nf", *self._ids("header_row")]
+        hot = self.inputs.hot_keys("headers.nf")["headers.nf"]
         return (
-            Spread.over(self.headers(), "nf", self.hot["headers.nf"], by)
+            Spread.over(self.headers(), "nf", hot, ["nf", "header_row"] if hot else ["nf"])
             .left_join(lookups.return_notes(self.inputs.returns()), "returned_nf")
             .left_join(lookups.billing_orders(self.inputs.billing_orders()), "billed_nf")
         )
 
     def with_goods(self) -> Spread:
+        hot = self.hot  # all at once, before the first step asks for its own
         return self.with_lookups().left_join(
-            self.goods(), "goods_nf", self.hot["goods.nf"], self._ids("goods_row")
+            self.goods(), "goods_nf", hot["goods.nf"], self._ids("goods_row")
         )
 
     def with_services(self) -> Spread:
@@ -145,15 +150,16 @@ class ViewSteps:
         lines = self.with_orders().result().withColumn(
             "missing_order_product", F.when(F.col("n_os").isNull(), F.col("codigo"))
         )
+        hot, by = self.hot["goods.product"], self._line(*_ROW_IDS)
+        spread = Spread.over(lines, "missing_order_product", hot, by, nullable=True)
+        return self.join_product_orders(spread).result()
+
+    def join_product_orders(self, lines: Spread) -> Spread:
+        """The smallest service order of a product, for lines spread over the product."""
         orders = self.inputs.orders_by_product().select(
             F.col("cod_pecas").alias("product_code"), "n_os"
         )
-        hot, by = self.hot["goods.product"], self._line(*_ROW_IDS)
-        return (
-            Spread.over(lines, "missing_order_product", hot, by, nullable=True)
-            .left_join(orders, "product_code", per_key=F.min("n_os").alias("product_order"))
-            .result()
-        )
+        return lines.left_join(orders, "product_code", per_key=F.min("n_os").alias("product_order"))
 
 
 def invoice_view(tables: InvoiceTables, rules: Rules | None = None) -> DataFrame:
@@ -196,7 +202,8 @@ def with_headings(df: DataFrame) -> DataFrame:
 def register_invoice_view(
     tables: InvoiceTables, name: str, rules: Rules | None = None
 ) -> DataFrame:
-    """Offer the view, with its headings, to SQL under ``name``."""
+    """Offer the view, with its headings, to SQL under ``name``; over landed tables only."""
+    tables.check_landed()
     view = with_headings(invoice_view(tables, rules))
     view.createOrReplaceTempView(name)
     return view

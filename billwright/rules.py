@@ -28,13 +28,16 @@ EXCLUDED_ORDER_PREFIX = "e"
 class Rules:
     """What to report, and how much one task may hold.
 
-    ``case_sensitive`` decides whether only ``e…`` or also ``E…`` service orders
-    are left out; it follows the collation of the source database.
-    ``rows_per_task`` is the number of rows of one join key beyond which the key
-    is split over several tasks.
+    ``case_sensitive`` follows the collation of the source database: whether text
+    that the view compares (order prefix, stage of a quote, guids) differs by case.
+    Trailing blanks never count.
+    ``rows_per_task`` is the number of rows of one join key up to which the key is
+    never split over several tasks; beyond, it is if it exceeds an even share of the
+    rows over ``join_tasks`` (by default the session's shuffle partitions).
     """
 
     company: int = 1
     cfops: tuple[str, ...] = PROJECT_CFOPS
     case_sensitive: bool = False
     rows_per_task: int = 100_000
+    join_tasks: int | None = None

@@ -4,9 +4,10 @@ import datetime
 
 import pytest
 
-from billwright import InvoiceTables
+from billwright import InvoiceTables, Rules
 from billwright.checks.queries import QUERIES
 from billwright.plans import report as P
+from billwright.plans.inputs import Inputs
 from billwright.plans.view import invoice_view
 from billwright.schemas import BASE_TABLES
 from billwright.sources.star import star_tables
@@ -53,7 +54,7 @@ def pushed(line):
 
 
 def test_report_conditions_reach_the_header_scan(stored, whole_filters):
-    text = plan(P.report_rows(P.report_inputs(stored, since=datetime.date(2026, 5, 1))))
+    text = plan(P.report_rows(Inputs(stored, header_filter=P.in_report(Rules(), datetime.date(2026, 5, 1)))))
     header = scans(text, "dt_emissao")
     assert header
     for line in header:

@@ -6,9 +6,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from billwright import Rules
+from billwright import InvoiceTables, Rules
 from billwright.operators import calendar as C
-from billwright.plans import inputs as I
 from billwright.plans import report as P
 from billwright.plans.view import invoice_view
 from billwright.rules import PROJECT_CFOPS
@@ -62,7 +61,7 @@ def test_known_star_report(star):
     assert P.report_total(july).first()["total"] == Decimal("1853024.7352")
 
 
-def test_windowed_report_equals_filtered_view(star, monkeypatch):
+def test_windowed_report_equals_filtered_view(spark, star):
     since = D(2001, 5, 1)
     expected = bag(
         invoice_view(star)
@@ -71,8 +70,20 @@ def test_windowed_report_equals_filtered_view(star, monkeypatch):
         .select(*P.REPORT_COLUMNS)
     )
     assert bag(P.report_rows(P.report_inputs(star, since=since))) == expected
-    monkeypatch.setattr(I, "MOST_BROADCAST_KEYS", 3)
-    assert bag(P.report_rows(P.report_inputs(star, since=since))) == expected
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert bag(P.report_rows(P.report_inputs(star, since=since))) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_copies_of_lines_without_a_guid_stay_in_their_tasks(spark, star):
+    goods = star["tnota_fiscal_item"]
+    copies = goods.where("guid_orcamento is null").limit(1).crossJoin(spark.range(0, 20_000, 1, 8)).drop("id")
+    many = InvoiceTables(lambda name: copies if name == "tnota_fiscal_item" else star[name])
+    plan = P._goods_per_invoice(P.report_inputs(many), {"goods.guid": {}, "quote_lines.quote": {}})
+    assert plan.count() == 1
 
 
 def test_totals_equal_the_sum_over_rows(star):

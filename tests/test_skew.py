@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 import pytest
 
 from billwright import InvoiceTables, Rules
-from billwright.operators import position
 from billwright.operators.position import with_position
 from billwright.operators.skew import Side, Spread, find_hot_keys
 from billwright.plans import report as P
@@ -57,19 +56,19 @@ def counted(df):
 def test_view_is_the_same_however_keys_are_split(skewed, rows_per_task):
     plain = invoice_view(skewed, WHOLE)
     assert plain.count() > 100_000
-    assert counted(invoice_view(skewed, Rules(rows_per_task=rows_per_task))) == counted(plain)
+    assert counted(invoice_view(skewed, Rules(rows_per_task=rows_per_task, join_tasks=10_000))) == counted(plain)
 
 
 @pytest.mark.parametrize("rows_per_task", [7, 60])
 def test_totals_are_the_same_however_keys_are_split(skewed, rows_per_task):
     plain = bag(P.daily_totals(P.report_inputs(skewed, WHOLE)))
-    assert bag(P.daily_totals(P.report_inputs(skewed, Rules(rows_per_task=rows_per_task)))) == plain
+    assert bag(P.daily_totals(P.report_inputs(skewed, Rules(rows_per_task=rows_per_task, join_tasks=10_000)))) == plain
     rows = P.report_rows(P.report_inputs(skewed, WHOLE))
     assert P.total_of_rows(rows).first() == P.report_total(P.report_inputs(skewed)).first()
 
 
 def test_hot_keys_are_found(skewed):
-    hot = Inputs(skewed, Rules(rows_per_task=100)).hot_keys_of_view
+    hot = Inputs(skewed, Rules(rows_per_task=100, join_tasks=10_000)).hot_keys_of_view
     assert set(hot["goods.nf"]) == {HOT_NF}
     assert HOT_GUID in hot["goods.guid"] and HOT_PRODUCT in hot["goods.product"]
     assert hot["goods.nf"][HOT_NF] == pytest.approx(17, abs=3)
@@ -82,7 +81,7 @@ def test_repeated_rows_count(skewed):
     services = skewed["tnota_fiscal_servico"]
     one = one.withColumn("cod_empresa", F.lit(1))
     few = InvoiceTables(lambda name: one if name == "tnota_fiscal_item" else skewed[name])
-    hot = Inputs(few, Rules(rows_per_task=20)).hot_keys_of_view
+    hot = Inputs(few, Rules(rows_per_task=20, join_tasks=10_000)).hot_keys_of_view
     assert services.where(f"numero_nf = {HOT_NF}").count() > 40
     assert hot["goods.nf"] == {} and HOT_NF in hot["services.nf"]
     assert len(hot["goods.guid"]) + len(hot["goods.product"]) >= 1
@@ -92,7 +91,7 @@ def test_sampled_count_finds_hot_keys(spark):
     rows = spark.range(400_000).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("key")
     )
-    hot = find_hot_keys([Side(rows, {"side": "key"})], 20_000)["side"]
+    hot = find_hot_keys([Side(rows, {"side": "key"})], 20_000, tasks=1000)["side"]
     assert set(hot) == {-1}
     assert hot[-1] == pytest.approx(7, abs=2)
 
@@ -124,7 +123,7 @@ def test_rows_with_a_hot_key_are_spread(spark, shuffled_joins):
     )
     right = spark.range(100_000).select(F.col("id").alias("other"))
     plain = Spread.over(left, "key", {}, []).left_join(right, "other").result()
-    hot = find_hot_keys([Side(left, {"left": "key"})], 500)["left"]
+    hot = find_hot_keys([Side(left, {"left": "key"})], 500, tasks=1000)["left"]
     spread = Spread.over(left, "key", hot, ["id"]).left_join(right, "other").result()
     assert largest_share(plain) > 0.33
     assert largest_share(spread) < 0.08
@@ -166,9 +165,58 @@ def test_joins_on_one_key_shuffle_the_left_side_once(spark, shuffled_joins):
     assert plan.count("Exchange hashpartitioning") == 3
 
 
-@pytest.mark.parametrize("chunk", [4, 1 << 16])
-def test_positions(spark, monkeypatch, chunk):
-    monkeypatch.setattr(position, "_CHUNK", chunk)
+def test_a_hot_key_that_the_right_side_lacks(spark):
+    """Counts decide how rows are dealt out, never whether they are in the result."""
+    left = spark.createDataFrame([(5,), (6,), (6,)], "key long")
+    right = spark.createDataFrame([(6, 1)], "other long, n long")
+    for hot in ({5: 3}, {5: 3, 6: 2, 99: 4}):
+        rows = Spread.over(left, "key", hot, ["key"]).left_join(right, "other", hot, ["n"]).result()
+        assert bag(rows) == [(5, None, None), (6, 6, 1), (6, 6, 1)]
+
+
+def test_more_hot_keys_than_a_thousand(spark):
+    rows = spark.range(150_000).select((F.col("id") % 1500).alias("key"), "id")
+    hot = find_hot_keys([Side(rows, {"side": "key"})], 50, tasks=10_000)["side"]
+    assert len(hot) == 1500
+    right = spark.range(1500).select(F.col("id").alias("other"))
+    joined = Spread.over(rows, "key", hot, ["id"]).left_join(right, "other", {1: 2}, ["other"]).result()
+    assert joined.count() == joined.where("key = other").count() == 150_000
+
+
+def test_no_more_hot_keys_than_tasks(spark):
+    """Keys that all have the same share are not hot, however large the table."""
+    rows = spark.range(100_000).select((F.col("id") % 100).alias("key"))
+    assert find_hot_keys([Side(rows, {"side": "key"})], 10, tasks=8)["side"] == {}
+
+
+def test_keys_of_other_widths(spark):
+    left = spark.createDataFrame([(1,), (2,), (None,)], "key long")
+    right = spark.createDataFrame([(1,), (3,)], "other int")
+    for nullable in (True, False):
+        rows = Spread.over(left, "key", {}, ["key"], nullable).left_join(right, "other").result()
+        assert bag(rows) == [(1, 1), (2, None), (None, None)]
+    with pytest.raises(TypeError, match="cast"):
+        Spread.over(left, "key", {}, ["key"]).left_join(right.select(F.col("other").cast("string")), "other")
+
+
+def test_copies_are_numbered_by_all_tasks(spark):
+    """Equal rows are cut anywhere, also where Spark joins small partitions."""
+    df = spark.range(0, 400_000, 1, 8).select(F.lit(1).alias("a"), F.lit("x").alias("b"))
+    small = ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")
+    for name in small:
+        spark.conf.set(f"spark.sql.adaptive.{name}", "64KB")
+    try:
+        numbered = with_position(df, [F.asc("a"), F.asc("b")])
+    finally:
+        for name in small:
+            spark.conf.unset(f"spark.sql.adaptive.{name}")
+    sizes = [spark.read.parquet(file).count() for file in set(numbered.inputFiles())]
+    assert sum(sizes) == 400_000 and max(sizes) < 160_000
+    row = numbered.agg(F.min("idx"), F.max("idx"), F.count_distinct("idx")).first()
+    assert tuple(row) == (0, 399_999, 400_000)
+
+
+def test_positions(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 100).alias("a"),
         F.when(F.col("id") % 7 > 0, F.col("id") % 11).alias("b"),
