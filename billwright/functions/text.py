@@ -20,7 +20,7 @@ EMPTY_TOKENS = ("None", "nan")
 
 # Subject and body of the message.
 SUBJECT_START = "Faturamento "
-BODY_OPENING = " Bom dia,<br><br>\n O faturamento do mês está em <b>"
+BODY_OPENING = "\n Bom dia,<br><br>\n O faturamento do mês está em <b>"
 BODY_LIST = "</b>.<br>\n Abaixo, a lista detalhada:<br>\n \n "
 BODY_CLOSING = (
     "\n\n <br>OBS: Notas fiscais canceladas ou devolvidas <b>NÃO</b> contabilizam faturamento.<br>\n"
@@ -88,10 +88,6 @@ def body_opening(total: Column) -> Column:
     return F.concat(F.lit(BODY_OPENING), total, F.lit(BODY_LIST))
 
 
-def body(total: Column, html: Column) -> Column:
-    return F.concat(body_opening(total), html, F.lit(BODY_CLOSING))
-
-
 def recipients(addresses: Column) -> Column:
     """The addresses of a list separated by ``;``, without blanks and empty entries."""
     trimmed = F.transform(F.split(addresses, ";"), lambda address: F.trim(address))

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billwright.functions import text as X
+from billwright.operators.storage import stored
 from billwright.plans import report as P
 from billwright.plans.inputs import Inputs
 from billwright.schemas import REPORT_COLUMNS, VIEW_HEADINGS
 
-# Rows of one message part. A report of up to this many rows is one message; a
-# longer one goes out in numbered parts, as no mail holds an unlimited table.
+# Rows of one segment of a message, so that no task holds a whole report as one text.
 ROWS_PER_PART = 10_000
 
 TABLE_OPENING = (
@@ -38,28 +38,37 @@ def html_rows(formatted: DataFrame, literal_cleanup: bool = False) -> DataFrame:
 
 
 def message_parts(
-    html: DataFrame, total: DataFrame, rows_per_part: int = ROWS_PER_PART
+    html: DataFrame, totals: DataFrame, rows_per_part: int = ROWS_PER_PART, by: str | None = None
 ) -> DataFrame:
-    """``(part, parts, html_body)``: all rows of the report, a fixed number per part.
+    """``(part, parts, html_body)``: the segments of one document, in order.
 
-    ``total`` is the one-row total. A report without rows still is one part. The
-    position of a row is unique, so no part can grow beyond its size.
+    Put together they are the same text whatever ``rows_per_part``: the first opens the
+    body and its table, the last closes both. ``totals`` is the one-row total. With
+    ``by`` there is a document for each value in ``totals`` (by, total), and ``idx``
+    counts the rows of each from 0. A document without rows still is one segment.
     """
+    keys = [by] if by else []
     part = F.floor(F.col("idx") / rows_per_part).cast("int").alias("part")
-    tables = html.groupBy(part).agg(
+    tables = html.groupBy(*keys, part).agg(
         F.expr("listagg(row_html, '') within group (order by idx)").alias("rows_html")
     )
-    count = F.greatest(F.lit(1), F.ceil(F.count("*") / rows_per_part)).cast("int")
-    numbers = html.agg(count.alias("parts")).select(
-        "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    count = F.greatest(F.lit(1), F.ceil(F.coalesce("rows", F.lit(0)) / rows_per_part)).cast("int")
+    sizes = html.groupBy(*keys).agg(F.count("*").alias("rows"))
+    if by:
+        documents = totals.join(sizes, by, "left")
+    else:
+        documents = sizes.withColumn("total", totals.select("total").scalar())
+    numbers = documents.select(*keys, "total", count.alias("parts")).select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     )
-    table = F.concat(
-        F.lit(TABLE_OPENING), F.coalesce("rows_html", F.lit("")), F.lit(TABLE_CLOSING)
-    )
-    amount = total.select("total").scalar()
-    return numbers.join(tables, "part", "left").select(
-        "part", "parts", X.body(X.total_text(amount), table).alias("html_body")
+    opening = F.concat(X.body_opening(X.total_text(F.col("total"))), F.lit(TABLE_OPENING))
+    segment = F.concat(
+        F.when(F.col("part") == 0, opening).otherwise(""),
+        F.coalesce("rows_html", F.lit("")),
+        F.when(F.col("part") == F.col("parts") - 1, TABLE_CLOSING + X.BODY_CLOSING).otherwise(""),
     )
+    joined = numbers.join(tables, [*keys, "part"], "left")
+    return joined.select(*keys, "part", "parts", segment.alias("html_body"))
 
 
 def outbox(bodies: DataFrame, addresses: str, subject: Column) -> DataFrame:
@@ -76,7 +85,11 @@ def report_message(
     rows_per_part: int = ROWS_PER_PART,
     literal_cleanup: bool = False,
 ) -> DataFrame:
-    """The messages of one report: ``(to, subject, part, parts, html_body)``."""
-    html = html_rows(P.monthly_detail(inputs), literal_cleanup)
-    parts = message_parts(html, P.report_total(inputs), rows_per_part)
+    """The message of one report, in segments: ``(to, subject, part, parts, html_body)``.
+
+    The report's rows are made once; list and total both come from them.
+    """
+    rows = stored(P.report_rows(inputs), rebalance=False)
+    html = html_rows(P.formatted_report(P.sorted_report(rows)), literal_cleanup)
+    parts = message_parts(html, P.total_of_rows(rows), rows_per_part)
     return outbox(parts, addresses, X.subject(F.lit(as_of)))

@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from billwright.plans.message import TABLE_CLOSING, TABLE_OPENING
 
 
 def write_html_rows(html: DataFrame, folder: str) -> None:
-    """The table rows as text files; the files' names and lines are in report order."""
-    html.orderBy("idx").select("row_html").write.mode("overwrite").text(folder)
+    """One HTML document as text files: read by name, their lines open the table, list
+    its rows in report order, and close it."""
+    frame = html.sparkSession.range(2).select(
+        F.when(F.col("id") == 0, F.lit(-1)).cast("long").alias("idx"),
+        F.when(F.col("id") == 0, TABLE_OPENING).otherwise(TABLE_CLOSING).alias("row_html"),
+    )
+    lines = html.select(F.col("idx").cast("long").alias("idx"), "row_html").unionByName(frame)
+    lines.orderBy(F.asc_nulls_last("idx")).select("row_html").write.mode("overwrite").text(folder)
 
 
 def write_outbox(messages: DataFrame, folder: str) -> None:

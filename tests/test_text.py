@@ -10,6 +10,7 @@ from billwright import sinks
 from billwright.functions import text as X
 from billwright.plans import message as M
 from billwright.plans import report as P
+from billwright.rules import PROJECT_CFOPS
 
 D = datetime.date
 
@@ -92,7 +93,7 @@ def test_message(tables):
         ("a@x", "Faturamento 11-5-2026", 0, 1), ("b@y", "Faturamento 11-5-2026", 0, 1),
     ]
     html = rows[0]["html_body"]
-    assert html.startswith(" Bom dia,<br><br>\n O faturamento do mês está em <b>R$7,528.00</b>.<br>")
+    assert html.startswith("\n Bom dia,<br><br>\n O faturamento do mês está em <b>R$7,528.00</b>.<br>")
     assert html.count("<tr>") == 18 and "Fernando ME" in html and "None" not in html
     assert html.index("<th>0</th>") < html.index("<th>9</th>") < html.index("<th>10</th>")
     assert html.count(X.RED) == 1 and html.count(X.YELLOW) == 1
@@ -105,6 +106,34 @@ def test_message_in_parts_holds_every_row_once(tables):
     assert all(text.count(f"<th>{i}</th>") == 1 for i in range(17))
 
 
+def test_parts_make_one_text_of_any_size(tables):
+    whole = [
+        "".join(r["html_body"] for r in message(tables, rows_per_part=size) if r["to"] == "a@x")
+        for size in (1, 5, 250, 10_000)
+    ]
+    assert len(set(whole)) == 1 and whole[0].count("Bom dia") == whole[0].count("</table>") == 1
+
+
+def test_fixed_texts():
+    """Literals, so that a change of any constant is noticed."""
+    assert X.BODY_OPENING + "R$0.00" + X.BODY_LIST + "TABLE" + X.BODY_CLOSING == """
+ Bom dia,<br><br>
+ O faturamento do mês está em <b>R$0.00</b>.<br>
+ Abaixo, a lista detalhada:<br>
+ 
+ TABLE
+
+ <br>OBS: Notas fiscais canceladas ou devolvidas <b>NÃO</b> contabilizam faturamento.<br>
+ <br><br>Em caso de dúvidas ou sugestões, favor entrar em contato.<br>
+ Este é um e-mail automático, mas sinta-se livre para respondê-lo.
+ """
+    assert X.SUBJECT_START == "Faturamento " and X.EMPTY_TOKENS == ("None", "nan")
+    assert (X.RED, X.YELLOW, X.BORDER) == (
+        "background-color: red", "background-color: yellow", "border: 1px solid black",
+    )
+    assert sorted(PROJECT_CFOPS) == "5101 5102 5124 5933 6101 6102 6118 6123 6124 6933".split()
+
+
 def test_message_without_rows(tables):
     df = M.report_message(P.report_inputs(tables, since=D(2026, 7, 1)), D(2026, 7, 2), "a@x")
     row = df.first()
@@ -121,6 +150,7 @@ def test_sinks(spark, tables, tmp_path):
     sinks.write_html_rows(M.html_rows(formatted), str(tmp_path / "rows"))
     files = sorted((tmp_path / "rows").glob("part-*"))
     lines = [line for file in files for line in file.read_text().splitlines()]
-    assert [line.split("</th>")[0] for line in lines] == [f"<tr><th>{i}" for i in range(17)]
+    assert [line.split("</th>")[0] for line in lines[1:-1]] == [f"<tr><th>{i}" for i in range(17)]
+    assert lines[0].startswith("<table><thead>") and lines[-1] == "</tbody></table>"
     sinks.write_outbox(M.report_message(inputs, D(2026, 5, 11), ADDRESSES), str(tmp_path / "out"))
     assert {r["to"] for r in spark.read.json(str(tmp_path / "out")).collect()} == {"a@x", "b@y"}
