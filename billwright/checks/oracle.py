@@ -11,10 +11,7 @@ import re
 from collections.abc import Iterable
 
 from billwright.checks.queries import AS_OF, RECIPIENTS, ROWS_PER_PART, SINCE, SOURCE_QUERY
-from billwright.functions import text as X
-from billwright.operators.calendar import FIXED_HOLIDAYS, GOOD_FRIDAY, REGION
 from billwright.plans.message import TABLE_CLOSING, TABLE_OPENING
-from billwright.rules import PROJECT_CFOPS
 from billwright.schemas import BASE_TABLES
 from billwright.sources.star import STAR_COLUMNS, STATEMENTS
 
@@ -31,7 +28,7 @@ _HEADERS = (
     "select * from tnota_fiscal where cod_empresa=1 and condicao_pagamento is not null"
     " and rtrim(condicao_pagamento)<>'' and cli_for=0"
 )
-_CFOPS = ", ".join(_text(code) for code in PROJECT_CFOPS)
+_CFOPS = "'5101', '5102', '5124', '5933', '6101', '6102', '6118', '6123', '6124', '6933'"
 
 _VIEW = f"""
 select case when h.nfse=1 then 'NFSe' else 'NF' end as tipo, h.numero as nf,
@@ -57,19 +54,32 @@ left join return_notes ret on ret.k=h.numero
 left join product_orders byp on byp.k=i.codigo
 left join billing_orders bil on bil.k=h.numero"""
 
-_FIXED_DAYS = ", ".join(f"({m}, {d}, {_text(name)})" for m, d, name in FIXED_HOLIDAYS)
+_FIXED_DAYS = """
+(1, 1, 'Confraternização Universal'), (4, 21, 'Tiradentes'), (5, 1, 'Dia do Trabalhador'),
+(9, 7, 'Independência do Brasil'), (10, 12, 'Nossa Senhora Aparecida'), (11, 2, 'Finados'),
+(11, 15, 'Proclamação da República'), (12, 25, 'Natal')"""
 
-_HOLIDAYS = f"""
+
+def _holidays(movable: str) -> str:
+    """Holidays of the years of the data, all of them before any that began later."""
+    return f"""
 with y as (select distinct year(as_of) as y from days),
 a as (select y, y%19 as g, y//100 as c from y),
 b as (select y, g, c, (c - c//4 - (8*c+13)//25 + 19*g + 15)%30 as h from a),
 d as (select y, g, c, h - (h//28)*(1 - (29//(h+1))*((21-g)//11)) as i from b),
 e as (select y, i - (y + y//4 + i + 2 - c + c//4)%7 as l from d),
 f as (select y, l, 3 + (l+40)//44 as m from e)
-select make_date(y, fixed.m, fixed.d) as date, fixed.name as name, '{REGION}' as region
+select make_date(y, fixed.m, fixed.d) as date, fixed.name as name, 'BR' as region
 from y, (values {_FIXED_DAYS}) fixed(m, d, name)
 union all
-select cast(make_date(y, m, l + 28 - 31*(m//4)) - interval 2 day as date), '{GOOD_FRIDAY}', '{REGION}' from f"""
+select make_date(y, m, l + 28 - 31*(m//4)) + after, name, 'BR' from f, (values {movable}) v(after, name)"""
+
+
+_GOOD_FRIDAY = "(-2, 'Sexta-feira Santa')"
+_OPTIONAL = (
+    f"{_GOOD_FRIDAY}, (-48, 'Carnaval (segunda-feira)'), (-47, 'Carnaval'),"
+    " (-46, 'Quarta-feira de Cinzas'), (60, 'Corpus Christi')"
+)
 
 _MONTH_DAYS = (
     "select month, cast(unnest(generate_series(cast(month as timestamp),"
@@ -80,6 +90,8 @@ _FIRST_STRICT = f"""
 select month, min(day) as first_business_day from ({_MONTH_DAYS}) m
 where isodow(day)<6 and day not in (select date from holidays) group by month"""
 
+_FIRST_OPTIONAL = _FIRST_STRICT.replace("from holidays", "from optional_days")
+
 _FIRST_COMPAT = f"""
 with d as ({_MONTH_DAYS}),
 w as (select month, min(day) as weekday from d where isodow(day)<6 group by month)
@@ -123,8 +135,8 @@ def _brl_text(amount: str) -> str:
 
 def _style(text: str) -> str:
     return (
-        f"case when {text}='Cancelada' then '{X.RED}'"
-        f" when starts_with({text}, 'Devolvida') then '{X.YELLOW}' else '{X.BORDER}' end"
+        f"case when {text}='Cancelada' then 'background-color: red'"
+        f" when starts_with({text}, 'Devolvida') then 'background-color: yellow' else 'border: 1px solid black' end"
     )
 
 
@@ -165,8 +177,10 @@ _PARTS: dict[str, str] = {
     "days": "select cast(unnest(generate_series(min(dt_emissao), max(dt_emissao),"
     " interval 1 day)) as date) as as_of from tnota_fiscal",
     "months": "select distinct cast(date_trunc('month', as_of) as date) as month from days",
-    "holidays": _HOLIDAYS,
+    "holidays": _holidays(_GOOD_FRIDAY),
+    "optional_days": _holidays(_OPTIONAL),
     "first_strict": _FIRST_STRICT,
+    "first_optional": _FIRST_OPTIONAL,
     "first_days": _FIRST_COMPAT,
     "windows": _WINDOWS,
     "backfill": _BACKFILL,
@@ -189,19 +203,41 @@ def _query(sql: str, given: Iterable[str] = ()) -> str:
 
 
 def _subject(day: str) -> str:
-    return f"'{X.SUBJECT_START}' || day({day}) || '-' || month({day}) || '-' || year({day})"
+    return f"'Faturamento ' || day({day}) || '-' || month({day}) || '-' || year({day})"
+
+
+_OPENING = "\n Bom dia,<br><br>\n O faturamento do mês está em <b>"
+_LIST = "</b>.<br>\n Abaixo, a lista detalhada:<br>\n \n "
+_CLOSING = """
+
+ <br>OBS: Notas fiscais canceladas ou devolvidas <b>NÃO</b> contabilizam faturamento.<br>
+ <br><br>Em caso de dúvidas ou sugestões, favor entrar em contato.<br>
+ Este é um e-mail automático, mas sinta-se livre para respondê-lo.
+ """
 
 
-def _body(total_text: str, html: str) -> str:
+def _segment(total_text: str) -> str:
+    """One of the segments that make a body when put together."""
     return (
-        f"{_text(X.BODY_OPENING)} || {total_text} || {_text(X.BODY_LIST)} || {html}"
-        f" || {_text(X.BODY_CLOSING)}"
+        f"case when part = 0 then {_text(_OPENING)} || {total_text} ||"
+        f" {_text(_LIST + TABLE_OPENING)} else '' end || coalesce(rows_html, '') ||"
+        f" case when part = parts - 1 then {_text(TABLE_CLOSING + _CLOSING)} else '' end"
     )
 
 
 _ADDRESSES = ", ".join(f"({_text(a.strip())})" for a in RECIPIENTS.split(";") if a.strip())
 _TO = f"(values {_ADDRESSES}) recipients(address)"
-_DAILY_BODY = _body(_total_text("total"), _text(TABLE_OPENING + TABLE_CLOSING))
+_DAILY_BODIES = f"""
+with day_rows as (
+ select row_number() over (partition by data_emissao order by idx) - 1 as idx, * exclude (idx) from report),
+html as (select data_emissao as as_of, idx // {ROWS_PER_PART} as part, idx, {_ROW_HTML} as row_html from day_rows),
+totals as (
+ select data_emissao as as_of, cast(greatest(1, ceil(count(*) / {ROWS_PER_PART})) as integer) as parts,
+  cast(coalesce(sum(case when status='Autorizada' then valor end), 0) as decimal(38,4)) as total
+ from day_rows group by 1),
+tables as (select as_of, part, parts, total, string_agg(row_html, '' order by idx) as rows_html
+ from html join totals using (as_of) group by all)
+select as_of, cast(part as integer) as part, parts, {_segment(_total_text("total"))} as html_body from tables"""
 _SINCE = f"date '{SINCE}'"
 _MONTH_SUM = (
     "select cast(coalesce(sum(case when status='Autorizada' then valor end), 0) as decimal(38,4))"
@@ -217,11 +253,10 @@ numbers as (
  select cast(greatest(1, ceil(count(*) / {ROWS_PER_PART})) as integer) as parts from html),
 parts as (select parts, unnest(generate_series(0, parts - 1)) as part from numbers),
 tables as (select part, string_agg(row_html, '' order by idx) as rows_html from html group by part)
-select address as "to", {_subject(f"date '{AS_OF}'")} as subject, cast(p.part as integer) as part,
- p.parts as parts,
- {_body(_total_text("total"),
-        f"{_text(TABLE_OPENING)} || coalesce(rows_html, '') || {_text(TABLE_CLOSING)}")} as html_body
-from parts p left join tables t on p.part = t.part, total, {_TO}) message"""
+select address as "to", {_subject(f"date '{AS_OF}'")} as subject, cast(part as integer) as part,
+ parts,
+ {_segment(_total_text("total"))} as html_body
+from parts left join tables using (part), total, {_TO}) message"""
 
 _VALUE = "cast(vl_total + vl_ipi as decimal(21,4))"
 
@@ -321,19 +356,21 @@ _SQL: dict[str, str] = {
     " replace(replace('Fernando ' || coalesce(produto, 'None'), 'None', ''), 'nan', '')"
     " as literal from tnota_fiscal_item",
     "c7_subject": f"select as_of, {_subject('as_of')} as subject from days",
-    "c8_body": f"select as_of, {_DAILY_BODY} as html_body from backfill",
+    "c8_body": f"select * from ({_DAILY_BODIES}) bodies",
     "c9_recipients": "select numero, address from (select numero, trim(unnest(string_split("
     "razao_social || '@x; ;' || cfop || '@y;', ';'))) as address from tnota_fiscal) a"
     " where address<>''",
     "b1_holidays": "select date, name, region from holidays",
+    "b1_holidays_optional": "select date, name, region from optional_days",
+    "b2_first_bd_optional": "select month, first_business_day from first_optional",
     "b2_first_bd_compat": "select month, first_business_day from first_days",
     "b2_first_bd_strict": "select month, first_business_day from first_strict",
     "b3_is_first_bd": "select as_of, is_first from windows",
     "b4_window_start": "select as_of, window_start from windows",
     "b5_backfill_totals": "select as_of, window_start, total from backfill",
     "s4_html_rows": "select idx, row_html from html_rows",
-    "s5_outbox": f'select address as "to", {_subject("as_of")} as subject, as_of,'
-    f" {_DAILY_BODY} as html_body from backfill, {_TO}",
+    "s5_outbox": f'select address as "to", {_subject("as_of")} as subject, bodies.*'
+    f" from ({_DAILY_BODIES}) bodies, {_TO}",
     "r1_monthly_detail": "select row_number() over (order by idx) - 1 as idx, tipo, nf,"
     " strftime(data_emissao, '%d/%m/%Y') as data_emissao, status, os, produto, cliente,"
     f" {_brl_text('valor')} as valor from report where data_emissao >= {_SINCE}",

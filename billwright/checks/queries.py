@@ -74,14 +74,8 @@ def p2_issue_date(tables: InvoiceTables) -> DataFrame:
 
 
 def _with_notes(tables: InvoiceTables) -> DataFrame:
-    """Headers with their return note."""
-    inputs = Inputs(tables)
-    hot = inputs.hot_keys("headers.nf")["headers.nf"]
-    return (
-        Spread.over(with_row_id(inputs.headers(), "row"), "numero", hot, ["row"])
-        .left_join(lookups.return_notes(inputs.returns()), "returned_nf")
-        .result()
-    )
+    """Headers with their return note, as the view joins them."""
+    return ViewSteps(Inputs(tables)).with_lookups().result()
 
 
 @_on_tables
@@ -90,7 +84,7 @@ def p3_status(tables: InvoiceTables) -> DataFrame:
         F.col("cancelada"), F.col("returned_nf").isNotNull(), F.col("return_number"),
         F.col("nfse"), F.col("nfe_desc_status"),
     )
-    return _with_notes(tables).select(F.col("numero").alias("nf"), status.alias("status"))
+    return _with_notes(tables).select("nf", status.alias("status"))
 
 
 @_on_tables
@@ -256,26 +250,22 @@ def j5_service_orders(tables: InvoiceTables) -> DataFrame:
 @_on_tables
 def j6_is_returned(tables: InvoiceTables) -> DataFrame:
     return _with_notes(tables).select(
-        F.col("numero").alias("nf"), F.col("returned_nf").isNotNull().alias("devolvida")
+        "nf", F.col("returned_nf").isNotNull().alias("devolvida")
     )
 
 
 @_on_tables
 def j7_return_note(tables: InvoiceTables) -> DataFrame:
-    return _with_notes(tables).select(F.col("numero").alias("nf"), "return_number")
+    return _with_notes(tables).select("nf", "return_number")
 
 
 @_on_tables
 def j8_os_by_product(tables: InvoiceTables) -> DataFrame:
-    inputs = Inputs(tables)
-    hot = inputs.hot_keys("goods.product")["goods.product"]
-    goods = with_row_id(inputs.goods().select("numero_nf", "codigo"), "row")
-    return (
-        Spread.over(goods, "codigo", hot, ["row"], nullable=True)
-        .left_join(lookups.product_orders(inputs.orders_by_product()), "product_code")
-        .result()
-        .select("numero_nf", "codigo", "product_order")
-    )
+    steps = ViewSteps(Inputs(tables))
+    hot = steps.inputs.hot_keys("goods.product")["goods.product"]
+    goods = with_row_id(steps.inputs.goods().select("numero_nf", "codigo"), "row")
+    spread = Spread.over(goods, "codigo", hot, ["row"], nullable=True)
+    return steps.join_product_orders(spread).result().select("numero_nf", "codigo", "product_order")
 
 
 @_on_tables
@@ -397,10 +387,16 @@ def _backfill(tables: InvoiceTables) -> DataFrame:
 
 
 def _daily_bodies(tables: InvoiceTables) -> DataFrame:
-    html = F.lit(M.TABLE_OPENING + M.TABLE_CLOSING)
-    return _backfill(tables).select(
-        "as_of", X.body(X.total_text(F.col("total")), html).alias("html_body")
+    """For every issue date the body with that day's rows, in segments."""
+    positioned = P.sorted_report(P.report_rows(P.report_inputs(tables)))
+    authorised = F.when(L.is_authorised(F.col("status")), F.col("valor"))
+    totals = positioned.groupBy(F.col("data_emissao").alias("as_of")).agg(
+        F.min("idx").alias("first"), F.coalesce(F.sum(authorised), F.lit(0)).cast(P.TOTAL_VALUE).alias("total")
     )
+    rows = positioned.join(totals.select("as_of", "first"), F.col("data_emissao") == F.col("as_of"))
+    rows = P.formatted_report(rows.withColumn("idx", F.col("idx") - F.col("first")))
+    html = rows.select("as_of", "idx", M.row_html().alias("row_html"))
+    return M.message_parts(html, totals.select("as_of", "total"), ROWS_PER_PART, by="as_of")
 
 
 @_on_tables
@@ -424,10 +420,20 @@ def b1_holidays(tables: InvoiceTables) -> DataFrame:
     return C.holidays_around(_days(tables))
 
 
-def _first_business_days(tables: InvoiceTables, mode: str) -> DataFrame:
+@_on_tables
+def b1_holidays_optional(tables: InvoiceTables) -> DataFrame:
+    return C.holidays_around(_days(tables), optional=True)
+
+
+def _first_business_days(tables: InvoiceTables, mode: str, optional: bool = False) -> DataFrame:
     days = _days(tables)
     months = days.select(C.month_of(F.col("as_of")).alias("month")).distinct()
-    return C.first_business_days(months, C.holidays_around(days), mode)
+    return C.first_business_days(months, C.holidays_around(days, optional=optional), mode)
+
+
+@_on_tables
+def b2_first_bd_optional(tables: InvoiceTables) -> DataFrame:
+    return _first_business_days(tables, C.STRICT, optional=True)
 
 
 @_on_tables

@@ -28,8 +28,14 @@ def is_kept_order(order_number: Column, case_sensitive: bool) -> Column:
     return ~compared.like(f"{R.EXCLUDED_ORDER_PREFIX}%")
 
 
-def is_won(stage: Column, active: Column) -> Column:
-    return (stage == R.WON) & (active == 1)
+def compared_text(text: Column, case_sensitive: bool) -> Column:
+    """Text as the database compares it: without trailing blanks, and mostly without case."""
+    trimmed = F.rtrim(text)
+    return trimmed if case_sensitive else F.upper(trimmed)
+
+
+def is_won(stage: Column, active: Column, case_sensitive: bool = False) -> Column:
+    return (compared_text(stage, case_sensitive) == R.WON) & (active == 1)
 
 
 def document_type(is_service: Column) -> Column:

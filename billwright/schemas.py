@@ -1,4 +1,4 @@
-"""Schemas of the eight base tables, the holiday table and the invoice view."""
+"""Schemas of the eight base tables and the invoice view."""
 
 from pyspark.sql import types as T
 
@@ -30,8 +30,6 @@ BASE_TABLES: dict[str, T.StructType] = {
     "tordem_fat": _schema(cod_empresa=_INT, codigo=_LONG, status=_INT, numero_nf=_LONG),
 }
 
-HOLIDAYS = _schema(date=T.DateType(), name=_TEXT, region=_TEXT)
-
 LINE_VALUE = T.DecimalType(21, 4)
 TOTAL_VALUE = T.DecimalType(38, 4)
 

@@ -24,6 +24,10 @@ class Split:
     parts: int
 
 
+class Single:
+    """A read by one task, for a table known to be small."""
+
+
 @dataclass(frozen=True)
 class JdbcDatabase:
     server: str
@@ -37,7 +41,14 @@ class JdbcDatabase:
     def url(self) -> str:
         return f"jdbc:sqlserver://{self.server};databaseName={self.database}"
 
-    def options(self, source: str, split: Split | None = None) -> dict[str, str]:
+    def split(self, spark: SparkSession, table: str, column: str, parts: int) -> Split:
+        """A split of ``table`` between the least and the largest value of ``column``."""
+        bounds = f"select min({column}) as low, max({column}) as high from {table}"
+        row = spark.read.format("jdbc").options(**self.options(bounds, Single())).load().first()
+        low, high = (0 if value is None else int(value) for value in row)
+        return Split(column, low, high + 1, parts)
+
+    def options(self, source: str, split: Split | Single) -> dict[str, str]:
         """Reader options for a table name or a ``select`` statement.
 
         A statement is passed as a derived table, because Spark's ``query``
@@ -54,7 +65,7 @@ class JdbcDatabase:
             "preferTimestampNTZ": "true",
             "dbtable": f"({source}) as source_query" if is_query else source,
         }
-        if split:
+        if isinstance(split, Split):
             options |= {
                 "partitionColumn": split.column,
                 "lowerBound": str(split.lower),
@@ -63,5 +74,5 @@ class JdbcDatabase:
             }
         return options
 
-    def read(self, spark: SparkSession, source: str, split: Split | None = None) -> DataFrame:
+    def read(self, spark: SparkSession, source: str, split: Split | Single) -> DataFrame:
         return spark.read.format("jdbc").options(**self.options(source, split)).load()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billwright.schemas import BASE_TABLES
-from billwright.sources.jdbc import JdbcDatabase, Split
+from billwright.sources.jdbc import JdbcDatabase, Single, Split
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -23,11 +23,22 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+# The column by whose order a table lies after landing.
+_LANDED_BY = {
+    "tnota_fiscal": "dt_emissao",
+    "tnota_fiscal_item": "numero_nf",
+    "tnota_fiscal_servico": "numero_nf",
+    "tnota_fiscal_nfref": "nfref_numero_nf",
+    "tordem_fat": "numero_nf",
+}
+
+
 class InvoiceTables:
     """The eight base tables by name, each read when first asked for."""
 
-    def __init__(self, read: Callable[[str], DataFrame]):
+    def __init__(self, read: Callable[[str], DataFrame], live: bool = False):
         self._read = read
+        self._live = live
         self._frames: dict[str, DataFrame] = {}
 
     @classmethod
@@ -37,20 +48,30 @@ class InvoiceTables:
 
     @classmethod
     def from_database(
-        cls, spark: SparkSession, database: JdbcDatabase, splits: Mapping[str, Split] | None = None
+        cls, spark: SparkSession, database: JdbcDatabase, splits: Mapping[str, Split | Single]
     ) -> InvoiceTables:
-        """Tables of a database; ``splits`` says by table how to read it in parallel."""
-        splits = splits or {}
-        return cls(lambda name: database.read(spark, name, splits.get(name)))
+        """Tables of a database that goes on changing; ``splits`` says for each how to read it.
+
+        Reports read their tables several times, so they want the tables landed first.
+        """
+        return cls(lambda name: database.read(spark, name, splits[name]), live=True)
+
+    def check_landed(self) -> None:
+        if self._live:
+            raise ValueError("land the tables first: the database may change between two reads")
 
     def land(self, spark: SparkSession, folder: str) -> InvoiceTables:
         """Copy all tables to Parquet and go on with the copies.
 
-        Worth it for a database: each job, and each repeated task, then reads the
-        same rows again, and leaves the database alone.
+        Each job, and each repeated task, then reads the same rows again, and leaves the
+        database alone. Headers lie by issue date and lines by invoice number, so that
+        the statistics of the files skip what a report does not cover.
         """
         for name in BASE_TABLES:
-            self[name].write.parquet(f"{folder}/{name}")
+            df, order = self[name], _LANDED_BY.get(name)
+            if order:
+                df = df.repartitionByRange(order).sortWithinPartitions(order)
+            df.write.parquet(f"{folder}/{name}")
         return InvoiceTables.from_parquet(spark, folder)
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -41,7 +41,26 @@ def test_easter(years):
 def test_good_friday(years):
     rows = C.holidays(years).where(F.col("name") == C.GOOD_FRIDAY).collect()
     assert D(2026, 4, 3) in [r["date"] for r in rows]
-    assert C.holidays(years).count() == 9 * 41
+    nationwide = C.holidays(years, state=None)
+    assert nationwide.count() == 9 * 41 + 12  # 20 November since 2024
+    assert C.holidays(years).count() == nationwide.count() + 16
+    assert C.holidays(years, None, optional=True).count() == nationwide.count() + 4 * 41
+
+
+def test_days_of_one_year(spark):
+    year = spark.createDataFrame([(2024,)], "year int")
+    named = {(r["date"], r["region"]) for r in C.holidays(year, optional=True).collect()}
+    assert {(D(2024, 11, 20), "BR"), (D(2024, 4, 8), "BR-ES"), (D(2024, 2, 13), "BR"), (D(2024, 5, 30), "BR")} <= named
+    earlier = spark.createDataFrame([(2019,)], "year int")
+    assert {r["date"] for r in C.holidays(earlier).collect()}.isdisjoint({D(2019, 11, 20), D(2019, 4, 29)})
+
+
+def test_carnival_can_be_the_first_of_a_month(spark):
+    """1 March 2022 was Carnival Tuesday."""
+    month = spark.createDataFrame([(D(2022, 3, 1),)], "month date")
+    year = spark.createDataFrame([(2022,)], "year int")
+    first = lambda optional: C.first_business_days(month, C.holidays(year, optional=optional)).first()[1]
+    assert first(False) == D(2022, 3, 1) and first(True) == D(2022, 3, 3)
 
 
 def test_matches_a_day_by_day_walk(years, firsts):

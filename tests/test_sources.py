@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from billwright import InvoiceTables
-from billwright.plans.view import invoice_view
+from billwright.plans import report
+from billwright.plans.view import invoice_view, register_invoice_view
 from billwright.schemas import BASE_TABLES
-from billwright.sources.jdbc import JdbcDatabase, Split
+from billwright.sources.jdbc import JdbcDatabase, Single, Split
 from conftest import bag
 
 DB = JdbcDatabase("host:1433", "invoices", "reader", "secret")
@@ -20,6 +21,14 @@ def test_landed_tables(spark, tables, tmp_path):
     assert invoice_view(back).count() == 20
 
 
+def test_landed_rows_lie_in_order(spark, tables, tmp_path):
+    back = tables.land(spark, str(tmp_path))
+    numbers = [row["numero_nf"] for row in back["tnota_fiscal_item"].collect()]
+    assert numbers == sorted(numbers)
+    days = [row["dt_emissao"] for row in back["tnota_fiscal"].collect()]
+    assert days == sorted(days)
+
+
 def test_database_tables_are_read_as_asked(spark, tables, monkeypatch):
     asked = []
 
@@ -29,9 +38,16 @@ def test_database_tables_are_read_as_asked(spark, tables, monkeypatch):
 
     monkeypatch.setattr(JdbcDatabase, "read", read)
     split = Split("numero", 1, 1000, 16)
-    loaded = InvoiceTables.from_database(spark, DB, {"tnota_fiscal": split})
+    loaded = InvoiceTables.from_database(spark, DB, {"tnota_fiscal": split, "tos": Single()})
     assert loaded["tnota_fiscal"].count() == 20 and loaded["tos"].count() == 7
-    assert asked == [("tnota_fiscal", split), ("tos", None)]
+    assert [(name, kind if kind is split else type(kind)) for name, kind in asked] == [
+        ("tnota_fiscal", split), ("tos", Single)
+    ]
+    with pytest.raises(KeyError):
+        loaded["torcamento"]
+    for wanted in (report.report_inputs, lambda tables: register_invoice_view(tables, "live")):
+        with pytest.raises(ValueError, match="land"):
+            wanted(loaded)
 
 
 def test_flags_and_codes_of_other_types(spark, tables):
@@ -57,7 +73,7 @@ def test_unknown_table_fails(tables):
 
 
 def test_table_options():
-    options = DB.options("tnota_fiscal")
+    options = DB.options("tnota_fiscal", Single())
     assert options["url"] == "jdbc:sqlserver://host:1433;databaseName=invoices"
     assert options["dbtable"] == "tnota_fiscal"
     assert (options["user"], options["password"]) == ("reader", "secret")

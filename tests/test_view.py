@@ -83,3 +83,17 @@ def test_every_header_is_preserved(tables):
     kept = {1, 2, 3, 4, 5, 6, 7, 12, 13, 14, 15, 16, 17, 18, 19, 20}
     assert {row["nf"] for row in view.select("nf").distinct().collect()} == kept
     assert view.where(F.col("valor").isNull()).count() == 2
+
+
+def test_text_compares_as_in_the_database(tables):
+    """Case and trailing blanks make no difference, unless the collation says so."""
+    quotes = tables["torcamento"].withColumn("estagio_orc", F.lit("ganhou "))
+    lines = tables["torcamento_itens"].withColumn("guid_linha", F.lit("ga  "))
+    other = InvoiceTables(
+        lambda name: {"torcamento": quotes, "torcamento_itens": lines}.get(name, tables[name])
+    )
+    joined = lambda rules: ViewSteps(Inputs(other, rules)).quotes().where("won_quote is not null").count()
+    assert joined(Rules()) == 1 and joined(Rules(case_sensitive=True)) == 0
+    steps = ViewSteps(Inputs(other))
+    met = steps.join_quotes(steps.goods_over_guids()).result().where("guid_linha is not null")
+    assert [row["goods_nf"] for row in met.collect()] == [15]
