@@ -4,8 +4,9 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from billwright import Rules
-from billwright.plans.view import invoice_view, register_invoice_view, with_headings
+from billwright import InvoiceTables, Rules
+from billwright.plans.inputs import Inputs
+from billwright.plans.view import ViewSteps, invoice_view, register_invoice_view, with_headings
 from billwright.schemas import VIEW_HEADINGS
 
 AUT, WAIT = "Autorizada", "Aguardando Aprovação"
