@@ -32,6 +32,11 @@ _LONG_WORD = 64
 _SHIFT = 24
 
 
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each length, end to end."""
+    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+
+
 class Vocabulary:
     """Ranks of byte sequences; an id is a rank."""
 
@@ -66,18 +71,32 @@ class Vocabulary:
 
     def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """The ids of each word; the lowest rank merges first, of equal ones the leftmost."""
-        found = [(one,) if (one := self.ranks.get(word)) is not None else () for word in words]
-        many = [n for n, word in enumerate(words) if not found[n] and 0 < len(word) <= _LONG_WORD]
-        if many:
-            for n, ids in zip(many, self._replay_many([words[n] for n in many])):
-                found[n] = ids
-        for n, word in enumerate(words):
-            if len(word) > _LONG_WORD and not found[n]:
-                found[n] = self._replay_long(word)
-        return found
-
-    def _replay_many(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """Each time a rank is due, it merges once in every word that holds it."""
+        ids, lengths = self.replayed(words)
+        each = iter(ids.tolist())
+        return [tuple(itertools.islice(each, n)) for n in lengths.tolist()]
+
+    def replayed(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words end to end, and how many each has."""
+        whole = np.array([self.ranks.get(word, -1) for word in words], np.int32)
+        bytes_in = np.array([len(word) for word in words], np.int64)
+        lengths = np.where(whole >= 0, 1, 0)
+        many = np.flatnonzero((whole < 0) & (bytes_in > 0) & (bytes_in <= _LONG_WORD))
+        long = np.flatnonzero((whole < 0) & (bytes_in > _LONG_WORD))
+        if len(many):
+            many_ids, lengths[many] = self._replay_many([words[n] for n in many.tolist()])
+        long_ids = [self._replay_long(words[n]) for n in long.tolist()]
+        lengths[long] = [len(ids) for ids in long_ids]
+        starts = np.cumsum(lengths) - lengths
+        ids = np.empty(lengths.sum(), np.int32)
+        ids[starts[whole >= 0]] = whole[whole >= 0]
+        if len(many):
+            ids[_spread(starts[many], lengths[many])] = many_ids
+        for n, own in zip(long.tolist(), long_ids):
+            ids[starts[n] : starts[n] + len(own)] = own
+        return ids, lengths
+
+    def _replay_many(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``replayed``. Each time a rank is due, it merges once in every word that holds it."""
         sequence = np.frombuffer(b"".join(words), np.uint8)
         end = len(sequence)  # stands for no neighbour
         lengths = np.array([len(word) for word in words])
@@ -131,9 +150,7 @@ class Vocabulary:
                 ),
             )
         alive = tokens[:end] >= 0
-        counts = np.bincount(word_of[alive], minlength=len(words))
-        ids = iter(tokens[:end][alive].tolist())
-        return [tuple(itertools.islice(ids, n)) for n in counts.tolist()]
+        return tokens[:end][alive], np.bincount(word_of[alive], minlength=len(words))
 
     def _replay_long(self, word: bytes) -> tuple[int, ...]:
         """One word of any length, merge by merge; a rank's places may be many."""
@@ -165,6 +182,32 @@ class Vocabulary:
         return tuple(token for token in tokens if token >= 0)
 
 
+class _Known:
+    """Words whose ids are known, and the ids end to end."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self._ids = np.empty(0, np.int32)
+        self._starts, self._lengths = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def learn(self, vocabulary: Vocabulary, held: list[tuple[int, list[str]]]) -> None:
+        words = set().union(*(words for _, words in held))
+        new = list(words.difference(self.number))
+        if len(self.number) + len(new) > KNOWN_WORDS:
+            self.__init__()  # too many to remember; begin with what is at hand
+            new = list(words)
+        ids, lengths = vocabulary.replayed([word.encode() for word in new])
+        starts = np.cumsum(lengths) - lengths + len(self._ids)
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self._ids = np.concatenate([self._ids, ids])
+        self._starts = np.concatenate([self._starts, starts])
+        self._lengths = np.concatenate([self._lengths, lengths])
+
+    def ids_of(self, words: list[str]) -> np.ndarray:
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        return self._ids[_spread(self._starts[numbers], self._lengths[numbers])]
+
+
 def _pieces(texts: list[str], split: Callable) -> Iterator[list[tuple[int, list[str]]]]:
     """Slices of (number of the text, words); long texts come in several pieces."""
     held, size = [], 0
@@ -198,24 +241,16 @@ def encode(
     out. The vocabulary file is read by the driver and broadcast; its size is fixed.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(ranks_path))
-    known: dict[str, tuple[int, ...]] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, split = shared.value, regex.compile(pattern).finditer
+        vocabulary, split, known = shared.value, regex.compile(pattern).finditer, _Known()
         for batch in batches:
             texts = [text or "" for text in batch.column(1).to_pylist()]
             parts: list[list[np.ndarray]] = [[] for _ in texts]
             for held in _pieces(texts, split):
-                new = list({word for _, words in held for word in words if word not in known})
-                table = known
-                if len(known) + len(new) > KNOWN_WORDS:
-                    # Too many to remember all: what this slice needs, then begin anew.
-                    table = {w: known[w] for _, words in held for w in words if w in known}
-                    known.clear()
-                table.update(zip(new, vocabulary.replay([w.encode() for w in new])))
+                known.learn(vocabulary, held)
                 for number, words in held:
-                    ids = itertools.chain.from_iterable(map(table.__getitem__, words))
-                    parts[number].append(np.fromiter(ids, np.int32))
+                    parts[number].append(known.ids_of(words))
             lengths = np.array([sum(map(len, p)) for p in parts], np.int64)
             done = 0
             while done < len(texts):  # lists of an Arrow batch end below 2 ** 31 elements
@@ -241,11 +276,11 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
     """
     if "decoded" in encoded.columns:
         raise ValueError("there is already a column decoded")
-    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(ranks_path))
+    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(ranks_path).bytes_of)
     place = encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.bytes_of.__getitem__
+        token = shared.value.__getitem__
         for batch in batches:
             lists = batch.column(place)
             decoded = pa.array(
