@@ -68,8 +68,8 @@ def find_hot_keys(sides: Iterable[Side], rows_per_task: int, tasks: int | None =
     """The keys, on every side, with more rows than ``rows_per_task`` and than an even share.
 
     An even share is the side's rows over ``tasks``, by default the session's shuffle
-    partitions, so that less than ``tasks`` keys of a side can be found. One job for all
-    sides, which reads the key columns only. It counts on a sample, the same on each run,
+    partitions, so that less than ``tasks`` keys of a side can be found. One query for all
+    sides, and another if any key is large, which read the key columns only. They count on a sample, the same on each run,
     that still holds ``ROWS_SEEN`` rows of any hot key. What is found decides how the
     work is dealt out and nothing else.
     """
@@ -84,11 +84,14 @@ def find_hot_keys(sides: Iterable[Side], rows_per_task: int, tasks: int | None =
         .groupBy("name", "key")
         .agg(F.sum("weight").alias("rows"))
     )
+    hot: dict[str, dict] = {name: {} for name in side_of}
+    large = counts.where(F.col("rows") > rows_per_task)
+    if large.isEmpty():  # as a rule; even shares are only worth a job where they matter
+        return hot
     shares = counts.groupBy(F.col("name").alias("_name")).agg(
         F.greatest(F.lit(float(rows_per_task)), F.sum("rows") / tasks).alias("share")
     )
-    largest = counts.join(shares, (F.col("name") == F.col("_name")) & (F.col("rows") > F.col("share")))
-    hot: dict[str, dict] = {name: {} for name in side_of}
+    largest = large.join(shares, (F.col("name") == F.col("_name")) & (F.col("rows") > F.col("share")))
     for row in largest.collect():
         hot[row["name"]][side_of[row["name"]].value(row["name"], row["key"])] = math.ceil(
             row["rows"] / row["share"]

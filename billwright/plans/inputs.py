@@ -57,18 +57,14 @@ class Inputs:
 
     @cached_property
     def _span(self) -> Row | None:
-        """In a narrow report: number of headers, lowest and highest invoice number."""
+        """In a narrow report: lowest and highest invoice number."""
         if not self.narrow:
             return None
         number = F.col("numero")
         return self.headers().agg(
-            F.count("*").alias("rows"), F.min(number).alias("low"), F.max(number).alias("high")
+            F.min(number).alias("low"), F.max(number).alias("high")
         ).first()
 
-    @property
-    def _header_rows(self) -> int | None:
-        return self._span and self._span["rows"]
-
     def _of_invoices(self, rows: DataFrame, key: str) -> DataFrame:
         """Rows whose invoice number may be wanted, as far as that is known."""
         if not self.narrow:
@@ -81,10 +77,6 @@ class Inputs:
         lines = self._of_invoices(self._of_company("tnota_fiscal_item"), "numero_nf")
         return stored(lines) if self.narrow else lines
 
-    @cached_property
-    def _goods_rows(self) -> int | None:
-        return self._goods.count() if self.narrow else None
-
     def goods(self) -> DataFrame:
         return self._goods
 
@@ -125,17 +117,12 @@ class Inputs:
         """The hot values of the named join keys, counted on the very rows that are joined."""
         if "hot_keys_of_view" in self.__dict__:
             return self.hot_keys_of_view
-        known = {"headers": self._header_rows, "goods": self._goods_rows}
-        hot: dict[str, Cells] = {}
         sides = []
         for rows, keys in _JOIN_KEYS.items():
             asked = {name: key for name, key in keys.items() if name in names}
-            count = known.get(rows)
-            if count is not None and count <= self.rules.rows_per_task:
-                hot |= {name: {} for name in asked}
-            elif asked:
+            if asked:
                 sides.append(Side(getattr(self, rows)(), asked))
-        return hot | (self._found(sides) if sides else {})
+        return self._found(sides)
 
     def _found(self, sides: list[Side]) -> dict[str, Cells]:
         return find_hot_keys(sides, self.rules.rows_per_task, self.rules.join_tasks)
