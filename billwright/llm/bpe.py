@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 #: Characters of text that a task holds as words at a time, and words it remembers.
-SLICE_CHARS = 4_000_000
-KNOWN_WORDS = 400_000
+SLICE_CHARS = 2_000_000
+KNOWN_WORDS = 300_000
 _WORDS_AT_ONCE = 500_000
 #: Bytes from which a word is merged by itself, and bits of an id.
 _LONG_WORD = 64

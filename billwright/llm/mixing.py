@@ -143,10 +143,13 @@ def mix(
     shards = dealt.groupBy("_source", "_shard", "_seats").agg(F.sum("size").alias("_words")).withColumn(
         "_blocks", F.ceil(F.col("_words") / block_words)
     )
-    quotas = shards.groupBy("_source").applyInPandas(
-        lambda rows: _shard_quotas(rows, most),
-        "_source string, _shard long, _blocks long, _quota long",
-    ).select(F.col("_source").alias("_of"), F.col("_shard").alias("_in"), "_blocks", "_quota")
+    # Written, so that Spark knows that it is small and need not shuffle texts to join it.
+    quotas = written(
+        shards.groupBy("_source").applyInPandas(
+            lambda rows: _shard_quotas(rows, most),
+            "_source string, _shard long, _blocks long, _quota long",
+        ).select(F.col("_source").alias("_of"), F.col("_shard").alias("_in"), "_blocks", "_quota")
+    )
 
     stream = Window.partitionBy("_source", "_shard").orderBy("_chance", "doc_id", "size")
     placed = dealt.withColumn(

@@ -15,7 +15,6 @@ carries the exact messages over the cuts.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -35,7 +34,8 @@ TELLING, LEAST_DOCS = 20.0, 5
 WEIGHTS = 1 << 18
 REJECT = 0.7
 _SEGMENT = 512
-_KNOWN = 500_000
+_MOST_FEATURES = 6
+_KNOWN = 250_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -152,20 +152,25 @@ def _logistic(x: np.ndarray, y: np.ndarray, rate: float) -> np.ndarray:
     return w
 
 
-def _marked(texts: list[list[str]], toxic: np.ndarray) -> set[int]:
-    """Features that tell toxic documents; copies of a document count once."""
-    seen: set[tuple] = set()
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
-    number = [0, 0]
+def _marked(texts: list[np.ndarray], toxic: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """For each weight whether its feature tells toxic documents; copies of one count once.
+
+    ``texts`` number their words, ``features`` has the places of each word, or -1.
+    """
+    seen: set[int] = set()
+    counts, number = np.zeros((2, WEIGHTS), np.int32), np.zeros(2, int)
     for words, label in zip(texts, toxic):
-        rare = tuple(sorted(xxhash.xxh3_64_intdigest(" ".join(words[n : n + 3]).encode()) for n in range(len(words) - 2))[:4])
-        if rare and any(value in seen for value in rare):
+        three = words.astype(np.uint64)
+        three = (three[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ three[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) ^ three[2:]
+        rare = np.unique(three * np.uint64(0x165667B19E3779F9))[:4].tolist() if len(words) > 2 else []
+        if not seen.isdisjoint(rare):
             continue
         seen.update(rare)
         number[label] += 1
-        counts[label].update({f for word in set(words) for f in _features(word)})
-    rate = lambda f, label: (counts[label][f] + 0.5) / (number[label] + 1)
-    return {f for f, n in counts[1].items() if n >= LEAST_DOCS and rate(f, 1) >= TELLING * rate(f, 0)}
+        own = np.unique(features[np.unique(words)])
+        counts[label, own[own >= 0]] += 1
+    rate = (counts + 0.5) / (number + 1)[:, None]
+    return (counts[1] >= LEAST_DOCS) & (rate[1] >= TELLING * rate[0])
 
 
 def fit(texts: list[str], toxic: list[int], rate: float, rounds: int = 40) -> Field:
@@ -176,20 +181,27 @@ def fit(texts: list[str], toxic: list[int], rate: float, rounds: int = 40) -> Fi
     """
     field = Field(np.zeros(WEIGHTS, np.float32), np.zeros((2, 2)), None)
     label = np.array(toxic, int)
-    words = [_WORD.findall(text) for text in texts]
-    own = np.random.default_rng(0).permutation(len(words)) % 3 < 2
+    vocabulary: dict[str, int] = {}
+    numbered = []
+    for text in texts:
+        words = _WORD.findall(text)
+        numbered.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int32))
+    own = np.random.default_rng(0).permutation(len(texts)) % 3 < 2
     if not (label[own].any() and label[~own].any() and (label[own] == 0).any() and (label[~own] == 0).any()):
         return field
-    telling = _marked([w for w, o in zip(words, own) if o], label[own])
-    vocabulary = {word: n for n, word in enumerate(sorted({w for ws in words for w in ws}))}
-    features = [_features(word) for word in vocabulary]
-    marked = np.array([not telling.isdisjoint(f) for f in features], bool)
-    flat, at = np.concatenate(features), np.repeat(np.arange(len(features)), [len(f) for f in features])
+    places = np.full((len(vocabulary), _MOST_FEATURES), -1, np.int32)
+    for word, n in vocabulary.items():
+        found = _features(word)
+        places[n, : len(found)] = found
+    telling = _marked([n for n, o in zip(numbered, own) if o], label[own], places)
+    at, column = np.nonzero(places >= 0)
+    flat = places[at, column]
+    marked = np.zeros(len(vocabulary), bool)
+    marked[at[telling[flat]]] = True
 
     def laid_out(which: np.ndarray):
-        chosen = [words[n] for n in np.flatnonzero(which)]
-        ids = np.fromiter((vocabulary[w] for ws in chosen for w in ws), np.int64)
-        return ids, np.array([len(ws) for ws in chosen])
+        chosen = [numbered[n] for n in np.flatnonzero(which)]
+        return np.concatenate(chosen), np.array([len(ids) for ids in chosen])
 
     ids, lengths = laid_out(own)
     truth = (marked[ids] & np.repeat(label[own] == 1, lengths)).astype(float)
