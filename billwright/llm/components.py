@@ -41,13 +41,15 @@ def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         .select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b"))
         .distinct()
     )
-    for _ in range(most_rounds):
-        after = written(_towards(_towards(now, True), False))
-        if _mark(after) == _mark(now):
+    mark = _mark(now)
+    for _ in range(most_rounds if mark[0] else 0):
+        now, before = written(_towards(_towards(now, True), False)), mark
+        mark = _mark(now)
+        if mark == before:
             break
-        now = after
     else:
-        raise RuntimeError(f"links did not settle in {most_rounds} rounds")
+        if mark[0]:
+            raise RuntimeError(f"links did not settle in {most_rounds} rounds")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 

@@ -279,13 +279,14 @@ def _links_in_cell(cell: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def _links_around(compared: DataFrame, links: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """(a, b): links between the components that share a centre, as far as it takes to merge them.
+def _links_around(compared: DataFrame, merged: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b): links between the components in ``merged`` that share a centre, as far as it
+    takes to merge them.
 
     Classes outside the largest component around a centre meet all classes there. Both
     sides are dealt into blocks, and a cell holds one block of each.
     """
-    merged = connected(links).select(F.col("node").alias("_in"), "component")
+    merged = merged.select(F.col("node").alias("_in"), "component")
     members = written(
         compared.join(merged, F.col("a") == F.col("_in"), "left").select(
             F.col("a").alias("node"), F.col("b").alias("centre"), "n", "alone", "held", "beside",
@@ -365,10 +366,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
         .select(F.col("node").alias("a"), F.col("centre").alias("b"), "n", "alone", "shared").distinct()
     )
     compared = _compared(stars, sets, percent)
-    links = compared.where("alike and a != b").select("a", "b")
-    links = links.unionByName(_links_around(compared, links, sets, percent, block))
-
-    parts = connected(links)
+    merged = connected(compared.where("alike and a != b").select("a", "b"))
+    around = _links_around(compared, merged, sets, percent, block)
+    parts = connected(merged.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(around))
     first = (
         parts.join(classes.select("node", "doc_id"), "node")
         .groupBy("component").agg(F.min("doc_id").alias("first"))
