@@ -113,7 +113,9 @@ def mix(
             )
 
     schema = StructType([StructField("size", LongType()), *source.schema.fields[1:]])
-    sized = written(source.mapInArrow(count, schema))
+    sized = source.mapInArrow(count, schema)
+    if not keep:  # counting texts again costs less than writing them
+        sized = written(sized)
     totals = sized.groupBy("_source").agg(
         F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs")
     ).collect()
