@@ -3,16 +3,22 @@
 A pass hashes every vector by the signs of random projections and sorts by the bits put
 together. Vectors at a small angle share a long beginning, so each is compared with the
 neighbours within a window of bounded width, and the pairs that are similar enough are
-linked. Passes with other projections find what one pass tears apart; the links of all
+linked. Vectors that agree in so many leading bits that a window should hold them are a
+run; a run longer than the window (a dense group) is compared as a whole, in cells of two
+blocks. Passes with other projections find what one pass tears apart; the links of all
 are united. Equal vectors are one class from the start.
 
-A pair is counted in the first pass that brings it into a window and in no other: a
-vector carries its positions in all passes. A task compares one stretch of a pass with
-itself and the next, whatever the data.
+The number of vectors decides how many leading bits make a run, and with the similarity
+that decides how many passes it takes for the aimed recall.
+
+A pair is counted in the first pass that brings it into a window or a run and in no other:
+a vector carries its positions in all passes. A task compares one stretch of a pass with
+itself and the next, or two blocks of a run, whatever the data.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,30 +31,46 @@ from billwright.llm.common import written
 from billwright.llm.components import connected
 from billwright.llm.vectors import matrix, usable
 
-#: Passes, neighbours on either side, and sign bits of a hash.
+#: The fewest passes, neighbours on either side, and sign bits of a hash.
 PASSES = 8
 WINDOW = 1024
 BITS = 60
-_TRIES = 256
+#: The share of pairs just at the threshold that some pass is expected to bring together.
+RECALL = 0.95
+#: Vectors on either side of a cell of a run, and the most pairs looked at in one go.
+BLOCK = 8192
+_TRIES = 1 << 20
+
 
+def _scheme(rows: int, least: float, window: int) -> tuple[int, int]:
+    """(bits, passes): the leading bits that make a run, and how many passes RECALL takes.
+
+    With log2(rows / window) bits an even spread has a window's worth in each run. Two
+    vectors agree in a bit with the probability 1 - angle / pi.
+    """
+    agree = 1 - math.acos(max(-1.0, min(1.0, least))) / math.pi
+    bits = min(BITS, max(0, math.ceil(math.log2(max(rows, 1) / window)))) if agree > 0 else 0
+    together = agree**bits
+    return bits, PASSES if together == 1 else max(PASSES, math.ceil(math.log(1 - RECALL) / math.log1p(-together)))
 
-def _projections(size: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((PASSES * BITS, size))
 
+def _projections(size: int, seed: int, passes: int) -> np.ndarray:
+    return np.random.default_rng(seed).standard_normal((passes, BITS, size))
 
-def _keyed(vectors: DataFrame, seed: int) -> DataFrame:
+
+def _keyed(vectors: DataFrame, seed: int, passes: int) -> DataFrame:
     """(node, pass, key): the hash of each vector in each pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             rows = matrix(batch.column(1))
-            signs = rows @ _projections(rows.shape[1], seed).T >= 0
-            keys = signs.reshape(len(rows), PASSES, BITS) @ place
+            drawn = _projections(rows.shape[1], seed, passes)
+            keys = np.stack([(rows @ one.T >= 0) @ place for one in drawn], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(batch.column(0).to_numpy(), PASSES)),
-                    pa.array(np.tile(np.arange(PASSES, dtype=np.int32), len(rows))),
+                    pa.array(np.repeat(batch.column(0).to_numpy(), passes)),
+                    pa.array(np.tile(np.arange(passes, dtype=np.int32), len(rows))),
                     pa.array(keys.ravel()),
                 ],
                 names=["node", "pass", "key"],
@@ -57,14 +79,19 @@ def _keyed(vectors: DataFrame, seed: int) -> DataFrame:
     return vectors.select("node", "vector").mapInArrow(run, "node long, pass int, key long")
 
 
-def _positions(keyed: DataFrame) -> DataFrame:
-    """(node, places array<long>): the rank of each vector in the order of each pass.
+def _positions(keyed: DataFrame, bits: int, window: int) -> tuple[DataFrame, DataFrame]:
+    """(node, places, runs) by pass, and (pass, run, n) of the runs longer than the window.
 
-    A range-partitioned sort; the sizes of its partitions, a row each, number the rows.
+    A place is the rank of a vector in the order of a pass, a run is named by its first
+    place and -1 if it isn't longer than the window. A range-partitioned sort; the sizes
+    of its partitions, a row each, number the rows.
     """
     ordered = written(
         keyed.repartitionByRange("pass", "key", "node").sortWithinPartitions("pass", "key", "node")
-        .select("node", "pass", F.monotonically_increasing_id().alias("at"))
+        .select(
+            "node", "pass", F.shiftright("key", BITS - bits).alias("prefix"),
+            F.monotonically_increasing_id().alias("at"),
+        )
     )
     part, offset = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
     sizes = ordered.groupBy("pass", part.alias("part")).agg(
@@ -77,61 +104,73 @@ def _positions(keyed: DataFrame) -> DataFrame:
     )
     placed = ordered.join(
         starts, (F.col("pass") == F.col("_pass")) & (part == F.col("_part"))
-    ).select("node", "pass", (offset + F.col("before")).alias("place"))
-    return placed.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("pass", "place"))).alias("p")).select(
-        F.col("node").alias("_node"), F.transform("p", lambda x: x["place"]).alias("places")
+    ).select("node", "pass", "prefix", (offset + F.col("before")).alias("place"))
+    dense = written(
+        placed.groupBy("pass", "prefix").agg(F.min("place").alias("run"), F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > window + 1)
     )
+    in_run = dense.select(F.col("pass").alias("_pass"), F.col("prefix").alias("_prefix"), "run")
+    by_node = (
+        placed.join(in_run, (F.col("pass") == F.col("_pass")) & (F.col("prefix") == F.col("_prefix")), "left")
+        .select("node", F.struct("pass", "place", F.coalesce("run", F.lit(-1).cast("long")).alias("run")).alias("p"))
+        .groupBy("node").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    )
+    return by_node.select(
+        F.col("node").alias("_node"), F.transform("p", lambda x: x["place"]).alias("places"),
+        F.transform("p", lambda x: x["run"]).alias("runs"),
+    ), dense.select("pass", "run", "n")
 
 
-class _Forest:
-    """Union by smallest member."""
-
-    def __init__(self, size: int):
-        self.up = list(range(size))
-
-    def root(self, n: int) -> int:
-        while self.up[n] != n:
-            self.up[n] = n = self.up[self.up[n]]
-        return n
-
-    def join(self, a: int, b: int) -> None:
-        a, b = sorted((self.root(a), self.root(b)))
-        self.up[b] = a
+def _joined(parts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``parts`` after the parts of each a and b have become one, named by the smallest."""
+    while (apart := parts[a] != parts[b]).any():
+        a, b = a[apart], b[apart]
+        up = np.arange(len(parts))
+        np.minimum.at(up, np.maximum(parts[a], parts[b]), np.minimum(parts[a], parts[b]))
+        while (further := up[up] != up).any():
+            up[further] = up[up[further]]
+        parts = up[parts]
+    return parts
 
 
-def _compared(stretch: pd.DataFrame, least: float, window: int) -> pd.DataFrame:
-    """(node, links, linked): links of this stretch's vectors within the window.
+def _compared(cell: pd.DataFrame, least: float, window: int, far: bool = False) -> pd.DataFrame:
+    """(node, links, linked): links of this cell's vectors within the window, or beyond it.
 
     ``linked`` joins the vectors that links connect, one link less than there are vectors.
     """
-    own = int(stretch["pass"].iloc[0])
-    places = np.stack(stretch["places"].to_numpy())
+    own = int(cell["pass"].iloc[0])
+    places = np.stack(cell["places"].to_numpy())
     order = np.argsort(places[:, own], kind="stable")
-    places = places[order]
-    vectors = np.stack(stretch["vector"].to_numpy())[order]
+    places, runs = places[order], np.stack(cell["runs"].to_numpy())[order]
+    vectors = np.stack(cell["vector"].to_numpy())[order]
     vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    nodes, sizes = stretch["node"].to_numpy()[order], stretch["copies"].to_numpy()[order]
-    begins = int(np.count_nonzero(stretch["home"]))  # the stretch itself comes first, then the next
-    counts, forest = np.zeros(len(nodes), np.int64), _Forest(len(nodes))
-    for low in range(0, begins, _TRIES):
-        high = min(low + _TRIES, begins)
-        end = min(len(nodes), high + window)
-        a, b = np.nonzero(vectors[low:high] @ vectors[low:end].T >= least - 1e-9)
-        a, b = a + low, b + low
-        near = (a < b) & (places[b, own] - places[a, own] <= window)
-        a, b = a[near], b[near]
+    nodes, sizes = cell["node"].to_numpy()[order], cell["copies"].to_numpy()[order]
+    begins = int(np.count_nonzero(cell["home"]))  # the stretch or block itself comes first, then the other
+    others = begins if far and begins < len(nodes) else 0
+    counts, parts = np.zeros(len(nodes), np.int64), np.arange(len(nodes))
+    step = max(1, min(256, _TRIES // len(nodes)))
+    for low in range(0, begins, step):
+        high = min(low + step, begins)
+        first, end = max(low, others), len(nodes) if far else min(len(nodes), high + window)
+        cosines = vectors[low:high] @ vectors[first:end].T
+        a, b = np.nonzero(cosines >= least - 1e-9)
+        sure = cosines[a, b] >= least + 1e-9
+        a, b = a + low, b + first
+        gap = places[b, own] - places[a, own]
+        new = gap > window if far else (gap > 0) & (gap <= window)
+        a, b, sure = a[new], b[new], sure[new]
         for earlier in range(own):
-            new = np.abs(places[a, earlier] - places[b, earlier]) > window
-            a, b = a[new], b[new]
-        exact = np.einsum("ij,ij->i", vectors[a], vectors[b]) >= least
-        a, b = a[exact], b[exact]
+            run = runs[a, earlier]
+            new = (np.abs(places[a, earlier] - places[b, earlier]) > window) & ((run < 0) | (run != runs[b, earlier]))
+            a, b, sure = a[new], b[new], sure[new]
+        close = np.flatnonzero(~sure)
+        sure[close] = np.einsum("ij,ij->i", vectors[a[close]], vectors[b[close]]) >= least
+        a, b = a[sure], b[sure]
         np.add.at(counts, a, sizes[b])
         np.add.at(counts, b, sizes[a])
-        for x, y in zip(a.tolist(), b.tolist()):
-            forest.join(x, y)
+        parts = _joined(parts, a, b)
     some = np.flatnonzero(counts)
-    roots = [forest.root(n) for n in some.tolist()]
-    return pd.DataFrame({"node": nodes[some], "links": counts[some], "linked": nodes[roots]})
+    return pd.DataFrame({"node": nodes[some], "links": counts[some], "linked": nodes[parts[some]]})
 
 
 def near_duplicates(
@@ -141,7 +180,8 @@ def near_duplicates(
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``.
 
     Rows are linked if a pass compares them and their cosine, in double precision, is at
-    least ``least``; equal vectors are always linked. ``n_links`` counts the other rows
+    least ``least``; that is expected of RECALL of the pairs just at it and of more above,
+    however many rows there are and however dense they lie. Equal vectors are always linked. ``n_links`` counts the other rows
     linked directly, component_id is the smallest id that links reach, and a row is kept
     if that is its own. Null, zero and empty vectors, and ones that hold a null or
     non-finite component, are linked with nothing. Repeated rows are rows of their own. A
@@ -159,24 +199,39 @@ def near_duplicates(
             F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")
         )
     )
+    bits, passes = _scheme(classes.count(), least, window)
+    positions, dense = _positions(_keyed(classes, seed, passes), bits, window)
     placed = written(
-        classes.join(_positions(_keyed(classes, seed)), F.col("node") == F.col("_node"))
-        .select("node", "copies", "vector", "places")
+        classes.join(positions, F.col("node") == F.col("_node"))
+        .select("node", "copies", "vector", "places", "runs")
     )
     own = placed.select("*", F.posexplode("places").alias("pass", "place"))
     stretch = F.floor(F.col("place") / window)
     halves = own.select(
-        "pass", "node", "copies", "vector", "places",
+        "pass", "node", "copies", "vector", "places", "runs",
         F.explode(F.array(
             F.struct(stretch.alias("stretch"), F.lit(True).alias("home")),
             F.struct((stretch - 1).alias("stretch"), F.lit(False).alias("home")),
         )).alias("h"),
     ).select("*", "h.stretch", "h.home").where("stretch >= 0").drop("h")
+    run = F.element_at("runs", F.col("pass") + 1)
+    named_run = dense.select(F.col("pass").alias("_pass"), F.col("run").alias("_run"), "n")
+    block = F.floor((F.col("place") - F.col("_run")) / BLOCK)
+    numbers = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / BLOCK) - 1)
+    cells = own.where(run >= 0).join(named_run, (F.col("pass") == F.col("_pass")) & (run == F.col("_run"))).select(
+        "pass", "_run", "node", "copies", "vector", "places", "runs",
+        F.inline(F.transform(numbers, lambda k: F.struct(
+            F.least(k, block).alias("i"), F.greatest(k, block).alias("j"), (k >= block).alias("home"),
+        ))),
+    )
+    beyond = cells.groupBy("pass", "_run", "i", "j").applyInPandas(
+        lambda rows: _compared(rows, least, window, far=True), "node long, links long, linked long"
+    )
     found = written(
         halves.groupBy("pass", "stretch").applyInPandas(
             lambda rows: _compared(rows, least, window) if rows["home"].any() else pd.DataFrame({"node": [], "links": [], "linked": []}),
             "node long, links long, linked long",
-        )
+        ).unionByName(beyond)
     )
     links = found.groupBy("node").agg(F.sum("links").alias("links")).withColumnRenamed("node", "_node")
     parts = connected(found.select(F.col("node").alias("a"), F.col("linked").alias("b")))

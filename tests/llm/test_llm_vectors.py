@@ -77,6 +77,33 @@ def test_links_in_planted_groups(spark):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in rows)
 
 
+def _found_share(spark, vectors, window):
+    """n_links found of those that there are; none may be false."""
+    table = _table(spark, [(n, v.tolist()) for n, v in enumerate(vectors)])
+    counts = np.array([r["n_links"] for r in sorted(embeddings.near_duplicates(table, window=window).collect())])
+    real = plain_links(np.float32(vectors).astype(float)).sum(1)
+    assert (counts <= real).all()
+    return counts.sum() / real.sum()
+
+
+def test_recall_of_far_more_rows_than_a_window(spark):
+    """Pairs just above the threshold among 2,000 times as many rows as a window holds."""
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    one, other = unit(rng.normal(size=(4000, 48))), rng.normal(size=(4000, 48))
+    other = unit(other - (other * one).sum(1, keepdims=True) * one)
+    assert _found_share(spark, np.concatenate([one, 0.901 * one + np.sqrt(1 - 0.901**2) * other]), 4) >= 0.9
+
+
+@pytest.mark.parametrize("block", [300, 8192])
+def test_recall_of_a_dense_group(spark, monkeypatch, block):
+    """Each of 2,000 vectors is linked with each other, over many windows."""
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    group = rng.normal(size=(1, 48)) + rng.normal(scale=0.22, size=(2000, 48))
+    assert _found_share(spark, np.concatenate([group, rng.normal(size=(500, 48))]), 32) >= 0.9
+
+
 def test_recall_on_the_table(spark):
     path = f"{DATA}/sf0.01/embeddings.parquet"
     table = spark.read.parquet(path)
