@@ -249,8 +249,9 @@ def _compared(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _rooms(one: pd.Series, rows: pd.DataFrame, held: np.ndarray, percent: int) -> np.ndarray:
     """Which rows may be similar to one, by sizes and by outlines against the same centre."""
-    lone = np.where(rows["n"] <= FINE, rows["alone"], 0)
-    most = np.minimum(rows["n"] - lone, one["n"] - (one["alone"] if one["n"] <= FINE else 0))
+    # What no other sketch retains may still be in the part of a larger set that its sketch cuts off.
+    whole = (rows["n"] <= FINE) & (one["n"] <= FINE)
+    most = np.minimum(rows["n"] - np.where(whole, rows["alone"], 0), one["n"] - np.where(whole, one["alone"], 0))
     room = (100 * most >= percent * (rows["n"] + one["n"] - most)).to_numpy()
     if one["held"] is not None:
         # What two share is in the centre and held by both, or beside it and shared by both.

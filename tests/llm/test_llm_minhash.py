@@ -70,6 +70,29 @@ def test_components_by_brute_force(spark, seed, width, percent):
     assert 10 < sum(r["kept"] for r in found) < len(rows) - 20
 
 
+def test_sets_on_both_sides_of_a_sketch(spark):
+    """Sets of single words. The first two are alike, and share what only the smaller one's
+    sketch holds; their lists are centred on a third that is like neither."""
+    by_hash = sorted((f"w{n}" for n in range(280)), key=lambda w: minhash.shingle_hashes(w, 1)[0])
+    extra = set(by_hash[5:245:6])
+    small = [w for w in by_hash if w not in extra]
+    beside = [f"e{n}" for n in range(40)]
+    third = [w for w in by_hash[: minhash.FINE] if w not in extra] + beside
+    fourth = beside + [f"f{n}" for n in range(100)]
+    texts = [small, by_hash, third, fourth, [*fourth, "g"]]
+    rng = random.Random(11)
+    for group in range(6):
+        base = [f"g{group}-{n}" for n in range(300)]
+        texts += [
+            rng.sample(base, rng.randrange(220, 280)) + [f"g{group}-{text}-{n}" for n in range(rng.randrange(40))]
+            for text in range(10)
+        ]
+    rows = [(n, " ".join(words), None, None) for n, words in enumerate(texts)]
+    found = sorted(minhash.near_duplicates(docs(spark, rows), 1, 85).collect())
+    assert [(r["component_id"], r["n_shingles"]) for r in found] == plain_components(rows, 1, 85)
+    assert found[1]["component_id"] == 0 and found[2]["kept"]
+
+
 def test_odd_rows(spark):
     rows = minhash.near_duplicates(docs(spark), 3, 85).collect()
     expected = plain_components(DOCS, 3, 85)
