@@ -2,9 +2,9 @@
 
 A value that the patterns find is a protected entity. The corpus says how strongly a term
 reveals it: pointwise mutual information of term and entity, over documents, as a share
-of the entity's own information. At 1 the term always comes with the entity. Terms near
-a protected value that reach the threshold are generalised to their first letters, if
-those by themselves stay below it, and removed otherwise, wherever the document has them.
+of the entity's own information. At 1 the term always comes with the entity. Terms of a
+document that reach the threshold for a value in it are generalised to their first letters,
+if those by themselves stay below it, and removed otherwise, wherever the document has them.
 """
 
 from __future__ import annotations
@@ -41,13 +41,12 @@ class Disclosure:
     """When a term gives a value away.
 
     ``share`` is the least part of the entity's information, ``together`` the fewest
-    documents with both, ``reach`` the terms on either side of a value that count as near
-    it, ``stem`` the letters that a generalised term keeps.
+    documents with both (for an entity of a single document, that one is enough), ``stem``
+    the letters that a generalised term keeps.
     """
 
     share: float = 0.9
     together: int = 2
-    reach: int = 10
     stem: int = 4
 
 
@@ -105,23 +104,16 @@ def _clear_terms(text: str, spans: list[tuple[int, str, int]]) -> list[tuple[int
     return found
 
 
-def _near(text: str, spans: list[tuple[int, str, int]], rule: Disclosure) -> set[tuple[int, str]]:
-    """(entity, term) for the terms near each value."""
-    terms = _clear_terms(text, spans)
-    starts = [start for start, _ in terms]
-    found = set()
-    for start, kind, end in spans:
-        at = int(np.searchsorted(starts, start))
-        entity = _entity(kind, text[start:end])
-        for low, high in terms[max(0, at - rule.reach) : at + rule.reach]:
-            found.add((entity, text[low:high].lower()))
-    return found
+def _beside(text: str, spans: list[tuple[int, str, int]]) -> tuple[list[int], list[str]]:
+    """The distinct entities of a text, and its distinct terms beside them."""
+    entities = {_entity(kind, text[start:end]) for start, kind, end in spans}
+    return sorted(entities), sorted({text[low:high].lower() for low, high in _clear_terms(text, spans)})
 
 
 SPAN = "struct<start:int,kind:string,end:int>"
 FOUND = (
     f"row_key long, doc_id long, text string, spans array<{SPAN}>, "
-    "near array<struct<entity:long,term:string>>"
+    "entities array<long>, terms array<string>"
 )
 
 
@@ -130,7 +122,7 @@ def _parse(docs: DataFrame, schema: str) -> StructType:
 
 
 def find(docs: DataFrame, rule: Disclosure, with_text: bool, keep: Sequence[str] = ()) -> DataFrame:
-    """Base spans of every row and the terms near them; text where there are any, or always."""
+    """Base spans of every row, with the entities and terms of rows that have any; text of those, or always."""
     source = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"),
         *[docs[name].alias(f"_kept_{name}") for name in keep],
@@ -138,22 +130,24 @@ def find(docs: DataFrame, rule: Disclosure, with_text: bool, keep: Sequence[str]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts, spans, near = [], [], [], []
+            keys, texts, spans, entities, terms = [], [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = text or ""
                 base = base_spans(text)
                 keys.append(xxhash.xxh3_64_intdigest(f"{doc_id}:{text}".encode()) - 2**63)
                 texts.append(text if base or with_text else None)
                 spans.append([{"start": s, "kind": k, "end": e} for s, k, e in base])
-                near.append([{"entity": e, "term": t} for e, t in sorted(_near(text, base, rule))] if base else [])
+                values, words = _beside(text, base) if base else ([], [])
+                entities.append(values)
+                terms.append(words)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys, pa.int64()), batch.column(0), pa.array(texts, pa.string()),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))),
-                    pa.array(near, pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string())]))),
+                    pa.array(entities, pa.list_(pa.int64())), pa.array(terms, pa.list_(pa.string())),
                     *batch.columns[2:],
                 ],
-                names=["row_key", "doc_id", "text", "spans", "near", *batch.schema.names[2:]],
+                names=["row_key", "doc_id", "text", "spans", "entities", "terms", *batch.schema.names[2:]],
             )
 
     return source.mapInArrow(run, StructType([*_parse(docs, FOUND).fields, *source.schema.fields[2:]]))
@@ -189,22 +183,32 @@ def disclosing(docs: DataFrame, found: DataFrame, rule: Disclosure) -> DataFrame
 
     With n rows, information of an entity is log2(n / rows with it), and a term's share
     is log2(together * n / (rows with it * rows with the term)) of that. An entity in
-    every row tells nothing and has no disclosing terms.
+    every row tells nothing and has no disclosing terms. Every entity of a row is paired with
+    all of the row's terms; pairs are counted before they are shuffled.
     """
     rows = docs.count()
-    pairs = found.select("row_key", F.explode("near").alias("p")).select("row_key", "p.entity", "p.term")
-    stem = F.when(F.length("term") > rule.stem, F.concat(F.substring("term", 1, rule.stem), F.lit("*")))
-    named = pairs.select("row_key", "entity", F.explode(F.array("term", stem)).alias("term")).where("term is not null")
-    together = (
-        named.groupBy("entity", "term").agg(F.count_distinct("row_key").alias("both"))
-        .where(F.col("both") >= rule.together)
+    once = written(
+        found.where(F.size("entities") > 0).select("row_key", "entities", "terms").dropDuplicates(["row_key"])
+    )
+    short = lambda term: F.concat(F.substring(term, 1, rule.stem), F.lit("*"))
+    stem = F.when(F.length("term") > rule.stem, short(F.col("term")))
+    stems_too = F.array_distinct(F.concat(
+        "terms", F.transform(F.filter("terms", lambda t: F.length(t) > rule.stem), short)
+    ))
+    entities = once.select(F.explode("entities").alias("entity")).groupBy("entity").agg(
+        F.count(F.lit(1)).alias("with_entity")
+    )
+    both = (
+        once.select("entities", F.explode(stems_too).alias("term")).select(F.explode("entities").alias("entity"), "term")
+        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
+    )
+    named_both = written(
+        both.join(entities, "entity").where((F.col("both") >= rule.together) | (F.col("with_entity") == 1))
     )
-    entities = pairs.select("entity", "row_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    named_both = written(together)
     wanted = named_both.select("term").distinct()
     key = _feature_column(wanted)
     counts = document_counts(docs, rule.stem).join(key, "feature").select("term", "docs")
-    scored = named_both.join(counts, "term").join(entities, "entity").where(F.col("with_entity") < rows)
+    scored = named_both.join(counts, "term").where(F.col("with_entity") < rows)
     share = F.log2(F.col("both") * rows / (F.col("with_entity") * F.col("docs"))) / F.log2(rows / F.col("with_entity"))
     telling = written(scored.where(share >= rule.share).select("entity", "term"))
     stems = telling.where(F.col("term").endswith("*")).select(
@@ -264,7 +268,8 @@ def sanitise(
     told = disclosing(docs, found, rule)
     with_spans = found.where(F.size("spans") > 0)
     per_row = (
-        with_spans.select("row_key", F.explode("near").alias("p")).select("row_key", "p.entity", "p.term").distinct()
+        with_spans.dropDuplicates(["row_key"]).select("row_key", "terms", F.explode("entities").alias("entity"))
+        .select("row_key", "entity", F.explode("terms").alias("term"))
         .join(told, ["entity", "term"])
         .groupBy("row_key", "term").agg(
             F.when(F.bool_and(F.col("stem").isNotNull()), F.first("stem")).alias("stem")

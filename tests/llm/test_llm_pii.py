@@ -68,6 +68,21 @@ def test_terms_that_give_a_value_away(spark):
     assert all(r["spans"] == r["base"] for r in pii.sanitise(docs(spark, CORPUS), strict).collect())
 
 
+def test_terms_far_from_a_value(spark):
+    """A term twenty words away tells as much, also in a row where another one is nearer."""
+    gap = " the" * 20
+    rows = [(1, f"zanzibar{gap} joe@x.org", "en", "a"), (2, f"joe@x.org zanzibar{gap}", "en", "a")]
+    rows += [(n, f"zanzan{gap}", "en", "a") for n in range(3, 9)]
+    found = {r["doc_id"]: r["text"] for r in pii.sanitise(docs(spark, rows)).collect()}
+    assert found[1] == f"zanz*{gap} [EMAIL]" and found[2] == f"[EMAIL] zanz*{gap}" and found[3] == rows[2][1]
+
+
+def test_values_of_one_document(spark):
+    rows = [(1, "today quagga met joe@x.org", "en", "a")] + [(n, "today they met", "en", "a") for n in range(2, 9)]
+    found = {r["doc_id"]: r["text"] for r in pii.sanitise(docs(spark, rows)).collect()}
+    assert found[1] == f"today {pii.REMOVED} met [EMAIL]" and found[2] == "today they met"
+
+
 def test_shares_by_definition(spark):
     from math import log2
 
