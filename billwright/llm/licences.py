@@ -8,6 +8,8 @@ DataFrame functions; the digests of the known texts are a small table of fixed s
 
 from __future__ import annotations
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,11 +146,40 @@ KNOWN = {
         either express or implied. See the License for the specific language governing permissions
         and limitations under the License.
     """,
-    "Apache-2.0 reference": "Licensed under the Apache License, Version 2.0.",
-    "MIT reference": "Released under the MIT License.",
-    "GPL-3.0 reference": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0 reference": "Licensed under CC BY-NC 4.0.",
 }
+KNOWN["BSD-3-Clause"] = KNOWN["BSD-2-Clause"].replace("THIS SOFTWARE IS PROVIDED", """3. Neither the name of
+        the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission.
+
+        THIS SOFTWARE IS PROVIDED""")
+
+# Title lines that files put before texts which have none of their own.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License"),
+    "Zlib": ("zlib License", "The zlib License"),
+}
+#: Whole texts often come without the appendix that follows this line.
+END = "END OF TERMS AND CONDITIONS"
+
+
+def _registered() -> dict[str, str]:
+    """All texts by name: those above, these with a title line, and the files of whole texts."""
+    texts = dict(KNOWN)
+    for name, titles in TITLES.items():
+        texts |= {f"{name}, titled {title}": f"{title}\n\n{KNOWN[name]}" for title in titles}
+    for file in sorted(resources.files(__package__).joinpath("licence_texts").iterdir(), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt"), file.read_text("utf-8")
+        texts[name] = text
+        if END in text:
+            texts[f"{name} without appendix"] = text[: text.index(END) + len(END)]
+    return texts
+
+
+KNOWN = _registered()
 
 #: Java and DuckDB read these alike. A line is a copyright line if it begins, after blanks
 #: and marks of a comment, with the word and a sign or year, or with the sign.

@@ -48,6 +48,15 @@ def test_every_known_text_is_told_apart(spark):
     assert licences.known_digests(spark).count() == len(licences.KNOWN)
 
 
+def test_whole_licences_and_titles(spark):
+    notice = "\n\nCopyright (c) 2020 Somebody\n\n"
+    common = [(n, f"/usr/share/common-licenses/{f}") for n, f in (("Apache-2.0", "Apache-2.0"), ("GPL-3.0", "GPL-3"))]
+    texts = [open(path, encoding="utf-8").read() for _, path in common]
+    texts += ["MIT License" + notice + MIT, "Licensed under CC BY-NC 4.0.", licences.KNOWN["BSD-3-Clause"]]
+    names = [name for name, _ in common] + ["MIT, titled MIT License", None, "BSD-3-Clause"]
+    assert _found(spark, texts) == names
+
+
 def test_odd_rows(spark):
     rows = licences.scan(docs(spark), licences.known_digests(spark)).collect()
     assert len(rows) == len(DOCS) and all(r["licence"] is None for r in rows)
