@@ -255,7 +255,8 @@ def _rooms(one: pd.Series, rows: pd.DataFrame, held: np.ndarray, percent: int) -
     room = (100 * most >= percent * (rows["n"] + one["n"] - most)).to_numpy()
     if one["held"] is not None:
         # What two share is in the centre and held by both, or beside it and shared by both.
-        both = np.bitwise_count(held & np.array(one["held"])).sum(1)
+        # The count is of unsigned words: of a negative number it would be that of its absolute value.
+        both = np.bitwise_count((held & np.array(one["held"], np.int64)).view(np.uint64)).sum(1, dtype=np.int64)
         most = both + np.minimum(rows["beside"].to_numpy(), one["beside"])
         needed = percent - 100 * _slack(percent, _SURE) * bool(one["sampled"])
         enough = 100 * most >= needed * (rows["size"].to_numpy() + one["size"] - most)

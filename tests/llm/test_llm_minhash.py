@@ -93,6 +93,26 @@ def test_sets_on_both_sides_of_a_sketch(spark):
     assert found[1]["component_id"] == 0 and found[2]["kept"]
 
 
+def groups_of_near_copies(seed):
+    """Groups on both sides of 56 and 256 words, of texts that each hold most of their base."""
+    rng, texts = random.Random(seed), []
+    for group in range(30):
+        base = [f"b{group}-{n}" for n in range(rng.choice([30, 36, 60, 200, 256, 300, 400, 700]))]
+        for text in range(14):
+            begin = rng.randrange(len(base) * 16 // 100 + 1)
+            part = base[begin : begin + len(base) * rng.randrange(84, 101) // 100]
+            texts.append(part + [f"o{group}-{text}-{n}" for n in range(rng.randrange(len(base) // 14 + 1))])
+    return [(n, " ".join(words), None, None) for n, words in enumerate(texts)]
+
+
+@pytest.mark.parametrize(("seed", "width"), [(100, 1), (101, 1), (100, 3)])
+def test_groups_around_a_centre(spark, seed, width):
+    """What a member holds of its centre takes all 64 bits of a word."""
+    rows = groups_of_near_copies(seed)
+    found = sorted(minhash.near_duplicates(docs(spark, rows), width, 85).collect())
+    assert [(r["component_id"], r["n_shingles"]) for r in found] == plain_components(rows, width, 85)
+
+
 def test_odd_rows(spark):
     rows = minhash.near_duplicates(docs(spark), 3, 85).collect()
     expected = plain_components(DOCS, 3, 85)
