@@ -1,0 +1,139 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from billwright.llm import pieces, queries
+from conftest import DATA
+from llm_cases import DOCS, docs
+
+PATH = public_tokenizers.path(queries.PIECES)
+ALPHABETS = (
+    "aabbcthe  in  er\n\t▁é日本語<0x>", "abcdefghijklmnopqrstuvwxyz ", "   ▁  a", "ABCabc019+/= ",
+    "été à l'œuvre  ", "한국어 日本語 ①ﬁ\u0000\U0001f600 ",
+)
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pieces.Model.read(PATH)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+def encoded(model, texts):
+    known, found = pieces._Known(), [[] for _ in texts]
+    for held in pieces._slices(texts, model):
+        known.learn(model, set().union(*(words for _, words in held)))
+        for number, words in held:
+            found[number].extend(known.ids_of(words).tolist())
+    return found
+
+
+def random_texts(seed, each=700):
+    rng = random.Random(seed)
+    texts = ["".join(rng.choices(a, k=rng.randrange(120))) for a in ALPHABETS for _ in range(each)]
+    junk = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=20_000))
+    return texts + ["", " ", "a" * 3000, "ab" * 1500, " " * 33 + "x", " " * 17 + "日", "the" * 100, " " * 100_000, junk]
+
+
+def test_rounds_are_what_the_library_does(model, library):
+    texts = random_texts(3)
+    found = encoded(model, texts)
+    assert found == library.encode(texts)
+    assert [pieces.decoded_text(model, ids) for ids in found] == library.decode(found)
+    assert model.encoded([])[0].tolist() == [] and model.encoded(["", ""])[1].tolist() == [0, 0]
+
+
+def test_pairs_of_equal_score_from_the_left(library):
+    """Runs of marks by rounds alone, without the table of runs."""
+    model = pieces.Model.read(PATH)
+    assert len(model._runs) == 32
+    model._runs = []
+    texts = [" " * n for n in range(70)] + [" " * n + "x  y" for n in range(40)]
+    assert encoded(model, texts) == library.encode(texts)
+
+
+def _tiny(*normal):
+    named = [(f"<0x{b:02X}>", 0.0, pieces.BYTE) for b in range(256)]
+    return pieces.Model([("<unk>", 0.0, pieces.UNKNOWN), *named, *((t, s, pieces.NORMAL) for t, s in normal)], prefix=False)
+
+
+def plain_merge(model, word):
+    """One merge at a time: the best score, of equal ones the leftmost."""
+    score = {text: s for text, s, kind in model.pieces if kind == pieces.NORMAL}
+    symbols = list(word)
+    while pairs := [(-score[a + b], n) for n, (a, b) in enumerate(zip(symbols, symbols[1:])) if a + b in score]:
+        n = min(pairs)[1]
+        symbols[n : n + 2] = [symbols[n] + symbols[n + 1]]
+    return symbols
+
+
+def test_a_merge_that_brings_up_a_better_pair():
+    """Scores in no order of length, so that merges of one round may overtake each other."""
+    rng = random.Random(8)
+    for _ in range(60):
+        texts = {"".join(rng.choices("abc", k=rng.randrange(2, 6))) for _ in range(14)}
+        scores = [float(-rng.randrange(9)) for _ in texts]
+        model = _tiny(("▁", -99.0), ("a", -99.0), ("b", -99.0), *zip(sorted(texts), scores))
+        number = {text: n for n, (text, _, kind) in enumerate(model.pieces) if kind == pieces.NORMAL}
+        for _ in range(20):
+            words = ["".join(rng.choices("abc", k=rng.randrange(1, 30))) for _ in range(3)]
+            expected = [[number.get(s, 1 + ord(s[0])) for s in plain_merge(model, word)] for word in words]
+            ids, lengths = model.encoded(words)
+            assert ids.tolist() == [n for ids in expected for n in ids] and lengths.tolist() == list(map(len, expected))
+
+
+def test_any_ids_decode_as_in_the_library(model, library):
+    rng = random.Random(5)
+    some = lambda: rng.choice([0, 1, 2, rng.randrange(3, 259), rng.randrange(259, 32000), 28705, 264])
+    for _ in range(5000):
+        ids = [some() for _ in range(rng.randrange(9))]
+        assert pieces.decoded_text(model, ids) == library.decode(ids)
+
+
+def test_whole_texts_and_back(spark, library):
+    found = pieces.encode(docs(spark), PATH)
+    assert found.columns == ["doc_id", "ids"]
+    rows = pieces.decode(found, PATH).collect()
+    texts = [(i or 0, text or "") for i, text, _, _ in DOCS]
+    expected = [(i, tuple(library.encode(t)), library.decode(library.encode(t))) for i, t in texts]
+    assert sorted((r["doc_id"] or 0, tuple(r["ids"]), r["decoded"]) for r in rows) == sorted(expected)
+
+
+def test_long_texts_go_in_pieces(model, library, monkeypatch):
+    monkeypatch.setattr(pieces, "SLICE_CHARS", 1000)
+    monkeypatch.setattr(pieces, "_WORDS_AT_ONCE", 300)
+    monkeypatch.setattr(pieces, "KNOWN_WORDS", 5)
+    texts = ["some words,  " * 400, "", "short", "x " * 3000]
+    assert encoded(model, texts) == library.encode(texts)
+
+
+def test_empty_table_null_ids_and_other_models(spark):
+    assert pieces.encode(docs(spark, []), PATH).collect() == []
+    nothing = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
+    assert pieces.decode(nothing, PATH).first()["decoded"] is None
+    with pytest.raises(ValueError):
+        pieces.decode(nothing.withColumnRenamed("doc_id", "decoded"), PATH)
+    with pytest.raises(ValueError):
+        pieces.Model([("<unk>", 0.0, pieces.UNKNOWN), ("a", 0.0, pieces.NORMAL)])
+    with pytest.raises(ValueError):
+        _tiny(("a▁b", 0.0))
+
+
+def test_pieces_of_the_table(spark, library):
+    folder = f"{DATA}/sf0.001"
+    digest = lambda data: hashlib.sha256(data).hexdigest()
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = queries.op11_sentencepiece(spark, folder).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids = library.encode(texts[row["doc_id"]])
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == digest(",".join(map(str, ids)).encode())
+        assert row["decoded_sha256"] == digest(library.decode(ids).encode())

@@ -38,7 +38,7 @@ def test_query_by_sql(spark, duck, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_near_duplicates_of_the_table(spark):
