@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -30,6 +31,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 SLICE_CHARS = 2_000_000
 KNOWN_WORDS = 300_000
 _WORDS_AT_ONCE = 500_000
+_ROWS = 500
 #: The mark of white space, what an unknown piece decodes to, kinds of pieces.
 SPACE, UNKNOWN_TEXT = "▁", " ⁇ "
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -333,41 +335,57 @@ def _slices(texts: list[str], model: Model) -> Iterator[list[tuple[int, list[str
         yield held
 
 
-def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _encoded(texts: list[str], model: Model, known: _Known) -> list[np.ndarray]:
+    parts: list[list[np.ndarray]] = [[] for _ in texts]
+    for held in _slices(texts, model):
+        known.learn(model, set().union(*(words for _, words in held)))
+        for number, words in held:
+            parts[number].append(known.ids_of(words))
+    return [np.concatenate(p) if len(p) != 1 else p[0] for p in parts]
+
+
+def _bounded(texts: pa.StringArray) -> Iterator[slice]:
+    """Rows of a batch that go together: about ``SLICE_CHARS`` bytes, or a single longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_CHARS, side="right")))
+        yield slice(start, stop)
+        start = stop
+
+
+def encode(
+    docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", round_trip: bool = False
+) -> DataFrame:
     """(id, ids array<int>) for every row: the ids of the whole text, without begin and end.
 
     Null text is empty, an empty text has no ids. Blanks at either end, and any number
     of them, are kept. Characters that the model lacks go as bytes. Rows are independent:
     repeated ones and those with a null id are encoded like any other. Other columns are
     left out, whatever their names. No rows give no rows. The model file is read by the
-    driver and broadcast; its size is fixed.
+    driver and broadcast; its size is fixed. With ``round_trip``, the ids are decoded where
+    they are made, as ``decode`` would, into a column ``decoded``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Model.read(model_path))
+    names = ["id", "ids", "decoded"] if round_trip else ["id", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codecs.register_error("one-byte", _one_byte)
         model, known = shared.value, _Known()
         for batch in batches:
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            parts: list[list[np.ndarray]] = [[] for _ in texts]
-            for held in _slices(texts, model):
-                known.learn(model, set().union(*(words for _, words in held)))
-                for number, words in held:
-                    parts[number].append(known.ids_of(words))
-            lengths = np.array([sum(map(len, p)) for p in parts], np.int64)
-            done = 0
-            while done < len(texts):  # lists of an Arrow batch end below 2 ** 31 elements
-                upto = max(done + 1, int(np.searchsorted(np.cumsum(lengths[done:]), 2**24)) + done)
-                flat = [a for p in parts[done:upto] for a in p]
-                offsets = np.concatenate([[0], np.cumsum(lengths[done:upto])]).astype(np.int32)
-                values = np.concatenate(flat) if flat else np.array([], np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(done, upto - done), pa.ListArray.from_arrays(offsets, values)],
-                    names=["id", "ids"],
-                )
-                done = upto
+            for rows in _bounded(batch.column(1)):
+                some = batch.slice(rows.start, rows.stop - rows.start)
+                ids = _encoded([text or "" for text in some.column(1).to_pylist()], model, known)
+                offsets = np.concatenate([[0], np.cumsum(list(map(len, ids)))]).astype(np.int32)
+                columns = [some.column(0), pa.ListArray.from_arrays(offsets, np.concatenate(ids))]
+                if round_trip:
+                    columns.append(pa.array([decoded_text(model, n.tolist()) for n in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     source = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    return source.mapInArrow(run, "id long, ids array<int>").withColumnRenamed("id", id_col)
+    found = source.mapInArrow(run, "id long, ids array<int>" + (", decoded string" if round_trip else ""))
+    return found.withColumnRenamed("id", id_col)
 
 
 def _one_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -408,13 +426,15 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFra
         codecs.register_error("one-byte", _one_byte)
         model = shared.value
         for batch in batches:
-            texts = [
-                decoded_text(model, ids.values.to_numpy().tolist()) if ids.is_valid else None
-                for ids in batch.column(place)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"]
-            )
+            for start in range(0, batch.num_rows, _ROWS):
+                some = batch.slice(start, _ROWS)
+                texts = [
+                    decoded_text(model, ids.values.to_numpy().tolist()) if ids.is_valid else None
+                    for ids in some.column(place)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, pa.array(texts, pa.string())], names=[*some.schema.names, "decoded"]
+                )
 
     schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
     return encoded.mapInArrow(run, schema)

@@ -95,8 +95,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text that they stand for, as digests."""
     path = public_tokenizers.path(PIECES)
-    encoded = pieces.encode(table(spark, sf_dir, "documents"), path)
-    return pieces.decode(encoded, path).select(
+    return pieces.encode(table(spark, sf_dir, "documents"), path, round_trip=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(pieces.ids_text(F.col("ids")).cast("binary"), 256).alias("ids_sha256"),

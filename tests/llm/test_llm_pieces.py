@@ -104,6 +104,7 @@ def test_whole_texts_and_back(spark, library):
     texts = [(i or 0, text or "") for i, text, _, _ in DOCS]
     expected = [(i, tuple(library.encode(t)), library.decode(library.encode(t))) for i, t in texts]
     assert sorted((r["doc_id"] or 0, tuple(r["ids"]), r["decoded"]) for r in rows) == sorted(expected)
+    assert sorted(map(tuple, pieces.encode(docs(spark), PATH, round_trip=True).collect()), key=str) == sorted(map(tuple, rows), key=str)
 
 
 def test_long_texts_go_in_pieces(model, library, monkeypatch):
