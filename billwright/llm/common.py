@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,17 @@ def crc_remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(divisor)
 
 
+def bounded(texts: pa.StringArray, most: int) -> Iterator[tuple[int, int]]:
+    """(first row, number of rows) of the runs of a batch that hold about ``most`` bytes of text, or one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield start, stop - start
+        start = stop
+
+
 def map_batches(
     df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
 ) -> DataFrame:

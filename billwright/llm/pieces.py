@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from billwright.llm.common import bounded
+
 #: Characters of text that a task holds as words at a time, and words it remembers.
 SLICE_CHARS = 2_000_000
 KNOWN_WORDS = 300_000
@@ -344,17 +345,6 @@ def _encoded(texts: list[str], model: Model, known: _Known) -> list[np.ndarray]:
     return [np.concatenate(p) if len(p) != 1 else p[0] for p in parts]
 
 
-def _bounded(texts: pa.StringArray) -> Iterator[slice]:
-    """Rows of a batch that go together: about ``SLICE_CHARS`` bytes, or a single longer text."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    start = 0
-    while start < len(ends):
-        before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_CHARS, side="right")))
-        yield slice(start, stop)
-        start = stop
-
-
 def encode(
     docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", round_trip: bool = False
 ) -> DataFrame:
@@ -374,8 +364,8 @@ def encode(
         codecs.register_error("one-byte", _one_byte)
         model, known = shared.value, _Known()
         for batch in batches:
-            for rows in _bounded(batch.column(1)):
-                some = batch.slice(rows.start, rows.stop - rows.start)
+            for start, count in bounded(batch.column(1), SLICE_CHARS):
+                some = batch.slice(start, count)
                 ids = _encoded([text or "" for text in some.column(1).to_pylist()], model, known)
                 offsets = np.concatenate([[0], np.cumsum(list(map(len, ids)))]).astype(np.int32)
                 columns = [some.column(0), pa.ListArray.from_arrays(offsets, np.concatenate(ids))]
