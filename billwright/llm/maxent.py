@@ -8,14 +8,15 @@ out again. The word within its class is a softmax with one weight for each word,
 has a closed form: add-one counts, with one place for all unknown words.
 
 Texts are read once and packed: a row holds about a million tokens as numbers into the
-row's own list of words, so that a row is all that a task needs to train. Words are told
+row's own list of words, so that a row is all that a task needs to train. Rows are named by
+the task that packed them and their place in it, which also says in which round they train,
+and what tasks learned is added up in integers: the same table gives the same scores. Words are told
 apart by a hash of 64 bits. Counts of the corpus are taken over the rows' word lists and
 go back to the rows; tokens are never shuffled one by one.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,9 @@ _STEP = 16_384
 _RATE = 0.7
 END = b"\n"  # no word holds white space
 _FEATURES = 3
+#: Bits of a row's name for its place in its task, and the parts of a weight that are added up.
+_PLACES = 32
+_GRAIN = 2.0**-20
 _START = np.uint64(0x51ED270B)
 
 PACKED = (
@@ -74,6 +79,7 @@ def pack(docs: DataFrame, held_out: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids, held, sizes, ids, known, total = [], [], [], [], {END: 0}, 0
+        name = TaskContext.get().partitionId() << _PLACES
 
         def row() -> pa.RecordBatch:
             flat = np.concatenate(ids)
@@ -81,7 +87,7 @@ def pack(docs: DataFrame, held_out: Column) -> DataFrame:
             train = np.bincount(flat[learned], minlength=len(known)).astype(np.int32)
             hashes = np.array([word_hash(w) for w in known], np.uint64).view(np.int64)
             values = (
-                uuid.uuid4().int >> 65, doc_ids, held, sizes, _folded(flat), hashes,
+                name, doc_ids, held, sizes, _folded(flat), hashes,
                 np.array(list(map(word_class, known)), np.int8), train,
             )
             types = (
@@ -106,6 +112,7 @@ def pack(docs: DataFrame, held_out: Column) -> DataFrame:
                 if total >= TOKENS_PER_ROW:
                     yield row()
                     doc_ids, held, sizes, ids, known, total = [], [], [], [], {END: 0}, 0
+                    name += 1
         if doc_ids:
             yield row()
 
@@ -176,21 +183,22 @@ def _trained(packed: DataFrame, weights: np.ndarray) -> np.ndarray:
                 _descend(own, used, buckets[:, learned], classes[learned])
         at = np.flatnonzero(used)
         for some in np.array_split(at, max(1, len(at) // 8192)) if len(at) else ():
-            moved = own[some] * used[some, None]
+            moved = np.rint(own[some].astype(np.float64) * used[some, None] / _GRAIN).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some.astype(np.int32)), pa.array(used[some]), *map(pa.array, moved.T.copy())],
+                [pa.array(some.astype(np.int32)), pa.array(used[some].astype(np.int64)), *map(pa.array, moved.T.copy())],
                 names=["bucket", "used", *(f"w{c}" for c in range(CLASSES))],
             )
 
     names = ["used", *(f"w{c}" for c in range(CLASSES))]
     steps = packed.select("held", "sizes", "hashes", "ids", "classes").mapInArrow(
-        run, "bucket int, " + ", ".join(f"{name} float" for name in names)
+        run, "bucket int, " + ", ".join(f"{name} long" for name in names)
     )
     # As many rows as the model has buckets, whatever the corpus.
-    rows = steps.groupBy("bucket").agg(*[F.sum(name).alias(name) for name in names]).toPandas()
+    sums = [F.sum(F.col(name).cast("decimal(20,0)")).cast("double").alias(name) for name in names]
+    rows = steps.groupBy("bucket").agg(*sums).toPandas()
     after = weights.copy()
     if len(rows):
-        moved = rows[names[1:]].to_numpy() / rows[["used"]].to_numpy()
+        moved = rows[names[1:]].to_numpy() * _GRAIN / rows[["used"]].to_numpy()
         after[rows["bucket"].to_numpy()] = moved.astype(np.float32)
     return after
 
@@ -288,8 +296,10 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     packed = pack(docs, F.coalesce(held_out, F.lit(True)))
     counts = counted(packed)
     weights = np.zeros((BUCKETS + 1, CLASSES), np.float32)
+    # Tasks and the rows of a task take turns, so that rounds have equally many rows.
+    turn = F.shiftright("row", _PLACES) + F.col("row")
     for number in range(ROUNDS):
-        weights = _trained(packed.where(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == number), weights)
+        weights = _trained(packed.where(F.pmod(turn, F.lit(ROUNDS)) == number), weights)
     found = counts.groupBy(F.col("row").alias("_row")).agg(
         F.collect_list(F.struct("at", "count")).alias("counts")
     )

@@ -99,3 +99,12 @@ def test_counts(spark):
 def test_numbers_come_back():
     ids = np.array([0, 1, 255, 256, 70_000, 2**31 - 1], np.int32)
     assert (maxent._unfolded(maxent._folded(ids)) == ids).all()
+
+
+def test_two_runs_give_the_same_scores(spark, monkeypatch):
+    """Several rows in several tasks, so that both rounds and the sums over tasks matter."""
+    monkeypatch.setattr(maxent, "TOKENS_PER_ROW", 20_000)
+    table = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").repartition(6, "doc_id")
+    score = lambda: {r["doc_id"]: r["score"] for r in maxent.score(table, F.col("doc_id") % 7 == 2).collect()}
+    first = score()
+    assert first == score() and len(set(first.values())) > 500
