@@ -34,6 +34,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
+#: Pairs of an entity and a term that a row makes in one task.
+PAIRS_AT_ONCE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -88,6 +90,11 @@ def _entity(kind: str, value: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{kind}:{plain}".encode()) - 2**63
 
 
+def _term(word: str) -> str:
+    """A word as terms are counted, compared and looked up."""
+    return word.lower()
+
+
 def _feature(term: str) -> int:
     return xxhash.xxh3_64_intdigest(term.encode()) - 2**63
 
@@ -107,7 +114,7 @@ def _clear_terms(text: str, spans: list[tuple[int, str, int]]) -> list[tuple[int
 def _beside(text: str, spans: list[tuple[int, str, int]]) -> tuple[list[int], list[str]]:
     """The distinct entities of a text, and its distinct terms beside them."""
     entities = {_entity(kind, text[start:end]) for start, kind, end in spans}
-    return sorted(entities), sorted({text[low:high].lower() for low, high in _clear_terms(text, spans)})
+    return sorted(entities), sorted({_term(text[low:high]) for low, high in _clear_terms(text, spans)})
 
 
 SPAN = "struct<start:int,kind:string,end:int>"
@@ -160,7 +167,7 @@ def document_counts(docs: DataFrame, stem: int) -> DataFrame:
         for batch in batches:
             seen: Counter[str] = Counter()
             for text in batch.column(0).to_pylist():
-                terms = set(_TERM.findall((text or "").lower()))
+                terms = set(map(_term, set(_TERM.findall(text or ""))))
                 terms.update([term[:stem] + "*" for term in terms if len(term) > stem])
                 seen.update(terms)
             if seen:
@@ -183,24 +190,38 @@ def disclosing(docs: DataFrame, found: DataFrame, rule: Disclosure) -> DataFrame
 
     With n rows, information of an entity is log2(n / rows with it), and a term's share
     is log2(together * n / (rows with it * rows with the term)) of that. An entity in
-    every row tells nothing and has no disclosing terms. Every entity of a row is paired with
-    all of the row's terms; pairs are counted before they are shuffled.
+    every row tells nothing and has no disclosing terms. All rows count, repeated ones as
+    often as they occur. Every entity of a row is paired with all of the row's terms; pairs
+    are counted before they are shuffled, and those of a row with very many are dealt out
+    over several tasks by its entities.
     """
     rows = docs.count()
     once = written(
-        found.where(F.size("entities") > 0).select("row_key", "entities", "terms").dropDuplicates(["row_key"])
+        found.where(F.size("entities") > 0).groupBy("row_key").agg(
+            F.first("entities").alias("entities"), F.first("terms").alias("terms"), F.count(F.lit(1)).alias("copies")
+        )
     )
     short = lambda term: F.concat(F.substring(term, 1, rule.stem), F.lit("*"))
     stem = F.when(F.length("term") > rule.stem, short(F.col("term")))
     stems_too = F.array_distinct(F.concat(
         "terms", F.transform(F.filter("terms", lambda t: F.length(t) > rule.stem), short)
     ))
-    entities = once.select(F.explode("entities").alias("entity")).groupBy("entity").agg(
-        F.count(F.lit(1)).alias("with_entity")
+    entities = once.select(F.explode("entities").alias("entity"), "copies").groupBy("entity").agg(
+        F.sum("copies").alias("with_entity")
+    )
+    at_once = F.greatest(F.lit(1), F.floor(F.lit(PAIRS_AT_ONCE) / F.greatest(F.size("terms"), F.lit(1))).cast("int"))
+    starts = F.sequence(F.lit(1), F.size("entities"), at_once)
+    large = F.size("entities").cast("long") * F.size("terms") > PAIRS_AT_ONCE
+    dealt = (
+        once.where(large).select("row_key", "entities", "terms", "copies", at_once.alias("n"), F.explode(starts).alias("at"))
+        .select("row_key", "at", F.slice("entities", F.col("at"), F.col("n")).alias("entities"), "terms", "copies")
+        .repartition("row_key", "at").select("entities", "terms", "copies")
     )
     both = (
-        once.select("entities", F.explode(stems_too).alias("term")).select(F.explode("entities").alias("entity"), "term")
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
+        once.where(~large).select("entities", "terms", "copies").unionByName(dealt)
+        .select("entities", "copies", F.explode(stems_too).alias("term"))
+        .select(F.explode("entities").alias("entity"), "term", "copies")
+        .groupBy("entity", "term").agg(F.sum("copies").alias("both"))
     )
     named_both = written(
         both.join(entities, "entity").where((F.col("both") >= rule.together) | (F.col("with_entity") == 1))
@@ -235,7 +256,7 @@ def _cleaned(text: str, spans: list[tuple[int, str, int]], told: dict[str, str |
     added = [
         (low, "term", high, told[word])
         for low, high in _clear_terms(text, spans)
-        if (word := text[low:high].lower()) in told
+        if (word := _term(text[low:high])) in told
     ]
     both = sorted([(s, KINDS.index(k), e, LABELS[k]) for s, k, e in spans] + [(s, len(KINDS), e, g or REMOVED) for s, _, e, g in added])
     parts, at = [], 0
@@ -260,8 +281,8 @@ def sanitise(
     rows without spans are left out.
 
     Null text is empty and has no spans. Rows with a null id and repeated rows are rows
-    like others; repeated rows count as often as they occur in the documents with a term,
-    and once where a term and an entity are counted together. Counts cover all rows.
+    like others, and every row counts, so that copies of a document change nothing about
+    what its terms disclose. Counts cover all rows.
     """
     found = written(find(docs, rule, with_text, keep))
     kept = [f"_kept_{name}" for name in keep]

@@ -115,3 +115,27 @@ def test_odd_rows(spark):
 def test_overlapping_spans_are_replaced_once(text):
     spans, cleaned = pii._cleaned(text, pii.base_spans(text), {})
     assert len(spans) == len(pii.base_spans(text)) and not re.search("[0-9@]", cleaned)
+
+
+@pytest.mark.parametrize("copies", [1, 2, 20])
+def test_copies_change_nothing(spark, copies):
+    rows = [(1, "quagga wrote to joe@x.org", None, None)] * copies
+    rows += [(n, f"nothing here but number words {n}", None, None) for n in range(2, 200)]
+    found = pii.sanitise(docs(spark, rows)).where("doc_id = 1").collect()
+    assert [r["text"] for r in found] == [f"{pii.REMOVED} {pii.REMOVED} to [EMAIL]"] * copies
+
+
+def test_letters_whose_lower_case_is_longer(spark):
+    rows = [(1, "Kaya \u0130BRAH\u0130M met joe@x.org", None, None)] + [(n, "others met", None, None) for n in range(2, 60)]
+    found = {r["doc_id"]: r["text"] for r in pii.sanitise(docs(spark, rows)).collect()}
+    assert found[1] == f"{pii.REMOVED} {pii.REMOVED} met [EMAIL]"
+
+
+def test_pairs_of_a_long_document_are_dealt_out(spark, monkeypatch):
+    word = lambda n: "".join(chr(97 + n // 26**k % 26) for k in range(3))
+    long = " ".join(f"{word(n)}x a{n}@x.org" for n in range(300))
+    rows = [(1, long, None, None), *CORPUS[1:]]
+    one = pii.sanitise(docs(spark, rows)).collect()
+    monkeypatch.setattr(pii, "PAIRS_AT_ONCE", 500)
+    assert sorted(map(str, pii.sanitise(docs(spark, rows)).collect())) == sorted(map(str, one))
+    assert any(s["kind"] == "term" for r in one for s in r["spans"])
