@@ -21,11 +21,12 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from billwright.llm.common import WORD_PATTERN, written
+from billwright.llm.common import WORD_PATTERN, bounded, written
 
 SHARD_DOCS = 4096
 
@@ -96,23 +97,32 @@ def mix(
     and which blocks that takes, for ``taken_texts``; columns in ``keep`` come along.
 
     Null text has size 0 and gives nothing, a source without words has target 0, and an
-    empty table gives an empty result. Rows with equal or null ids are rows of their own.
+    empty table gives an empty result. Rows with equal or null ids are rows of their own;
+    id and text say where in the mix a row lies. Where copies of one row overfill a shard,
+    it is divided by the places of its rows in the input.
     """
     spark = docs.sparkSession
     source = docs.select(
         docs["text"].alias("_text"), docs["doc_id"].cast("long").alias("doc_id"),
-        docs["source"].alias("_source"), *[docs[name].alias(f"_kept_{name}") for name in keep],
+        docs["source"].alias("_source"), F.xxhash64(F.lit(seed), docs["doc_id"], docs["text"]).alias("_chance"),
+        *[docs[name].alias(f"_kept_{name}") for name in keep],
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = TaskContext.get().partitionId() << 33
         for batch in batches:
-            sizes = [len((text or "").encode().split()) for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sizes, pa.int64()), *batch.columns[1:]],
-                names=["size", *batch.schema.names[1:]],
-            )
-
-    schema = StructType([StructField("size", LongType()), *source.schema.fields[1:]])
+            for start, count in bounded(batch.column(0), 4_000_000):
+                some = batch.slice(start, count)
+                sizes = [len((text or "").encode().split()) for text in some.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sizes, pa.int64()), pa.array(range(place, place + count), pa.int64()), *some.columns[1:]],
+                    names=["size", "_row", *some.schema.names[1:]],
+                )
+                place += count
+
+    schema = StructType([
+        StructField("size", LongType()), StructField("_row", LongType()), *source.schema.fields[1:]
+    ])
     sized = source.mapInArrow(count, schema)
     if not keep:  # counting texts again costs less than writing them
         sized = written(sized)
@@ -135,13 +145,20 @@ def mix(
         "_source string, source_size long, target double, _seats long, _shards long",
     )
 
-    chance = F.xxhash64(F.lit(seed), "doc_id")
-    dealt = sized.join(
+    in_source = sized.join(
         sources.withColumnRenamed("_source", "_of"), F.col("_source").eqNullSafe(F.col("_of"))
     ).select(
-        *sized.columns, "source_size", "target", "_seats",
-        F.pmod(chance, F.col("_shards")).alias("_shard"), chance.alias("_chance"),
+        *sized.columns, "source_size", "target", "_seats", F.pmod("_chance", F.col("_shards")).alias("_first"),
+    )
+    # Few shards if any: it takes thousands of copies of one row to fill one twice over.
+    full = written(
+        in_source.groupBy(F.col("_source").alias("_of"), F.col("_first").alias("_in"))
+        .agg(F.ceil(F.count(F.lit(1)) / SHARD_DOCS).alias("_parts")).where("_parts > 2")
     )
+    part = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(F.lit(seed), "_row"), F.col("_parts"))).otherwise(0)
+    dealt = in_source.join(
+        full, F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_first") == F.col("_in")), "left"
+    ).withColumn("_shard", F.shiftleft("_first", 31) + part).drop("_of", "_in", "_parts", "_first")
     shards = dealt.groupBy("_source", "_shard", "_seats").agg(F.sum("size").alias("_words")).withColumn(
         "_blocks", F.ceil(F.col("_words") / block_words)
     )
@@ -153,7 +170,7 @@ def mix(
         ).select(F.col("_source").alias("_of"), F.col("_shard").alias("_in"), "_blocks", "_quota")
     )
 
-    stream = Window.partitionBy("_source", "_shard").orderBy("_chance", "doc_id", "size")
+    stream = Window.partitionBy("_source", "_shard").orderBy("_chance", "doc_id", "size", "_row")
     placed = dealt.withColumn(
         "_end", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )

@@ -93,3 +93,16 @@ def test_odd_rows(spark):
 def test_the_table(spark):
     rows = mixing.mix(spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")).collect()
     assert sum(r["taken"] for r in rows) == pytest.approx(1.5 * sum(r["size"] for r in rows), rel=0.01)
+
+
+def test_null_and_repeated_ids_fill_no_shard(spark, monkeypatch):
+    """Half the ids are null, a third of all rows are copies of one: no shard gets more than its share."""
+    monkeypatch.setattr(mixing, "SHARD_DOCS", 50)
+    rows = [(None if n % 2 else n, f"text {n} of many words", "en", "a") for n in range(1000)]
+    rows += [(None, "the same text again", "en", "a")] * 500
+    mixed = mixing.mix(docs(spark, rows), block_words=4)
+    found = mixed.collect()
+    # A shard's stream ends with the words of all its rows, which are four or five each.
+    assert max(r["_cut"]["end"] for r in found) <= 5 * 110
+    assert len(found) == 1500 and all(0 <= r["taken"] <= 2 * r["size"] for r in found)
+    assert sum(r["taken"] for r in found) == pytest.approx(found[0]["target"], rel=0.1)
