@@ -25,15 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from billwright.llm.common import crc_remainder
+from billwright.llm.common import bounded, crc_remainder, written
 
 #: Labelled documents of either label that the field is fitted to, chosen by a hash.
 MOST_PER_LABEL = 1500
+#: Characters of one of them, from its beginning, and of all together.
+MOST_CHARS, MOST_CHARS_IN_ALL = 1_000_000, 32_000_000
 #: How much more often a feature has to be in toxic documents, and in how many at least.
 TELLING, LEAST_DOCS = 20.0, 5
 WEIGHTS = 1 << 18
 REJECT = 0.7
 _SEGMENT = 512
+_BYTES = 4_000_000  # of text that is scored together
 _MOST_FEATURES = 6
 _KNOWN = 250_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -240,9 +243,10 @@ def fit(texts: list[str], toxic: list[int], rate: float, rounds: int = 40) -> Fi
 def fit_from(docs: DataFrame, labels: DataFrame, divisor: int | None = 3, held_out: int = 1) -> Field:
     """Fits to labelled documents whose crc32 remainder is not ``held_out``.
 
-    At most MOST_PER_LABEL of either label, by a hash of the id. Rows with a null id or
-    label are left out; a document labelled twice is toxic if any label says so. Ids that
-    ``docs`` lacks give no text, and a repeated document counts once.
+    At most MOST_PER_LABEL of either label, by a hash of the id, with at most MOST_CHARS each
+    and as many of them as hold MOST_CHARS_IN_ALL: that is what the driver holds. Rows with a null id or label are left out; a document labelled
+    twice is toxic if any label says so. Ids that ``docs`` lacks give no text. Of rows with
+    one id the last text in order counts, however many there are.
     """
     known = labels.select(labels["doc_id"].cast("long").alias("id"), labels["toxic"].cast("int").alias("toxic"))
     known = known.where("id is not null and toxic in (0, 1)")
@@ -256,16 +260,26 @@ def fit_from(docs: DataFrame, labels: DataFrame, divisor: int | None = 3, held_o
         some = known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("id"), "id").limit(MOST_PER_LABEL)
         sample = some if sample is None else sample.unionByName(some)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    rows = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select("doc_id", "text", "toxic").collect()
-    by_id = {row["doc_id"]: row for row in sorted(rows, key=lambda row: (row["doc_id"], row["text"] or ""))}
+    text = F.substring(F.coalesce("text", F.lit("")), 1, MOST_CHARS)
+    found = written(
+        texts.join(F.broadcast(sample), F.col("doc_id") == F.col("id"))
+        .groupBy("doc_id").agg(F.max(text).alias("text"), F.max("toxic").alias("toxic"))
+    )
+    sizes = {row["doc_id"]: row["size"] for row in found.select("doc_id", F.length("text").alias("size")).collect()}
     # An order that has nothing to do with the id, and is the same on every run.
-    order = sorted(by_id, key=lambda i: xxhash.xxh3_64_intdigest(str(i).encode()))
-    return fit([by_id[i]["text"] or "" for i in order], [by_id[i]["toxic"] for i in order], rate)
+    order = sorted(sizes, key=lambda i: xxhash.xxh3_64_intdigest(str(i).encode()))
+    if sum(sizes.values()) > MOST_CHARS_IN_ALL:
+        order = [i for i, upto in zip(order, np.cumsum([sizes[i] for i in order])) if upto <= MOST_CHARS_IN_ALL]
+        found = found.where(F.col("doc_id").isin(order))
+    by_id = {row["doc_id"]: row for row in found.collect()}
+    return fit([by_id[i]["text"] for i in order], [by_id[i]["toxic"] for i in order], rate)
 
 
-def score(docs: DataFrame, field: Field, keep: Sequence[str] = ()) -> DataFrame:
+def score(docs: DataFrame, field: Field, keep: Sequence[str] = (), below: float | None = None) -> DataFrame:
     """(doc_id, score, spans) for every row of ``docs``, and its columns in ``keep``.
 
+    With ``below``, only rows that score less than that; the others never leave the task.
+
     ``spans`` are the offsets (code points, end exclusive) of runs of words that are
     more likely toxic than not. Null text is empty, and what has no words scores as a text
     without a toxic word. Rows are independent: repeated ones and those with a null id
@@ -277,8 +291,9 @@ def score(docs: DataFrame, field: Field, keep: Sequence[str] = ()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                texts = [text or "" for text in batch.column(1).slice(start, 2000).to_pylist()]
+            for start, count in bounded(batch.column(1), _BYTES):
+                part = batch.slice(start, count)
+                texts = [text or "" for text in part.column(1).to_pylist()]
                 words = [_WORD.findall(text) for text in texts]
                 new = list(set().union(*words).difference(known))
                 if len(known) + len(new) > _KNOWN:
@@ -296,24 +311,27 @@ def score(docs: DataFrame, field: Field, keep: Sequence[str] = ()) -> DataFrame:
                     _spans(text, chance[end - n : end] >= 0.5)
                     for text, end, n in zip(texts, ends, lengths)
                 ]
-                part = batch.slice(start, 2000)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(value), pa.array(spans, pa.list_(_SPAN)), *part.columns[2:]],
-                    names=schema.names,
+                own = [part.column(n) for n in places]
+                found = pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(value), pa.array(spans, pa.list_(_SPAN)), *own], names=names
                 )
+                yield found if below is None else found.filter(pa.array(value < below))
 
     kept = [name for name in keep if name != "doc_id"]
+    others = [name for name in kept if name != "text"]  # the text goes to the task once
     source = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("_text"),
-        *[docs[name] for name in kept],
+        *[docs[name] for name in others],
     )
+    places = [1 if name == "text" else 2 + others.index(name) for name in kept]
     schema = StructType([
         source.schema["doc_id"], StructField("score", DoubleType()),
         StructField("spans", ArrayType(StructType([
             StructField("start", IntegerType()), StructField("end", IntegerType())
         ]))),
-        *source.schema.fields[2:],
+        *[docs.schema[name] for name in kept],
     ])
+    names = schema.names
     return source.mapInArrow(run, schema)
 
 

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from billwright.llm import queries, toxicity
 from conftest import DATA
@@ -97,3 +98,21 @@ def test_labels_that_teach_nothing(spark):
         field = toxicity.fit_from(docs(spark), spark.createDataFrame(labels, schema))
         assert field.link is None
         assert {r["score"] for r in toxicity.score(docs(spark), field).collect()} == {0.0}
+
+
+def test_a_repeated_id_is_one_text_in_the_sample(spark):
+    """Very many rows with one id, and a huge text, come to the driver as one bounded text."""
+    texts, toxic = _labelled()
+    rows = [(n, text, None, None) for n, text in enumerate(texts)]
+    labels = spark.createDataFrame([(n, 1, int(t)) for n, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    many = docs(spark, rows).unionByName(docs(spark, [(0, "", None, None)]).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(20_000)))).drop("_n"))
+    many = many.unionByName(docs(spark, [(1, rows[1][1] + " word" * 300_000, None, None)]))
+    one = toxicity.fit_from(docs(spark, rows), labels, None)
+    other = toxicity.fit_from(many, labels, None)
+    assert one.link is not None and other.link is not None
+    kept = toxicity.score(docs(spark, rows), one, keep=("doc_id", "text", "source"), below=toxicity.REJECT)
+    assert kept.columns == ["doc_id", "score", "spans", "text", "source"]
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score(docs(spark, rows), one).collect()}
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == {
+        n: rows[n][1] for n, score in scored.items() if score < toxicity.REJECT
+    }
