@@ -123,3 +123,21 @@ def test_odd_vectors(spark):
     assert found[7] == (4, 7, True) and found[8] == (4, 7, False) and found[None] == (4, 7, False)
     assert found[11] == (4, 7, False) and found[9] == (1, 9, True) and found[10] == (1, 9, False)
     assert embeddings.near_duplicates(_table(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("size", [1e7, 1e12, 1e300])
+def test_top_k_of_large_components(spark, size):
+    """Scores are exact beyond 53 bits, and end at the limits of a long."""
+    rng = np.random.default_rng(9)
+    rows = [(n, (rng.normal(size=4) * (size if n % 6 == 0 else 1)).tolist()) for n in range(70)]
+    schema = SCHEMA.replace("array<float>", "array<double>")
+    table = spark.createDataFrame([(i, v, 0, "x", None, 1) for i, v in rows], schema)
+    fit = lambda x: max(-(2**63), min(2**63 - 1, x))
+    whole = lambda x: max(-(2**62), min(2**62, int(np.floor(256.0 * x)) if abs(x) < 1e200 else int(np.sign(x)) * 2**62))
+    exact = {i: [whole(x) for x in v] for i, v in rows}
+    expected = set()
+    for q in range(0, 70, 3):
+        scored = sorted((-fit(sum(x * y for x, y in zip(exact[q], exact[i]))), i) for i in exact if i != q)[:5]
+        expected |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)}
+    found = topk.top_k(table, table.where("vec_id % 3 = 0"), 5).collect()
+    assert {tuple(r) for r in found} == expected
