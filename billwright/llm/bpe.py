@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from billwright.llm.common import bounded
+
 #: Characters of text that a task holds as words at a time, and words it remembers.
 SLICE_CHARS = 2_000_000
 KNOWN_WORDS = 300_000
@@ -231,41 +233,48 @@ def _pieces(texts: list[str], split: Callable) -> Iterator[list[tuple[int, list[
 
 
 def encode(
-    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+    round_trip: bool = False,
 ) -> DataFrame:
     """(id, ids array<int>) for every row: the ids of the whole text.
 
     ``pattern`` splits the text into words that merge separately; it has to cover the
     text. Null text is empty, an empty text has no ids. Rows are independent: repeated
     ones and those with a null id are encoded like any other. Other columns are left
-    out. The vocabulary file is read by the driver and broadcast; its size is fixed.
+    out. The vocabulary file is read by the driver and broadcast; its size is fixed. With
+    ``round_trip``, the ids are decoded where they are made, as ``decode`` would, into a
+    column ``decoded``.
     """
+    names = ["id", "ids", "decoded"] if round_trip else ["id", "ids"]
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(ranks_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, split, known = shared.value, regex.compile(pattern).finditer, _Known()
+        token = vocabulary.bytes_of.__getitem__
         for batch in batches:
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            parts: list[list[np.ndarray]] = [[] for _ in texts]
-            for held in _pieces(texts, split):
-                known.learn(vocabulary, held)
-                for number, words in held:
-                    parts[number].append(known.ids_of(words))
-            lengths = np.array([sum(map(len, p)) for p in parts], np.int64)
-            done = 0
-            while done < len(texts):  # lists of an Arrow batch end below 2 ** 31 elements
-                upto = max(done + 1, int(np.searchsorted(np.cumsum(lengths[done:]), 2**24)) + done)
-                flat = [a for p in parts[done:upto] for a in p]
-                offsets = np.concatenate([[0], np.cumsum(lengths[done:upto])]).astype(np.int32)
+            for start, count in bounded(batch.column(1), SLICE_CHARS):
+                some = batch.slice(start, count)
+                texts = [text or "" for text in some.column(1).to_pylist()]
+                parts: list[list[np.ndarray]] = [[] for _ in texts]
+                for held in _pieces(texts, split):
+                    known.learn(vocabulary, held)
+                    for number, words in held:
+                        parts[number].append(known.ids_of(words))
+                flat = [a for p in parts for a in p]
+                lengths = [sum(map(len, p)) for p in parts]
                 values = np.concatenate(flat) if flat else np.array([], np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(done, upto - done), pa.ListArray.from_arrays(offsets, values)],
-                    names=["id", "ids"],
-                )
-                done = upto
+                offsets = np.concatenate([[0], np.cumsum(lengths)])
+                columns = [some.column(0), pa.ListArray.from_arrays(offsets.astype(np.int32), values)]
+                if round_trip:
+                    decoded = [
+                        b"".join(map(token, values[low:high].tolist())) for low, high in zip(offsets, offsets[1:])
+                    ]
+                    columns.append(pa.array(decoded, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     source = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    return source.mapInArrow(run, "id long, ids array<int>").withColumnRenamed("id", id_col)
+    found = source.mapInArrow(run, "id long, ids array<int>" + (", decoded binary" if round_trip else ""))
+    return found.withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:

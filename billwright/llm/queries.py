@@ -41,8 +41,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes that they stand for, as digests."""
     path = public_tokenizers.path(RANKS)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, path).select(
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode(docs, path, public_tokenizers.PATTERN, round_trip=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(bpe.ids_text(F.col("ids")).cast("binary"), 256).alias("ids_sha256"),

@@ -48,6 +48,8 @@ def test_whole_texts_and_back(spark, library):
     found = sorted(((r["doc_id"] or 0, tuple(r["ids"]), bytes(r["decoded"])) for r in rows))
     texts = [(i or 0, text or "") for i, text, _, _ in DOCS]
     assert found == sorted((i, tuple(library.encode_ordinary(t)), t.encode()) for i, t in texts)
+    at_once = bpe.encode(docs(spark), PATH, public_tokenizers.PATTERN, round_trip=True).collect()
+    assert sorted((r["doc_id"] or 0, tuple(r["ids"]), bytes(r["decoded"])) for r in at_once) == found
 
 
 def test_long_texts_go_in_pieces(spark, library, monkeypatch):
