@@ -327,7 +327,7 @@ def _links_around(compared: DataFrame, merged: DataFrame, sets: DataFrame, perce
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
-    """(doc_id, text_key, n_shingles, component_id, kept) for every row of ``docs``.
+    """(doc_id, text_key, n_shingles, component_id, kept, chosen) for every row of ``docs``.
 
     Rows are linked whose sets of ``width``-word shingles have a Jaccard similarity of at
     least ``percent`` in a hundred; component_id is the smallest doc_id that links reach,
@@ -336,14 +336,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
     own. A row without id is in its component but cannot name it: where no row of a
     component has an id, component_id is null. It is kept only if nothing links it to a
     row with an id. An empty table gives an empty result. ``text_key`` is the xxhash64 of
-    the text, which tells rows with equal ids apart.
+    the text, which tells rows with equal ids apart. ``chosen`` marks the row of each
+    component with the smallest id, of these the smallest text key, and its exact
+    copies; it marks every row without words.
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     rows = written(sketched(docs, width))
     one = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
     classes = written(
         rows.where("set_key is not null").groupBy(F.col("set_key").alias("node")).agg(
-            F.min("doc_id").alias("doc_id"), F.min(one).alias("one"), F.count(F.lit(1)).alias("copies"),
+            F.min(one).alias("one"), F.count(F.lit(1)).alias("copies"),
             F.first("n_shingles").alias("n"), F.first("coarse").alias("coarse"),
         )
     )
@@ -371,19 +373,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
     merged = connected(compared.where("alike and a != b").select("a", "b"))
     around = _links_around(compared, merged, sets, percent, block)
     parts = connected(merged.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(around))
-    first = (
-        parts.join(classes.select("node", "doc_id"), "node")
-        .groupBy("component").agg(F.min("doc_id").alias("first"))
+    first = parts.join(classes.select("node", F.col("one").alias("own")), "node").groupBy("component").agg(
+        F.min("own").alias("first")
     )
     named = parts.join(first, "component").select(F.col("node").alias("_node"), "first")
-    result = classes.select("node", "doc_id").join(named, F.col("node") == F.col("_node"), "left").select(
-        F.col("node").alias("_node"), F.coalesce("first", "doc_id").alias("component_id")
+    result = classes.select("node", "one").join(named, F.col("node") == F.col("_node"), "left").select(
+        F.col("node").alias("_node"), F.coalesce("first", "one").alias("first")
     )
     by_class = rows.select("doc_id", "text_key", "n_shingles", "set_key").join(
         result, F.col("set_key") == F.col("_node"), "left"
     )
-    component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    wordless = F.col("set_key").isNull()
+    component = F.when(wordless, F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    chosen = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
     return by_class.select(
         "doc_id", "text_key", "n_shingles", component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"), (wordless | chosen).alias("chosen"),
     )

@@ -98,6 +98,7 @@ def test_pipeline(spark):
     vocabulary = bpe.Vocabulary.read(public_tokenizers.path(queries.RANKS))
     texts = sorted(b"".join(vocabulary.bytes_of[i] for i in r["ids"]).decode() for r in kept["byte-level bpe"])
     assert texts == sorted(r["text"] for r in kept["source mix"])
+    assert sorted(bytes(r["decoded"]).decode() for r in kept["byte-level bpe"]) == texts
 
 
 def test_stages_take_odd_rows(spark):
@@ -110,3 +111,14 @@ def test_stages_take_odd_rows(spark):
             if name != corpus_pipeline.STAGES[-1][0]:
                 docs = spark.createDataFrame(docs.collect(), docs.schema)
         assert (docs.count() == 0) == (rows == [])
+
+
+def test_one_row_of_a_group_stays_whatever_its_ids(spark):
+    near = lambda n: " ".join(["word%d" % k for k in range(100)] + [f"own{n}"])
+    rows = [(5, near(1), "en", "a", 1), (5, near(2), "en", "a", 1), (5, near(3), "en", "b", 1), (5, near(3), "en", "c", 1)]
+    rows += [(7, "", "en", "a", 1), (7, "", "en", "b", 1), (None, "  ", "en", "a", 1)]
+    rows += [(None, near(4), "en", "a", 1), (5, "quite another text with words of its own", "en", "a", 1), (9, None, None, None, 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.drop_near_copies(spark, table, FOLDER).collect()
+    assert sum("word1 " in r["text"] for r in found) == 1 and len(found) == 6
+    assert sorted(str(r["doc_id"]) for r in found if not r["text"].strip()) == ["7", "7", "9", "None"]
