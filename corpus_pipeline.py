@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billwright.llm import bpe, minhash, mixing, pii, toxicity
-from billwright.llm.common import table, written
+from billwright.llm.common import WORD_PATTERN, table, written
 from billwright.llm.queries import RANKS
 
 
@@ -28,17 +28,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold of rejection."""
     docs = _documents(docs)
     field = toxicity.fit_from(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, field, keep=docs.columns).where(F.col("score") < toxicity.REJECT).select(*docs.columns)
+    return toxicity.score(docs, field, keep=docs.columns, below=toxicity.REJECT).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; texts without words link with nothing."""
+    """One row of each group of near copies; rows without words are no copies and all stay.
+
+    A group's row is the one with the smallest id, whether or not others share that id.
+    """
     docs = _documents(docs)
-    kept = minhash.near_duplicates(docs).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
-    ).distinct()
+    found = minhash.near_duplicates(docs).where("chosen and n_shingles > 0")
+    kept = written(
+        found.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    return docs.join(kept, same).dropDuplicates(["_id", "_key"]).select(*docs.columns)
+    single = docs.join(kept.where("_copies = 1"), same, "left_semi")
+    several = docs.join(kept.where("_copies > 1"), same).dropDuplicates(["_id", "_key"]).select(*docs.columns)
+    wordless = docs.where(~F.col("text").rlike(WORD_PATTERN))
+    return single.unionByName(several).unionByName(wordless)
 
 
 def clean_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +61,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids) of everything that the mix takes."""
-    return bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    """(doc_id, ids, decoded) of everything that the mix takes; decoded are the bytes of the ids again."""
+    return bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, round_trip=True)
 
 
 STAGES = [
