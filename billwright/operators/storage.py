@@ -24,6 +24,11 @@ def use_shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """The path of a folder that isn't there yet, in the shared one."""
+    return f"{use_shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, rebalance: bool = True) -> DataFrame:
     """``df`` written once as Parquet, for a result that several jobs go on with.
 
@@ -31,6 +36,6 @@ def stored(df: DataFrame, rebalance: bool = True) -> DataFrame:
     many scan tasks would make many small files. Read back, it has file statistics, so
     that Spark knows its size when it plans.
     """
-    path = f"{use_shared_folder(df.sparkSession)}/stored-{uuid.uuid4()}"
+    path = new_folder(df.sparkSession, "stored")
     (df.hint("rebalance") if rebalance else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
@@ -12,13 +13,18 @@ from billwright.functions import lines as L
 from billwright.operators.skew import Cells, Side, fan_out, find_hot_keys, merged
 from billwright.operators.storage import stored
 from billwright.rules import Rules
-from billwright.sources.tables import InvoiceTables
+from billwright.sources.tables import LINE_MONTH, MONTH, InvoiceTables
+
 
 @dataclass(frozen=True)
 class Inputs:
     """Filtered base tables, optionally cut to the invoices a report is about.
 
-    ``header_filter`` is a condition on the columns of the invoice header.
+    ``header_filter`` is a condition on the columns of the invoice header, and ``wanted``
+    a table of invoice numbers (``wanted_nf``, null being one) that it leaves.
+    ``issued`` are the first and last day of issue that the filter lets pass, where it
+    has such limits: tables that lie by month are read for these months only, and lines
+    for the months that the numbers of their headers lie under.
     ``narrow`` says that it leaves few invoices, for instance those of a month.
     Their headers are then stored once. Rows outside the range of their numbers are
     skipped by the scans; with numbers given out over time, that is most of the
@@ -34,10 +40,12 @@ class Inputs:
     rules: Rules = Rules()
     header_filter: Column | None = None
     narrow: bool = False
+    issued: tuple[datetime.date | None, datetime.date | None] = (None, None)
+    wanted: DataFrame | None = None
 
-    def _of_company(self, name: str) -> DataFrame:
+    def _of_company(self, name: str, months: Column | None = None) -> DataFrame:
         """Rows of the company, with guids as the database compares them."""
-        df = self.tables.of_company(name, self.rules.company)
+        df = self.tables.of_company(name, self.rules.company, months)
         guids = [column for column in ("guid_orcamento", "guid_linha") if column in df.columns]
         return df.withColumns({
             column: L.compared_text(F.col(column), self.rules.case_sensitive) for column in guids
@@ -45,36 +53,49 @@ class Inputs:
 
     @cached_property
     def _headers(self) -> DataFrame:
-        df = self._of_company("tnota_fiscal").where(
+        df = self._of_company("tnota_fiscal", self._issue_months()).where(
             L.has_text(F.col("condicao_pagamento")) & (F.col("cli_for") == 0)
         )
         df = df if self.header_filter is None else df.where(self.header_filter)
+        if self.wanted is not None:
+            df = df.join(self.wanted, F.col("numero").eqNullSafe(F.col("wanted_nf")), "left_semi")
         return stored(df) if self.narrow else df
 
     def headers(self) -> DataFrame:
         """Invoices of the company to customers, with terms of payment."""
         return self._headers
 
+    def _issue_months(self) -> Column | None:
+        """Condition on the month that headers lie under."""
+        month = lambda day: F.trunc(F.lit(day), "month")
+        since, until = self.issued
+        limits = [F.col(MONTH) >= month(since)] if since else []
+        limits += [F.col(MONTH) <= month(until)] if until else []
+        return reduce(Column.__and__, limits) if limits else None
+
     @cached_property
     def _span(self) -> Row | None:
-        """In a narrow report: lowest and highest invoice number."""
+        """In a narrow report: lowest and highest invoice number, and the months of their lines."""
         if not self.narrow:
             return None
         number = F.col("numero")
+        # One date for each month of the report.
+        months = F.collect_set(LINE_MONTH) if self.tables.by_month else F.lit(None)
         return self.headers().agg(
-            F.min(number).alias("low"), F.max(number).alias("high")
+            F.min(number).alias("low"), F.max(number).alias("high"), months.alias("months")
         ).first()
 
-    def _of_invoices(self, rows: DataFrame, key: str) -> DataFrame:
-        """Rows whose invoice number may be wanted, as far as that is known."""
+    def _of_invoices(self, name: str, key: str) -> DataFrame:
+        """Rows of a table whose invoice number may be wanted, as far as that is known."""
         if not self.narrow:
-            return rows
+            return self._of_company(name)
+        months = None if self._span["months"] is None else F.col(MONTH).isin(self._span["months"])
         inside = F.col(key).between(self._span["low"], self._span["high"])
-        return _cut(rows.where(inside), key, self.headers(), "numero")
+        return _cut(self._of_company(name, months).where(inside), key, self.headers(), "numero")
 
     @cached_property
     def _goods(self) -> DataFrame:
-        lines = self._of_invoices(self._of_company("tnota_fiscal_item"), "numero_nf")
+        lines = self._of_invoices("tnota_fiscal_item", "numero_nf")
         return stored(lines) if self.narrow else lines
 
     def goods(self) -> DataFrame:
@@ -84,15 +105,14 @@ class Inputs:
         return _cut(rows, key, self._goods, goods_key) if self.narrow else rows
 
     def services(self) -> DataFrame:
-        return self._of_invoices(self._of_company("tnota_fiscal_servico"), "numero_nf")
+        return self._of_invoices("tnota_fiscal_servico", "numero_nf")
 
     def returns(self) -> DataFrame:
         """Which invoice a return note refers to."""
-        return self._of_invoices(self._of_company("tnota_fiscal_nfref"), "nfref_numero_nf")
+        return self._of_invoices("tnota_fiscal_nfref", "nfref_numero_nf")
 
     def billing_orders(self) -> DataFrame:
-        active = self._of_company("tordem_fat").where(F.col("status") == 1)
-        return self._of_invoices(active, "numero_nf")
+        return self._of_invoices("tordem_fat", "numero_nf").where(F.col("status") == 1)
 
     def quote_lines(self) -> DataFrame:
         return self._of_goods(self._of_company("torcamento_itens"), "guid_linha", "guid_orcamento")

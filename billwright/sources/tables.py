@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billwright.schemas import BASE_TABLES
-from billwright.sources.jdbc import JdbcDatabase, Single, Split
+from billwright.sources.jdbc import Depths, JdbcDatabase, Single, Split
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -33,12 +33,28 @@ _LANDED_BY = {
 }
 
 
+# The column with the invoice number, in the tables that hang on it.
+NUMBER_KEYS = {
+    "tnota_fiscal": "numero",
+    "tnota_fiscal_item": "numero_nf",
+    "tnota_fiscal_servico": "numero_nf",
+    "tnota_fiscal_nfref": "nfref_numero_nf",
+    "tordem_fat": "numero_nf",
+}
+
+# In tables landed by month: the month a row lies under, and in headers the month under
+# which the lines of their number do.
+MONTH = "issue_month"
+LINE_MONTH = "line_month"
+
+
 class InvoiceTables:
     """The eight base tables by name, each read when first asked for."""
 
-    def __init__(self, read: Callable[[str], DataFrame], live: bool = False):
+    def __init__(self, read: Callable[[str], DataFrame], live: bool = False, by_month: bool = False):
         self._read = read
         self._live = live
+        self.by_month = by_month
         self._frames: dict[str, DataFrame] = {}
 
     @classmethod
@@ -48,7 +64,7 @@ class InvoiceTables:
 
     @classmethod
     def from_database(
-        cls, spark: SparkSession, database: JdbcDatabase, splits: Mapping[str, Split | Single]
+        cls, spark: SparkSession, database: JdbcDatabase, splits: Mapping[str, Split | Single | Depths]
     ) -> InvoiceTables:
         """Tables of a database that goes on changing; ``splits`` says for each how to read it.
 
@@ -79,9 +95,20 @@ class InvoiceTables:
             self._frames[name] = conform(self._read(name), BASE_TABLES[name])
         return self._frames[name]
 
-    def of_company(self, name: str, company: int) -> DataFrame:
-        """The rows of one company, filtered at the scan."""
-        return self[name].where(F.col("cod_empresa") == company)
+    def of_company(self, name: str, company: int, months: Column | None = None) -> DataFrame:
+        """The rows of one company, filtered at the scan.
+
+        ``months`` is a condition on ``MONTH`` and chooses the folders that are opened,
+        where the table lies by month; headers come with ``LINE_MONTH`` there.
+        """
+        if not self.by_month or name not in NUMBER_KEYS:
+            return self[name].where(F.col("cod_empresa") == company)
+        raw = self._read(name)
+        rows = raw if months is None else raw.where(months)
+        added = [LINE_MONTH] if LINE_MONTH in raw.columns else []
+        return conform(rows, T.StructType([
+            *BASE_TABLES[name].fields, *[raw.schema[column] for column in added]
+        ])).where(F.col("cod_empresa") == company)
 
     def query(self, spark: SparkSession, sql: str) -> DataFrame:
         """Run SQL over the base tables under their own names."""
