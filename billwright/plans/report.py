@@ -48,7 +48,9 @@ def report_inputs(
     """
     tables.check_landed()
     rules = rules or Rules()
-    return Inputs(tables, rules, in_report(rules, since, until), narrow=since is not None)
+    return Inputs(
+        tables, rules, in_report(rules, since, until), narrow=since is not None, issued=(since, until)
+    )
 
 
 def report_rows(inputs: Inputs) -> DataFrame:
@@ -186,14 +188,18 @@ def daily_totals(inputs: Inputs) -> DataFrame:
         .result()
         .where(F.col("nfref_numero_nf").isNull())
     )
+    return invoices.groupBy("data_emissao").agg(F.sum(invoice_total()).cast(TOTAL_VALUE).alias("total"))
+
+
+def invoice_total() -> Column:
+    """The value of an invoice's rows of the view, from the sums of its goods and service lines."""
     service_value = F.coalesce(F.col("service_value"), F.lit(0)).cast(TOTAL_VALUE)
     goods_value = (
         F.coalesce("goods_value", F.lit(0)) * F.coalesce("service_rows", F.lit(1))
     ).cast(TOTAL_VALUE)
-    total = F.when(F.col("goods_nf").isNull(), service_value).otherwise(
+    return F.when(F.col("goods_nf").isNull(), service_value).otherwise(
         goods_value + (service_value * F.col("valueless_rows")).cast(TOTAL_VALUE)
     )
-    return invoices.groupBy("data_emissao").agg(F.sum(total).cast(TOTAL_VALUE).alias("total"))
 
 
 def _total(amount: Column) -> Column:
