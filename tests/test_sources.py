@@ -1,5 +1,8 @@
 """Reading tables from Parquet and the options for reading them over JDBC."""
 
+import random
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +10,7 @@ from billwright import InvoiceTables
 from billwright.plans import report
 from billwright.plans.view import invoice_view, register_invoice_view
 from billwright.schemas import BASE_TABLES
-from billwright.sources.jdbc import JdbcDatabase, Single, Split
+from billwright.sources.jdbc import Depths, JdbcDatabase, Single, Split, depths_query
 from conftest import bag
 
 DB = JdbcDatabase("host:1433", "invoices", "reader", "secret")
@@ -87,3 +90,78 @@ def test_query_options_with_split():
         "numero", "1", "1000", "16",
     ]
     assert "query" not in options
+
+
+def _depths(rows, parts, within=None):
+    """A split of (numero, linha) rows, from the bounds that another engine finds for it."""
+    duck = duckdb.connect()
+    kind = "varchar" if any(isinstance(value, str) for value, _ in rows) else "bigint"
+    duck.execute(f"create table lines (numero {kind}, linha bigint)")
+    if rows:
+        duck.executemany("insert into lines values (?, ?)", rows)
+    bounds = sorted(duck.execute(depths_query("lines", "numero", parts)).fetchall())
+    split = Depths("numero", tuple(value for _, value in bounds), within)
+    counts = [duck.execute(f"select count(*) from lines where {p}").fetchone()[0] for p in split.predicates()]
+    once = duck.execute("select count(*) from lines where " + " + ".join(
+        f"(case when {p} then 1 else 0 end)" for p in split.predicates()) + " = 1").fetchone()[0]
+    assert once == len(rows) == sum(counts)
+    return counts
+
+
+def test_reads_of_equal_depth():
+    """Numbers with gaps and a number that holds a third of all rows."""
+    rng = random.Random(3)
+    rows = [(rng.choice([rng.randrange(100), 10**9 + rng.randrange(100)]), n) for n in range(4000)]
+    counts = _depths(rows, 20)
+    assert len(counts) == 20 and max(counts) < 2 * 4000 / 20
+    hot = [(7, n) for n in range(2000)] + [(None, n) for n in range(30)]
+    assert max(_depths(rows + hot, 20)) >= 2000
+    counts = _depths(rows + hot, 20, within="linha")
+    assert max(counts) < 2.5 * 6000 / 20 and len(counts) >= 20
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_every_row_is_read_once(seed):
+    rng = random.Random(seed)
+    pick = lambda: rng.choice([None, rng.randrange(-5, 6), 3, rng.randrange(1000)])
+    rows = [(pick(), rng.choice([None, -rng.randrange(9), rng.randrange(9)])) for _ in range(rng.randrange(1, 200))]
+    _depths(rows, rng.randrange(1, 12), rng.choice([None, "linha"]))
+
+
+def test_reads_of_text_keys_and_of_nothing():
+    assert len(_depths([(f"G{n % 50}'s", n) for n in range(500)], 5)) >= 5
+    assert Depths("numero", ()).predicates() == ["1 = 1"] and _depths([], 4) == [0]
+
+
+def test_depths_come_from_the_database(spark, monkeypatch):
+    """The quantiles are asked for in one statement, and each predicate is a read of its own."""
+    asked = {}
+
+    class Reader:
+        def format(self, kind):
+            return self
+
+        def options(self, **options):
+            asked.setdefault("options", []).append(options)
+            return self
+
+        def load(self):
+            return spark.createDataFrame([(3, 20), (2, 10)], "tile int, value long")
+
+        def jdbc(self, url, table, **more):
+            asked["read"] = (url, table, more)
+            return "rows"
+
+    class Session:
+        read = Reader()
+
+    split = DB.depths(Session(), "tnota_fiscal_item", "numero_nf", 3, within="codigo")
+    assert split == Depths("numero_nf", (10, 20), "codigo")
+    assert asked["options"][0]["dbtable"].startswith("(select tile, min(numero_nf)")
+    assert DB.read(Session(), "tnota_fiscal_item", split) == "rows"
+    url, table, more = asked["read"]
+    assert (url, table) == (DB.url, "tnota_fiscal_item")
+    assert more["predicates"] == [
+        "numero_nf < 10 or numero_nf is null", "numero_nf >= 10 and numero_nf < 20", "numero_nf >= 20"
+    ]
+    assert more["properties"] == {"user": "reader", "password": "secret", "driver": DB.driver}
