@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from billwright.plans.message import TABLE_CLOSING, TABLE_OPENING
 
+#: Folders of the outbox.
+DAY, RECIPIENT = "sent_on", "recipient"
+
 
 def write_html_rows(html: DataFrame, folder: str) -> None:
     """One HTML document as text files: read by name, their lines open the table, list
@@ -19,6 +24,29 @@ def write_html_rows(html: DataFrame, folder: str) -> None:
     lines.orderBy(F.asc_nulls_last("idx")).select("row_html").write.mode("overwrite").text(folder)
 
 
-def write_outbox(messages: DataFrame, folder: str) -> None:
-    """One JSON record per message, for whatever sends them."""
-    messages.write.mode("overwrite").json(folder)
+def write_outbox(messages: DataFrame, folder: str, day: datetime.date) -> None:
+    """One JSON record per message of a day, for whatever sends them.
+
+    Records lie by day and recipient. Sending a day again replaces what the day had for
+    the recipients at hand, whatever its number of parts, and leaves other days and
+    recipients alone.
+    """
+    _by_day_and_recipient(messages.withColumn(DAY, F.lit(day))).json(folder)
+
+
+def write_outboxes(messages: DataFrame, folder: str, day: str) -> None:
+    """The messages of many days at once, told by the column ``day``."""
+    _by_day_and_recipient(messages.withColumnRenamed(day, DAY)).json(folder)
+
+
+def _by_day_and_recipient(messages: DataFrame) -> DataFrameWriter:
+    dealt = messages.withColumn(RECIPIENT, F.col("to")).repartition(DAY, RECIPIENT, "part")
+    return dealt.write.partitionBy(DAY, RECIPIENT).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+
+
+def read_outbox(spark: SparkSession, folder: str, day: datetime.date | None = None) -> DataFrame:
+    """(day, to, subject, part, parts, html_body) of the outbox, or of one of its days."""
+    schema = "to string, subject string, part int, parts int, html_body string"
+    records = spark.read.schema(f"{schema}, {DAY} date, {RECIPIENT} string").json(folder)
+    records = records if day is None else records.where(F.col(DAY) == F.lit(day))
+    return records.select(F.col(DAY).alias("day"), "to", "subject", "part", "parts", "html_body")

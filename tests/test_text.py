@@ -11,6 +11,7 @@ from billwright.functions import text as X
 from billwright.plans import message as M
 from billwright.plans import report as P
 from billwright.rules import PROJECT_CFOPS
+from conftest import bag
 
 D = datetime.date
 
@@ -152,5 +153,23 @@ def test_sinks(spark, tables, tmp_path):
     lines = [line for file in files for line in file.read_text().splitlines()]
     assert [line.split("</th>")[0] for line in lines[1:-1]] == [f"<tr><th>{i}" for i in range(17)]
     assert lines[0].startswith("<table><thead>") and lines[-1] == "</tbody></table>"
-    sinks.write_outbox(M.report_message(inputs, D(2026, 5, 11), ADDRESSES), str(tmp_path / "out"))
+    sinks.write_outbox(M.report_message(inputs, D(2026, 5, 11), ADDRESSES), str(tmp_path / "out"), D(2026, 5, 11))
     assert {r["to"] for r in spark.read.json(str(tmp_path / "out")).collect()} == {"a@x", "b@y"}
+
+
+def test_outbox_that_is_written_again(spark, tables, tmp_path):
+    """Two days and a rerun of one with fewer parts: nothing of the other is lost, nothing is there twice."""
+    folder, inputs = str(tmp_path), P.report_inputs(tables, since=D(2026, 5, 1))
+    days = [D(2026, 5, 11), D(2026, 5, 12)]
+    wanted = {}
+    for day, size in ((days[0], 3), (days[1], 4), (days[0], 5)):
+        messages = M.report_message(inputs, day, "a@x; b/ö=%@y", rows_per_part=size)
+        sinks.write_outbox(messages, folder, day)
+        wanted[day] = bag(messages)
+    for day in days:
+        found = sinks.read_outbox(spark, folder, day)
+        assert {r["day"] for r in found.collect()} == {day}
+        assert bag(found.drop("day")) == wanted[day]
+    assert sinks.read_outbox(spark, folder).count() == sum(map(len, wanted.values()))
+    sinks.write_outbox(M.report_message(inputs, days[0], "c@z", rows_per_part=9), folder, days[0])
+    assert {r["to"] for r in sinks.read_outbox(spark, folder, days[0]).collect()} == {"a@x", "b/ö=%@y", "c@z"}
