@@ -378,6 +378,18 @@ _SQL: dict[str, str] = {
     "r3_message": _MONTH_HTML,
 }
 
+# Other ways to the same results.
+_SQL |= {
+    "f8_month_folders": _SQL["r2_monthly_total"],
+    "j1_bucketed_view": _SQL["s3_invoice_view"],
+    "s3_refreshed_view": _SQL["s3_invoice_view"],
+    "b5_ledger_totals": _SQL["b5_backfill_totals"],
+    "s5_outbox_again": _SQL["s5_outbox"],
+    "c1_set_aside": "select numero, 'dt_emissao: sem data' as reason,"
+    " (select count(*) from tnota_fiscal where numero%10<>3) as went_on"
+    " from tnota_fiscal where numero%10=3",
+}
+
 ORACLE_SQL: dict[str, str] = {name: _query(sql) for name, sql in _SQL.items()}
 
 

@@ -8,17 +8,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billwright import sinks
 from billwright.functions import lines as L
 from billwright.functions import text as X
 from billwright.operators import calendar as C
 from billwright.operators import lookups
 from billwright.operators.position import with_position
 from billwright.operators.skew import Spread, with_row_id
+from billwright.operators.storage import new_folder, stored
 from billwright.plans import message as M
 from billwright.plans import report as P
 from billwright.plans.inputs import Inputs
+from billwright.plans.ledger import CHANGE, DailyLedger
+from billwright.plans.refresh import refresh_view, store_view, stored_view
 from billwright.plans.view import ViewSteps, invoice_view
 from billwright.schemas import BASE_TABLES, REPORT_COLUMNS
+from billwright.sources import landing
+from billwright.sources.setaside import conform_or_set_aside
 from billwright.sources.star import star_tables
 from billwright.sources.tables import InvoiceTables
 
@@ -492,7 +498,80 @@ def r3_message(spark: SparkSession, folder: str) -> DataFrame:
     return M.report_message(_month(spark, folder), AS_OF, RECIPIENTS, ROWS_PER_PART)
 
 
+def f8_month_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """The month's total from tables that lie by month."""
+    landed = landing.land_by_month(star_tables(spark, folder), spark, new_folder(spark, "months"))
+    return P.monthly_total(P.report_inputs(landed, since=C.window_start_on(spark, AS_OF)))
+
+
+def j1_bucketed_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The view from tables dealt by invoice number."""
+    path = new_folder(spark, "buckets")
+    prefix = f"billwright_{path.rsplit('-', 1)[1]}"
+    return invoice_view(landing.land_in_buckets(star_tables(spark, folder), spark, prefix, 8, path))
+
+
+def _halves(tables: InvoiceTables) -> tuple[InvoiceTables, dict[str, DataFrame]]:
+    """Half of the rows of every table as a beginning, and the other half as what comes later."""
+    late = {
+        name: tables[name].where(F.pmod(F.xxhash64(*tables[name].columns), F.lit(2)) == 1) for name in BASE_TABLES
+    }
+    early = InvoiceTables(
+        lambda name: tables[name].where(F.pmod(F.xxhash64(*tables[name].columns), F.lit(2)) == 0)
+    )
+    return early, late
+
+
+def s3_refreshed_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored view of half of all rows, brought up to date with the other half."""
+    tables, path = star_tables(spark, folder), new_folder(spark, "view")
+    early, late = _halves(tables)
+    store_view(early, path)
+    refresh_view(tables, late, path)
+    return stored_view(spark, tables, path)
+
+
+def b5_ledger_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """The totals of all days from a ledger of half of all rows and the changes since."""
+    tables = star_tables(spark, folder)
+    early, late = _halves(tables)
+    ledger = DailyLedger(spark, new_folder(spark, "ledger"))
+    ledger.start(early)
+    # What came was cancelled at first, and corrected in a batch of its own.
+    wrong = late["tnota_fiscal"].withColumn("cancelada", F.lit(1))
+    ledger.add(late | {"tnota_fiscal": wrong})
+    ledger.add({"tnota_fiscal": wrong.withColumn(CHANGE, F.lit(-1)).unionByName(
+        late["tnota_fiscal"].withColumn(CHANGE, F.lit(1))
+    )})
+    days = _days(tables)
+    return P.backfill_totals(ledger.daily_totals(), days, C.holidays_around(days))
+
+
+def s5_outbox_again(spark: SparkSession, folder: str) -> DataFrame:
+    """The outbox of all days, written twice and read back."""
+    tables, path = star_tables(spark, folder), new_folder(spark, "outbox")
+    messages = stored(M.outbox(_daily_bodies(tables), RECIPIENTS, X.subject(F.col("as_of"))), rebalance=False)
+    for _ in range(2):
+        sinks.write_outboxes(messages, path, "as_of")
+    return sinks.read_outbox(spark, path).withColumnRenamed("day", "as_of")
+
+
+@_on_tables
+def c1_set_aside(tables: InvoiceTables) -> DataFrame:
+    """Invoices whose date can't be read, beside the count of those that go on."""
+    text = F.date_format("dt_emissao", "yyyy-MM-dd HH:mm:ss")
+    spoilt = F.when(F.col("numero") % 10 == 3, F.lit("sem data")).otherwise(text)
+    came = tables["tnota_fiscal"].withColumn("dt_emissao", spoilt)
+    good, aside = conform_or_set_aside(came, BASE_TABLES["tnota_fiscal"])
+    return aside.select("numero", "reason", good.agg(F.count(F.lit(1))).scalar().alias("went_on"))
+
+
 QUERIES |= {
+    "f8_month_folders": f8_month_folders,
+    "j1_bucketed_view": j1_bucketed_view,
+    "s3_refreshed_view": s3_refreshed_view,
+    "b5_ledger_totals": b5_ledger_totals,
+    "s5_outbox_again": s5_outbox_again,
     "r1_monthly_detail": r1_monthly_detail,
     "r2_monthly_total": r2_monthly_total,
     "r3_message": r3_message,
