@@ -169,12 +169,16 @@ def plan_records(pages: DataFrame) -> DataFrame:
     Of rows with equal payloads of at least 100 bytes, those with the smallest page_id
     are responses and the others revisit it. Null html is an empty payload. Rows with a
     null id are responses, repeated rows are repeated records.
+
+    Digests alone are grouped. What they say is written, so that Spark knows its size: where
+    it is small it goes to the pages, which then are not shuffled, and where it isn't, a
+    payload of very many pages can be divided among tasks.
     """
     rows = pages.select(
         pages["page_id"].cast("long").alias("page_id"), pages["url"].alias("url"),
         F.coalesce(pages["html"], F.lit("")).alias("html"),
     ).withColumn("_digest", F.sha2(F.col("html").cast("binary"), 256))
-    firsts = (
+    firsts = written(
         rows.where(F.octet_length("html") >= LEAST_REVISIT_BYTES)
         .groupBy("_digest").agg(F.min("page_id").alias("_first"), F.max("page_id").alias("_last"))
         .where(F.col("_first") < F.col("_last"))  # of few payloads there are several pages
