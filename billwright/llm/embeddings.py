@@ -37,6 +37,8 @@ WINDOW = 1024
 BITS = 60
 #: The share of pairs just at the threshold that some pass is expected to bring together.
 RECALL = 0.95
+#: Windows of a stretch: a vector goes to its stretch, and the first window of one to the stretch before.
+STRETCH = 4
 #: Vectors on either side of a cell of a run, and the most pairs looked at in one go.
 BLOCK = 8192
 _TRIES = 1 << 20
@@ -142,7 +144,7 @@ def _compared(cell: pd.DataFrame, least: float, window: int, far: bool = False)
     places = np.stack(cell["places"].to_numpy())
     order = np.argsort(places[:, own], kind="stable")
     places, runs = places[order], np.stack(cell["runs"].to_numpy())[order]
-    vectors = np.stack(cell["vector"].to_numpy())[order]
+    vectors = np.stack(cell["vector"].to_numpy()).astype(np.float64)[order]
     vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     nodes, sizes = cell["node"].to_numpy()[order], cell["copies"].to_numpy()[order]
     begins = int(np.count_nonzero(cell["home"]))  # the stretch or block itself comes first, then the other
@@ -199,19 +201,25 @@ def near_duplicates(
             F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")
         )
     )
-    bits, passes = _scheme(classes.count(), least, window)
+    count = classes.count()
+    bits, passes = _scheme(count, least, window)
     positions, dense = _positions(_keyed(classes, seed, passes), bits, window)
+    # As narrow as they can be without loss, since they are shuffled once for each pass.
+    own_kind = vectors.schema[vector_col].dataType
+    kind = "array<float>" if own_kind.simpleString() == "array<float>" else "array<double>"
+    number = "array<int>" if count < 2**31 else "array<long>"
     placed = written(
         classes.join(positions, F.col("node") == F.col("_node"))
-        .select("node", "copies", "vector", "places", "runs")
+        .select("node", "copies", F.col("vector").cast(kind), F.col("places").cast(number), F.col("runs").cast(number))
     )
     own = placed.select("*", F.posexplode("places").alias("pass", "place"))
-    stretch = F.floor(F.col("place") / window)
+    stretch = F.floor(F.col("place") / (STRETCH * window))
+    to_the_one_before = F.col("place") % (STRETCH * window) < window
     halves = own.select(
         "pass", "node", "copies", "vector", "places", "runs",
         F.explode(F.array(
             F.struct(stretch.alias("stretch"), F.lit(True).alias("home")),
-            F.struct((stretch - 1).alias("stretch"), F.lit(False).alias("home")),
+            F.struct(F.when(to_the_one_before, stretch - 1).alias("stretch"), F.lit(False).alias("home")),
         )).alias("h"),
     ).select("*", "h.stretch", "h.home").where("stretch >= 0").drop("h")
     run = F.element_at("runs", F.col("pass") + 1)
