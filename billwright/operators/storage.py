@@ -24,9 +24,27 @@ def use_shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_made: list[str] = []
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
     """The path of a folder that isn't there yet, in the shared one."""
-    return f"{use_shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    path = f"{use_shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def discard_stored(spark: SparkSession) -> int:
+    """Remove the intermediate results of this process; returns how many there were.
+
+    For use when results have been written: what still reads an intermediate result fails after this.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    found, _made[:] = list(_made), []
+    for name in found:
+        folder = path(name)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(found)
 
 
 def stored(df: DataFrame, rebalance: bool = True) -> DataFrame:

@@ -2,11 +2,13 @@
 
 import datetime
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from billwright import InvoiceTables, Rules
+from billwright.operators import storage
 from billwright.plans import report as P
 from billwright.plans.inputs import Inputs
 from billwright.plans.view import invoice_view
@@ -148,3 +150,12 @@ def test_rows_set_aside(spark):
     assert good.count() + aside.count() == df.count()
     good, aside = conform_or_set_aside(df.where("false"), wanted)
     assert good.count() == aside.count() == 0
+
+
+def test_intermediate_results_are_removed(spark, given, monkeypatch):
+    monkeypatch.setattr(storage, "_made", [])
+    rows = P.report_rows(P.report_inputs(given, since=SINCE))
+    assert rows.count() and (made := list(storage._made))
+    assert all(os.path.isdir(path.removeprefix("file:")) for path in made)
+    assert storage.discard_stored(spark) == len(made) and storage.discard_stored(spark) == 0
+    assert not any(os.path.exists(path.removeprefix("file:")) for path in made)
