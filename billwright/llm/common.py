@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billwright.operators.storage import use_shared_folder
+from billwright.operators.storage import new_folder
 
 #: White space as the contracts use it: \x20 and \x09 to \x0D, which is what bytes.split() takes.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -38,7 +37,7 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 
 def shared_path(spark: SparkSession, kind: str) -> str:
     """A new path in the folder that the driver and all executors share."""
-    return f"{use_shared_folder(spark)}/{kind}-{uuid.uuid4()}"
+    return new_folder(spark, kind)
 
 
 def written(df: DataFrame) -> DataFrame:
