@@ -383,6 +383,7 @@ _SQL |= {
     "f8_month_folders": _SQL["r2_monthly_total"],
     "j1_bucketed_view": _SQL["s3_invoice_view"],
     "s3_refreshed_view": _SQL["s3_invoice_view"],
+    "j3_collated_view": _SQL["s3_invoice_view"],
     "b5_ledger_totals": _SQL["b5_backfill_totals"],
     "s5_outbox_again": _SQL["s5_outbox"],
     "c1_set_aside": "select numero, 'dt_emissao: sem data' as reason,"

@@ -22,6 +22,7 @@ from billwright.plans.inputs import Inputs
 from billwright.plans.ledger import CHANGE, DailyLedger
 from billwright.plans.refresh import refresh_view, store_view, stored_view
 from billwright.plans.view import ViewSteps, invoice_view
+from billwright.rules import Rules
 from billwright.schemas import BASE_TABLES, REPORT_COLUMNS
 from billwright.sources import landing
 from billwright.sources.setaside import conform_or_set_aside
@@ -511,6 +512,12 @@ def j1_bucketed_view(spark: SparkSession, folder: str) -> DataFrame:
     return invoice_view(landing.land_in_buckets(star_tables(spark, folder), spark, prefix, 8, path))
 
 
+@_on_tables
+def j3_collated_view(tables: InvoiceTables) -> DataFrame:
+    """The view with guids, stages and order prefixes compared by a collation."""
+    return invoice_view(tables, Rules(collation="UTF8_LCASE_RTRIM"))
+
+
 def _halves(tables: InvoiceTables) -> tuple[InvoiceTables, dict[str, DataFrame]]:
     """Half of the rows of every table as a beginning, and the other half as what comes later."""
     late = {

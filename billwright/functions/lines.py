@@ -22,20 +22,27 @@ def has_text(text: Column) -> Column:
     return F.rtrim(text) != ""
 
 
-def is_kept_order(order_number: Column, case_sensitive: bool) -> Column:
+def is_kept_order(order_number: Column, case_sensitive: bool, collation: str | None = None) -> Column:
     """Service orders whose number does not start with the excluded prefix; null drops out."""
+    if collation:
+        return ~F.startswith(F.collate(order_number, collation), F.collate(F.lit(R.EXCLUDED_ORDER_PREFIX), collation))
     compared = order_number if case_sensitive else F.lower(order_number)
     return ~compared.like(f"{R.EXCLUDED_ORDER_PREFIX}%")
 
 
-def compared_text(text: Column, case_sensitive: bool) -> Column:
-    """Text as the database compares it: without trailing blanks, and mostly without case."""
+def compared_text(text: Column, case_sensitive: bool, collation: str | None = None) -> Column:
+    """Text as the database compares it: without trailing blanks, and mostly without case.
+
+    By a collation the text stays as it is and its type says how it compares.
+    """
+    if collation:
+        return F.collate(text, collation)
     trimmed = F.rtrim(text)
     return trimmed if case_sensitive else F.upper(trimmed)
 
 
-def is_won(stage: Column, active: Column, case_sensitive: bool = False) -> Column:
-    return (compared_text(stage, case_sensitive) == R.WON) & (active == 1)
+def is_won(stage: Column, active: Column, case_sensitive: bool = False, collation: str | None = None) -> Column:
+    return (compared_text(stage, case_sensitive, collation) == R.WON) & (active == 1)
 
 
 def document_type(is_service: Column) -> Column:

@@ -127,7 +127,15 @@ def _table(df: DataFrame, key: str, cells: Cells) -> DataFrame:
     schema = T.StructType([
         T.StructField("_hot", df.schema[key].dataType), T.StructField("_cells", T.IntegerType())
     ])
-    return F.broadcast(df.sparkSession.createDataFrame(list(cells.items()), schema))
+    table = df.sparkSession.createDataFrame(list(cells.items()), schema)
+    if _is_collated(df, key):  # keys were counted by their text, and several may be equal
+        table = table.groupBy("_hot").agg(F.sum("_cells").cast("int").alias("_cells"))
+    return F.broadcast(table)
+
+
+def _is_collated(df: DataFrame, key: str) -> bool:
+    kind = df.schema[key].dataType
+    return isinstance(kind, T.StringType) and kind != T.StringType()
 
 
 def _with_cells(df: DataFrame, key: str, table: DataFrame) -> DataFrame:
@@ -147,7 +155,9 @@ def _repeated(df: DataFrame, name: str) -> DataFrame:
 
 
 def _hash_of(df: DataFrame, key: str) -> Column:
-    """A hash that whole numbers of all widths share."""
+    """A hash that whole numbers of all widths share, and that is the same for keys that are equal."""
+    if _is_collated(df, key):  # equal texts may differ, and hashes are of the text
+        return F.when(F.col(key).isNotNull(), F.lit(0).cast("long"))
     kind = df.schema[key].dataType
     return F.xxhash64(F.col(key).cast("long") if isinstance(kind, T.IntegralType) else F.col(key))
 

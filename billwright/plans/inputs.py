@@ -48,7 +48,7 @@ class Inputs:
         df = self.tables.of_company(name, self.rules.company, months)
         guids = [column for column in ("guid_orcamento", "guid_linha") if column in df.columns]
         return df.withColumns({
-            column: L.compared_text(F.col(column), self.rules.case_sensitive) for column in guids
+            column: L.compared_text(F.col(column), self.rules.case_sensitive, self.rules.collation) for column in guids
         })
 
     @cached_property
@@ -119,12 +119,12 @@ class Inputs:
 
     def won_quotes(self) -> DataFrame:
         return self._of_company("torcamento").where(
-            L.is_won(F.col("estagio_orc"), F.col("status"), self.rules.case_sensitive)
+            L.is_won(F.col("estagio_orc"), F.col("status"), self.rules.case_sensitive, self.rules.collation)
         )
 
     def kept_orders(self) -> DataFrame:
         """Service orders of the company without the excluded prefix."""
-        kept = L.is_kept_order(F.col("n_os"), self.rules.case_sensitive)
+        kept = L.is_kept_order(F.col("n_os"), self.rules.case_sensitive, self.rules.collation)
         return self._of_company("tos").where(kept)
 
     def orders_by_guid(self) -> DataFrame:

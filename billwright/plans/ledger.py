@@ -52,7 +52,7 @@ def _entries(name: str, rows: DataFrame, rules: Rules) -> DataFrame:
     """Rows of a base table, with their change, as entries of a ledger that aren't summed yet."""
     c, change = F.col, F.col(CHANGE)
     rows = rows.where(c("cod_empresa") == rules.company)
-    guid = lambda column: L.compared_text(c(column), rules.case_sensitive).alias("guid")
+    guid = lambda column: L.compared_text(c(column), rules.case_sensitive, rules.collation).alias("guid")
     if name == "invoices":
         reported = (
             L.has_text(c("condicao_pagamento")) & (c("cli_for") == 0) & in_report(rules)
@@ -79,9 +79,9 @@ def _entries(name: str, rows: DataFrame, rules: Rules) -> DataFrame:
             guid("guid_linha"), c("cod_orcamento").alias("quote"), change.alias("rows")
         )
     if name == "won_quotes":
-        won = L.is_won(c("estagio_orc"), c("status"), rules.case_sensitive)
+        won = L.is_won(c("estagio_orc"), c("status"), rules.case_sensitive, rules.collation)
         return rows.where(won & c("codigo").isNotNull()).select(c("codigo").alias("quote"), change.alias("rows"))
-    kept = L.is_kept_order(c("n_os"), rules.case_sensitive)
+    kept = L.is_kept_order(c("n_os"), rules.case_sensitive, rules.collation)
     return rows.where(kept & c("guid_orcamento").isNotNull()).select(guid("guid_orcamento"), change.alias("rows"))
 
 
@@ -142,6 +142,8 @@ class DailyLedger:
         entries = self.spark.read.schema(schema).parquet(f"{self.folder}/{name}") if there else (
             self.spark.createDataFrame([], schema)
         )
+        if self.rules.collation and "guid" in entries.columns:  # files hold plain text
+            entries = entries.withColumn("guid", F.collate("guid", self.rules.collation))
         return _summed(name, entries.drop(_BATCH))
 
     def compact(self, folder: str) -> DailyLedger:

@@ -81,7 +81,7 @@ def affected_invoices(
         moved = moved.where(F.col("cod_empresa") == rules.company)
         return moved.unionByName(tables.of_company(name, rules.company).select(*schema.names)) if after else moved
 
-    guid = lambda column, name: L.compared_text(F.col(column), rules.case_sensitive).alias(name)
+    guid = lambda column, name: L.compared_text(F.col(column), rules.case_sensitive, rules.collation).alias(name)
     numbers = [rows(name).select(F.col(key).alias("wanted_nf")) for name, key in NUMBER_KEYS.items() if name in changed]
     guids, products = [], []
     if "torcamento_itens" in changed:

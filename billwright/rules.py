@@ -30,7 +30,8 @@ class Rules:
 
     ``case_sensitive`` follows the collation of the source database: whether text
     that the view compares (order prefix, stage of a quote, guids) differs by case.
-    Trailing blanks never count.
+    Trailing blanks never count. ``collation`` names one of Spark's collations to compare by
+    instead, for instance ``UNICODE_CI_AI_RTRIM``, which ignores accents too.
     ``rows_per_task`` is the number of rows of one join key up to which the key is
     never split over several tasks; beyond, it is if it exceeds an even share of the
     rows over ``join_tasks`` (by default the session's shuffle partitions).
@@ -39,5 +40,6 @@ class Rules:
     company: int = 1
     cfops: tuple[str, ...] = PROJECT_CFOPS
     case_sensitive: bool = False
+    collation: str | None = None
     rows_per_task: int = 100_000
     join_tasks: int | None = None
