@@ -377,16 +377,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
         F.min("own").alias("first")
     )
     named = parts.join(first, "component").select(F.col("node").alias("_node"), "first")
-    result = classes.select("node", "one").join(named, F.col("node") == F.col("_node"), "left").select(
-        F.col("node").alias("_node"), F.coalesce("first", "one").alias("first")
+    # Written, so that a class of very many rows can be divided among tasks when they are joined.
+    result = written(
+        classes.select("node", "one").join(named, F.col("node") == F.col("_node"), "left").select(
+            F.col("node").alias("_node"), F.coalesce("first", "one").alias("first")
+        )
     )
-    by_class = rows.select("doc_id", "text_key", "n_shingles", "set_key").join(
-        result, F.col("set_key") == F.col("_node"), "left"
+    rows = rows.select("doc_id", "text_key", "n_shingles", "set_key")
+    by_class = rows.join(result, F.col("set_key") == F.col("_node"))
+    component = F.col("first.doc_id")
+    chosen = F.col("doc_id").eqNullSafe(component) & (F.col("text_key") == F.col("first.text_key"))
+    wordless = rows.where("set_key is null").select(
+        "doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"),
+        F.lit(True).alias("kept"), F.lit(True).alias("chosen"),
     )
-    wordless = F.col("set_key").isNull()
-    component = F.when(wordless, F.col("doc_id")).otherwise(F.col("first.doc_id"))
-    chosen = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
     return by_class.select(
         "doc_id", "text_key", "n_shingles", component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"), (wordless | chosen).alias("chosen"),
-    )
+        F.col("doc_id").eqNullSafe(component).alias("kept"), chosen.alias("chosen"),
+    ).unionByName(wordless)
