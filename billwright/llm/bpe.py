@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from billwright.llm.common import bounded
+from billwright.llm.common import bounded, by_batches
 
 #: Characters of text that a task holds as words at a time, and words it remembers.
 SLICE_CHARS = 2_000_000
@@ -273,7 +273,7 @@ def encode(
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     source = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    found = source.mapInArrow(run, "id long, ids array<int>" + (", decoded binary" if round_trip else ""))
+    found = by_batches(source, run, "id long, ids array<int>" + (", decoded binary" if round_trip else ""))
     return found.withColumnRenamed("id", id_col)
 
 
@@ -304,7 +304,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
             )
 
     schema = StructType([*encoded.schema.fields, StructField("decoded", BinaryType())])
-    return encoded.mapInArrow(run, schema)
+    return by_batches(encoded, run, schema)
 
 
 def ids_text(ids: Column) -> Column:

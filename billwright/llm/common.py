@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,9 +12,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from billwright.operators.storage import new_folder
 
+#: Bytes of a batch of rows with texts.
+BATCH_BYTES = 8 << 20
 #: White space as the contracts use it: \x20 and \x09 to \x0D, which is what bytes.split() takes.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -67,14 +73,34 @@ def bounded(texts: pa.StringArray, most: int) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def map_batches(
-    df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def by_batches(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
-    """One output batch for each Arrow batch."""
+    """``df.mapInArrow(run, schema)`` for rows that hold texts.
+
+    Batches are in memory several times over, outside of the heap, in the executor and in
+    Python, so they are kept small: where the session sets no limit of their size, it is
+    given BATCH_BYTES. A worker gives back what a task took before it waits for the next.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_LIMIT, None) is None:
+        conf.set(_LIMIT, f"{BATCH_BYTES}b")
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(tidy, schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield make(batch)
 
-    return df.mapInArrow(run, schema)
+def give_back() -> None:
+    """Return memory that this process no longer uses, as far as its libraries can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries know how
+        ctypes.CDLL(None).malloc_trim(0)

@@ -29,14 +29,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billwright.llm.common import written
+from billwright.llm.common import by_batches, written
 from billwright.llm.components import connected
 
 #: Retained values of the two sketches, and the risk of overlooking a similar pair.
 COARSE, FINE = 32, 256
 RISK = 1e-7
-#: Classes on either side of a cell.
+#: Classes on either side of a cell, and values of their sets.
 BLOCK = 1024
+VALUES = 2_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -95,8 +96,8 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
     source = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_key"), docs["text"]
     )
-    return source.mapInArrow(
-        run, "doc_id long, text_key long, n_shingles long, set_key long, coarse array<long>"
+    return by_batches(
+        source, run, "doc_id long, text_key long, n_shingles long, set_key long, coarse array<long>"
     )
 
 
@@ -157,7 +158,7 @@ def full_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
 
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_key"))
     rows = docs.join(chosen, same).select("node", "n", "text", "copies")
-    sets = written(rows.mapInArrow(run, "node long, n long, copies long, set array<long>"))
+    sets = written(by_batches(rows, run, "node long, n long, copies long, set array<long>"))
     # Only a class of several rows can have been read from a repeated row.
     once = sets.where("copies = 1").unionByName(sets.where("copies > 1").dropDuplicates(["node"]))
     return once.select("node", "n", "set")
@@ -244,7 +245,7 @@ def _compared(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 names=[field.split()[0] for field in COMPARED.split(", ")],
             )
 
-    return written(joined.mapInArrow(compare, COMPARED))
+    return written(by_batches(joined, compare, COMPARED))
 
 
 def _rooms(one: pd.Series, rows: pd.DataFrame, held: np.ndarray, percent: int) -> np.ndarray:
@@ -295,16 +296,20 @@ def _links_around(compared: DataFrame, merged: DataFrame, sets: DataFrame, perce
             "size", "sampled", F.coalesce("component", "a").alias("part"),
         )
     )
-    parts = members.groupBy("centre", "part").agg(F.count(F.lit(1)).alias("c"))
+    parts = members.groupBy("centre", "part").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("v"))
     split = (
         parts.groupBy("centre").agg(
-            F.max(F.struct("c", "part")).alias("largest"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("parts")
+            F.max(F.struct("c", "part", "v")).alias("largest"), F.sum("c").alias("all"), F.sum("v").alias("values"),
+            F.count(F.lit(1)).alias("parts"),
         )
         .where("parts > 1")
         .select(
             F.col("centre").alias("_centre"), F.col("largest.part").alias("_largest"),
-            F.ceil(F.col("all") / block).alias("_blocks"),
-            F.ceil((F.col("all") - F.col("largest.c")) / block).alias("_out_blocks"),
+            F.greatest(F.ceil(F.col("all") / block), F.ceil(F.col("values") / VALUES)).alias("_blocks"),
+            F.greatest(
+                F.ceil((F.col("all") - F.col("largest.c")) / block),
+                F.ceil((F.col("values") - F.col("largest.v")) / VALUES),
+            ).alias("_out_blocks"),
         )
     )
     several = members.join(split, F.col("centre") == F.col("_centre"))

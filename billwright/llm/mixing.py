@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from billwright.llm.common import WORD_PATTERN, bounded, written
+from billwright.llm.common import WORD_PATTERN, bounded, by_batches, written
 
 SHARD_DOCS = 4096
 
@@ -123,7 +123,7 @@ def mix(
     schema = StructType([
         StructField("size", LongType()), StructField("_row", LongType()), *source.schema.fields[1:]
     ])
-    sized = source.mapInArrow(count, schema)
+    sized = by_batches(source, count, schema)
     if not keep:  # counting texts again costs less than writing them
         sized = written(sized)
     totals = sized.groupBy("_source").agg(
@@ -247,4 +247,4 @@ def taken_texts(mixed: DataFrame) -> DataFrame:
                 taken = batch.take(pa.array(rows))
                 yield taken.set_column(text_at, batch.schema.field(text_at), pa.array(texts, pa.string()))
 
-    return mixed.mapInArrow(run, schema).drop("size", "source_size", "target", "taken", "_cut")
+    return by_batches(mixed, run, schema).drop("size", "source_size", "target", "taken", "_cut")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from billwright.llm.common import written
+from billwright.llm.common import by_batches, written
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
@@ -157,7 +157,7 @@ def find(docs: DataFrame, rule: Disclosure, with_text: bool, keep: Sequence[str]
                 names=["row_key", "doc_id", "text", "spans", "entities", "terms", *batch.schema.names[2:]],
             )
 
-    return source.mapInArrow(run, StructType([*_parse(docs, FOUND).fields, *source.schema.fields[2:]]))
+    return by_batches(source, run, StructType([*_parse(docs, FOUND).fields, *source.schema.fields[2:]]))
 
 
 def document_counts(docs: DataFrame, stem: int) -> DataFrame:
@@ -180,7 +180,7 @@ def document_counts(docs: DataFrame, stem: int) -> DataFrame:
                 )
 
     return (
-        docs.select("text").mapInArrow(run, "feature long, docs long")
+        by_batches(docs.select("text"), run, "feature long, docs long")
         .groupBy("feature").agg(F.sum("docs").alias("docs"))
     )
 
@@ -317,9 +317,8 @@ def sanitise(
                     names=schema.names,
                 )
 
-    touched = with_spans.join(per_row, F.col("row_key") == F.col("_key"), "left").select(
-        "doc_id", "text", "spans", "told", *kept
-    ).mapInArrow(run, schema)
+    joined = with_spans.join(per_row, F.col("row_key") == F.col("_key"), "left")
+    touched = by_batches(joined.select("doc_id", "text", "spans", "told", *kept), run, schema)
     clear = found.where(F.size("spans") == 0).select("doc_id", F.col("spans").alias("base"), "spans", "text", *kept)
     return touched.unionByName(clear).select(
         "doc_id", "base", "spans", "text", *[F.col(f"_kept_{name}").alias(name) for name in keep]

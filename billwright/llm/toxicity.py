@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from billwright.llm.common import bounded, crc_remainder, written
+from billwright.llm.common import bounded, by_batches, crc_remainder, written
 
 #: Labelled documents of either label that the field is fitted to, chosen by a hash.
 MOST_PER_LABEL = 1500
@@ -332,7 +332,7 @@ def score(docs: DataFrame, field: Field, keep: Sequence[str] = (), below: float
         *[docs.schema[name] for name in kept],
     ])
     names = schema.names
-    return source.mapInArrow(run, schema)
+    return by_batches(source, run, schema)
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])

@@ -20,7 +20,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billwright.llm.common import shared_path, written
+from billwright.llm.common import by_batches, shared_path, written
 
 #: Payloads of fewer bytes are always stored whole, and an archive's size in bytes.
 LEAST_REVISIT_BYTES = 100
@@ -232,7 +232,7 @@ def write_archives(
                 names=["path", "records", "bytes"],
             )
 
-    return written(planned.mapInArrow(run, MANIFEST))
+    return written(by_batches(planned, run, MANIFEST))
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
