@@ -17,6 +17,7 @@ go back to the rows; tokens are never shuffled one by one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,12 +29,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billwright.llm.common import written
+from billwright.llm.common import by_batches, written
 
-#: Classes (the end of a text is one), buckets of features, and synchronised rounds.
+#: Classes (the end of a text is one), the fewest buckets of features, and synchronised rounds.
 CLASSES = 16
 BUCKETS = 1 << 15
 ROUNDS = 2
+#: Words of the vocabulary to a bucket, and the most buckets: what a worker holds of weights.
+WORDS_PER_BUCKET = 16
+MOST_BUCKETS = 1 << 20
 TOKENS_PER_ROW = 1_000_000
 _STEP = 16_384
 _RATE = 0.7
@@ -119,28 +123,34 @@ def pack(docs: DataFrame, held_out: Column) -> DataFrame:
     source = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), held_out.alias("held")
     )
-    return written(source.mapInArrow(run, PACKED))
+    return written(by_batches(source, run, PACKED))
 
 
-def _mixed(values: np.ndarray, salt: int) -> np.ndarray:
+def bucket_count(kinds: int) -> int:
+    """Buckets for a vocabulary of so many words, a power of two."""
+    wanted = 1 << round(math.log2(max(kinds, 1) / WORDS_PER_BUCKET)) if kinds > WORDS_PER_BUCKET else 1
+    return min(MOST_BUCKETS, max(BUCKETS, wanted))
+
+
+def _mixed(values: np.ndarray, salt: int, count: int) -> np.ndarray:
     values = (values ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((values ^ (values >> np.uint64(31))) % np.uint64(BUCKETS)).astype(np.int32)
+    return ((values ^ (values >> np.uint64(31))) % np.uint64(count)).astype(np.int32)
 
 
-def features(ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """The buckets of each token's history, a row for each kind of feature."""
+def features(ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, count: int = BUCKETS) -> np.ndarray:
+    """The buckets of each token's history out of ``count``, a row for each kind of feature."""
     own = hashes[ids]
     first = np.cumsum(sizes) - sizes
     one, two = np.roll(own, 1), np.roll(own, 2)
     one[first] = two[first] = _START
     two[(first + 1)[sizes > 1]] = _START
     both = one * np.uint64(0xC2B2AE3D27D4EB4F) + two
-    return np.stack([_mixed(one, 1), _mixed(two, 2), _mixed(both, 3)])
+    return np.stack([_mixed(one, 1, count), _mixed(two, 2, count), _mixed(both, 3, count)])
 
 
 def class_log_odds(weights: np.ndarray, buckets: np.ndarray) -> np.ndarray:
     """log P(class | history) of each token; the last row of the weights is the bias."""
-    scores = weights[BUCKETS] + weights[buckets[0]]
+    scores = weights[-1] + weights[buckets[0]]
     for row in buckets[1:]:
         scores += weights[row]
     scores -= scores.max(1, keepdims=True)
@@ -154,8 +164,8 @@ def _descend(weights: np.ndarray, used: np.ndarray, buckets: np.ndarray, classes
         some, truth = buckets[:, low : low + _STEP], classes[low : low + _STEP]
         slope = np.exp(class_log_odds(weights, some))
         slope[np.arange(len(truth)), truth] -= 1
-        weights[BUCKETS] -= _RATE * slope.mean(0) / np.sqrt(1 + used[BUCKETS] / _STEP / 10)
-        used[BUCKETS] += len(truth)
+        weights[-1] -= _RATE * slope.mean(0) / np.sqrt(1 + used[-1] / _STEP / 10)
+        used[-1] += len(truth)
         for row in some:
             order = np.argsort(row, kind="stable")
             sorted_ = row[order]
@@ -172,12 +182,13 @@ def _trained(packed: DataFrame, weights: np.ndarray) -> np.ndarray:
     shared = packed.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, used = shared.value.copy(), np.zeros(BUCKETS + 1, np.float32)
+        own = shared.value.copy()
+        used = np.zeros(len(own), np.float32)
         for batch in batches:
             for n in range(batch.num_rows):
                 held, sizes, hashes = (batch.column(c)[n].values.to_numpy(zero_copy_only=False) for c in range(3))
                 ids = _unfolded(batch.column(3)[n].as_py())
-                buckets = features(ids, sizes, hashes.view(np.uint64))
+                buckets = features(ids, sizes, hashes.view(np.uint64), len(own) - 1)
                 classes = batch.column(4)[n].values.to_numpy()[ids]
                 learned = np.repeat(~held.astype(bool), sizes)
                 _descend(own, used, buckets[:, learned], classes[learned])
@@ -193,7 +204,7 @@ def _trained(packed: DataFrame, weights: np.ndarray) -> np.ndarray:
     steps = packed.select("held", "sizes", "hashes", "ids", "classes").mapInArrow(
         run, "bucket int, " + ", ".join(f"{name} long" for name in names)
     )
-    # As many rows as the model has buckets, whatever the corpus.
+    # As many rows as the model has buckets.
     sums = [F.sum(F.col(name).cast("decimal(20,0)")).cast("double").alias(name) for name in names]
     rows = steps.groupBy("bucket").agg(*sums).toPandas()
     after = weights.copy()
@@ -260,7 +271,7 @@ def _rated(packed: DataFrame, weights: np.ndarray, known: Totals) -> DataFrame:
                 counts[found.field(0).to_numpy()] = found.field(1).to_numpy()
                 base = np.log10((counts + 1) / (known.tokens + known.kinds + 1))
                 within = np.log10((counts + 1) / (known.class_tokens + known.class_kinds + 1)[classes])
-                buckets = features(ids, sizes, hashes)
+                buckets = features(ids, sizes, hashes, len(weights) - 1)
                 score = np.empty(len(ids))
                 for low in range(0, len(ids), _STEP):
                     of = classes[ids[low : low + _STEP]]
@@ -295,7 +306,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """
     packed = pack(docs, F.coalesce(held_out, F.lit(True)))
     counts = counted(packed)
-    weights = np.zeros((BUCKETS + 1, CLASSES), np.float32)
+    known = totals(counts)
+    weights = np.zeros((bucket_count(known.kinds) + 1, CLASSES), np.float32)
     # Tasks and the rows of a task take turns, so that rounds have equally many rows.
     turn = F.shiftright("row", _PLACES) + F.col("row")
     for number in range(ROUNDS):
@@ -303,5 +315,4 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     found = counts.groupBy(F.col("row").alias("_row")).agg(
         F.collect_list(F.struct("at", "count")).alias("counts")
     )
-    known = totals(counts)
     return _rated(packed.drop("train").join(found, F.col("row") == F.col("_row")), weights, known)
