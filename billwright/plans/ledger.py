@@ -11,6 +11,7 @@ not read. Cancelled or returned late, an invoice leaves the total of its own day
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Mapping
 
@@ -120,14 +121,12 @@ class DailyLedger:
         passed over.
         """
         batch = batch or uuid.uuid4().hex
+        if not re.fullmatch(r"[\w-]+", batch, re.ASCII):
+            raise ValueError(f"{batch!r} can't name a batch: letters, digits, - and _ can")
         for name, (base, _, _) in LEDGERS.items():
             if base in changes:
                 entries = _entries(name, _signed(changes[base], base), self.rules)
-                (
-                    _summed(name, entries).withColumn(_BATCH, F.lit(batch))
-                    .write.partitionBy(_BATCH).mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic").parquet(f"{self.folder}/{name}")
-                )
+                _summed(name, entries).write.mode("overwrite").parquet(f"{self.folder}/{name}/{_BATCH}={batch}")
 
     def start(self, tables: InvoiceTables) -> None:
         """Begin with tables as they are."""
@@ -149,7 +148,7 @@ class DailyLedger:
     def compact(self, folder: str) -> DailyLedger:
         """The same sums as a single batch in another folder."""
         for name in LEDGERS:
-            self.sums(name).withColumn(_BATCH, F.lit("start")).write.partitionBy(_BATCH).parquet(f"{folder}/{name}")
+            self.sums(name).write.parquet(f"{folder}/{name}/{_BATCH}=start")
         return DailyLedger(self.spark, folder, self.rules)
 
     def _repeats(self) -> DataFrame:

@@ -146,9 +146,13 @@ def test_ledger_starts_from_tables_and_takes_late_cancellations(spark, tables, t
     late = header.withColumn(CHANGE, F.lit(-1)).unionByName(
         header.withColumn("cancelada", F.lit(1)).withColumn(CHANGE, F.lit(1))
     )
-    ledger.add({"tnota_fiscal": late, "tordem_fat": tables["tordem_fat"]})
+    ledger.add({"tnota_fiscal": late, "tordem_fat": tables["tordem_fat"]}, "late")
     without = InvoiceTables(lambda name: tables[name].where("numero != 15") if name == "tnota_fiscal" else tables[name])
     assert bag(ledger.daily_totals()) == bag(P.daily_totals(P.report_inputs(without)))
     day = lambda column: column >= F.lit("2026-05-08").cast("date")
     assert {row[0].day for row in ledger.daily_totals(day).collect()} <= {8, 11}
+    ledger.add({"tnota_fiscal": late.where("false")}, "late")  # the batch again, with nothing in it
+    assert bag(ledger.daily_totals()) == bag(P.daily_totals(P.report_inputs(tables)))
+    with pytest.raises(ValueError, match="name a batch"):
+        ledger.add({}, "../x")
     assert set(base for base, _, _ in LEDGERS.values()) == set(BASE_TABLES) - {"tordem_fat"}
