@@ -36,7 +36,7 @@ CLASSES = 16
 BUCKETS = 1 << 15
 ROUNDS = 2
 #: Words of the vocabulary to a bucket, and the most buckets: what a worker holds of weights.
-WORDS_PER_BUCKET = 16
+WORDS_PER_BUCKET = 64
 MOST_BUCKETS = 1 << 20
 TOKENS_PER_ROW = 1_000_000
 _STEP = 16_384
@@ -45,7 +45,7 @@ END = b"\n"  # no word holds white space
 _FEATURES = 3
 #: Bits of a row's name for its place in its task, and the parts of a weight that are added up.
 _PLACES = 32
-_GRAIN = 2.0**-20
+_GRAIN = 2.0**-16
 _START = np.uint64(0x51ED270B)
 
 PACKED = (
@@ -205,8 +205,7 @@ def _trained(packed: DataFrame, weights: np.ndarray) -> np.ndarray:
         run, "bucket int, " + ", ".join(f"{name} long" for name in names)
     )
     # As many rows as the model has buckets.
-    sums = [F.sum(F.col(name).cast("decimal(20,0)")).cast("double").alias(name) for name in names]
-    rows = steps.groupBy("bucket").agg(*sums).toPandas()
+    rows = steps.groupBy("bucket").agg(*[F.sum(name).alias(name) for name in names]).toPandas()
     after = weights.copy()
     if len(rows):
         moved = rows[names[1:]].to_numpy() * _GRAIN / rows[["used"]].to_numpy()

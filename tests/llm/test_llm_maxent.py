@@ -112,7 +112,7 @@ def test_two_runs_give_the_same_scores(spark, monkeypatch):
 
 def test_buckets_follow_the_vocabulary():
     assert maxent.bucket_count(0) == maxent.bucket_count(100_000) == maxent.BUCKETS
-    assert maxent.bucket_count(5_000_000) == 1 << 18 and maxent.bucket_count(10**12) == maxent.MOST_BUCKETS
+    assert maxent.bucket_count(20_000_000) == 1 << 18 and maxent.bucket_count(10**12) == maxent.MOST_BUCKETS
     hashes = np.arange(10, 20, dtype=np.uint64)
     wide = maxent.features(np.array([1, 2, 3, 0]), np.array([4]), hashes, 1 << 18)
     assert wide.max() >= maxent.BUCKETS
