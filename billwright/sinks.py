@@ -12,6 +12,9 @@ from billwright.plans.message import TABLE_CLOSING, TABLE_OPENING
 #: Folders of the outbox.
 DAY, RECIPIENT = "sent_on", "recipient"
 
+# Parts of a message that share a file.
+PARTS_PER_FILE = 16
+
 
 def write_html_rows(html: DataFrame, folder: str) -> None:
     """One HTML document as text files: read by name, their lines open the table, list
@@ -34,13 +37,17 @@ def write_outbox(messages: DataFrame, folder: str, day: datetime.date) -> None:
     _by_day_and_recipient(messages.withColumn(DAY, F.lit(day))).json(folder)
 
 
-def write_outboxes(messages: DataFrame, folder: str, day: str) -> None:
-    """The messages of many days at once, told by the column ``day``."""
-    _by_day_and_recipient(messages.withColumnRenamed(day, DAY)).json(folder)
+def write_outboxes(messages: DataFrame, folder: str, day: str, compression: str | None = None) -> None:
+    """The messages of many days at once, told by the column ``day``.
+
+    They repeat a report for every recipient; ``compression`` is a codec of Spark's JSON files.
+    """
+    _by_day_and_recipient(messages.withColumnRenamed(day, DAY)).json(folder, compression=compression)
 
 
 def _by_day_and_recipient(messages: DataFrame) -> DataFrameWriter:
-    dealt = messages.withColumn(RECIPIENT, F.col("to")).repartition(DAY, RECIPIENT, "part")
+    block = F.floor(F.col("part") / PARTS_PER_FILE)
+    dealt = messages.withColumn(RECIPIENT, F.col("to")).repartition(DAY, RECIPIENT, block)
     return dealt.write.partitionBy(DAY, RECIPIENT).mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
