@@ -400,10 +400,11 @@ def _daily_bodies(tables: InvoiceTables) -> DataFrame:
     totals = positioned.groupBy(F.col("data_emissao").alias("as_of")).agg(
         F.min("idx").alias("first"), F.coalesce(F.sum(authorised), F.lit(0)).cast(P.TOTAL_VALUE).alias("total")
     )
-    rows = positioned.join(totals.select("as_of", "first"), F.col("data_emissao") == F.col("as_of"))
-    rows = P.formatted_report(rows.withColumn("idx", F.col("idx") - F.col("first")))
-    html = rows.select("as_of", "idx", M.row_html().alias("row_html"))
-    return M.message_parts(html, totals.select("as_of", "total"), ROWS_PER_PART, by="as_of")
+    # One row per day of the calendar: small enough for a broadcast, however many rows the days have.
+    firsts = F.broadcast(totals.select("as_of", "first"))
+    rows = positioned.join(firsts, F.col("data_emissao") == F.col("as_of"))
+    rows = rows.withColumn("idx", F.col("idx") - F.col("first"))
+    return M.parts_of_rows(rows, totals.select("as_of", "total"), ROWS_PER_PART, by="as_of")
 
 
 @_on_tables

@@ -26,6 +26,9 @@ from pyspark.sql import types as T
 
 # Rows of a barely hot key that a count should see to be sure of it.
 ROWS_SEEN = 1_000
+
+# Cells that rows with a null key are dealt out over: many times the tasks of a join.
+NULL_CELLS = 1 << 16
 SEED = 20_260_511
 
 # A hot key and the number of cells its rows are dealt out over.
@@ -157,9 +160,14 @@ def _repeated(df: DataFrame, name: str) -> DataFrame:
 def _hash_of(df: DataFrame, key: str) -> Column:
     """A hash that whole numbers of all widths share, and that is the same for keys that are equal."""
     if _is_collated(df, key):  # equal texts may differ, and hashes are of the text
-        return F.when(F.col(key).isNotNull(), F.lit(0).cast("long"))
+        return F.when(F.col(key).isNotNull(), F.lit(0))
     kind = df.schema[key].dataType
-    return F.xxhash64(F.col(key).cast("long") if isinstance(kind, T.IntegralType) else F.col(key))
+    return _null_cell(F.col(key).cast("long") if isinstance(kind, T.IntegralType) else F.col(key))
+
+
+def _null_cell(*by: Column | str) -> Column:
+    """One of ``NULL_CELLS``: it is shuffled with every row, and all bits of a hash can't be compressed."""
+    return F.pmod(F.xxhash64(*by), F.lit(NULL_CELLS)).cast("int")
 
 
 def _check_kinds(left: DataFrame, key: str, right: DataFrame, right_key: str) -> None:
@@ -195,7 +203,7 @@ class Spread:
         null_cell, cells = None, ()
         if nullable:
             null_cell = f"_{key}_null_cell"
-            row_or_key = F.when(F.col(key).isNull(), F.xxhash64(*by)).otherwise(_hash_of(df, key))
+            row_or_key = F.when(F.col(key).isNull(), _null_cell(*by)).otherwise(_hash_of(df, key))
             df = df.withColumn(null_cell, row_or_key)
         if hot:
             name = f"_{key}_cell"

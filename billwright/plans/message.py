@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ from billwright.schemas import REPORT_COLUMNS, VIEW_HEADINGS
 # Rows of one segment of a message, so that no task holds a whole report as one text.
 ROWS_PER_PART = 10_000
 
+# Rows that one task makes into HTML: about 150 MB of it.
+ROWS_PER_TASK = 250_000
+
 TABLE_OPENING = (
     "<table><thead><tr><th></th>"
     + "".join(f"<th>{VIEW_HEADINGS[name]}</th>" for name in REPORT_COLUMNS)
@@ -47,9 +51,38 @@ def message_parts(
     ``by`` there is a document for each value in ``totals`` (by, total), and ``idx``
     counts the rows of each from 0. A document without rows still is one segment.
     """
+    return _segments(html.withColumn("part", _part(rows_per_part)), totals, rows_per_part, by)
+
+
+def parts_of_rows(
+    positioned: DataFrame,
+    totals: DataFrame,
+    rows_per_part: int = ROWS_PER_PART,
+    by: str | None = None,
+    literal_cleanup: bool = False,
+) -> DataFrame:
+    """``message_parts`` of report rows with their position, which are counted at once.
+
+    HTML is many times as long as the row it shows, so rows are dealt out by segment
+    first, over as many tasks as their number wants, and become HTML where they arrive.
+    """
+    keys = [by] if by else []
+    rows = positioned.select(*keys, "idx", *REPORT_COLUMNS).withColumn("part", _part(rows_per_part))
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, ceil(rows.count() / ROWS_PER_TASK))
+    html = P.formatted_report(rows.repartition(tasks, *keys, "part")).select(
+        *keys, "idx", "part", row_html(literal_cleanup).alias("row_html")
+    )
+    return _segments(html, totals, rows_per_part, by)
+
+
+def _part(rows_per_part: int) -> Column:
+    return F.floor(F.col("idx") / rows_per_part).cast("int")
+
+
+def _segments(html: DataFrame, totals: DataFrame, rows_per_part: int, by: str | None) -> DataFrame:
+    """The segments of rows that know the ``part`` they are in."""
     keys = [by] if by else []
-    part = F.floor(F.col("idx") / rows_per_part).cast("int").alias("part")
-    tables = html.groupBy(*keys, part).agg(
+    tables = html.groupBy(*keys, "part").agg(
         F.expr("listagg(row_html, '') within group (order by idx)").alias("rows_html")
     )
     count = F.greatest(F.lit(1), F.ceil(F.coalesce("rows", F.lit(0)) / rows_per_part)).cast("int")
@@ -90,6 +123,5 @@ def report_message(
     The report's rows are made once; list and total both come from them.
     """
     rows = stored(P.report_rows(inputs), rebalance=False)
-    html = html_rows(P.formatted_report(P.sorted_report(rows)), literal_cleanup)
-    parts = message_parts(html, P.total_of_rows(rows), rows_per_part)
+    parts = parts_of_rows(P.sorted_report(rows), P.total_of_rows(rows), rows_per_part, literal_cleanup=literal_cleanup)
     return outbox(parts, addresses, X.subject(F.lit(as_of)))

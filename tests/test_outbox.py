@@ -33,3 +33,28 @@ def test_parts_share_files(spark, tables, tmp_path):
     assert 2 <= len(files) <= 2 * 2 and all(file.name.endswith(".json.gz") for file in files)
     assert bag(sinks.read_outbox(spark, str(tmp_path), D(2026, 5, 11)).drop("day")) == bag(messages)
     assert messages.count() == 2 * 17
+
+
+def test_rows_become_html_after_they_are_dealt_out(spark, tables):
+    """Neither HTML nor lists of it are shuffled, and rows meet their day without a shuffle."""
+    text = Q._daily_bodies(tables)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    inputs = [
+        block.split("Input [", 1)[1].split("\n")[0] for block in text.split("\n\n")
+        if ") Exchange\n" in block and "Input [" in block
+    ]
+    assert inputs and any("cliente#" in line for line in inputs)
+    assert not any("html" in line or "buf" in line for line in inputs)
+    assert "hashpartitioning(data_emissao#" not in "".join(
+        block for block in text.split("\n\n") if ") Exchange\n" in block and "cliente#" in block
+    )
+
+
+def test_rows_and_their_html_make_the_same_parts(spark, tables):
+    positioned = P.sorted_report(P.report_rows(P.report_inputs(tables)))
+    totals = spark.sql("select cast(5 as decimal(38,4)) as total")
+    for size in (1, 4, 100):
+        html = M.html_rows(P.formatted_report(positioned), True)
+        expected = bag(M.message_parts(html, totals, size))
+        assert bag(M.parts_of_rows(positioned, totals, size, literal_cleanup=True)) == expected != []
