@@ -8,6 +8,8 @@ number are dealt by it and sorted, so that their joins need no shuffle.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,10 @@ from billwright.schemas import BASE_TABLES
 from billwright.sources.tables import LINE_MONTH, MONTH, NUMBER_KEYS, InvoiceTables
 
 
+# Rows of one table that a bucket has on average, so that a task sorts it in memory.
+ROWS_PER_BUCKET = 1_000_000
+
+
 def month_of_issue() -> Column:
     return F.trunc("dt_emissao", "month")
 
@@ -79,11 +85,14 @@ def land_in_buckets(
 ) -> InvoiceTables:
     """Copy all tables to ``<prefix>_<table>`` of the session's catalog, and go on with the copies.
 
-    The tables that hang on the invoice number are dealt into ``buckets`` by it. One
+    The tables that hang on the invoice number are dealt by it into ``buckets``, or into
+    more if the largest of them, whose rows are counted, wants more. One
     number is in one bucket: those with very many rows are still split, and for that
     shuffled, when they are joined. With ``folder``, the files lie there and not in the
     warehouse. Tables of the same names are replaced.
     """
+    most = max(tables[name].count() for name in NUMBER_KEYS)
+    buckets = max(buckets, ceil(most / ROWS_PER_BUCKET))
     for name in BASE_TABLES:
         df, key = tables[name], NUMBER_KEYS.get(name)
         if key:

@@ -159,3 +159,16 @@ def test_intermediate_results_are_removed(spark, given, monkeypatch):
     assert all(os.path.isdir(path.removeprefix("file:")) for path in made)
     assert storage.discard_stored(spark) == len(made) and storage.discard_stored(spark) == 0
     assert not any(os.path.exists(path.removeprefix("file:")) for path in made)
+
+
+def test_buckets_follow_the_rows(spark, given, tmp_path, monkeypatch):
+    """As many as the largest table wants, the same for all five, so that none outgrows a task."""
+    monkeypatch.setattr(landing, "ROWS_PER_BUCKET", 7)
+    dealt = landing.land_in_buckets(given, spark, "many", 2, str(tmp_path))
+    wanted = -(-max(given[name].count() for name in NUMBER_KEYS) // 7)
+    assert wanted > 2
+    for name in NUMBER_KEYS:
+        found = {row[0]: row[1] for row in spark.sql(f"describe formatted many_{name}").collect()}
+        assert int(found["Num Buckets"]) == wanted
+        assert bag(dealt[name]) == bag(given[name])
+    assert bag(invoice_view(dealt)) == bag(invoice_view(given))
