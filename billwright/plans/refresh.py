@@ -8,6 +8,7 @@ are written anew.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ from billwright.rules import Rules
 from billwright.schemas import BASE_TABLES
 from billwright.sources.tables import MONTH, NUMBER_KEYS, InvoiceTables, conform
 
+# Lines are cut to the changed invoices if at most one in so many invoices is one of them.
+FEW = 4
+
 
 def _month() -> Column:
     return F.trunc("data_emissao", "month").alias(MONTH)
@@ -94,16 +98,20 @@ def affected_invoices(
         guids.append(rows("tos").select(guid("guid_orcamento", "guid")))
         products.append(rows("tos").select(F.col("cod_pecas").alias("product")))
     goods = tables.of_company("tnota_fiscal_item", rules.company)
+    # Goods lines are read once for all guids and once for all products.
     for found, column in ((guids, guid("guid_orcamento", "key")), (products, F.col("codigo").alias("key"))):
-        for keys in found:
+        if found:
+            keys = reduce(DataFrame.unionByName, found)
             name = keys.columns[0]
             keys = keys.where(F.col(name).isNotNull()).distinct()
             lines = goods.select(F.col("numero_nf").alias("wanted_nf"), column)
             numbers.append(lines.join(keys, F.col("key") == F.col(name), "left_semi").select("wanted_nf"))
-    every = numbers[0]
-    for some in numbers[1:]:
-        every = every.unionByName(some)
-    return stored(every.distinct())
+    return stored(reduce(DataFrame.unionByName, numbers).distinct())
+
+
+def _are_few(wanted: DataFrame, tables: InvoiceTables, rules: Rules) -> bool:
+    """Whether it pays to cut and store the lines of the wanted numbers before they are joined."""
+    return wanted.count() * FEW <= tables.of_company("tnota_fiscal", rules.company).count()
 
 
 def refresh_view(
@@ -121,27 +129,31 @@ def refresh_view(
     wanted = affected_invoices(tables, changed, rules)
     spark = wanted.sparkSession
     schema = _view_schema(tables, rules)
-    view = view_of(Inputs(tables, rules, narrow=True, wanted=wanted))
-    new = stored(view.select("*", _month()))
+    view = view_of(Inputs(tables, rules, narrow=_are_few(wanted, tables, rules), wanted=wanted))
+    new = stored(view.select("*", _month()), rebalance=False)
     old = _stored_with_months(spark, folder, schema)
     same = F.col("nf").eqNullSafe(F.col("wanted_nf"))
     # A number's rows lie in the months of its invoices, before the changes and after them.
-    touched = stored(
-        old.select("nf", MONTH).join(wanted, same, "left_semi").select(MONTH).distinct()
-        .unionByName(new.select(MONTH).distinct()).distinct()
+    flagged = wanted.withColumn("is_wanted", F.lit(True))
+    seen = old.select("nf", MONTH).join(flagged, same, "left").groupBy(MONTH).agg(
+        F.bool_or(F.col("is_wanted").isNotNull()).alias("is_touched"),
+        F.bool_or(F.col("is_wanted").isNull()).alias("has_rows"),
+    )
+    came = new.select(MONTH, F.lit(True).alias("is_touched"), F.lit(True).alias("has_rows")).distinct()
+    both = seen.unionByName(came).groupBy(MONTH).agg(
+        F.bool_or("is_touched").alias("is_touched"), F.bool_or("has_rows").alias("has_rows")
     )
+    touched = stored(both.where("is_touched"))
     months = [row[MONTH] for row in touched.collect()]  # one date for each month
     if not months:
-        return touched
+        return touched.select(MONTH)
     inside = F.col(MONTH).isin([month for month in months if month])
     inside = inside | F.col(MONTH).isNull() if None in months else inside
     kept = old.where(inside).join(wanted, same, "left_anti")
-    # Written aside first: a folder can't be replaced while it is read.
-    result = stored(kept.unionByName(new))
-    _by_month(result).option("partitionOverwriteMode", "dynamic").parquet(folder)
-    _clear_months(spark, folder, touched.join(result.select(MONTH).distinct().withColumnRenamed(MONTH, "left_month"),
-                                              F.col(MONTH).eqNullSafe(F.col("left_month")), "left_anti"))
-    return touched
+    # The months are written beside those that are read, and take their places at the end.
+    _by_month(kept.unionByName(new)).option("partitionOverwriteMode", "dynamic").parquet(folder)
+    _clear_months(spark, folder, touched.where(~F.col("has_rows")))
+    return touched.select(MONTH)
 
 
 def _clear_months(spark: SparkSession, folder: str, months: DataFrame) -> None:

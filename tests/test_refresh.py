@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from billwright import InvoiceTables, Rules
 from billwright.operators import calendar as C
+from billwright.operators import storage
+from billwright.plans import refresh
 from billwright.plans import report as P
 from billwright.plans.ledger import CHANGE, LEDGERS, DailyLedger
 from billwright.plans.refresh import affected_invoices, refresh_view, store_view, stored_view
@@ -156,3 +158,20 @@ def test_ledger_starts_from_tables_and_takes_late_cancellations(spark, tables, t
     with pytest.raises(ValueError, match="name a batch"):
         ledger.add({}, "../x")
     assert set(base for base, _, _ in LEDGERS.values()) == set(BASE_TABLES) - {"tordem_fat"}
+
+
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_refresh_stores_no_month_twice(spark, tmp_path, monkeypatch, few):
+    """Whether the changed invoices are few or many; rows that stay go from the old months into the new ones."""
+    monkeypatch.setattr(refresh, "FEW", few)
+    folder, rows = str(tmp_path / "view"), random_rows(8)
+    store_view(_tables(spark, rows), folder, RULES)
+    rows, went, came = _changed(rows, 81)
+    monkeypatch.setattr(storage, "_made", [])
+    refresh_view(_tables(spark, rows), _frames(spark, went, came), folder, RULES)
+    expected = invoice_view(_tables(spark, rows), RULES)
+    stored = [spark.read.parquet(path) for path in storage._made]
+    views = [df for df in stored if "valor" in df.columns]
+    assert len(views) == 1 and 0 < views[0].count() < expected.count()
+    assert any("guid_orcamento" in df.columns for df in stored) == (few == 0)
+    assert bag(stored_view(spark, _tables(spark, rows), folder, RULES)) == bag(expected)
