@@ -7,9 +7,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Spark's option to remove the shuffle files of a query when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def use_shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; where none is set, in local mode, one of our own."""
@@ -39,14 +44,37 @@ def discard_stored(spark: SparkSession) -> int:
 
     For use when results have been written: what still reads an intermediate result fails after this.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    found, _made[:] = list(_made), []
+    found = list(_made)
     for name in found:
-        folder = path(name)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        discard(spark, name)
     return len(found)
 
 
+def discard(spark: SparkSession, name: str) -> None:
+    """Remove the one intermediate result that lies in this folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _made[:] = [other for other in _made if other != name]
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within this, the shuffle files of each query go when it ends.
+
+    Otherwise they stay until the driver happens to collect its garbage, and those of a
+    chain of large queries lie on the executors' disks all at once.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, rebalance: bool = True) -> DataFrame:
     """``df`` written once as Parquet, for a result that several jobs go on with.
 
@@ -57,3 +85,10 @@ def stored(df: DataFrame, rebalance: bool = True) -> DataFrame:
     path = new_folder(df.sparkSession, "stored")
     (df.hint("rebalance") if rebalance else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_parts(parts: Iterable[DataFrame], folder: str) -> DataFrame:
+    """The rows of all parts, written to ``folder`` one part after the other and without being dealt out anew."""
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+    return part.sparkSession.read.schema(part.schema).parquet(folder)

@@ -110,6 +110,17 @@ class InvoiceTables:
             *BASE_TABLES[name].fields, *[raw.schema[column] for column in added]
         ])).where(F.col("cod_empresa") == company)
 
+    def of_numbers(self, inside: Callable[[Column], Column]) -> InvoiceTables:
+        """The same tables with only those rows of an invoice number that ``inside`` lets pass; filtered at the scan."""
+
+        def read(name: str) -> DataFrame:
+            key = NUMBER_KEYS.get(name)
+            if key is None:
+                return self._read(name)
+            return self._read(name).where(inside(F.col(key).cast(BASE_TABLES[name][key].dataType)))
+
+        return InvoiceTables(read, self._live, self.by_month)
+
     def query(self, spark: SparkSession, sql: str) -> DataFrame:
         """Run SQL over the base tables under their own names."""
         self.register(spark)

@@ -1,6 +1,7 @@
 """Changes to the base tables against building everything anew."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,3 +176,55 @@ def test_refresh_stores_no_month_twice(spark, tmp_path, monkeypatch, few):
     assert len(views) == 1 and 0 < views[0].count() < expected.count()
     assert any("guid_orcamento" in df.columns for df in stored) == (few == 0)
     assert bag(stored_view(spark, _tables(spark, rows), folder, RULES)) == bag(expected)
+
+
+def _shuffles(spark):
+    """Ids of the shuffles that have files."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    return {block.split("_")[1] for block in blocks.split() if block.startswith("shuffle_")}
+
+
+def _are_gone(spark, but, seconds=20):
+    """Whether no other shuffle has files, which go a moment after their query."""
+    until = time.time() + seconds
+    while _shuffles(spark) - but and time.time() < until:
+        time.sleep(0.2)
+    return not _shuffles(spark) - but
+
+
+def test_spans_of_numbers_and_few_months_at_a_time(spark, tmp_path, monkeypatch):
+    """Null is a number, and neither shuffles nor rows of the view are left behind."""
+    writes = []
+    monkeypatch.setattr(refresh, "INVOICES_AT_A_TIME", 40)
+    monkeypatch.setattr(refresh, "ROWS_AT_A_TIME", 20)
+    monkeypatch.setattr(refresh, "_by_month", lambda rows, write=refresh._by_month: writes.append(rows) or write(rows))
+    monkeypatch.setattr(storage, "_made", [])
+    folder, rows = str(tmp_path / "view"), random_rows(9)
+    rows["tnota_fiscal"] += [(row[0], None, *row[2:]) for row in rows["tnota_fiscal"][:9]]
+    after, went, came = _changed(rows, 91)
+    shuffles = _shuffles(spark)
+    store_view(_tables(spark, rows), folder, RULES)
+    assert _are_gone(spark, shuffles) and len(writes) > 1
+    assert bag(stored_view(spark, _tables(spark, rows), folder, RULES)) == bag(invoice_view(_tables(spark, rows), RULES))
+    monkeypatch.setattr(refresh, "INVOICES_AT_A_TIME", 20)
+    shuffles, writes[:] = _shuffles(spark), []
+    refresh_view(_tables(spark, after), _frames(spark, went, came), folder, RULES)
+    assert _are_gone(spark, shuffles) and len(writes) > 1
+    assert bag(stored_view(spark, _tables(spark, after), folder, RULES)) == bag(invoice_view(_tables(spark, after), RULES))
+    assert not any("valor" in spark.read.parquet(path).columns for path in storage._made)
+
+
+def test_spans_part_all_numbers(spark, monkeypatch):
+    numbers = [None, None, 7, 7, 7, 7, *range(50), 2**40, -5]
+    rows = spark.createDataFrame([(number,) for number in numbers], "number long")
+    for at_a_time, least, most in ((10**6, 1, 1), (10, 3, 7), (1, 20, 60)):
+        monkeypatch.setattr(refresh, "INVOICES_AT_A_TIME", at_a_time)
+        spans = refresh._spans(F.col("number"), rows)
+        assert least <= len(spans) <= most
+        found = [rows.where(span(F.col("number"))).collect() for span in spans]
+        assert sorted((row[0] is not None, row[0] or 0) for part in found for row in part) == sorted(
+            (number is not None, number or 0) for number in numbers
+        )
+        assert sum(any(row[0] == 7 for row in part) for part in found) == 1
+    assert len(refresh._spans(F.col("number"), rows.where("number is null"))) == 1
+    assert len(refresh._spans(F.col("number"), rows.where("false"))) == 1
