@@ -177,6 +177,7 @@ class Inputs:
         )
         by_invoice = [hot["headers.nf"], hot["services.nf"]]
         by_guid = [hot["quote_lines.guid"], hot["orders.guid"]]
+        add(self.goods(), "goods.nf", "numero_nf", repeats(guid_orcamento=by_guid))
         add(self.goods(), "goods.guid", "guid_orcamento", repeats(numero_nf=by_invoice))
         add(
             self.goods(), "goods.product", "codigo",

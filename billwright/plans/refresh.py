@@ -72,7 +72,9 @@ def store_view(tables: InvoiceTables, folder: str, rules: Rules | None = None) -
     spark = tables["tnota_fiscal"].sparkSession
     with shuffles_removed(spark):
         spans = _spans(F.col("numero"), tables.of_company("tnota_fiscal", rules.company))
-        views = (invoice_view(tables.of_numbers(span), rules).select("*", _month()) for span in spans)
+        views = (
+            view_of(Inputs(tables.of_numbers(span), rules), goods_first=True).select("*", _month()) for span in spans
+        )
         if len(spans) == 1:
             _by_month(next(views)).option("partitionOverwriteMode", "static").parquet(folder)
             return
@@ -233,7 +235,7 @@ def _views_of(
     """The rows of the wanted invoices, with their month, of one span after the other."""
     for span in spans:
         inputs = Inputs(tables.of_numbers(span), rules, narrow=few, wanted=wanted.where(span(F.col("wanted_nf"))))
-        yield view_of(inputs).select("*", _month())
+        yield view_of(inputs, goods_first=not few).select("*", _month())
 
 
 def _clear_months(spark: SparkSession, folder: str, months: DataFrame) -> None:

@@ -147,11 +147,25 @@ class ViewSteps:
 
     def with_product_orders(self) -> DataFrame:
         """Lines without a service order of their own look one up by product code."""
-        lines = self.with_orders().result().withColumn(
-            "missing_order_product", F.when(F.col("n_os").isNull(), F.col("codigo"))
+        return self._over_missing_orders(self.with_orders().result(), self._line(*_ROW_IDS))
+
+    def goods_first(self) -> DataFrame:
+        """The same lines with the invoices joined last.
+
+        For whole tables: goods lines are narrow as long as they have no header, and those
+        of one invoice end up beside each other. Filters on the headers cut nothing here.
+        """
+        ids = self._ids("goods_row", "quote_line_row", "quote_row", "order_row")
+        goods = self.join_orders(self.join_quotes(self.goods_over_guids())).result()
+        goods = self._over_missing_orders(goods.drop("guid_linha", "won_quote", "order_guid"), ["goods_nf", "codigo", *ids])
+        lines = self.with_lookups().left_join(
+            goods.drop("missing_order_product", "product_code"), "goods_nf", self.hot["goods.nf"], ids
         )
-        hot, by = self.hot["goods.product"], self._line(*_ROW_IDS)
-        spread = Spread.over(lines, "missing_order_product", hot, by, nullable=True)
+        return lines.left_join(self.services(), "service_nf", self.hot["services.nf"], self._ids("service_row")).result()
+
+    def _over_missing_orders(self, lines: DataFrame, by: list[str]) -> DataFrame:
+        lines = lines.withColumn("missing_order_product", F.when(F.col("n_os").isNull(), F.col("codigo")))
+        spread = Spread.over(lines, "missing_order_product", self.hot["goods.product"], by, nullable=True)
         return self.join_product_orders(spread).result()
 
     def join_product_orders(self, lines: Spread) -> Spread:
@@ -167,10 +181,10 @@ def invoice_view(tables: InvoiceTables, rules: Rules | None = None) -> DataFrame
     return view_of(Inputs(tables, rules or Rules()))
 
 
-def view_of(inputs: Inputs) -> DataFrame:
+def view_of(inputs: Inputs, goods_first: bool = False) -> DataFrame:
     """The view over inputs that may be cut to some invoices."""
-    c = F.col
-    return ViewSteps(inputs).with_product_orders().select(
+    c, steps = F.col, ViewSteps(inputs)
+    return (steps.goods_first() if goods_first else steps.with_product_orders()).select(
         L.document_type(c("nfse")).alias("tipo"),
         "nf",
         F.to_date("dt_emissao").alias("data_emissao"),

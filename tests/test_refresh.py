@@ -13,7 +13,8 @@ from billwright.plans import refresh
 from billwright.plans import report as P
 from billwright.plans.ledger import CHANGE, LEDGERS, DailyLedger
 from billwright.plans.refresh import affected_invoices, refresh_view, store_view, stored_view
-from billwright.plans.view import invoice_view
+from billwright.plans.inputs import Inputs
+from billwright.plans.view import invoice_view, view_of
 from billwright.schemas import BASE_TABLES
 from conftest import bag
 from test_random import random_rows
@@ -228,3 +229,11 @@ def test_spans_part_all_numbers(spark, monkeypatch):
         assert sum(any(row[0] == 7 for row in part) for part in found) == 1
     assert len(refresh._spans(F.col("number"), rows.where("number is null"))) == 1
     assert len(refresh._spans(F.col("number"), rows.where("false"))) == 1
+
+
+@pytest.mark.parametrize("rules", [RULES, Rules(rows_per_task=5, join_tasks=8)])
+def test_goods_first_gives_the_same_view(spark, rules):
+    """Where keys are hot as well."""
+    tables = _tables(spark, random_rows(10))
+    view = view_of(Inputs(tables, rules), goods_first=True)
+    assert bag(view) == bag(invoice_view(tables, RULES))
